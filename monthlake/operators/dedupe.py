@@ -110,9 +110,8 @@ def dedupe_first(
         ranked = _settle_hot(ranked, hot, key, order, scope, row_id)
         is_first &= F.col(_WINNING_PLACE).isNull() | (F.col(_WINNING_PLACE) == F.col(_PLACE))
     duplicate = F.when(is_valid() & ~is_first, F.lit(DUPLICATE_REASON))
-    return ranked.withColumn(REJECT_REASON, F.coalesce(REJECT_REASON, duplicate)).drop(
-        _PLACE, _KEY, _RANK, _WINNING_PLACE
-    )
+    reason = F.coalesce(REJECT_REASON, duplicate)
+    return ranked.withColumn(REJECT_REASON, reason).select(*df.columns)
 
 
 def _settle_hot(

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from monthlake.months import BatchMonth
+from monthlake.months import BatchMonth, month_label
 from monthlake.operators.dedupe import TEXT_ORDER, dedupe_first
 from monthlake.operators.layout import ROWS_PER_TASK, MonthLayout
 from monthlake.operators.row_id import ROW_ID, with_scan_row_id
@@ -21,7 +21,12 @@ from monthlake.schema import (
     MONTH_KEYS,
     REJECTED_SCHEMA,
 )
-from monthlake.sinks.partitions import write_curated, write_rejected
+from monthlake.sinks.partitions import (
+    clear_curated,
+    clear_rejected,
+    write_curated,
+    write_rejected,
+)
 from monthlake.sources.files import read_incidents_csv
 from monthlake.sources.lake import count_months, read_months, scan_months
 from monthlake.zones import Zones
@@ -87,7 +92,8 @@ def process_batch(
     found in curated and rejected after the writes; raises `ReconciliationError` where
     they do not add up.
     """
-    layout = MonthLayout.for_counts(raw, rows_per_task)
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    layout = MonthLayout.for_counts(raw, rows_per_task, min_tasks=cores)
 
     checked = dedupe_first(
         classify(rows, rules),
@@ -99,11 +105,18 @@ def process_batch(
         hot_keys=[] if max(raw.values()) <= layout.rows_per_task else None,
     ).persist()
     try:
-        lines = reconcile(checked).collect()  # one line per month
-        curated = {BatchMonth(*(r[k] for k in BATCH_KEYS)) for r in lines if r["curated"]}
-        rejected = {BatchMonth(*(r[k] for k in BATCH_KEYS)) for r in lines if r["rejected"]}
-        write_curated(checked.where(is_valid()), zones, set(raw) - curated)
-        write_rejected(checked.where(~is_valid()), zones, set(raw) - rejected)
+        # Which months have rows of each kind is noted during the first write.
+        seen = Observation("months")
+        label = month_label(*BATCH_KEYS)
+        watched = checked.observe(
+            seen,
+            F.collect_set(F.when(is_valid(), label)).alias("curated"),
+            F.collect_set(F.when(~is_valid(), label)).alias("rejected"),
+        )
+        write_curated(watched.where(is_valid()), zones)
+        write_rejected(checked.where(~is_valid()), zones)
+        clear_curated(checked, zones, [m for m in raw if m.label not in seen.get["curated"]])
+        clear_rejected(checked, zones, [m for m in raw if m.label not in seen.get["rejected"]])
     finally:
         checked.unpersist()
     return check_written(rows.sparkSession, zones, raw)
@@ -118,16 +131,18 @@ def written_counts(
         spark.read.schema(CURATED_SCHEMA)
         .option("basePath", zones.curated)
         .parquet(*[zones.curated_month(m) for m in months])
+        .select(month_label(*MONTH_KEYS).alias(BATCH_MONTH), F.lit(True).alias("valid"))
     )
     rejected = (
         spark.read.schema(REJECTED_SCHEMA)
         .option("basePath", zones.rejected)
         .parquet(*[zones.rejected_month(m) for m in months])
+        .select(BATCH_MONTH, F.lit(False).alias("valid"))
     )
-    in_curated = count_months(curated, MONTH_KEYS)
-    per_batch = rejected.groupBy(BATCH_MONTH).agg(F.count("*").alias("rows")).collect()
-    in_rejected = {row[BATCH_MONTH]: row["rows"] for row in per_batch}
-    return {m: (in_curated.get(m, 0), in_rejected.get(m.label, 0)) for m in months}
+    # Two lines per month at most.
+    lines = curated.unionByName(rejected).groupBy(BATCH_MONTH, "valid").count().collect()
+    found = {(line[BATCH_MONTH], line["valid"]): line["count"] for line in lines}
+    return {m: (found.get((m.label, True), 0), found.get((m.label, False), 0)) for m in months}
 
 
 def check_written(

@@ -68,15 +68,17 @@ def build_source(records: DataFrame, zones: Zones, mode: str = "rebuild") -> Loa
         raise ValueError(f"mode must be 'rebuild' or 'partitions', got {mode!r}")
     counts = Observation("load")
     quarantined = F.col(SOURCE_ERROR).isNotNull()
+    # Counted behind the shuffle, in the tasks that write: those count once each, even
+    # when tasks before the shuffle have to run again.
     source = (
         to_source(records)
+        .hint("rebalance", *MONTH_KEYS)
         .observe(
             counts,
             F.count("*").alias("total"),
             F.count_if(~quarantined).alias("valid"),
             F.count_if(quarantined).alias("quarantined"),
         )
-        .hint("rebalance", *MONTH_KEYS)
     )
     if mode == "partitions":
         replace_partitions(source, zones.source, MONTH_KEYS)

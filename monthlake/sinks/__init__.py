@@ -1,4 +1,6 @@
 from monthlake.sinks.partitions import (
+    clear_curated,
+    clear_rejected,
     empty_partition,
     replace_partitions,
     write_curated,
@@ -8,6 +10,8 @@ from monthlake.sinks.raw import write_raw_month
 from monthlake.sinks.reports import write_report_csv
 
 __all__ = [
+    "clear_curated",
+    "clear_rejected",
     "empty_partition",
     "replace_partitions",
     "write_curated",

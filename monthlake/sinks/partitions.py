@@ -31,28 +31,33 @@ def replace_partitions(df: DataFrame, path: str, keys: list[str]) -> None:
     )
 
 
-def empty_partition(df: DataFrame, leaf: str) -> None:
-    """Leave a partition directory that holds no rows, but the columns of ``df``."""
-    df.limit(0).write.mode("overwrite").parquet(leaf)
+def empty_partition(columns: DataFrame, leaf: str) -> None:
+    """Leave a partition directory that holds no rows, but the columns of a frame."""
+    columns.limit(0).write.mode("overwrite").parquet(leaf)
 
 
-def write_curated(valid: DataFrame, zones: Zones, empty: Iterable[BatchMonth] = ()) -> None:
-    """Write valid rows to their months.
+def write_curated(valid: DataFrame, zones: Zones) -> None:
+    """Write valid rows to their months."""
+    keys = [F.col(b).alias(m) for b, m in zip(BATCH_KEYS, MONTH_KEYS)]
+    replace_partitions(valid.select(*CURATED_COLUMNS, *keys), zones.curated, MONTH_KEYS)
 
-    ``empty`` names months of the batch without a valid row: an overwrite of the
-    partitions that occur would leave the rows of an earlier run there.
+
+def write_rejected(rejected: DataFrame, zones: Zones) -> None:
+    """Write rejected rows with their reasons to the directory of their batch."""
+    label = month_label(*BATCH_KEYS).alias(BATCH_MONTH)
+    replace_partitions(rejected.select(*REJECTED_COLUMNS, label), zones.rejected, [BATCH_MONTH])
+
+
+def clear_curated(like: DataFrame, zones: Zones, months: Iterable[BatchMonth]) -> None:
+    """Empty the months of a batch that have no valid row.
+
+    The overwrite of the partitions that occur leaves the rows of an earlier run there.
     """
-    columns = valid.select(
-        *CURATED_COLUMNS, *[F.col(b).alias(m) for b, m in zip(BATCH_KEYS, MONTH_KEYS)]
-    )
-    replace_partitions(columns, zones.curated, MONTH_KEYS)
-    for month in empty:
-        empty_partition(columns.drop(*MONTH_KEYS), zones.curated_month(month))
+    for month in months:
+        empty_partition(like.select(*CURATED_COLUMNS), zones.curated_month(month))
 
 
-def write_rejected(rejected: DataFrame, zones: Zones, empty: Iterable[BatchMonth] = ()) -> None:
-    """Write rejected rows with their reasons to the directory of their batch."""
-    columns = rejected.select(*REJECTED_COLUMNS, month_label(*BATCH_KEYS).alias(BATCH_MONTH))
-    replace_partitions(columns, zones.rejected, [BATCH_MONTH])
-    for month in empty:
-        empty_partition(columns.drop(BATCH_MONTH), zones.rejected_month(month))
+def clear_rejected(like: DataFrame, zones: Zones, months: Iterable[BatchMonth]) -> None:
+    """The same for months without a rejected row."""
+    for month in months:
+        empty_partition(like.select(*REJECTED_COLUMNS), zones.rejected_month(month))
