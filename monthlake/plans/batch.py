@@ -29,6 +29,7 @@ from monthlake.sinks.partitions import (
 )
 from monthlake.sources.files import read_incidents_csv
 from monthlake.sources.lake import count_months, read_months, scan_months
+from monthlake.work import path_exists
 from monthlake.zones import Zones
 
 RECONCILIATION = "batch_month string, raw bigint, curated bigint, rejected bigint"
@@ -125,24 +126,30 @@ def process_batch(
 def written_counts(
     spark: SparkSession, zones: Zones, months: Iterable[BatchMonth]
 ) -> dict[BatchMonth, tuple[int, int]]:
-    """Rows per month in curated and rejected, from the footers of those months' files."""
+    """Rows per month in curated and rejected, from the footers of those months' files.
+
+    A month that never had a valid row has no curated partition.
+    """
     months = list(months)
-    curated = (
-        spark.read.schema(CURATED_SCHEMA)
-        .option("basePath", zones.curated)
-        .parquet(*[zones.curated_month(m) for m in months])
-        .select(month_label(*MONTH_KEYS).alias(BATCH_MONTH), F.lit(True).alias("valid"))
-    )
-    rejected = (
+    lines = (
         spark.read.schema(REJECTED_SCHEMA)
         .option("basePath", zones.rejected)
         .parquet(*[zones.rejected_month(m) for m in months])
-        .select(BATCH_MONTH, F.lit(False).alias("valid"))
+        .select(BATCH_MONTH, F.lit("rejected").alias("zone"))
     )
-    # Two lines per month at most.
-    lines = curated.unionByName(rejected).groupBy(BATCH_MONTH, "valid").count().collect()
-    found = {(line[BATCH_MONTH], line["valid"]): line["count"] for line in lines}
-    return {m: (found.get((m.label, True), 0), found.get((m.label, False), 0)) for m in months}
+    leaves = [zones.curated_month(m) for m in months]
+    leaves = [leaf for leaf in leaves if path_exists(spark, leaf)]
+    if leaves:
+        curated = (
+            spark.read.schema(CURATED_SCHEMA).option("basePath", zones.curated).parquet(*leaves)
+        )
+        lines = lines.unionByName(
+            curated.select(month_label(*MONTH_KEYS).alias(BATCH_MONTH), F.lit("curated").alias("zone"))
+        )
+    # Two counts per month at most.
+    counts = lines.groupBy(BATCH_MONTH, "zone").count().collect()
+    found = {(line[BATCH_MONTH], line["zone"]): line["count"] for line in counts}
+    return {m: (found.get((m.label, "curated"), 0), found.get((m.label, "rejected"), 0)) for m in months}
 
 
 def check_written(

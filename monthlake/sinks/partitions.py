@@ -15,6 +15,7 @@ from monthlake.schema import (
     MONTH_KEYS,
     REJECTED_COLUMNS,
 )
+from monthlake.work import path_exists
 from monthlake.zones import Zones
 
 
@@ -49,15 +50,17 @@ def write_rejected(rejected: DataFrame, zones: Zones) -> None:
 
 
 def clear_curated(like: DataFrame, zones: Zones, months: Iterable[BatchMonth]) -> None:
-    """Empty the months of a batch that have no valid row.
+    """Empty the months of a batch that have no valid row, but have one from before.
 
     The overwrite of the partitions that occur leaves the rows of an earlier run there.
     """
     for month in months:
-        empty_partition(like.select(*CURATED_COLUMNS), zones.curated_month(month))
+        leaf = zones.curated_month(month)
+        if path_exists(like.sparkSession, leaf):
+            empty_partition(like.select(*CURATED_COLUMNS), leaf)
 
 
 def clear_rejected(like: DataFrame, zones: Zones, months: Iterable[BatchMonth]) -> None:
-    """The same for months without a rejected row."""
+    """The same for months without a rejected row; their directory is always there."""
     for month in months:
         empty_partition(like.select(*REJECTED_COLUMNS), zones.rejected_month(month))

@@ -31,11 +31,21 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
         spark.sparkContext.setCheckpointDir(shared_dir(spark))
 
 
+def _on_storage(spark: SparkSession, path: str):
+    """The file system of a path, and the path as that file system takes it."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    storage, hadoop_path = _on_storage(spark, path)
+    return storage.exists(hadoop_path)
+
+
 def new_folder(spark: SparkSession, purpose: str) -> str:
     """A fresh path below the shared folder, removed when the session's JVM ends."""
     path = f"{shared_dir(spark)}/{purpose}-{uuid.uuid4().hex}"
-    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = jvm_path.getFileSystem(spark._jsc.hadoopConfiguration())
-    fs.mkdirs(jvm_path)
-    fs.deleteOnExit(jvm_path)
+    storage, hadoop_path = _on_storage(spark, path)
+    storage.mkdirs(hadoop_path)
+    storage.deleteOnExit(hadoop_path)
     return path
