@@ -88,7 +88,8 @@ classified AS (
 _TEXT_COLUMNS = """"ID", "Case Number", "Date", "Block", "IUCR", "Primary Type", "Description",
   "Location Description", "Arrest", "Domestic", "Beat", "District", "Ward", "Community Area",
   "FBI Code", "X Coordinate", "Y Coordinate", "Year", "Updated On", "Location\""""
-_CURATED_COLUMNS = _TEXT_COLUMNS.replace('"Year", ', "") + ', "Latitude", "Longitude"'
+_NO_YEAR = _TEXT_COLUMNS.replace('"Year", ', "")
+_CURATED_COLUMNS = _NO_YEAR + ', "Latitude", "Longitude"'
 _SOURCE_COLUMNS = _TEXT_COLUMNS.replace('"Year"', '"Year" AS "YearReported"')
 
 _MONTH = "batch_year = 2001 AND batch_month = 5"
@@ -149,7 +150,7 @@ slice AS (
   SELECT * EXCLUDE (batch_year, batch_month), 2001 AS batch_year, 5 AS batch_month
   FROM parsed WHERE event_time IS NULL OR ({_MONTH})
 ), {_classified("slice")}
-SELECT {_TEXT_COLUMNS}, reject_reason FROM classified"""
+SELECT {_NO_YEAR}, reject_reason FROM classified"""
 
 
 def oracle_sql() -> dict[str, str]:
@@ -243,13 +244,13 @@ def oracle_sql() -> dict[str, str]:
         "preview": """
             SELECT o_orderkey, o_custkey, o_orderstatus, o_orderpriority
             FROM orders ORDER BY o_orderkey LIMIT 10""",
-        "csv_profile": """
-            SELECT position, "column", type, true AS nullable, total_rows
+        "csv_schema": """
+            SELECT position, "column", type, true AS nullable
             FROM (VALUES (1, 'o_orderkey', 'int'), (2, 'o_custkey', 'int'),
                          (3, 'o_orderstatus', 'string'), (4, 'o_totalprice', 'double'),
                          (5, 'o_orderdate', 'timestamp'), (6, 'o_orderpriority', 'string'))
-                 AS fields(position, "column", type),
-                 (SELECT count(*) AS total_rows FROM orders)""",
+                 AS fields(position, "column", type)""",
+        "csv_total": "SELECT count(*) AS total_rows FROM orders",
         "csv_sql": """
             SELECT o_orderstatus, count(*) AS cnt, CAST(sum(o_custkey) AS BIGINT) AS custkeys
             FROM orders GROUP BY o_orderstatus""",

@@ -28,6 +28,7 @@ from monthlake.operators import (
     word_count,
 )
 from monthlake.plans import (
+    CsvProfile,
     build_source,
     explain_month,
     list_partitions,
@@ -42,6 +43,7 @@ from monthlake.plans import (
     table_partitions,
     verify_lake,
     verify_month,
+    verify_raw_month,
     verify_source,
 )
 from monthlake.schema import BATCH_KEYS, INCIDENT_COLUMNS, MONTH_KEYS
@@ -180,15 +182,10 @@ def raw_month_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     landing = read_incidents_csv(spark, zones.landing)
     write_raw_month(slice_month_raw(landing, MONTH), zones, MONTH)
     process_raw_month(spark, zones, MONTH)
-    # Curated rows have lost their Year, which a valid row may also have as null.
-    raw = read_incidents_csv(spark, zones.raw_month(MONTH)).select("Case Number", "Year")
-    curated = (
-        read_curated(spark, zones)
-        .drop(*MONTH_KEYS)
-        .join(raw, "Case Number")
-        .withColumn("reject_reason", F.lit(None).cast("string"))
-    )
-    rejected = read_rejected(spark, zones).drop("batch_month")
+    verify_raw_month(spark, zones, MONTH)
+    no_reason = F.lit(None).cast("string").alias("reject_reason")
+    curated = read_curated(spark, zones).drop(*MONTH_KEYS).select("*", no_reason)
+    rejected = read_rejected(spark, zones).drop("batch_month", "Year")
     return curated.unionByName(rejected).drop(*COORDINATES)
 
 
@@ -288,16 +285,18 @@ def first_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return preview(columns, "o_orderkey")
 
 
-def _profiled_orders(spark: SparkSession, sf_dir: str, view: str):
+def _profiled_orders(spark: SparkSession, sf_dir: str, view: str) -> CsvProfile:
     folder = new_folder(spark, "profile")
     _table(spark, "orders", sf_dir).write.option("header", True).csv(f"{folder}/orders")
     return profile_csv(spark, f"{folder}/orders/*.csv", view)
 
 
-def csv_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    profile = _profiled_orders(spark, sf_dir, f"data_{uuid.uuid4().hex}")
-    # One count row beside six schema rows.
-    return profile.columns.join(F.broadcast(profile.total))
+def csv_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _profiled_orders(spark, sf_dir, f"data_{uuid.uuid4().hex}").columns
+
+
+def csv_total(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _profiled_orders(spark, sf_dir, f"data_{uuid.uuid4().hex}").total
 
 
 def csv_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -358,7 +357,8 @@ def queries() -> dict[str, Query]:
         "explain_month": month_plan,
         "top_categories": categories,
         "preview": first_orders,
-        "csv_profile": csv_profile,
+        "csv_schema": csv_schema,
+        "csv_total": csv_total,
         "csv_sql": csv_sql,
         "word_count": document_words,
         "word_count_lines": line_words,

@@ -27,6 +27,7 @@ from monthlake.plans.verify import (
     require_month,
     verify_lake,
     verify_month,
+    verify_raw_month,
     verify_source,
 )
 
@@ -54,6 +55,7 @@ __all__ = [
     "to_source",
     "verify_lake",
     "verify_month",
+    "verify_raw_month",
     "verify_source",
     "written_counts",
 ]

@@ -7,9 +7,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from monthlake.months import BatchMonth, month_label
-from monthlake.plans.batch import written_counts
+from monthlake.plans.batch import RECONCILIATION, written_counts
 from monthlake.plans.catalog import CURATED_TABLE, table_partitions
 from monthlake.schema import BATCH_MONTH, MONTH_KEYS
+from monthlake.sources.files import read_incidents_csv
 from monthlake.sources.lake import (
     count_months,
     read_curated,
@@ -75,6 +76,20 @@ def verify_month(
     )
 
 
+def verify_raw_month(spark: SparkSession, zones: Zones, month: BatchMonth) -> DataFrame:
+    """Check a month that was processed from its CSV slice: there, written, reconciled."""
+    try:
+        raw = read_incidents_csv(spark, zones.raw_month(month)).count()
+        curated, rejected = written_counts(spark, zones, [month])[month]
+    except AnalysisException as error:
+        raise VerificationError(f"slice or results of {month.label} are missing") from error
+    if raw == 0 or raw != curated + rejected:
+        raise VerificationError(
+            f"{month.label}: {raw} raw rows, {curated} curated, {rejected} rejected"
+        )
+    return spark.createDataFrame([(month.label, raw, curated, rejected)], RECONCILIATION)
+
+
 def verify_lake(spark: SparkSession, zones: Zones, table: str = CURATED_TABLE) -> DataFrame:
     """The counts of `verify_month` for every month of the lake, in one query.
 
