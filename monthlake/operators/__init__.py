@@ -1,8 +1,10 @@
 from monthlake.operators.dedupe import (
     DUPLICATE_REASON,
     TEXT_ORDER,
+    contested_keys,
     dedupe_first,
-    frequent_keys,
+    mark_by_window,
+    mark_by_winner,
     time_order,
 )
 from monthlake.operators.layout import MonthLayout
@@ -15,7 +17,7 @@ from monthlake.operators.reports import (
     word_count,
     words,
 )
-from monthlake.operators.row_id import ROW_ID, with_parquet_row_id, with_scan_row_id
+from monthlake.operators.row_id import ROW_ID, with_row_id
 from monthlake.operators.rules import (
     Rule,
     classify,
@@ -32,11 +34,13 @@ __all__ = [
     "Rule",
     "TEXT_ORDER",
     "classify",
+    "contested_keys",
     "cumulative_months",
     "dedupe_first",
-    "frequent_keys",
     "incident_rules",
     "is_valid",
+    "mark_by_window",
+    "mark_by_winner",
     "month_counts",
     "preview",
     "reject_reason",
@@ -44,8 +48,7 @@ __all__ = [
     "time_order",
     "top_categories",
     "total_count",
-    "with_parquet_row_id",
-    "with_scan_row_id",
+    "with_row_id",
     "word_count",
     "words",
 ]

@@ -1,4 +1,14 @@
-"""Keep the first row of each key; reject the others as duplicates."""
+"""Keep the first row of each key; reject the others as duplicates.
+
+First the keys with more than one valid row are found, by counting 64-bit hashes of
+the keys: the narrowest shuffle that can tell. Then one of two ways marks the rows:
+
+* Few such keys: the first row of each is found by an aggregation that combines inside
+  the tasks, and all rows meet the winners in a broadcast join. No row is shuffled, so
+  neither a month nor a key with a third of all rows makes any task larger.
+* Many such keys: one shuffle brings the rows of a key together and a window ranks
+  them. A key with more rows than a task should take is ranked in many tasks first.
+"""
 
 from __future__ import annotations
 
@@ -11,29 +21,26 @@ from monthlake.functions import event_time
 from monthlake.operators.layout import ROWS_PER_TASK, MonthLayout
 from monthlake.operators.rules import is_valid
 from monthlake.schema import BATCH_KEYS, REJECT_REASON
-from monthlake.work import ensure_checkpoint_dir
+from monthlake.work import stored
 
 DUPLICATE_REASON = "DUPLICATE_ID"
 
 # Dates are compared as text, so 01:00 PM comes before 02:00 AM.
 TEXT_ORDER: tuple[str, ...] = ("Date", "Case Number")
 
-# Groups for rows that take no part in the contest for a key.
-SPREAD = 65_536
-
-# Keys the sketch follows, and keys it may report. A key it misses holds less than
-# about 3.5 / TRACKED_KEYS of the rows; such a key is still handled, by the plain window.
-TRACKED_KEYS = 65_536
-REPORTED_KEYS = 10_000
-SKETCH_GROUPS = 512
+# Contested keys are broadcast up to this number, and shuffled beyond it.
+BROADCAST_KEYS = 1_000_000
 
-# Winners of hot keys are broadcast up to this many rows, and joined by shuffle beyond.
-BROADCAST_ROWS = 1_000_000
+# Groups over which the window spreads rows that are not ranked with their key.
+SPREAD = 65_536
 
+_HASH = "_hash"
+_ROWS = "_rows"
+_HOT = "_hot"
 _PLACE = "_place"
 _KEY = "_key"
 _RANK = "_rank"
-_WINNING_PLACE = "_winning_place"
+_WINNER = "_winner"
 
 
 def time_order() -> list[Column]:
@@ -41,58 +48,110 @@ def time_order() -> list[Column]:
     return [event_time("Date"), F.col("Case Number")]
 
 
-def frequent_keys(df: DataFrame, key: str, more_than: int) -> list[str]:
-    """Keys with more than ``more_than`` rows, as far as a bounded sketch sees them.
+def dedupe_first(
+    df: DataFrame,
+    *,
+    row_id: str,
+    key: str = "ID",
+    order: Sequence[Column | str] = TEXT_ORDER,
+    scope: Sequence[str] = tuple(BATCH_KEYS),
+    broadcast_keys: int = BROADCAST_KEYS,
+    hot_rows: int = ROWS_PER_TASK,
+) -> DataFrame:
+    """Give ``DUPLICATE_ID`` to every valid row that is not the first of its key in its scope.
 
-    Reads one column. Each task keeps one sketch; sketches meet in two steps, so no
-    task reads more than a share of them. At most ``REPORTED_KEYS`` keys come back.
+    Rows that have a ``reject_reason`` keep it and take no part. ``row_id`` names a
+    column that differs in all rows and is the same whenever a row is read; it settles
+    ties after ``order``. Which way to go is decided here, by a count of the keys.
     """
-    column = f"`{key}`"
-    sketches = (
-        df.select(key)
-        .where(F.col(key).isNotNull())
-        .groupBy(F.pmod(F.spark_partition_id(), F.lit(SKETCH_GROUPS)).alias("part"))
-        .agg(F.expr(f"approx_top_k_accumulate({column}, {TRACKED_KEYS})").alias("sketch"))
-    )
-    # Grouped by a constant: unlike a global aggregate it gives no row for no input.
-    top = sketches.groupBy(F.lit(0).alias("all")).agg(
-        F.expr(f"approx_top_k_combine(sketch, {TRACKED_KEYS})").alias("sketch")
+    contested = stored(contested_keys(df, key, scope), "contested")
+    if contested.count() <= broadcast_keys:
+        return mark_by_winner(df, contested, row_id, key, order, scope)
+    return mark_by_window(df, contested, row_id, key, order, scope, hot_rows=hot_rows)
+
+
+def _hash_of(key: str, scope: Sequence[str]) -> Column:
+    return F.xxhash64(*scope, key)
+
+
+def contested_keys(
+    df: DataFrame, key: str = "ID", scope: Sequence[str] = tuple(BATCH_KEYS)
+) -> DataFrame:
+    """Hashes of the keys with more than one valid row, with the number of those rows.
+
+    Two keys may share a hash; they then count as contested without being so, which
+    changes no result.
+    """
+    rows = df.where(is_valid()).groupBy(_hash_of(key, scope).alias(_HASH))
+    return rows.agg(F.count("*").alias(_ROWS)).where(F.col(_ROWS) > 1)
+
+
+def _first(order: Sequence[Column | str], row_id: str) -> Column:
+    """A value that is smallest for the first row, with the row's identity in ``row``."""
+    columns = [F.col(c) if isinstance(c, str) else c for c in order]
+    return F.struct(*[c.alias(f"by{i}") for i, c in enumerate(columns)], F.col(row_id).alias("row"))
+
+
+def _with_duplicates(df: DataFrame, duplicate: Column, columns: Sequence[str]) -> DataFrame:
+    reason = F.when(is_valid() & duplicate, F.lit(DUPLICATE_REASON)).otherwise(F.col(REJECT_REASON))
+    return df.withColumn(REJECT_REASON, reason).select(*columns)
+
+
+def mark_by_winner(
+    df: DataFrame,
+    contested: DataFrame,
+    row_id: str,
+    key: str = "ID",
+    order: Sequence[Column | str] = TEXT_ORDER,
+    scope: Sequence[str] = tuple(BATCH_KEYS),
+) -> DataFrame:
+    """Mark duplicates without a shuffle of rows; ``contested`` has to fit a broadcast."""
+    if contested.isEmpty():
+        return df
+    rows = df.where(is_valid()).withColumn(_HASH, _hash_of(key, scope))
+    winners = stored(
+        rows.join(F.broadcast(contested.select(_HASH)), _HASH, "left_semi")
+        .groupBy(*scope, key)
+        .agg(F.min(_first(order, row_id)).alias("first"))
+        .select(*scope, key, F.col("first.row").alias(_WINNER)),
+        "winners",
     )
-    items = top.select(
-        F.inline(F.expr(f"approx_top_k_estimate(sketch, {REPORTED_KEYS})"))
-    ).where(F.col("count") > more_than)
-    return sorted(row["item"] for row in items.collect())
+    # One row per contested key.
+    joined = df.join(F.broadcast(winners), [*scope, key], "left")
+    beaten = F.col(_WINNER).isNotNull() & (F.col(_WINNER) != F.col(row_id))
+    return _with_duplicates(joined, beaten, df.columns)
 
 
-def dedupe_first(
+def mark_by_window(
     df: DataFrame,
-    *,
+    contested: DataFrame | None,
     row_id: str,
     key: str = "ID",
     order: Sequence[Column | str] = TEXT_ORDER,
     scope: Sequence[str] = tuple(BATCH_KEYS),
     layout: MonthLayout | None = None,
     hot_rows: int = ROWS_PER_TASK,
-    hot_keys: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Give ``DUPLICATE_ID`` to every valid row that is not the first of its key in its scope.
-
-    ``row_id`` names a column that tells rows apart and stays the same when a task
-    runs again; it settles ties after ``order``. Rows that already have a
-    ``reject_reason`` keep it, stay out of the contest and are spread evenly, so
-    null keys never meet in one task.
+    """Mark duplicates by one shuffle; with a ``layout``, the one that lays out the months.
 
-    A key with more than ``hot_rows`` rows is first settled in many places at once,
-    then among the winners of those places (see `_settle_hot`). Pass ``hot_keys`` to
-    skip the search for such keys.
+    Rejected rows, and rows of keys with more than ``hot_rows`` rows, are spread evenly.
+    ``contested`` may be left out when no key can have that many.
     """
-    if hot_keys is None:
-        hot_keys = frequent_keys(df, key, hot_rows)
-    hot = F.col(key).isin(list(hot_keys)) if hot_keys else F.lit(False)
-    in_one_place = is_valid() & ~hot
-
+    any_hot = False
+    if contested is not None:
+        # At most (all rows / hot_rows) keys.
+        hot = contested.where(F.col(_ROWS) > hot_rows)
+        any_hot = not hot.isEmpty()
+    if any_hot:
+        flags = hot.select(_HASH, F.lit(True).alias(_HOT))
+        hashed = df.withColumn(_HASH, _hash_of(key, scope)).join(F.broadcast(flags), _HASH, "left")
+        df_hot = hashed.drop(_HASH).withColumn(_HOT, is_valid() & F.col(_HOT).isNotNull())
+    else:
+        df_hot = df.withColumn(_HOT, F.lit(False))
+
+    in_one_place = is_valid() & ~F.col(_HOT)
     spread = F.when(in_one_place, F.xxhash64(key)).otherwise(F.xxhash64(row_id))
-    placed = df.withColumns(
+    placed = df_hot.withColumns(
         {
             _PLACE: layout.task(spread) if layout else F.pmod(spread, F.lit(SPREAD)).cast("int"),
             _KEY: F.when(is_valid(), F.col(key)),
@@ -104,34 +163,18 @@ def dedupe_first(
     # window's keys changes no group of an ordinary key and lets the exchange above serve.
     contest = Window.partitionBy(*scope, _PLACE, _KEY).orderBy(*order, row_id)
     ranked = placed.withColumn(_RANK, F.row_number().over(contest))
+    if not any_hot:
+        return _with_duplicates(ranked, F.col(_RANK) > 1, df.columns)
 
-    is_first = F.col(_RANK) == 1
-    if hot_keys:
-        ranked = _settle_hot(ranked, hot, key, order, scope, row_id)
-        is_first &= F.col(_WINNING_PLACE).isNull() | (F.col(_WINNING_PLACE) == F.col(_PLACE))
-    duplicate = F.when(is_valid() & ~is_first, F.lit(DUPLICATE_REASON))
-    reason = F.coalesce(REJECT_REASON, duplicate)
-    return ranked.withColumn(REJECT_REASON, reason).select(*df.columns)
-
-
-def _settle_hot(
-    ranked: DataFrame,
-    hot: Column,
-    key: str,
-    order: Sequence[Column | str],
-    scope: Sequence[str],
-    row_id: str,
-) -> DataFrame:
-    """Add the place that holds the first row of each hot key."""
-    # Both reads below have to see the same places, also after a lost executor.
-    ensure_checkpoint_dir(ranked.sparkSession)
-    ranked = ranked.checkpoint()
+    # The firsts of the places of a hot key meet: one row per place, not per record.
+    ranked = stored(ranked, "ranked")
     winners = (
-        ranked.where(hot & is_valid() & (F.col(_RANK) == 1))
+        ranked.where(F.col(_HOT) & (F.col(_RANK) == 1))
         .groupBy(*scope, key)
-        .agg(F.min_by(_PLACE, F.struct(*order, row_id)).alias(_WINNING_PLACE))
-        .checkpoint()
+        .agg(F.min(_first(order, row_id)).alias("first"))
+        .select(*scope, key, F.col("first.row").alias(_WINNER))
     )
-    if winners.count() <= BROADCAST_ROWS:
-        winners = F.broadcast(winners)
-    return ranked.join(winners, [*scope, key], "left")
+    # One row per hot key, which are few.
+    joined = ranked.join(F.broadcast(winners), [*scope, key], "left")
+    beaten = F.when(F.col(_HOT), F.col(_WINNER) != F.col(row_id)).otherwise(F.col(_RANK) > 1)
+    return _with_duplicates(joined, beaten, df.columns)

@@ -4,32 +4,24 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 ROW_ID = "_row_id"
 
 
-def _add(df: DataFrame, columns: Sequence[str], *position: Column) -> DataFrame:
-    # Content first, so that equal input in other files gives the same order; the
-    # position only tells exact copies apart.
-    return df.withColumn(ROW_ID, F.struct(F.xxhash64(*columns).alias("content"), *position))
+def with_row_id(scan: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Identity of rows read straight from Parquet: content, file, and row in the file.
 
-
-def with_parquet_row_id(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Identity of rows read straight from Parquet: content, file and row in the file."""
-    return _add(
-        df,
-        columns,
-        F.xxhash64("_metadata.file_path").alias("file"),
-        F.col("_metadata.row_index").alias("row"),
-    )
-
-
-def with_scan_row_id(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Identity of rows read straight from a text format, which has no row numbers.
-
-    Add it right above the scan: there a task that runs again meets the same rows in
-    the same order.
+    Content comes first, so that equal input in other files gives the same order; the
+    position only tells exact copies apart. It does not depend on how the files are
+    split into tasks.
     """
-    return _add(df, columns, F.monotonically_increasing_id().alias("row"))
+    return scan.withColumn(
+        ROW_ID,
+        F.struct(
+            F.xxhash64(*columns).alias("content"),
+            F.xxhash64("_metadata.file_path").alias("file"),
+            F.col("_metadata.row_index").alias("row"),
+        ),
+    )

@@ -8,9 +8,15 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from monthlake.months import BatchMonth, month_label
-from monthlake.operators.dedupe import TEXT_ORDER, dedupe_first
+from monthlake.operators.dedupe import (
+    BROADCAST_KEYS,
+    TEXT_ORDER,
+    contested_keys,
+    mark_by_window,
+    mark_by_winner,
+)
 from monthlake.operators.layout import ROWS_PER_TASK, MonthLayout
-from monthlake.operators.row_id import ROW_ID, with_scan_row_id
+from monthlake.operators.row_id import ROW_ID, with_row_id
 from monthlake.operators.rules import RuleGroup, classify, is_valid
 from monthlake.plans.load import ReconciliationError
 from monthlake.schema import (
@@ -29,7 +35,7 @@ from monthlake.sinks.partitions import (
 )
 from monthlake.sources.files import read_incidents_csv
 from monthlake.sources.lake import count_months, read_months, scan_months
-from monthlake.work import path_exists
+from monthlake.work import path_exists, stored
 from monthlake.zones import Zones
 
 RECONCILIATION = "batch_month string, raw bigint, curated bigint, rejected bigint"
@@ -68,12 +74,14 @@ def process_raw_month(
     """Process one month from its CSV slice in the raw zone.
 
     All rows of the slice belong to the batch, so undated ones are rejected with it.
+    The text is parsed once; what follows reads columns.
     """
     year, month_number = BATCH_KEYS
-    rows = with_scan_row_id(
-        read_incidents_csv(spark, zones.raw_month(month)), INCIDENT_COLUMNS
-    ).withColumns({year: F.lit(month.year), month_number: F.lit(month.month)})
-    return process_batch(rows, zones, {month: rows.count()}, **settings)
+    scan = stored(read_incidents_csv(spark, zones.raw_month(month)), "raw")
+    rows = with_row_id(scan, INCIDENT_COLUMNS).withColumns(
+        {year: F.lit(month.year), month_number: F.lit(month.month)}
+    )
+    return process_batch(rows, zones, {month: scan.count()}, **settings)
 
 
 def process_batch(
@@ -83,46 +91,59 @@ def process_batch(
     *,
     rules: Sequence[RuleGroup] | None = None,
     order: Sequence[Column | str] = TEXT_ORDER,
+    broadcast_keys: int = BROADCAST_KEYS,
     rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """Check ``rows`` and write the valid and the rejected ones.
 
     ``rows`` has the incident columns, the batch keys and a row identity; ``raw`` names
-    the months of the batch with the number of their rows. One scan, one shuffle, one
-    result that both writes read. Returns one line per month: rows to read, and rows
-    found in curated and rejected after the writes; raises `ReconciliationError` where
-    they do not add up.
+    the months of the batch with the number of their rows. Returns one line per month:
+    rows to read, and rows found in curated and rejected after the writes; raises
+    `ReconciliationError` where they do not add up.
+
+    A batch of at most ``rows_per_task`` rows takes one small shuffle. In a larger one
+    with few duplicated keys, valid rows go from the scan to their files without a
+    shuffle; with many, one shuffle serves both the search for duplicates and the files.
     """
+    checked = classify(rows, rules)
+    contested = None
+    if sum(raw.values()) > rows_per_task:
+        contested = stored(contested_keys(checked), "contested")
+        if contested.count() <= broadcast_keys:
+            marked = mark_by_winner(checked, contested, ROW_ID, order=order)
+            _write(marked, zones, raw, by_month=False)
+            return check_written(rows.sparkSession, zones, raw)
+
     cores = rows.sparkSession.sparkContext.defaultParallelism
     layout = MonthLayout.for_counts(raw, rows_per_task, min_tasks=cores)
-
-    checked = dedupe_first(
-        classify(rows, rules),
-        row_id=ROW_ID,
-        order=order,
-        layout=layout,
-        hot_rows=layout.rows_per_task,
-        # No key of a month can have more rows than the month.
-        hot_keys=[] if max(raw.values()) <= layout.rows_per_task else None,
+    marked = mark_by_window(
+        checked, contested, ROW_ID, order=order, layout=layout, hot_rows=layout.rows_per_task
     ).persist()
     try:
-        # Which months have rows of each kind is noted during the first write.
-        seen = Observation("months")
-        label = month_label(*BATCH_KEYS)
-        watched = checked.observe(
-            seen,
-            F.collect_set(F.when(is_valid(), label)).alias("curated"),
-            F.collect_set(F.when(~is_valid(), label)).alias("rejected"),
-        )
-        write_curated(watched.where(is_valid()), zones)
-        write_rejected(checked.where(~is_valid()), zones)
-        clear_curated(checked, zones, [m for m in raw if m.label not in seen.get["curated"]])
-        clear_rejected(checked, zones, [m for m in raw if m.label not in seen.get["rejected"]])
+        _write(marked, zones, raw, by_month=True)
     finally:
-        checked.unpersist()
+        marked.unpersist()
     return check_written(rows.sparkSession, zones, raw)
 
 
+def _write(
+    marked: DataFrame, zones: Zones, months: Iterable[BatchMonth], by_month: bool
+) -> None:
+    """Write both zones; ``by_month`` tells that each task holds few months already."""
+    # Which months have rows of each kind is noted during the first write.
+    seen = Observation("months")
+    label = month_label(*BATCH_KEYS)
+    watched = marked.observe(
+        seen,
+        F.collect_set(F.when(is_valid(), label)).alias("curated"),
+        F.collect_set(F.when(~is_valid(), label)).alias("rejected"),
+    )
+    write_curated(watched.where(is_valid()), zones)
+    write_rejected(marked.where(~is_valid()), zones, gather=not by_month)
+    clear_curated(marked, zones, [m for m in months if m.label not in seen.get["curated"]])
+    clear_rejected(marked, zones, [m for m in months if m.label not in seen.get["rejected"]])
+
+
 def written_counts(
     spark: SparkSession, zones: Zones, months: Iterable[BatchMonth]
 ) -> dict[BatchMonth, tuple[int, int]]:

@@ -43,10 +43,15 @@ def write_curated(valid: DataFrame, zones: Zones) -> None:
     replace_partitions(valid.select(*CURATED_COLUMNS, *keys), zones.curated, MONTH_KEYS)
 
 
-def write_rejected(rejected: DataFrame, zones: Zones) -> None:
-    """Write rejected rows with their reasons to the directory of their batch."""
+def write_rejected(rejected: DataFrame, zones: Zones, gather: bool = True) -> None:
+    """Write rejected rows with their reasons to the directory of their batch.
+
+    ``gather`` brings the few rejected rows of each task together, for files of a fair
+    size; large batches are still split over many tasks.
+    """
     label = month_label(*BATCH_KEYS).alias(BATCH_MONTH)
-    replace_partitions(rejected.select(*REJECTED_COLUMNS, label), zones.rejected, [BATCH_MONTH])
+    rows = rejected.select(*REJECTED_COLUMNS, label)
+    replace_partitions(rows.hint("rebalance", BATCH_MONTH) if gather else rows, zones.rejected, [BATCH_MONTH])
 
 
 def clear_curated(like: DataFrame, zones: Zones, months: Iterable[BatchMonth]) -> None:

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from monthlake.months import BatchMonth
-from monthlake.operators.row_id import with_parquet_row_id
+from monthlake.operators.row_id import with_row_id
 from monthlake.schema import (
     BATCH_KEYS,
     CURATED_SCHEMA,
@@ -55,7 +55,7 @@ def read_months(spark: SparkSession, zones: Zones, months: Iterable[BatchMonth])
     # The batch keys take their names before Year gets its own back: Year and year are
     # one name to Spark.
     return (
-        with_parquet_row_id(scan_months(spark, zones, months), stored)
+        with_row_id(scan_months(spark, zones, months), stored)
         .drop(SOURCE_ERROR)
         .withColumnsRenamed(dict(zip(MONTH_KEYS, BATCH_KEYS)))
         .withColumnRenamed(REPORTED_YEAR, "Year")

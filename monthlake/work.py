@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
@@ -26,11 +26,6 @@ def shared_dir(spark: SparkSession) -> str:
     return local
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(shared_dir(spark))
-
-
 def _on_storage(spark: SparkSession, path: str):
     """The file system of a path, and the path as that file system takes it."""
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -49,3 +44,13 @@ def new_folder(spark: SparkSession, purpose: str) -> str:
     storage.mkdirs(hadoop_path)
     storage.deleteOnExit(hadoop_path)
     return path
+
+
+def stored(df: DataFrame, purpose: str) -> DataFrame:
+    """The rows of a frame as a table in the shared folder.
+
+    Cuts the lineage: readers take what was written, whatever happens to executors.
+    """
+    path = f"{new_folder(df.sparkSession, purpose)}/table"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

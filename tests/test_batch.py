@@ -88,26 +88,50 @@ def test_whole_fixture(spark, whole):
 def test_many_months_at_once_equal_a_plain_window(spark, whole):
     zones, _, _ = whole
     records = fixtures.batched(fixtures.incidents(spark, SMALL)).where("_year IS NOT NULL")
-    plain = dedupe_first(classify(records), row_id="Case Number", hot_keys=[])
+    plain = dedupe_first(classify(records), row_id="Case Number")
     want = {r["Case Number"] for r in plain.where(is_valid()).collect()}
     assert set(curated(spark, zones)) == want
     reasons = {r["Case Number"]: r["reject_reason"] for r in plain.where(~is_valid()).collect()}
     assert rejected(spark, zones) == reasons
 
 
-def test_many_small_tasks_and_hot_keys_give_the_same(spark, whole, tmp_path):
+# One small shuffle; no shuffle; one shuffle laid out by month; the same with hot keys.
+WAYS = {
+    "small": {},
+    "winner": {"rows_per_task": 20},
+    "window": {"rows_per_task": 20, "broadcast_keys": 0},
+    "hot": {"rows_per_task": 1, "broadcast_keys": 0},
+}
+
+
+@pytest.mark.parametrize("way", ["winner", "window"])
+def test_large_batches_give_the_same(spark, whole, tmp_path, way):
     zones, months, report = whole
     again = Zones(str(tmp_path / "lake"))
     build_source(fixtures.incidents(spark, SMALL), again)
-    assert process_months(spark, again, months, rows_per_task=12).collect() == report
+    assert process_months(spark, again, months, **WAYS[way]).collect() == report
     assert curated(spark, again) == curated(spark, zones)
     assert rejected(spark, again) == rejected(spark, zones)
 
 
-def test_copies_of_one_row_leave_exactly_one(spark, zones, incidents):
-    build_source(incidents(*[{"Case Number": "same"}] * 200, {"ID": "2"}), zones)
-    report = process_months(spark, zones, [BatchMonth(2001, 5)], rows_per_task=10)
-    assert lines(report) == [("2001-05", 201, 2, 199)]
+@pytest.mark.parametrize("way", WAYS)
+def test_copies_of_one_row_leave_exactly_one(spark, zones, incidents, way):
+    build_source(incidents(*[{"Case Number": "same"}] * 100, {"ID": "2"}), zones)
+    settings = WAYS[way] | ({"rows_per_task": 10} if way == "hot" else {})
+    report = process_months(spark, zones, [BatchMonth(2001, 5)], **settings)
+    assert lines(report) == [("2001-05", 101, 2, 99)]
+
+
+@pytest.mark.parametrize("way", WAYS)
+def test_ties_are_settled_alike_in_every_build_of_the_source(spark, tmp_path, incidents, way):
+    changes = [{"ID": str(i % 3), "Case Number": "same", "Block": str(i)} for i in range(12)]
+    blocks = set()
+    for build, order in enumerate([changes, changes[::-1]]):
+        zones = Zones(str(tmp_path / f"lake{build}"))
+        build_source(incidents(*order).repartition(build + 1), zones)
+        process_months(spark, zones, [BatchMonth(2001, 5)], **WAYS[way])
+        blocks.add(tuple(sorted(r["Block"] for r in read_curated(spark, zones).collect())))
+    assert len(blocks) == 1 and len(blocks.pop()) == 3
 
 
 def test_rerun_gives_the_same_rows(spark, zones, incidents):
@@ -194,7 +218,7 @@ def test_order_by_time(spark, zones, incidents):
 def test_lost_rows_are_an_error(spark, zones, incidents, monkeypatch):
     build_source(incidents({"Date": JAN_DATE}, {"Date": JAN_DATE, "ID": None}), zones)
     write = batch_module.write_rejected
-    monkeypatch.setattr(batch_module, "write_rejected", lambda df, z: write(df.limit(0), z))
+    monkeypatch.setattr(batch_module, "write_rejected", lambda df, z, **how: write(df.limit(0), z, **how))
     process = lambda: process_months(spark, zones, [JAN])
     # Nothing written to rejected: its month is missing altogether.
     with pytest.raises((ReconciliationError, AnalysisException)):
@@ -239,8 +263,9 @@ class TestRawRoute:
         got = read_curated(spark, apart)
         assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
 
-    def test_copies_and_hot_keys(self, spark, zones, incidents):
+    @pytest.mark.parametrize("way", ["winner", "window"])
+    def test_copies(self, spark, zones, incidents, way):
         records = incidents(*[{"Date": JAN_DATE, "Case Number": "same"}] * 60)
         write_raw_month(records, zones, JAN)
-        report = process_raw_month(spark, zones, JAN, rows_per_task=10)
+        report = process_raw_month(spark, zones, JAN, **WAYS[way])
         assert lines(report) == [("2001-01", 60, 1, 59)]

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,9 +10,11 @@ from monthlake import BatchMonth, fixtures
 from monthlake.operators import (
     MonthLayout,
     classify,
+    contested_keys,
     dedupe_first,
-    frequent_keys,
     is_valid,
+    mark_by_window,
+    mark_by_winner,
     time_order,
 )
 from monthlake.sources import count_months
@@ -103,53 +106,98 @@ def crowded(incidents):
     return classify(fixtures.batched(incidents(*changes)))
 
 
-@pytest.mark.parametrize("hot_rows", [10, 10**6])
-@pytest.mark.parametrize("with_layout", [False, True])
-def test_against_a_loop(crowded, hot_rows, with_layout):
-    layout = None
-    if with_layout:
-        layout = MonthLayout.for_counts(count_months(crowded, BATCH_KEYS), rows_per_task=50)
-        assert layout.tasks > 5
-    deduped = dedupe_first(crowded, row_id="Case Number", layout=layout, hot_rows=hot_rows)
-    assert reasons(deduped) == expected(crowded.collect())
-    assert deduped.columns == crowded.columns
+def marked_all_ways(crowded):
+    """The rows as each way marks them, by name."""
+    contested = contested_keys(crowded).persist()
+    layout = MonthLayout.for_counts(count_months(crowded, BATCH_KEYS), rows_per_task=50)
+    assert layout.tasks > 5
+    window = lambda **how: mark_by_window(crowded, contested, "Case Number", **how)
+    return {
+        "winner": mark_by_winner(crowded, contested, "Case Number"),
+        "window": window(),
+        "hot": window(hot_rows=10),
+        "all hot": window(hot_rows=0),
+        "layout": window(layout=layout),
+        "layout, hot": window(layout=layout, hot_rows=10),
+        "layout, no search": mark_by_window(crowded, None, "Case Number", layout=layout),
+        "chosen": dedupe_first(crowded, row_id="Case Number"),
+        "chosen window": dedupe_first(crowded, row_id="Case Number", broadcast_keys=3, hot_rows=9),
+    }
+
+
+def test_all_ways_agree_with_a_loop(crowded):
+    want = expected(crowded.collect())
+    assert sum(reason == "DUPLICATE_ID" for reason in want.values()) > 100
+    for name, marked in marked_all_ways(crowded).items():
+        assert reasons(marked) == want, name
+        assert marked.columns == crowded.columns, name
+
+
+def test_order_by_time_all_ways(incidents):
+    records = incidents(
+        {"Date": "01/05/2001 02:00:00 AM"},
+        {"Date": "01/05/2001 01:00:00 PM"},
+        {"Date": "01/05/2001 12:30:00 AM"},
+    )
+    for settings in ({}, {"broadcast_keys": 0}, {"broadcast_keys": 0, "hot_rows": 1}):
+        assert kept(dedupe(records, order=time_order(), **settings)) == {"A2"}, settings
+
 
+def test_contested_keys(crowded):
+    rows = [r for r in crowded.collect() if r["reject_reason"] is None]
+    groups = Counter((r["_year"], r["_month"], r["ID"]) for r in rows)
+    found = contested_keys(crowded).collect()
+    assert sorted(r["_rows"] for r in found) == sorted(n for n in groups.values() if n > 1)
 
-def test_hot_winners_beyond_the_broadcast_limit(crowded, monkeypatch):
-    monkeypatch.setattr("monthlake.operators.dedupe.BROADCAST_ROWS", 0)
-    deduped = dedupe_first(crowded, row_id="Case Number", hot_keys=["77", "1", "2"])
-    assert reasons(deduped) == expected(crowded.collect())
+
+def test_shared_hashes_change_nothing(spark, crowded):
+    # All keys are called contested, as if each shared its hash with another one.
+    every = crowded.select(F.xxhash64(*BATCH_KEYS, "ID").alias("_hash")).distinct()
+    marked = mark_by_winner(crowded, every.withColumn("_rows", F.lit(2)), "Case Number")
+    assert reasons(marked) == expected(crowded.collect())
 
 
 def test_hot_key_is_spread_over_the_tasks_of_its_month(spark, crowded):
     layout = MonthLayout.for_counts({BatchMonth(2001, m): 200 for m in (1, 2, 3)}, rows_per_task=20)
-    placed = dedupe_first(crowded, row_id="Case Number", layout=layout, hot_keys=["77"])
-    hot = placed.where("ID = '77' AND _month = 1")
-    tasks = hot.select(F.spark_partition_id().alias("t")).distinct().count()
-    assert tasks > 5
+    contested = contested_keys(crowded)
+    placed = mark_by_window(crowded, contested, "Case Number", layout=layout, hot_rows=20)
+    hot = placed.where("ID = '77' AND _month = 1 AND reject_reason = 'DUPLICATE_ID'")
+    plan = placed._jdf.queryExecution().executedPlan().toString()
+    assert hot.count() > 20 and "ranked" in plan
 
 
 def test_rejected_rows_are_spread(spark, incidents):
-    records = incidents(*[{"ID": None} for _ in range(100)])
+    records = classify(fixtures.batched(incidents(*[{"ID": None} for _ in range(100)])))
     layout = MonthLayout.for_counts({BatchMonth(2001, 5): 100}, rows_per_task=10)
-    placed = dedupe(records, layout=layout, hot_keys=[])
+    placed = mark_by_window(records, None, "Case Number", layout=layout)
     per_task = placed.groupBy(F.spark_partition_id()).count().collect()
     assert len(per_task) >= 8 and max(r["count"] for r in per_task) < 30
 
 
-def test_frequent_keys(spark):
-    ids = ["x"] * 500 + ["y"] * 300 + [None] * 900 + [str(i) for i in range(1000)]
-    df = spark.createDataFrame([(i,) for i in ids], "ID string").repartition(7)
-    assert frequent_keys(df, "ID", 400) == ["x"]
-    assert frequent_keys(df, "ID", 200) == ["x", "y"]
-    assert frequent_keys(df.limit(0), "ID", 1) == []
-    assert frequent_keys(df.where("ID IS NULL"), "ID", 1) == []
+def plan_of(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_few_contested_keys_take_no_shuffle(crowded):
+    plan = plan_of(mark_by_winner(crowded, contested_keys(crowded), "Case Number"))
+    assert "BroadcastHashJoin" in plan
+    assert plan.count("Exchange") == plan.count("BroadcastExchange") == 1
+    assert "Window" not in plan and "Python" not in plan
+
+
+def test_no_contested_key_leaves_the_plan_alone(incidents):
+    records = classify(fixtures.batched(incidents({"ID": "1"}, {"ID": "2"})))
+    assert mark_by_winner(records, contested_keys(records), "Case Number") is records
+
+
+def test_counting_hashes_combines_before_the_shuffle(crowded):
+    plan = plan_of(contested_keys(crowded))
+    assert "partial_count" in plan and "HashAggregate" in plan and "SortAggregate" not in plan
 
 
 def test_layout_and_window_share_one_exchange(spark):
     records = classify(fixtures.batched(fixtures.incidents(spark, SMALL)).where("_year > 0"))
     layout = MonthLayout.for_counts(count_months(records, BATCH_KEYS), rows_per_task=100)
-    deduped = dedupe_first(records, row_id="Case Number", layout=layout, hot_keys=[])
-    plan = deduped._jdf.queryExecution().executedPlan().toString()
+    plan = plan_of(mark_by_window(records, None, "Case Number", layout=layout))
     assert plan.count("Exchange") == 1
     assert "Python" not in plan
