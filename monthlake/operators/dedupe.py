@@ -1,7 +1,8 @@
 """Keep the first row of each key; reject the others as duplicates.
 
-First the keys with more than one valid row are found, by counting 64-bit hashes of
-the keys: the narrowest shuffle that can tell. Then one of two ways marks the rows:
+A small frame takes one small shuffle. In a larger one, first the keys with more than
+one valid row are found, by counting 64-bit hashes of the keys: the narrowest shuffle that can tell. Then one
+of two ways marks the rows:
 
 * Few such keys: the first row of each is found by an aggregation that combines inside
   the tasks, and all rows meet the winners in a broadcast join. No row is shuffled, so
@@ -21,7 +22,7 @@ from monthlake.functions import event_time
 from monthlake.operators.layout import ROWS_PER_TASK, MonthLayout
 from monthlake.operators.rules import is_valid
 from monthlake.schema import BATCH_KEYS, REJECT_REASON
-from monthlake.work import stored
+from monthlake.work import estimated_bytes, stored
 
 DUPLICATE_REASON = "DUPLICATE_ID"
 
@@ -31,6 +32,10 @@ TEXT_ORDER: tuple[str, ...] = ("Date", "Case Number")
 # Contested keys are broadcast up to this number, and shuffled beyond it.
 BROADCAST_KEYS = 1_000_000
 
+# Frames estimated at no more than this take the window without a search: all of it
+# would fit one task.
+SMALL_BYTES = 64 * 1024 * 1024
+
 # Groups over which the window spreads rows that are not ranked with their key.
 SPREAD = 65_536
 
@@ -57,13 +62,17 @@ def dedupe_first(
     scope: Sequence[str] = tuple(BATCH_KEYS),
     broadcast_keys: int = BROADCAST_KEYS,
     hot_rows: int = ROWS_PER_TASK,
+    small_bytes: int = SMALL_BYTES,
 ) -> DataFrame:
     """Give ``DUPLICATE_ID`` to every valid row that is not the first of its key in its scope.
 
     Rows that have a ``reject_reason`` keep it and take no part. ``row_id`` names a
     column that differs in all rows and is the same whenever a row is read; it settles
-    ties after ``order``. Which way to go is decided here, by a count of the keys.
+    ties after ``order``. Which way to go is decided here, by the size Spark estimates
+    for ``df`` and, if that is more than ``small_bytes``, by a count of the keys.
     """
+    if estimated_bytes(df) <= small_bytes:
+        return mark_by_window(df, None, row_id, key, order, scope)
     contested = stored(contested_keys(df, key, scope), "contested")
     if contested.count() <= broadcast_keys:
         return mark_by_winner(df, contested, row_id, key, order, scope)

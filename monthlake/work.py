@@ -54,3 +54,8 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     path = f"{new_folder(df.sparkSession, purpose)}/table"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def estimated_bytes(df: DataFrame) -> int:
+    """Spark's own estimate of a frame's size, from the files it reads."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))

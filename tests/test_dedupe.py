@@ -19,6 +19,7 @@ from monthlake.operators import (
 )
 from monthlake.sources import count_months
 from monthlake.schema import BATCH_KEYS
+from monthlake.work import estimated_bytes
 
 from conftest import SMALL
 
@@ -120,8 +121,11 @@ def marked_all_ways(crowded):
         "layout": window(layout=layout),
         "layout, hot": window(layout=layout, hot_rows=10),
         "layout, no search": mark_by_window(crowded, None, "Case Number", layout=layout),
-        "chosen": dedupe_first(crowded, row_id="Case Number"),
-        "chosen window": dedupe_first(crowded, row_id="Case Number", broadcast_keys=3, hot_rows=9),
+        "small": dedupe_first(crowded, row_id="Case Number", small_bytes=2**62),
+        "few keys": dedupe_first(crowded, row_id="Case Number", small_bytes=0),
+        "many keys": dedupe_first(
+            crowded, row_id="Case Number", small_bytes=0, broadcast_keys=3, hot_rows=9
+        ),
     }
 
 
@@ -139,8 +143,9 @@ def test_order_by_time_all_ways(incidents):
         {"Date": "01/05/2001 01:00:00 PM"},
         {"Date": "01/05/2001 12:30:00 AM"},
     )
-    for settings in ({}, {"broadcast_keys": 0}, {"broadcast_keys": 0, "hot_rows": 1}):
-        assert kept(dedupe(records, order=time_order(), **settings)) == {"A2"}, settings
+    window = {"small_bytes": 0, "broadcast_keys": 0}
+    for how in ({}, {"small_bytes": 0}, window, window | {"hot_rows": 1}):
+        assert kept(dedupe(records, order=time_order(), **how)) == {"A2"}, how
 
 
 def test_contested_keys(crowded):
@@ -190,6 +195,13 @@ def test_no_contested_key_leaves_the_plan_alone(incidents):
     assert mark_by_winner(records, contested_keys(records), "Case Number") is records
 
 
+def test_size_estimate_follows_the_files(spark):
+    small, large = (
+        estimated_bytes(fixtures.incidents(spark, f"/root/testdata/sf{sf}")) for sf in (0.001, 0.1)
+    )
+    assert 0 < small < large < 2**30
+
+
 def test_counting_hashes_combines_before_the_shuffle(crowded):
     plan = plan_of(contested_keys(crowded))
     assert "partial_count" in plan and "HashAggregate" in plan and "SortAggregate" not in plan
