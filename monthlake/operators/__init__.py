@@ -2,6 +2,7 @@ from monthlake.operators.dedupe import (
     DUPLICATE_REASON,
     TEXT_ORDER,
     contested_keys,
+    count_hashes,
     dedupe_first,
     mark_by_window,
     mark_by_winner,
@@ -35,6 +36,7 @@ __all__ = [
     "TEXT_ORDER",
     "classify",
     "contested_keys",
+    "count_hashes",
     "cumulative_months",
     "dedupe_first",
     "incident_rules",

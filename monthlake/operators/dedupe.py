@@ -73,7 +73,7 @@ def dedupe_first(
     """
     if estimated_bytes(df) <= small_bytes:
         return mark_by_window(df, None, row_id, key, order, scope)
-    contested = stored(contested_keys(df, key, scope), "contested")
+    contested = contested_keys(df, key, scope)
     if contested.count() <= broadcast_keys:
         return mark_by_winner(df, contested, row_id, key, order, scope)
     return mark_by_window(df, contested, row_id, key, order, scope, hot_rows=hot_rows)
@@ -83,16 +83,27 @@ def _hash_of(key: str, scope: Sequence[str]) -> Column:
     return F.xxhash64(*scope, key)
 
 
+def count_hashes(
+    df: DataFrame, key: str = "ID", scope: Sequence[str] = tuple(BATCH_KEYS)
+) -> DataFrame:
+    """Valid rows per hash of their key, where that is more than one; null for other rows.
+
+    The condition stands in the projection, not in a filter: a filter would be pushed
+    into the rules and evaluate their shared parts once per use.
+    """
+    hashes = df.select(F.when(is_valid(), _hash_of(key, scope)).alias(_HASH))
+    return hashes.groupBy(_HASH).agg(F.count("*").alias(_ROWS)).where(F.col(_ROWS) > 1)
+
+
 def contested_keys(
     df: DataFrame, key: str = "ID", scope: Sequence[str] = tuple(BATCH_KEYS)
 ) -> DataFrame:
     """Hashes of the keys with more than one valid row, with the number of those rows.
 
-    Two keys may share a hash; they then count as contested without being so, which
-    changes no result.
+    A stored table. Two keys may share a hash; they then count as contested without
+    being so, which changes no result.
     """
-    rows = df.where(is_valid()).groupBy(_hash_of(key, scope).alias(_HASH))
-    return rows.agg(F.count("*").alias(_ROWS)).where(F.col(_ROWS) > 1)
+    return stored(count_hashes(df, key, scope), "contested").where(F.col(_HASH).isNotNull())
 
 
 def _first(order: Sequence[Column | str], row_id: str) -> Column:
@@ -117,11 +128,11 @@ def mark_by_winner(
     """Mark duplicates without a shuffle of rows; ``contested`` has to fit a broadcast."""
     if contested.isEmpty():
         return df
-    rows = df.where(is_valid()).withColumn(_HASH, _hash_of(key, scope))
+    rows = df.withColumn(_HASH, _hash_of(key, scope))
     winners = stored(
         rows.join(F.broadcast(contested.select(_HASH)), _HASH, "left_semi")
         .groupBy(*scope, key)
-        .agg(F.min(_first(order, row_id)).alias("first"))
+        .agg(F.min(F.when(is_valid(), _first(order, row_id))).alias("first"))
         .select(*scope, key, F.col("first.row").alias(_WINNER)),
         "winners",
     )

@@ -108,7 +108,7 @@ def process_batch(
     checked = classify(rows, rules)
     contested = None
     if sum(raw.values()) > rows_per_task:
-        contested = stored(contested_keys(checked), "contested")
+        contested = contested_keys(checked)
         if contested.count() <= broadcast_keys:
             marked = mark_by_winner(checked, contested, ROW_ID, order=order)
             _write(marked, zones, raw, by_month=False)

@@ -11,6 +11,7 @@ from monthlake.operators import (
     MonthLayout,
     classify,
     contested_keys,
+    count_hashes,
     dedupe_first,
     is_valid,
     mark_by_window,
@@ -109,7 +110,7 @@ def crowded(incidents):
 
 def marked_all_ways(crowded):
     """The rows as each way marks them, by name."""
-    contested = contested_keys(crowded).persist()
+    contested = contested_keys(crowded)
     layout = MonthLayout.for_counts(count_months(crowded, BATCH_KEYS), rows_per_task=50)
     assert layout.tasks > 5
     window = lambda **how: mark_by_window(crowded, contested, "Case Number", **how)
@@ -203,7 +204,7 @@ def test_size_estimate_follows_the_files(spark):
 
 
 def test_counting_hashes_combines_before_the_shuffle(crowded):
-    plan = plan_of(contested_keys(crowded))
+    plan = plan_of(count_hashes(crowded))
     assert "partial_count" in plan and "HashAggregate" in plan and "SortAggregate" not in plan
 
 
