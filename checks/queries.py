@@ -6,6 +6,7 @@ from all records; queries that change one build their own.
 
 from __future__ import annotations
 
+import functools
 import threading
 import uuid
 from collections.abc import Callable
@@ -324,43 +325,57 @@ def word_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema("word string, count bigint").option("header", True).csv(path)
 
 
+def in_utc(query: Query) -> Query:
+    """The records' dates are written and read without a zone."""
+
+    @functools.wraps(query)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+        return query(spark, sf_dir)
+
+    return run
+
+
 def queries() -> dict[str, Query]:
-    return {
-        "dq_classified": dq_classified,
-        "dq_reason_counts": dq_reason_counts,
-        "dq_curated": dq_curated,
-        "dq_rejected": dq_rejected,
-        "dq_month_counts": dq_month_counts,
-        "reconcile": reconcile_all,
-        "source_quarantine": source_quarantine,
-        "source_reconcile": source_reconcile,
-        "source_partitions": source_partitions,
-        "verify_source": check_source,
-        "read_month": one_month,
-        "require_month": month_required,
-        "raw_month_slice": raw_month_slice,
-        "raw_month_batch": raw_month_batch,
-        "csv_scan": csv_scan,
-        "batch_counts": batch_counts,
-        "curated_rows": curated_rows,
-        "rejected_rows": rejected_rows,
-        "curated_rerun": curated_rerun,
-        "rejected_rerun": rejected_rerun,
-        "emptied_month_rerun": emptied_month_rerun,
-        "month_slice": month_slice,
-        "catalog_total": catalog_total,
-        "catalog_month_counts": catalog_month_counts,
-        "catalog_partitions": catalog_partitions,
-        "cumulative_months": running_total,
-        "verify_month": check_month,
-        "verify_lake": check_lake,
-        "explain_month": month_plan,
-        "top_categories": categories,
-        "preview": first_orders,
-        "csv_schema": csv_schema,
-        "csv_total": csv_total,
-        "csv_sql": csv_sql,
-        "word_count": document_words,
-        "word_count_lines": line_words,
-        "report_csv": word_report,
-    }
+    return {name: in_utc(query) for name, query in _QUERIES.items()}
+
+
+_QUERIES: dict[str, Query] = {
+    "dq_classified": dq_classified,
+    "dq_reason_counts": dq_reason_counts,
+    "dq_curated": dq_curated,
+    "dq_rejected": dq_rejected,
+    "dq_month_counts": dq_month_counts,
+    "reconcile": reconcile_all,
+    "source_quarantine": source_quarantine,
+    "source_reconcile": source_reconcile,
+    "source_partitions": source_partitions,
+    "verify_source": check_source,
+    "read_month": one_month,
+    "require_month": month_required,
+    "raw_month_slice": raw_month_slice,
+    "raw_month_batch": raw_month_batch,
+    "csv_scan": csv_scan,
+    "batch_counts": batch_counts,
+    "curated_rows": curated_rows,
+    "rejected_rows": rejected_rows,
+    "curated_rerun": curated_rerun,
+    "rejected_rerun": rejected_rerun,
+    "emptied_month_rerun": emptied_month_rerun,
+    "month_slice": month_slice,
+    "catalog_total": catalog_total,
+    "catalog_month_counts": catalog_month_counts,
+    "catalog_partitions": catalog_partitions,
+    "cumulative_months": running_total,
+    "verify_month": check_month,
+    "verify_lake": check_lake,
+    "explain_month": month_plan,
+    "top_categories": categories,
+    "preview": first_orders,
+    "csv_schema": csv_schema,
+    "csv_total": csv_total,
+    "csv_sql": csv_sql,
+    "word_count": document_words,
+    "word_count_lines": line_words,
+    "report_csv": word_report,
+}
