@@ -1,7 +1,7 @@
 """One entry per operator: a function of a session and a folder of the driver's tables.
 
-Queries about stored zones run on a lake that is built once per session and folder,
-from all records; queries that change one build their own.
+Queries about stored zones run on a lake of all records, built once per session and
+folder; queries that change one have their own.
 """
 
 from __future__ import annotations
@@ -77,7 +77,7 @@ class Lake:
     counts: DataFrame
 
 
-_lakes: dict[tuple[str, str], Lake] = {}
+_lakes: dict[tuple[str, str, str], Lake] = {}
 _lock = threading.Lock()
 
 
@@ -100,14 +100,19 @@ def new_lake(spark: SparkSession, sf_dir: str) -> Lake:
     return Lake(zones, months, table, counts)
 
 
-def shared_lake(spark: SparkSession, sf_dir: str) -> Lake:
-    key = (spark.sparkContext.applicationId, sf_dir)
+def _kept(build: Callable[[SparkSession, str], Lake], spark: SparkSession, sf_dir: str) -> Lake:
+    """The lake a function builds, built once per session and folder."""
+    key = (build.__name__, spark.sparkContext.applicationId, sf_dir)
     with _lock:
         if key not in _lakes:
-            _lakes[key] = new_lake(spark, sf_dir)
+            _lakes[key] = build(spark, sf_dir)
         return _lakes[key]
 
 
+def shared_lake(spark: SparkSession, sf_dir: str) -> Lake:
+    return _kept(new_lake, spark, sf_dir)
+
+
 def classified(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All records with their reasons; undated ones form a batch of their own."""
     records = fixtures.batched(fixtures.incidents(spark, sf_dir))
@@ -208,7 +213,7 @@ def rejected_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_rejected(spark, shared_lake(spark, sf_dir).zones).drop(*COORDINATES)
 
 
-def _rerun_lake(spark: SparkSession, sf_dir: str) -> Lake:
+def rerun_lake(spark: SparkSession, sf_dir: str) -> Lake:
     """A lake one month of which was processed a second time."""
     lake = new_lake(spark, sf_dir)
     process_months(spark, lake.zones, [MONTH])
@@ -216,12 +221,12 @@ def _rerun_lake(spark: SparkSession, sf_dir: str) -> Lake:
 
 
 def curated_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
-    zones = _rerun_lake(spark, sf_dir).zones
+    zones = _kept(rerun_lake, spark, sf_dir).zones
     return read_curated(spark, zones).select("Case Number", *MONTH_KEYS)
 
 
 def rejected_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
-    zones = _rerun_lake(spark, sf_dir).zones
+    zones = _kept(rerun_lake, spark, sf_dir).zones
     return read_rejected(spark, zones).select("Case Number", "reject_reason", "batch_month")
 
 

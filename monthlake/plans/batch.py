@@ -34,7 +34,7 @@ from monthlake.sinks.partitions import (
     write_rejected,
 )
 from monthlake.sources.files import read_incidents_csv
-from monthlake.sources.lake import count_months, read_months, scan_months
+from monthlake.sources.lake import as_records, count_months, scan_months
 from monthlake.work import path_exists, stored
 from monthlake.zones import Zones
 
@@ -63,9 +63,10 @@ def process_months(
     reconciliation; ``settings`` are those of `process_batch`.
     """
     batch = sorted(set(months))
-    found = count_months(scan_months(spark, zones, batch))
+    scan = scan_months(spark, zones, batch)  # lists the files once, for count and batch
+    found = count_months(scan)
     raw = {month: found.get(month, 0) for month in batch}
-    return process_batch(read_months(spark, zones, batch), zones, raw, **settings)
+    return process_batch(as_records(scan), zones, raw, **settings)
 
 
 def process_raw_month(

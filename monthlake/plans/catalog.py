@@ -21,9 +21,10 @@ def register_curated(spark: SparkSession, zones: Zones, table: str = CURATED_TAB
         f"`{name}` {CURATED_SCHEMA[name].dataType.simpleString()}" for name in CURATED_COLUMNS
     )
     keys = ", ".join(f"{key} INT" for key in MONTH_KEYS)
+    location = zones.curated.replace("'", "\\'")
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {table} ({columns}) USING parquet "
-        f"PARTITIONED BY ({keys}) LOCATION '{zones.curated}'"
+        f"PARTITIONED BY ({keys}) LOCATION '{location}'"
     )
     spark.sql(f"MSCK REPAIR TABLE {table}")
     # Drops the file lists of an earlier query, which name the files of replaced months.

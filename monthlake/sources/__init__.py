@@ -1,5 +1,6 @@
 from monthlake.sources.files import read_incidents_csv, read_lines
 from monthlake.sources.lake import (
+    as_records,
     count_months,
     read_curated,
     read_month,
@@ -10,6 +11,7 @@ from monthlake.sources.lake import (
 )
 
 __all__ = [
+    "as_records",
     "count_months",
     "read_curated",
     "read_incidents_csv",

@@ -49,19 +49,24 @@ def scan_months(spark: SparkSession, zones: Zones, months: Iterable[BatchMonth])
     return spark.read.schema(SOURCE_SCHEMA).option("basePath", zones.source).parquet(*leaves)
 
 
-def read_months(spark: SparkSession, zones: Zones, months: Iterable[BatchMonth]) -> DataFrame:
-    """The incident records of the given months, with batch keys and a row identity."""
+def as_records(scan: DataFrame) -> DataFrame:
+    """Incident records of a scan of the source, with batch keys and a row identity."""
     stored = [REPORTED_YEAR if c == "Year" else c for c in INCIDENT_COLUMNS]
     # The batch keys take their names before Year gets its own back: Year and year are
     # one name to Spark.
     return (
-        with_row_id(scan_months(spark, zones, months), stored)
+        with_row_id(scan, stored)
         .drop(SOURCE_ERROR)
         .withColumnsRenamed(dict(zip(MONTH_KEYS, BATCH_KEYS)))
         .withColumnRenamed(REPORTED_YEAR, "Year")
     )
 
 
+def read_months(spark: SparkSession, zones: Zones, months: Iterable[BatchMonth]) -> DataFrame:
+    """The incident records of the given months."""
+    return as_records(scan_months(spark, zones, months))
+
+
 def read_month(spark: SparkSession, zones: Zones, month: BatchMonth) -> DataFrame:
     """One month as the 22 incident columns."""
     return read_months(spark, zones, [month]).select(*INCIDENT_COLUMNS)

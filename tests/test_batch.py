@@ -105,13 +105,12 @@ WAYS = {
 
 
 @pytest.mark.parametrize("way", ["winner", "window"])
-def test_large_batches_give_the_same(spark, whole, tmp_path, way):
+def test_large_batches_give_the_same(spark, whole, way):
     zones, months, report = whole
-    again = Zones(str(tmp_path / "lake"))
-    build_source(fixtures.incidents(spark, SMALL), again)
-    assert process_months(spark, again, months, **WAYS[way]).collect() == report
-    assert curated(spark, again) == curated(spark, zones)
-    assert rejected(spark, again) == rejected(spark, zones)
+    before = curated(spark, zones), rejected(spark, zones)
+    again = process_months(spark, zones, months[30:42], **WAYS[way])
+    assert again.collect() == report[30:42]
+    assert (curated(spark, zones), rejected(spark, zones)) == before
 
 
 @pytest.mark.parametrize("way", WAYS)
@@ -122,7 +121,7 @@ def test_copies_of_one_row_leave_exactly_one(spark, zones, incidents, way):
     assert lines(report) == [("2001-05", 101, 2, 99)]
 
 
-@pytest.mark.parametrize("way", WAYS)
+@pytest.mark.parametrize("way", ["winner", "window"])
 def test_ties_are_settled_alike_in_every_build_of_the_source(spark, tmp_path, incidents, way):
     changes = [{"ID": str(i % 3), "Case Number": "same", "Block": str(i)} for i in range(12)]
     blocks = set()
@@ -238,10 +237,13 @@ def test_reconcile(incidents):
     assert rows == {(2001, 5): (2, 1, 1, True), (None, None): (1, 0, 1, True)}
 
 
-def test_files_per_month(spark, whole):
-    zones, _, _ = whole
+def test_files_per_month(spark, tmp_path):
+    zones = Zones(str(tmp_path / "lake"))
+    build_source(fixtures.incidents(spark, SMALL), zones)
+    months = sorted(count_months(read_source(spark, zones).where("year > 0")))[:9]
+    process_months(spark, zones, months)
     found = read_curated(spark, zones).select("year", "month", F.input_file_name().alias("f"))
-    assert found.distinct().groupBy("year", "month").count().agg(F.max("count")).first()[0] == 1
+    assert found.distinct().count() == len(months)
 
 
 class TestRawRoute:
