@@ -55,4 +55,5 @@ class BatchMonth:
 
 def month_label(year: str, month: str) -> Column:
     """The ``YYYY-MM`` label of a row, from its year and month columns."""
-    return F.format_string("%04d-%02d", F.col(year), F.col(month))
+    digits = [F.lpad(F.col(c).cast("string"), n, "0") for c, n in ((year, 4), (month, 2))]
+    return F.concat_ws("-", *digits)

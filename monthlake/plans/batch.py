@@ -7,7 +7,7 @@ from collections.abc import Iterable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from monthlake.months import BatchMonth, month_label
+from monthlake.months import BatchMonth
 from monthlake.operators.dedupe import (
     BROADCAST_KEYS,
     TEXT_ORDER,
@@ -24,7 +24,6 @@ from monthlake.schema import (
     BATCH_MONTH,
     CURATED_SCHEMA,
     INCIDENT_COLUMNS,
-    MONTH_KEYS,
     REJECTED_SCHEMA,
 )
 from monthlake.sinks.partitions import (
@@ -34,7 +33,7 @@ from monthlake.sinks.partitions import (
     write_rejected,
 )
 from monthlake.sources.files import read_incidents_csv
-from monthlake.sources.lake import as_records, count_months, scan_months
+from monthlake.sources.lake import as_records, count_months, labelled_counts, scan_months
 from monthlake.work import path_exists, stored
 from monthlake.zones import Zones
 
@@ -133,16 +132,23 @@ def _write(
     """Write both zones; ``by_month`` tells that each task holds few months already."""
     # Which months have rows of each kind is noted during the first write.
     seen = Observation("months")
-    label = month_label(*BATCH_KEYS)
+    year, month = BATCH_KEYS
+    number = F.col(year) * 100 + F.col(month)
     watched = marked.observe(
         seen,
-        F.collect_set(F.when(is_valid(), label)).alias("curated"),
-        F.collect_set(F.when(~is_valid(), label)).alias("rejected"),
+        F.collect_set(F.when(is_valid(), number)).alias("curated"),
+        F.collect_set(F.when(~is_valid(), number)).alias("rejected"),
     )
     write_curated(watched.where(is_valid()), zones)
     write_rejected(marked.where(~is_valid()), zones, gather=not by_month)
-    clear_curated(marked, zones, [m for m in months if m.label not in seen.get["curated"]])
-    clear_rejected(marked, zones, [m for m in months if m.label not in seen.get["rejected"]])
+
+    found = seen.get
+
+    def without(zone: str) -> list[BatchMonth]:
+        return [m for m in months if m.year * 100 + m.month not in found[zone]]
+
+    clear_curated(marked, zones, without("curated"))
+    clear_rejected(marked, zones, without("rejected"))
 
 
 def written_counts(
@@ -153,25 +159,25 @@ def written_counts(
     A month that never had a valid row has no curated partition.
     """
     months = list(months)
-    lines = (
+    rejected = (
         spark.read.schema(REJECTED_SCHEMA)
         .option("basePath", zones.rejected)
         .parquet(*[zones.rejected_month(m) for m in months])
-        .select(BATCH_MONTH, F.lit("rejected").alias("zone"))
     )
+    lines = labelled_counts(rejected, "rejected")
     leaves = [zones.curated_month(m) for m in months]
     leaves = [leaf for leaf in leaves if path_exists(spark, leaf)]
     if leaves:
         curated = (
             spark.read.schema(CURATED_SCHEMA).option("basePath", zones.curated).parquet(*leaves)
         )
-        lines = lines.unionByName(
-            curated.select(month_label(*MONTH_KEYS).alias(BATCH_MONTH), F.lit("curated").alias("zone"))
-        )
-    # Two counts per month at most.
-    counts = lines.groupBy(BATCH_MONTH, "zone").count().collect()
-    found = {(line[BATCH_MONTH], line["zone"]): line["count"] for line in counts}
-    return {m: (found.get((m.label, "curated"), 0), found.get((m.label, "rejected"), 0)) for m in months}
+        lines = lines.unionByName(labelled_counts(curated, "curated"))
+    # Two lines per month at most.
+    found = {(line[BATCH_MONTH], line["zone"]): line["rows"] for line in lines.collect()}
+    return {
+        m: (found.get((m.label, "curated"), 0), found.get((m.label, "rejected"), 0))
+        for m in months
+    }
 
 
 def check_written(

@@ -6,13 +6,14 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from monthlake.months import BatchMonth, month_label
+from monthlake.months import BatchMonth
 from monthlake.plans.batch import RECONCILIATION, written_counts
 from monthlake.plans.catalog import CURATED_TABLE, table_partitions
 from monthlake.schema import BATCH_MONTH, MONTH_KEYS
 from monthlake.sources.files import read_incidents_csv
 from monthlake.sources.lake import (
     count_months,
+    labelled_counts,
     read_curated,
     read_months,
     read_rejected,
@@ -97,18 +98,15 @@ def verify_lake(spark: SparkSession, zones: Zones, table: str = CURATED_TABLE) -
     must have no results.
     """
 
-    def lines(df: DataFrame, zone: str) -> DataFrame:
-        return df.select(month_label(*MONTH_KEYS).alias(BATCH_MONTH), F.lit(zone).alias("zone"))
-
     zone_rows = (
-        lines(read_source(spark, zones), "raw")
-        .unionByName(lines(read_curated(spark, zones), "curated"))
-        .unionByName(read_rejected(spark, zones).select(BATCH_MONTH, F.lit("rejected").alias("zone")))
-        .unionByName(lines(spark.table(table), "visible"))
+        labelled_counts(read_source(spark, zones), "raw")
+        .unionByName(labelled_counts(read_curated(spark, zones), "curated"))
+        .unionByName(labelled_counts(read_rejected(spark, zones), "rejected"))
+        .unionByName(labelled_counts(spark.table(table), "visible"))
     )
     counts = zone_rows.groupBy(BATCH_MONTH).agg(
         *[
-            F.count_if(F.col("zone") == zone).alias(zone)
+            F.sum(F.when(F.col("zone") == zone, F.col("rows")).otherwise(0)).alias(zone)
             for zone in ("raw", "curated", "rejected", "visible")
         ]
     )

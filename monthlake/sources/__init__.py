@@ -2,6 +2,7 @@ from monthlake.sources.files import read_incidents_csv, read_lines
 from monthlake.sources.lake import (
     as_records,
     count_months,
+    labelled_counts,
     read_curated,
     read_month,
     read_months,
@@ -13,6 +14,7 @@ from monthlake.sources.lake import (
 __all__ = [
     "as_records",
     "count_months",
+    "labelled_counts",
     "read_curated",
     "read_incidents_csv",
     "read_lines",

@@ -11,10 +11,11 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from monthlake.months import BatchMonth
+from monthlake.months import BatchMonth, month_label
 from monthlake.operators.row_id import with_row_id
 from monthlake.schema import (
     BATCH_KEYS,
+    BATCH_MONTH,
     CURATED_SCHEMA,
     INCIDENT_COLUMNS,
     MONTH_KEYS,
@@ -79,3 +80,14 @@ def count_months(df: DataFrame, keys: Sequence[str] = MONTH_KEYS) -> dict[BatchM
     """
     rows = df.groupBy(*keys).agg(F.count("*").alias("rows")).collect()
     return {BatchMonth(*(row[k] for k in keys)): row["rows"] for row in rows}
+
+
+def labelled_counts(df: DataFrame, zone: str) -> DataFrame:
+    """Rows per ``batch_month`` of one zone, whose name stands in ``zone``.
+
+    Counted by the partition columns as they are, and labelled after that.
+    """
+    keys = [BATCH_MONTH] if BATCH_MONTH in df.columns else MONTH_KEYS
+    label = F.col(BATCH_MONTH) if BATCH_MONTH in df.columns else month_label(*MONTH_KEYS)
+    counts = df.groupBy(*keys).agg(F.count("*").alias("rows"))
+    return counts.select(label.alias(BATCH_MONTH), F.lit(zone).alias("zone"), "rows")
