@@ -26,7 +26,14 @@ from monthlake.operators import (
     month_counts,
     word_count,
 )
-from monthlake.plans import build_source, process_months, register_curated, verify_lake, verify_month
+from monthlake.plans import (
+    CURATED_TABLE,
+    build_source,
+    process_months,
+    register_curated,
+    verify_lake,
+    verify_month,
+)
 from monthlake.sinks import write_report_csv
 from monthlake.sources import count_months, read_month, read_source
 
@@ -99,9 +106,9 @@ def main() -> None:
         "process_one_month": timed(lambda: process_months(spark, zones, [month]), 3),
         "register_curated": timed(lambda: register_curated(spark, zones)),
         "dq_classified": timed(lambda: run(q.classified(spark, sf_dir)), 2),
-        "month_counts": timed(lambda: run(month_counts(spark.table(q_table()))), 2),
-        "cumulative_months": timed(lambda: run(cumulative_months(spark.table(q_table()))), 2),
-        "month_slice": timed(lambda: run(spark.table(q_table()).where(month.predicate())), 2),
+        "month_counts": timed(lambda: run(month_counts(spark.table(CURATED_TABLE))), 2),
+        "cumulative_months": timed(lambda: run(cumulative_months(spark.table(CURATED_TABLE))), 2),
+        "month_slice": timed(lambda: run(spark.table(CURATED_TABLE).where(month.predicate())), 2),
         "verify_month": timed(lambda: verify_month(spark, zones, month), 2),
         "verify_lake": timed(lambda: run(verify_lake(spark, zones)), 2),
         "word_count": timed(lambda: run(word_count(documents, "text")), 2),
@@ -111,10 +118,9 @@ def main() -> None:
     }
 
     # The same source for both forms; the five-action form takes one month per run.
-    same_source = Zones(apart.root)
-    build_source(records, same_source)
-    five = timed(lambda: five_actions(spark, same_source, month), 3)
-    five_all = timed(lambda: [five_actions(spark, same_source, m) for m in months])
+    build_source(records, apart)
+    five = timed(lambda: five_actions(spark, apart, month), 3)
+    five_all = timed(lambda: [five_actions(spark, apart, m) for m in months])
 
     print(
         json.dumps(
@@ -136,11 +142,5 @@ def main() -> None:
     spark.stop()
 
 
-def q_table() -> str:
-    from monthlake.plans import CURATED_TABLE
-
-    return CURATED_TABLE
-
-
 if __name__ == "__main__":
     main()
