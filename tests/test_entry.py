@@ -5,21 +5,23 @@ from __future__ import annotations
 import pytest
 
 import __spark_entry__ as contract
+from checks import oracle, queries
 from checks.compare import compare
 
 from conftest import SMALL
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(queries.queries()))
 def test_query(spark, name):
     result = compare(spark, SMALL, name)
-    assert result.startswith("ok" if name in contract.oracle_sql() else "rows only"), result
+    assert result.startswith("ok" if name in oracle.oracle_sql() else "rows only"), result
     assert not result.endswith("(0)")
 
 
 def test_every_sql_has_a_query():
     assert contract.oracle_sql().keys() <= contract.queries().keys()
-    assert contract.queries().keys() - contract.oracle_sql().keys() == {"explain_month"}
+    assert queries.queries().keys() - oracle.oracle_sql().keys() == {"explain_month"}
+    assert queries.queries().keys() <= contract.queries().keys()
 
 
 def test_entry(spark):
