@@ -46,6 +46,12 @@ def new_folder(spark: SparkSession, purpose: str) -> str:
     return path
 
 
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Removes a folder of ``new_folder`` with all that lies in it."""
+    storage, hadoop_path = _on_storage(spark, path)
+    storage.delete(hadoop_path, True)
+
+
 def stored(df: DataFrame, purpose: str) -> DataFrame:
     """The rows of a frame as a table in the shared folder.
 
