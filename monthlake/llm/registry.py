@@ -2,12 +2,41 @@
 
 from __future__ import annotations
 
+import functools
+import os
+import shutil
+import tempfile
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+_ROOT = Path(__file__).resolve().parents[2]
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Sends the package's source to the tasks' Python, unless its path already holds it."""
+    context = spark.sparkContext
+    known = [Path(p) for p in os.environ.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if _ROOT in (Path.cwd(), *known) or context.applicationId in _shipped:
+        return
+    name = Path(__file__).parents[1].name
+    context.addPyFile(shutil.make_archive(f"{tempfile.mkdtemp()}/{name}", "zip", _ROOT, name))
+    _shipped.add(context.applicationId)
+
+
+def _on_tasks(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    @functools.wraps(query)
+    def shipped(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship_package(spark)
+        return query(spark, sf_dir)
+
+    return shipped
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -46,12 +75,31 @@ def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     )
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The toxicity of every document, learned from labels that are not held out."""
+    from monthlake.llm.language import held_out, learnable
+    from monthlake.llm.toxicity import THRESHOLD, score_toxicity, train_toxicity
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = train_toxicity(docs, table(spark, sf_dir, "labels"), learnable())
+    return score_toxicity(docs, model).select(
+        "doc_id",
+        held_out().alias("held_out"),
+        "score",
+        (F.col("score") >= THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
+_QUERIES = (
+    op5_ngram_jaccard_join,
+    op6_language_id,
+    op8_benchmark_decontamination,
+    op10_toxicity,
+)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {
-        "op5_ngram_jaccard_join": op5_ngram_jaccard_join,
-        "op6_language_id": op6_language_id,
-        "op8_benchmark_decontamination": op8_benchmark_decontamination,
-    }
+    return {query.__name__: _on_tasks(query) for query in _QUERIES}
 
 
 def oracle_sql() -> dict[str, str]:
