@@ -34,7 +34,8 @@ from monthlake.llm.flat import LOWER, Words, byte_table, seed, slices, span_hash
 MAX_LABELLED = 20_000
 THRESHOLD = 0.3
 _TOP = 3
-_PRIOR_ROWS = 10.0
+_DENSE = _TOP + 2
+_PRIOR_ROWS = 15.0
 _WEAK = 0.15
 
 # Letters that a sign is used for.
@@ -44,9 +45,11 @@ _LEET = {
 }
 _SEPARATORS = set(" .-_*~'\"/\\,:;^`#=")
 # Channel costs, as logarithms of probabilities.
-_AS_LETTER, _DROPPED_SIGN, _SEPARATOR, _WORD_END, _ONCE, _TWICE = (
-    math.log(p) for p in (0.4, 0.02, 0.9, 0.1, 0.5, 0.5)
-)
+_AS_LETTER, _DROPPED_SIGN, _DROPPED_DIGIT, _SEPARATOR = (math.log(p) for p in (0.4, 0.01, 1e-6, 0.9))
+_WORD_END = {" ": math.log(0.03)}
+_WORD_END_AT_SIGN = math.log(0.002)
+#: A run of two is meant more often than one of three or more; the other reading is one character.
+_TWICE, _ONCE, _LONG_TWICE, _LONG_ONCE = (math.log(p) for p in (0.95, 0.05, 0.4, 0.6))
 
 _CLASSES = 64
 _LETTER_BYTES = byte_table((0x61, 0x7A), (0x80, 0xFF))
@@ -152,13 +155,16 @@ def restore(token: str, model: CharModel) -> str:
     for run in re.finditer(r"(.)\1*", token, re.DOTALL):
         char, n = run[1], len(run[0])
         if char in _SEPARATORS:
-            beam = emit(beam, [("", _SEPARATOR), (" ", _WORD_END)])
+            beam = emit(beam, [("", _SEPARATOR), (" ", _WORD_END.get(char, _WORD_END_AT_SIGN))])
             continue
-        readings = [(letter, _AS_LETTER) for letter in _LEET.get(char, "")] + [("", _DROPPED_SIGN)] if char in _LEET else [(char, 0.0)]
-        if n == 1:
-            beam = emit(beam, readings)
-        else:
-            beam = emit(beam, [(r, c + _ONCE) for r, c in readings] + [(r + r, c + _TWICE) for r, c in readings if r])
+        readings = [(char, 0.0)]
+        if char in _LEET:
+            dropped = _DROPPED_DIGIT if char.isdigit() else _DROPPED_SIGN
+            readings = [*((letter, _AS_LETTER) for letter in _LEET[char]), ("", dropped)]
+        if n > 1:
+            once, twice = (_ONCE, _TWICE) if n == 2 else (_LONG_ONCE, _LONG_TWICE)
+            readings = [(r, c + once) for r, c in readings] + [(r + r, c + twice) for r, c in readings if r]
+        beam = emit(beam, readings)
     ended = {k: (s + (table[k[0]][k[1]][0] if k[1] else 0.0), text) for k, (s, text) in beam.items()}
     return max(ended.values(), key=lambda x: x[0])[1].strip()
 
@@ -215,7 +221,7 @@ class Restorer:
             raw = whole[start:end]
             word = self.known.get(raw)
             if word is None:
-                token = raw.decode("utf-8", "replace").lower().strip(_EDGE)
+                token = raw.decode("utf-8", "replace").lower().strip(_EDGE).rstrip("!")
                 word = restore(token, self.model) if token else ""
                 if len(self.known) >= _MOST_REMEMBERED:
                     self.known.clear()
@@ -225,43 +231,55 @@ class Restorer:
         return [" ".join(words) for words in out]
 
 
+#: Of a word: itself, its first and its last bytes, where it is longer than these.
+_ASPECTS = (("word", 0, 0), ("first 4", 4, 0), ("first 5", 5, 0), ("first 6", 6, 0), ("last 4", 0, 4), ("last 5", 0, 5))
+
+
 def _word_features(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Buckets of the words, their beginnings and endings; the text of each; words per text."""
+    """Buckets by aspect and word, -1 for none; the text of each word; words per text."""
     words = Words(data, at, _WORD_BYTES)
-    lowered, owner = LOWER[data], words.text_index()
-    buckets, owners = [], []
-    for name, start, end, kept in (
-        ("word", words.start, words.end, slice(None)),
-        *((f"first {n}", words.start, words.start + n, words.end - words.start > n) for n in (4, 5, 6)),
-        *((f"last {n}", words.end - n, words.end, words.end - words.start > n) for n in (4, 5)),
-    ):
-        h = mix(span_hashes(lowered, start[kept], end[kept]) ^ seed(name))
-        buckets.append((h >> np.uint64(64 - BITS)).astype(np.int64))
-        owners.append(owner[kept])
-    return np.concatenate(buckets), np.concatenate(owners), words.counts()
+    lowered = LOWER[data]
+    buckets = np.full((len(_ASPECTS), len(words)), -1, np.int64)
+    for i, (name, first, last) in enumerate(_ASPECTS):
+        kept = np.flatnonzero(words.end - words.start > max(first, last))
+        start, end = words.start[kept], words.end[kept]
+        start, end = (end - last if last else start), (start + first if first else end)
+        h = mix(span_hashes(lowered, start, end) ^ seed(name))
+        buckets[i, kept] = h >> np.uint64(64 - BITS)
+    return buckets, words.text_index(), words.counts()
 
 
 def _features(part: pa.RecordBatch, restorer: Restorer) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The same of the words and the restored words; counts are of the words alone."""
     data, at = texts(part.column("text"))
     own = _word_features(data, at)
     restored = _word_features(*texts(pa.array(restorer.texts(data, at), pa.string())))
-    return np.concatenate([own[0], restored[0]]), np.concatenate([own[1], restored[1]]), own[2]
+    return np.concatenate([own[0], restored[0]], axis=1), np.concatenate([own[1], restored[1]]), own[2]
+
+
+def _flat(features: tuple[np.ndarray, np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    buckets, owner, _ = features
+    there = buckets >= 0
+    return buckets[there], np.broadcast_to(owner, buckets.shape)[there]
 
 
-def _dense(bucket: np.ndarray, owner: np.ndarray, n_words: np.ndarray, shares: np.ndarray, base: float) -> np.ndarray:
-    """Per text: the logits of the strongest distinct features, and the length."""
-    share = shares[bucket]
-    strong = share > max(_WEAK, base)
-    both = np.unique(np.column_stack([owner[strong], bucket[strong]]), axis=0)
-    share, owner = shares[both[:, 1]], both[:, 0]
+def _dense(buckets: np.ndarray, owner: np.ndarray, n_words: np.ndarray, shares: np.ndarray, base: float) -> np.ndarray:
+    """Per text: the logits of the strongest distinct words, by their best aspect, and the length."""
+    floor = max(_WEAK, base)
+    share = np.where(buckets >= 0, shares[buckets], 0).max(axis=0) if len(owner) else np.zeros(0)
+    strong = np.flatnonzero(share > floor)
+    _, first = np.unique(np.column_stack([owner[strong], buckets[0, strong]]), axis=0, return_index=True)
+    share, owner = share[strong[first]], owner[strong[first]]
     order = np.lexsort((-share, owner))
     share, owner = share[order], owner[order]
     place = np.arange(len(owner)) - np.searchsorted(owner, owner)
-    out = np.full((len(n_words), _TOP + 1), logit(np.float64(max(_WEAK, base))))
+    out = np.full((len(n_words), _DENSE), logit(np.float64(floor)))
     for k in range(_TOP):
         at = place == k
         out[owner[at], k] = logit(np.clip(share[at].astype(np.float64), 1e-6, 1 - 1e-6))
     out[:, _TOP] = np.log1p(n_words)
+    # One word that is nearly always toxic says more than its logit times a few.
+    out[:, _TOP + 1] = np.maximum(out[:, 0], 0) ** 2
     return out
 
 
@@ -292,7 +310,7 @@ def train_toxicity(docs: DataFrame, labels: DataFrame, usable: F.Column, max_row
             restorers.append(Restorer(chars.value))
         return restorers[0]
 
-    evidence = gather(rows, lambda part: _features(part, restorer())[:2], _PRIOR_ROWS)
+    evidence = gather(rows, lambda part: _flat(_features(part, restorer())), _PRIOR_ROWS)
     base = _base(evidence)
     halves = spark.sparkContext.broadcast([evidence.shares((1,)), evidence.shares((0,))])
 
@@ -305,7 +323,7 @@ def train_toxicity(docs: DataFrame, labels: DataFrame, usable: F.Column, max_row
                 yield pa.RecordBatch.from_arrays([pa.array(x.tolist(), pa.list_(pa.float64())), part.column("label")], names=["x", "label"])
 
     collected = rows.mapInArrow(dense, "x array<double>, label int").collect()
-    x = np.array([r.x for r in collected], float).reshape(-1, _TOP + 1)
+    x = np.array([r.x for r in collected], float).reshape(-1, _DENSE)
     weights = fit_logistic(x, np.array([r.label for r in collected], float))
     return ToxicityModel(chars.value, evidence.shares((0, 1)), base, weights)
 
