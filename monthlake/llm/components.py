@@ -44,3 +44,26 @@ def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
         following = scratch.put(_small_star(_large_star(current).distinct()).distinct(), "edges")
         scratch.drop(current)
         current = following
+
+
+def across(members: DataFrame, group: str, scratch: Scratch, extra: tuple[str, ...] = ()) -> DataFrame:
+    """Pairs of a group's members that lie in different components, once or more each.
+
+    ``members`` has the group, node, root and ``extra``; the pairs have node_a, node_b and
+    so on. A group whose members are all of one component gives none, and a component
+    that most of a group belongs to is not paired with itself: its rows only meet the
+    group's others.
+    """
+    mixed = (
+        members.groupBy(group, "root")
+        .count()
+        .groupBy(group)
+        .agg(F.max_by("root", F.struct("count", "root")).alias("most"), F.count("*").alias("roots"))
+        .where("roots > 1")
+        .select(group, "most")
+    )
+    contested = scratch.put(members.join(mixed, group), "contested")
+    columns = ("node", "root", *extra)
+    x = contested.where("root <> most").select(group, *(F.col(c).alias(f"{c}_a") for c in columns))
+    y = contested.select(group, "most", *(F.col(c).alias(f"{c}_b") for c in columns))
+    return x.join(y, group).where("root_a <> root_b AND (root_b = most OR node_a < node_b)")

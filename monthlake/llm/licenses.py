@@ -3,12 +3,13 @@
 Units of a text are its lines, its paragraphs (lines between empty ones) and the whole.
 Each is normalised (lower case; runs of what is neither letter nor digit are one blank)
 and becomes the set of its word bigrams. Dice with a template is twice the common bigrams
-over the sum of both sizes. A unit of n words has at most n - 1 bigrams, and at a Dice of
-t or more the smaller set has at least t / (2 - t) of the larger, so most units are too
-small or too large for every template; these are dropped before any bigram is made, and
-the others meet only the templates within their bounds, through a shared bigram.
+over the sum of both sizes. At a Dice of t or more the smaller set has at least t / (2 - t)
+of the larger: a unit with too few words for every template makes no bigrams, one with
+too few or too many bigrams meets no template, and the others meet the templates within
+their bounds.
 
-The templates are a fixed, short list and are broadcast.
+All is one expression over a document; the templates are literals in it, and nothing is
+shuffled.
 
 Defined results: null and empty texts, and texts without a match, have no licences. Of a
 unit the best template counts, of ties the first by name; of a text each licence once,
@@ -18,6 +19,8 @@ lines are units like others. Other columns are passed through; ``licenses`` is r
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -52,67 +55,152 @@ TEMPLATES = (
 
 
 def normal(text: Column) -> Column:
+    """Lower case; what is neither letter nor digit is one blank, and none at the ends."""
     return F.trim(F.regexp_replace(F.lower(text), r"[^\p{L}\p{N}]+", " "))
 
 
+def template_bigrams(listed=TEMPLATES) -> list[tuple[str, int, list[str]]]:
+    """(license, number, bigrams) of the templates with two words or more; ASCII text."""
+    out = []
+    for number, (name, text) in enumerate(listed):
+        words = re.sub("[^a-z0-9]+", " ", text.lower()).split()
+        if bigrams := sorted({f"{a} {b}" for a, b in zip(words, words[1:], strict=False)}):
+            out.append((name, number, bigrams))
+    return out
+
+
 def _bigrams(words: Column) -> Column:
-    """The distinct neighbours among words."""
-    pairs = F.zip_with(
-        F.slice(words, F.lit(1), F.greatest(F.size(words) - 1, F.lit(0))),
-        F.slice(words, F.lit(2), F.greatest(F.size(words) - 1, F.lit(0))),
-        lambda a, b: F.concat_ws(" ", a, b),
+    rest = F.size(words) - 1
+    return F.array_distinct(
+        F.zip_with(F.slice(words, F.lit(1), rest), F.slice(words, F.lit(2), rest), lambda a, b: F.concat_ws(" ", a, b))
     )
-    return F.array_distinct(pairs)
 
 
-def templates(spark, listed=TEMPLATES) -> DataFrame:
-    """(license, template, size, bigrams) of each template with two words or more."""
-    rows = [(name, number, text) for number, (name, text) in enumerate(listed)]
-    made = spark.createDataFrame(rows, "license string, template int, text string")
-    return made.select("license", "template", _bigrams(F.split(normal(F.col("text")), " ")).alias("bigrams")).select(
-        "*", F.size("bigrams").alias("size")
-    ).where("size > 0")
+def _units(text: Column) -> Column:
+    """Array of (kind, number, text); what would be the same unit again is left out."""
 
+    def unit(kind: str, number: Column, part: Column) -> Column:
+        return F.struct(F.lit(kind).alias("kind"), number.cast("int").alias("number"), part.alias("text"))
 
-def scan_licenses(docs: DataFrame, listed=TEMPLATES, least_dice: float = LEAST_DICE) -> DataFrame:
-    """Documents with ``licenses``: array of (license, dice, template, unit), sorted by name.
+    lines = F.split(text, "\n")
+    paragraphs = F.split(text, "\n[ \t\r]*\n")
+    none = F.array().cast("array<struct<kind: string, number: int, text: string>>")
+    return F.concat(
+        F.transform(lines, lambda x, i: unit("line", i, x)),
+        F.when(F.size(paragraphs) > 1, F.transform(paragraphs, lambda x, i: unit("paragraph", i, x))).otherwise(none),
+        F.when(F.size(lines) > 1, F.array(unit("text", F.lit(0), text))).otherwise(none),
+    )
 
-    ``unit`` is ``line`` and its number from 0, ``paragraph`` and its number, or ``text``.
-    """
-    spark = docs.sparkSession
-    kept = docs.drop("licenses", "_row")
-    numbered = kept.withColumn("_row", F.monotonically_increasing_id())
-    return numbered.withColumn("licenses", _found(spark, listed, least_dice)).select(*kept.columns, "licenses")
 
+def licenses_of(text: Column, listed=TEMPLATES, least_dice: float = LEAST_DICE) -> Column:
+    """Array of (license, permille, template, kind, number) by name, each licence once.
 
-def _sizes(listed) -> list[int]:
-    """How many distinct bigrams each template has; the same normal form as ``normal``."""
-    import re
+    ``permille`` is a thousand times Dice, rounded down.
+    """
+    entries = template_bigrams(listed)
+    ratio = least_dice / (2 - least_dice)
+    low = min(len(b) for *_, b in entries) * ratio
+    high = max(len(b) for *_, b in entries) / ratio
+    templates = F.array(
+        *(
+            F.struct(
+                F.lit(name).alias("license"),
+                F.lit(number).alias("template"),
+                F.lit(len(bigrams)).alias("size"),
+                F.array(*map(F.lit, bigrams)).alias("bigrams"),
+            )
+            for name, number, bigrams in entries
+        )
+    )
+    all_bigrams = F.array(*map(F.lit, sorted({b for *_, bigrams in entries for b in bigrams})))
 
-    words = [re.sub(r"[\W_]+", " ", text.lower()).split() for _, text in listed]
-    return [len(set(zip(w, w[1:], strict=False))) for w in words]
+    def with_field(unit: Column, name: str, value: Column) -> Column:
+        return F.struct(unit["kind"].alias("kind"), unit["number"].alias("number"), value.alias(name))
 
+    split = F.transform(_units(F.coalesce(text, F.lit(""))), lambda u: with_field(u, "words", F.split(normal(u["text"]), " ")))
+    large = F.filter(split, lambda u: F.size(u["words"]) - 1 >= F.lit(max(low, 1.0)))
+    sets = F.transform(large, lambda u: with_field(u, "bigrams", _bigrams(u["words"])))
+    near = F.filter(
+        sets,
+        lambda u: F.size(u["bigrams"]).between(F.lit(low), F.lit(high)) & F.arrays_overlap(u["bigrams"], all_bigrams),
+    )
 
-def _found(spark, listed, least_dice: float) -> Column:
-    """The licences of ``text``, as one expression: there is nothing to shuffle."""
-    import re
+    def met(unit: Column) -> Column:
+        """(license, permille, …) of the templates within the unit's bounds."""
+        n = F.size(unit["bigrams"])
+        within = F.filter(templates, lambda t: (n >= t["size"] * ratio) & (n <= t["size"] / ratio))
+        return F.transform(
+            within,
+            lambda t: F.struct(
+                t["license"].alias("license"),
+                F.floor(F.lit(2000) * F.size(F.array_intersect(unit["bigrams"], t["bigrams"])) / (n + t["size"])).cast("int").alias("permille"),
+                t["template"].alias("template"),
+                unit["kind"].alias("kind"),
+                unit["number"].alias("number"),
+            ),
+        )
+
+    matches = F.filter(F.flatten(F.transform(near, met)), lambda m: m["permille"] >= F.lit(least_dice * 1000))
+    # A unit's best template, and of a licence's units the best and first.
+    def better(a: Column, b: Column) -> Column:
+        return (a["permille"] > b["permille"]) | (
+            (a["permille"] == b["permille"]) & ((a["license"] < b["license"]) | ((a["license"] == b["license"]) & (a["template"] < b["template"])))
+        )
+
+    best = F.filter(
+        matches,
+        lambda m: ~F.exists(matches, lambda o: (o["kind"] == m["kind"]) & (o["number"] == m["number"]) & better(o, m)),
+    )
+    once = F.filter(
+        best,
+        lambda m: ~F.exists(
+            best,
+            lambda o: (o["license"] == m["license"])
+            & (
+                (o["permille"] > m["permille"])
+                | ((o["permille"] == m["permille"]) & (F.struct(o["kind"], o["number"], o["template"]) < F.struct(m["kind"], m["number"], m["template"])))
+            ),
+        ),
+    )
+    return F.array_sort(once)
 
-    entries = []
-    for number, (name, text) in enumerate(listed):
-        words = re.sub(r"[\W_]+", " ", text.lower()).split()
-        bigrams = sorted({f"{a} {b}" for a, b in zip(words, words[1:], strict=False)})
-        if bigrams:
-            entries.append((name, number, bigrams))
-    least = min(len(b) for *_, b in entries)
-    most = max(len(b) for *_, b in entries)
-    low = least * least_dice / (2 - least_dice)
-    high = most * (2 - least_dice) / least_dice
-    body = F.coalesce(F.col("text"), F.lit(""))
-
-    def unit(kind: str, number: Column, text: Column) -> Column:
-        return F.struct(F.lit(kind).alias("kind"), number.cast("int").alias("number"), text.alias("text"))
-
-    lines = F.transform(F.split(body, "\n"), lambda x, i: unit("line", i, x))
-    paragraphs = F.transform(F.split(body, r"\n[ \t\r]*\n"), lambda x, i: unit("paragraph", i, x))
-    whole = F.array(unit("text", F.lit(0), body))
-    return F.lit(None)
+
+def scan_licenses(docs: DataFrame, listed=TEMPLATES, least_dice: float = LEAST_DICE) -> DataFrame:
+    """Documents with ``licenses``, as ``licenses_of`` gives them for ``text``."""
+    return docs.drop("licenses").withColumn("licenses", licenses_of(F.col("text"), listed, least_dice))
+
+
+def oracle(listed=TEMPLATES, least_dice: float = LEAST_DICE) -> str:
+    """DuckDB SQL for (doc_id, licenses, n_licenses, best_permille) of ``documents``."""
+    values = ", ".join(f"('{name}', {number}, '{text.replace(chr(39), chr(39) * 2)}')" for number, (name, text) in enumerate(listed))
+    bigrams = "list_distinct(list_transform(range(1, len(w)), i -> w[i] || ' ' || w[i + 1]))"
+    normal_sql = "trim(regexp_replace(lower({}), '[^\\p{{L}}\\p{{N}}]+', ' ', 'g'))".replace("\\\\", "\\")
+    return f"""
+WITH listed (license, template, notice) AS (VALUES {values}),
+templates AS (
+  SELECT license, template, {bigrams} AS b
+  FROM (SELECT license, template, string_split({normal_sql.format('notice')}, ' ') AS w FROM listed)),
+numbered AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
+lines AS (SELECT r, string_split(text, chr(10)) AS l, text FROM numbered),
+units AS (
+  SELECT r, 'line' AS kind, unnest(range(0, len(l))) AS number, unnest(l) AS u FROM lines
+  UNION ALL
+  SELECT r, 'paragraph', unnest(range(0, len(p))), unnest(p)
+  FROM (SELECT r, string_split_regex(text, '\n[ \t\r]*\n') AS p FROM numbered) WHERE len(p) > 1
+  UNION ALL
+  SELECT r, 'text', 0, text FROM lines WHERE len(l) > 1),
+sets AS (
+  SELECT r, kind, number, {bigrams} AS b
+  FROM (SELECT r, kind, number, string_split({normal_sql.format('u')}, ' ') AS w FROM units)
+  WHERE len(w) >= 2),
+met AS (
+  SELECT r, kind, number, license, template,
+    (2000 * len(list_intersect(sets.b, templates.b))) // (len(sets.b) + len(templates.b)) AS permille
+  FROM sets JOIN templates ON len(sets.b) <= 3 * len(templates.b) AND list_has_any(sets.b, templates.b)),
+best AS (
+  SELECT *, row_number() OVER (PARTITION BY r, kind, number ORDER BY permille DESC, license, template) AS place
+  FROM met WHERE permille >= {round(least_dice * 1000)}),
+once AS (SELECT r, license, max(permille) AS permille FROM best WHERE place = 1 GROUP BY r, license)
+SELECT doc_id, coalesce(string_agg(license, ',' ORDER BY license), '') AS licenses,
+  count(license) AS n_licenses, coalesce(max(permille), 0)::BIGINT AS best_permille
+FROM numbered LEFT JOIN once USING (r) GROUP BY r, doc_id"""

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+TOKENIZERS = os.environ.get("MONTHLAKE_TOKENIZERS", "/opt/tokenizers")
 _ROOT = Path(__file__).resolve().parents[2]
 _shipped: set[str] = set()
 
@@ -41,6 +42,51 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the text that is left of it when each line stays once."""
+    from monthlake.llm.lines import dedup_lines
+
+    return dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def op2_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The licences that every document names, and the best Dice."""
+    from monthlake.llm.licenses import scan_licenses
+
+    found = scan_licenses(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    names = F.transform("licenses", lambda m: m["license"])
+    return found.select(
+        "doc_id",
+        F.array_join(names, ",").alias("licenses"),
+        F.size("licenses").cast("long").alias("n_licenses"),
+        F.coalesce(F.array_max(F.transform("licenses", lambda m: m["permille"])), F.lit(0)).cast("long").alias("best_permille"),
+    )
+
+
+def op3_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best by inner product for every hundredth vector."""
+    from monthlake.llm.mtree import top_k
+
+    return top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The quality of every document by two views, learned from labels that are not held out."""
+    from monthlake.llm.language import held_out, learnable
+    from monthlake.llm.quality import score_quality, train_quality
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    model = train_quality(docs, table(spark, sf_dir, "labels"), learnable())
+    return score_quality(docs, model).select(
+        "doc_id",
+        held_out().alias("held_out"),
+        "score_text",
+        "score_page",
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
 def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with the size of its shingle set, its component and its class."""
     from monthlake.llm.jaccard import similar_documents
@@ -58,6 +104,15 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return named.select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
 
 
+def op7_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every sequence of all documents with its slot and its place in the shards."""
+    from monthlake.llm.training_order import materialise
+    from monthlake.work import new_folder
+
+    docs = table(spark, sf_dir, "documents")
+    return materialise(docs, new_folder(spark, "shards"), f"{TOKENIZERS}/byte_bpe_50k.tiktoken", key=20_240_229)
+
+
 def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of every document that lie in a window of a benchmark item."""
     from monthlake.llm.decontaminate import items_digest, match_items, n_hit
@@ -91,8 +146,13 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _QUERIES = (
+    op1_line_dedup,
+    op2_license_scans,
+    op3_exact_top_k,
+    op4_quality_classifier,
     op5_ngram_jaccard_join,
     op6_language_id,
+    op7_training_order,
     op8_benchmark_decontamination,
     op10_toxicity,
 )
@@ -103,4 +163,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    from monthlake.llm import licenses
+
+    return {"op2_license_scans": licenses.oracle()}

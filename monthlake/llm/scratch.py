@@ -2,11 +2,31 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 
 from monthlake.work import new_folder, remove_folder
 
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def _shuffles_cleaned(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of what runs in here go as it ends: its result is a table."""
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(_CLEANUP)
+        else:
+            spark.conf.set(_CLEANUP, before)
+
+
 class Scratch:
     """Writes frames as tables; ``drop`` takes what ``put`` gave.
 
@@ -20,7 +40,8 @@ class Scratch:
 
     def put(self, df: DataFrame, purpose: str, codec: str = "zstd") -> DataFrame:
         folder = new_folder(self.spark, purpose)
-        df.write.option("compression", codec).parquet(f"{folder}/table")
+        with _shuffles_cleaned(self.spark):
+            df.write.option("compression", codec).parquet(f"{folder}/table")
         table = self.spark.read.schema(df.schema).parquet(f"{folder}/table")
         self._folders[id(table)] = (table, folder)
         return table
