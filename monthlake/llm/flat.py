@@ -122,16 +122,25 @@ class Words:
         return span_hashes(LOWER[self.data], self.start, self.end)
 
 
+class SpanHashes:
+    """64 bits for spans of bytes, or of other small numbers; made once, asked often."""
+
+    def __init__(self, values: np.ndarray):
+        n = len(values)
+        with np.errstate(over="ignore"):
+            terms = _BYTE_VALUES[values] if values.dtype == np.uint8 else mix(values.astype(np.uint64))
+            self.sums = np.zeros(n + 1, np.uint64)
+            np.cumsum(terms * _powers_of(_BASE, n)[:n], out=self.sums[1:])
+        self.back = _powers_of(_INVERSE, n + 1)
+
+    def __call__(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        with np.errstate(over="ignore"):
+            return mix((self.sums[end] - self.sums[start]) * self.back[start] + (end - start).astype(np.uint64))
+
+
 def span_hashes(values: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """64 bits for each span of bytes (or of other small numbers)."""
-    if len(start) == 0:
-        return np.zeros(0, np.uint64)
-    with np.errstate(over="ignore"):
-        terms = _BYTE_VALUES[values] if values.dtype == np.uint8 else mix(values.astype(np.uint64))
-        sums = np.zeros(len(values) + 1, np.uint64)
-        np.cumsum(terms * _powers_of(_BASE, len(values))[: len(values)], out=sums[1:])
-        h = (sums[end] - sums[start]) * _powers_of(_INVERSE, len(values))[start]
-        return mix(h + (end - start).astype(np.uint64))
+    """The hash of each span."""
+    return SpanHashes(values)(start, end) if len(start) else np.zeros(0, np.uint64)
 
 
 def shingles(words: np.ndarray, of_text: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:

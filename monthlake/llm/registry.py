@@ -130,6 +130,14 @@ def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     )
 
 
+def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's pieces and sampled segmentations with their scores."""
+    from monthlake.llm.segment import segment
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return segment(docs, f"{TOKENIZERS}/piece_bpe_32k.model").drop("text")
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The toxicity of every document, learned from labels that are not held out."""
     from monthlake.llm.language import held_out, learnable
@@ -154,6 +162,7 @@ _QUERIES = (
     op6_language_id,
     op7_training_order,
     op8_benchmark_decontamination,
+    op9_sentencepiece,
     op10_toxicity,
 )
 

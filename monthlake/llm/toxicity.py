@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from monthlake.llm.evidence import BITS, Evidence, fit_logistic, gather, labelled_sample, logit, sigmoid
-from monthlake.llm.flat import LOWER, Words, byte_table, seed, slices, span_hashes, texts, mix
+from monthlake.llm.flat import LOWER, SpanHashes, Words, byte_table, mix, seed, slices, texts
 
 MAX_LABELLED = 20_000
 THRESHOLD = 0.3
@@ -238,13 +238,13 @@ _ASPECTS = (("word", 0, 0), ("first 4", 4, 0), ("first 5", 5, 0), ("first 6", 6,
 def _word_features(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Buckets by aspect and word, -1 for none; the text of each word; words per text."""
     words = Words(data, at, _WORD_BYTES)
-    lowered = LOWER[data]
+    hashes = SpanHashes(LOWER[data])
     buckets = np.full((len(_ASPECTS), len(words)), -1, np.int64)
     for i, (name, first, last) in enumerate(_ASPECTS):
         kept = np.flatnonzero(words.end - words.start > max(first, last))
         start, end = words.start[kept], words.end[kept]
         start, end = (end - last if last else start), (start + first if first else end)
-        h = mix(span_hashes(lowered, start, end) ^ seed(name))
+        h = mix(hashes(start, end) ^ seed(name))
         buckets[i, kept] = h >> np.uint64(64 - BITS)
     return buckets, words.text_index(), words.counts()
 
