@@ -173,7 +173,7 @@ def scan_licenses(docs: DataFrame, listed=TEMPLATES, least_dice: float = LEAST_D
 def oracle(listed=TEMPLATES, least_dice: float = LEAST_DICE) -> str:
     """DuckDB SQL for (doc_id, licenses, n_licenses, best_permille) of ``documents``."""
     values = ", ".join(f"('{name}', {number}, '{text.replace(chr(39), chr(39) * 2)}')" for number, (name, text) in enumerate(listed))
-    bigrams = "list_distinct(list_transform(range(1, len(w)), i -> w[i] || ' ' || w[i + 1]))"
+    bigrams = "list_distinct([w[i] || ' ' || w[i + 1] for i in range(1, len(w))])"
     normal_sql = "trim(regexp_replace(lower({}), '[^\\p{{L}}\\p{{N}}]+', ' ', 'g'))".replace("\\\\", "\\")
     return f"""
 WITH listed (license, template, notice) AS (VALUES {values}),
