@@ -153,6 +153,13 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the stages of the corpus pipeline leave of the documents, in pieces."""
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 _QUERIES = (
     op1_line_dedup,
     op2_license_scans,
@@ -164,6 +171,7 @@ _QUERIES = (
     op8_benchmark_decontamination,
     op9_sentencepiece,
     op10_toxicity,
+    pipeline,
 )
 
 
