@@ -20,7 +20,7 @@ from monthlake.llm.language import keep_identified
 from monthlake.llm.lines import keep_new_lines
 from monthlake.llm.registry import TOKENIZERS, ship_package, table
 from monthlake.llm.segment import segment
-from monthlake.work import new_folder
+from monthlake.work import new_folder, remove_folder
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -61,10 +61,13 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``; each result is a table that the next one reads."""
-    docs = table(spark, sf_dir, "documents")
+    docs, last = table(spark, sf_dir, "documents"), ""
     for name, stage in STAGES:
-        path = f"{new_folder(spark, name)}/docs"
+        folder = new_folder(spark, name)
         result = stage(spark, docs, sf_dir)
-        result.write.parquet(path)
-        docs = spark.read.schema(result.schema).parquet(path)
+        result.write.parquet(f"{folder}/docs")
+        docs = spark.read.schema(result.schema).parquet(f"{folder}/docs")
+        if last:
+            remove_folder(spark, last)
+        last = folder
     return docs
