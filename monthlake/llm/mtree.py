@@ -108,10 +108,12 @@ class Tree:
             following = int(nearest.argmax())
             if nearest[following] <= 0:
                 break
-        if len(pivots) < 2:  # all alike
+        groups = [(pivot, rows[owner == i]) for i, pivot in enumerate(pivots)]
+        groups = [(pivot, members) for pivot, members in groups if len(members)]
+        if len(groups) < 2:  # all alike
             size = -(-len(rows) // wanted)
             return [(int(part[0]), part) for part in (rows[i : i + size] for i in range(0, len(rows), size))]
-        return [(pivot, rows[owner == i]) for i, pivot in enumerate(pivots)]
+        return groups
 
 
 class Best:
