@@ -59,12 +59,15 @@ parsed AS (
 )"""
 
 
-def _classified(rows: str = "parsed", year: str = "batch_year", month: str = "batch_month") -> str:
+def _classified(
+    rows: str = "parsed", order: str = '"Date", "Case Number"', id_rule: bool = True
+) -> str:
     """Rules, then the first row per ID and batch among the valid rows."""
+    id_null = """CASE WHEN "ID" IS NULL THEN 'ID_NULL' END,""" if id_rule else ""
     return f"""
 checked AS (
   SELECT *, nullif(concat_ws(';',
-      CASE WHEN "ID" IS NULL THEN 'ID_NULL' END,
+      {id_null}
       CASE WHEN "Primary Type" IS NULL THEN 'PRIMARY_TYPE_NULL' END,
       CASE WHEN event_time IS NULL THEN 'INVALID_DATE'
            WHEN year(event_time) <> "Year" THEN 'YEAR_MISMATCH' END,
@@ -77,8 +80,8 @@ checked AS (
 classified AS (
   SELECT * EXCLUDE (rule_reason), CASE
       WHEN rule_reason IS NOT NULL THEN rule_reason
-      WHEN row_number() OVER (PARTITION BY {year}, {month}, rule_reason IS NULL, "ID"
-                              ORDER BY "Date", "Case Number") > 1 THEN 'DUPLICATE_ID'
+      WHEN row_number() OVER (PARTITION BY batch_year, batch_month, rule_reason IS NULL, "ID"
+                              ORDER BY {order}) > 1 THEN 'DUPLICATE_ID'
     END AS reject_reason
   FROM checked
 )"""
@@ -90,7 +93,13 @@ _TEXT_COLUMNS = """"ID", "Case Number", "Date", "Block", "IUCR", "Primary Type",
   "FBI Code", "X Coordinate", "Y Coordinate", "Year", "Updated On", "Location\""""
 _NO_YEAR = _TEXT_COLUMNS.replace('"Year", ', "")
 _CURATED_COLUMNS = _NO_YEAR + ', "Latitude", "Longitude"'
-_SOURCE_COLUMNS = _TEXT_COLUMNS.replace('"Year"', '"Year" AS "YearReported"')
+# The coordinates with 0 for NaN, which engines do not compare alike, and where that is so.
+_COORDINATES = """,
+  CASE WHEN isnan("Latitude") THEN 0 ELSE "Latitude" END AS "Latitude",
+  CASE WHEN isnan("Longitude") THEN 0 ELSE "Longitude" END AS "Longitude",
+  coalesce(isnan("Latitude"), false) AS latitude_nan, coalesce(isnan("Longitude"), false) AS longitude_nan"""
+_ALL_COLUMNS = _TEXT_COLUMNS + _COORDINATES
+_SOURCE_COLUMNS = _ALL_COLUMNS.replace('"Year"', '"Year" AS "YearReported"')
 
 _MONTH = "batch_year = 2001 AND batch_month = 5"
 _LABEL = "printf('%04d-%02d', batch_year, batch_month)"
@@ -128,19 +137,30 @@ SELECT {_LABEL} AS batch_month, count(*) AS raw,
   count(*) FILTER (reject_reason IS NOT NULL) AS rejected
 FROM classified WHERE {_DATED} GROUP BY batch_year, batch_month"""
 
+_VERIFIED = f"""
+SELECT batch_month, raw, curated, rejected, curated AS visible
+FROM ({_MONTHLY}) WHERE batch_month = '2001-05'"""
+
+_LAKE = f"""
+SELECT batch_month, raw, curated, rejected, curated AS visible, true AS sound FROM ({_MONTHLY})
+UNION ALL
+SELECT '0000-00', count(*), 0, 0, 0, true FROM parsed WHERE event_time IS NULL"""
+
+_REASONS = 'SELECT "Case Number", batch_year, batch_month, reject_reason FROM classified'
+
 _CURATED = f"FROM classified WHERE reject_reason IS NULL AND {_DATED}"
 _REJECTED = f"FROM classified WHERE reject_reason IS NOT NULL AND {_DATED}"
 _AS_KEYS = "batch_year AS year, batch_month AS month"
 
 
-def _emptied(month: str) -> str:
+def _emptied(month: str, select: str) -> str:
     """The records with the primary types of one month taken away."""
     return f"""
 WITH {_INCIDENTS}, {_PARSED},
 changed AS (
   SELECT * REPLACE (CASE WHEN {month} THEN NULL ELSE "Primary Type" END AS "Primary Type")
   FROM parsed
-), {_classified("changed")} {_MONTHLY}"""
+), {_classified("changed")} {select}"""
 
 
 # A raw slice: the month's rows and all undated ones, all of one batch.
@@ -150,13 +170,13 @@ slice AS (
   SELECT * EXCLUDE (batch_year, batch_month), 2001 AS batch_year, 5 AS batch_month
   FROM parsed WHERE event_time IS NULL OR ({_MONTH})
 ), {_classified("slice")}
-SELECT {_NO_YEAR}, reject_reason FROM classified"""
+SELECT {_NO_YEAR}{_COORDINATES}, reject_reason FROM classified"""
 
 
 def oracle_sql() -> dict[str, str]:
     return {
         "dq_classified": _on_classified(
-            f"SELECT {_TEXT_COLUMNS}, batch_year, batch_month, reject_reason FROM classified"
+            f"SELECT {_ALL_COLUMNS}, batch_year, batch_month, reject_reason FROM classified"
         ),
         "dq_reason_counts": _on_classified(
             "SELECT reject_reason, count(*) AS cnt FROM classified GROUP BY reject_reason"
@@ -166,12 +186,22 @@ def oracle_sql() -> dict[str, str]:
             "FROM classified WHERE reject_reason IS NULL"
         ),
         "dq_rejected": _on_classified(
-            f"SELECT {_TEXT_COLUMNS}, batch_year, batch_month, reject_reason "
+            f"SELECT {_ALL_COLUMNS}, batch_year, batch_month, reject_reason "
             "FROM classified WHERE reject_reason IS NOT NULL"
         ),
         "dq_month_counts": _on_classified(
             f"SELECT {_AS_KEYS}, count(*) AS cnt {_CURATED} GROUP BY ALL ORDER BY year, month"
         ),
+        "dedupe_parts": _on_classified(_REASONS),
+        "dedupe_null_keys": f"WITH {_INCIDENTS}, {_PARSED}, {_classified(id_rule=False)} {_REASONS}",
+        "dedupe_by_time": (
+            f"WITH {_INCIDENTS}, {_PARSED}, "
+            f"{_classified(order='event_time, \"Case Number\"')} {_REASONS}"
+        ),
+        "dedupe_descending": (
+            f"WITH {_INCIDENTS}, {_PARSED}, "
+            f"{_classified(order='\"Date\" DESC, \"Case Number\" DESC')} {_REASONS}"
+        ),
         "reconcile": _on_classified(
             """SELECT batch_year, batch_month, count(*) AS raw,
                  count(*) FILTER (reject_reason IS NULL) AS curated,
@@ -196,23 +226,24 @@ def oracle_sql() -> dict[str, str]:
             """SELECT coalesce(batch_year, 0) AS year, coalesce(batch_month, 0) AS month,
                  count(*) AS rows FROM parsed GROUP BY ALL"""
         ),
-        "read_month": _on_parsed(f"SELECT {_TEXT_COLUMNS} FROM parsed WHERE {_MONTH}"),
+        "read_month": _on_parsed(f"SELECT {_ALL_COLUMNS} FROM parsed WHERE {_MONTH}"),
         "require_month": _on_parsed(f"SELECT count(*) AS rows FROM parsed WHERE {_MONTH}"),
         "raw_month_slice": _on_parsed(
-            f"SELECT {_TEXT_COLUMNS} FROM parsed WHERE event_time IS NULL OR ({_MONTH})"
+            f"SELECT {_ALL_COLUMNS} FROM parsed WHERE event_time IS NULL OR ({_MONTH})"
         ),
         "raw_month_batch": _RAW_BATCH,
-        "csv_scan": _on_incidents(f'SELECT {_TEXT_COLUMNS}, "Longitude" FROM incidents'),
+        "csv_scan": _on_incidents(f"SELECT {_ALL_COLUMNS} FROM incidents"),
         "batch_counts": _on_classified(_MONTHLY),
         "curated_rows": _on_classified(f"SELECT {_CURATED_COLUMNS}, {_AS_KEYS} {_CURATED}"),
         "rejected_rows": _on_classified(
-            f"SELECT {_TEXT_COLUMNS}, reject_reason, {_LABEL} AS batch_month {_REJECTED}"
+            f"SELECT {_ALL_COLUMNS}, reject_reason, {_LABEL} AS batch_month {_REJECTED}"
         ),
-        "curated_rerun": _on_classified(f'SELECT "Case Number", {_AS_KEYS} {_CURATED}'),
+        "curated_rerun": _on_classified(f"SELECT {_CURATED_COLUMNS}, {_AS_KEYS} {_CURATED}"),
         "rejected_rerun": _on_classified(
-            f'SELECT "Case Number", reject_reason, {_LABEL} AS batch_month {_REJECTED}'
+            f"SELECT {_ALL_COLUMNS}, reject_reason, {_LABEL} AS batch_month {_REJECTED}"
         ),
-        "emptied_month_rerun": _emptied(_MONTH),
+        "emptied_month_rerun": _emptied(_MONTH, _LAKE),
+        "verify_empty_month": _emptied(_MONTH, _VERIFIED),
         "month_slice": _on_classified(
             f"SELECT {_CURATED_COLUMNS}, {_AS_KEYS} {_CURATED} AND {_MONTH}"
         ),
@@ -228,16 +259,11 @@ def oracle_sql() -> dict[str, str]:
                   CAST(sum(cnt) OVER (ORDER BY year, month) AS BIGINT) AS total
                 FROM (SELECT {_AS_KEYS}, count(*) AS cnt {_CURATED} GROUP BY ALL)"""
         ),
-        "verify_month": _on_classified(
-            f"SELECT batch_month, raw, curated, rejected, curated AS visible "
-            f"FROM ({_MONTHLY}) WHERE batch_month = '2001-05'"
-        ),
-        "verify_lake": _on_classified(
-            f"""SELECT batch_month, raw, curated, rejected, curated AS visible, true AS sound
-                FROM ({_MONTHLY})
-                UNION ALL
-                SELECT '0000-00', count(*), 0, 0, 0, true FROM parsed WHERE event_time IS NULL"""
+        "verify_month": _on_classified(_VERIFIED),
+        "explain_month": _on_parsed(
+            f"SELECT {_AS_KEYS}, count(*) AS rows FROM parsed WHERE {_MONTH} GROUP BY ALL"
         ),
+        "verify_lake": _on_classified(_LAKE),
         "top_categories": """
             SELECT o_orderpriority AS category, count(*) AS cnt FROM orders
             GROUP BY o_orderpriority ORDER BY 2 DESC""",
@@ -257,4 +283,5 @@ def oracle_sql() -> dict[str, str]:
         "word_count": _WORDS,
         "word_count_lines": _LINE_WORDS,
         "report_csv": _WORDS,
+        "report_csv_parts": _WORDS,
     }

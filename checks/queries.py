@@ -16,14 +16,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from monthlake import BatchMonth, Zones, fixtures
+from monthlake.functions import event_time
 from monthlake.operators import (
     classify,
     cumulative_months,
     dedupe_first,
+    incident_rules,
     is_valid,
     month_counts,
     preview,
     split,
+    time_order,
     top_categories,
     total_count,
     word_count,
@@ -31,7 +34,7 @@ from monthlake.operators import (
 from monthlake.plans import (
     CsvProfile,
     build_source,
-    explain_month,
+    pruned_partitions,
     list_partitions,
     process_months,
     process_raw_month,
@@ -65,7 +68,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 MONTH = BatchMonth.parse("2001-05")
 
 # The coordinates can be NaN in rejected rows, which engines do not compare alike.
-COORDINATES = ["Latitude", "Longitude"]
+COORDINATES = {"Latitude": "latitude_nan", "Longitude": "longitude_nan"}
 BATCH_NAMES = dict(zip(BATCH_KEYS, ["batch_year", "batch_month"]))
 
 
@@ -119,12 +122,44 @@ def classified(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedupe_first(classify(records), row_id=fixtures.ROW_ID)
 
 
+def _plain(df: DataFrame) -> DataFrame:
+    """The coordinates with 0 for NaN, and columns that tell where that is so."""
+    for name, flag in COORDINATES.items():
+        nan = F.coalesce(F.isnan(name) & F.col(name).isNotNull(), F.lit(False))
+        df = df.withColumn(flag, nan).withColumn(name, F.nanvl(name, F.lit(0.0)))
+    return df
+
+
 def _named(df: DataFrame) -> DataFrame:
     return df.withColumnsRenamed(BATCH_NAMES)
 
 
 def dq_classified(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _named(classified(spark, sf_dir)).drop(*COORDINATES)
+    return _plain(_named(classified(spark, sf_dir)))
+
+
+def _reasons(spark: SparkSession, sf_dir: str, rules=None, **settings) -> DataFrame:
+    """The reason of every record, deduplicated with these settings."""
+    checked = classify(fixtures.batched(fixtures.incidents(spark, sf_dir)), rules)
+    marked = dedupe_first(checked, row_id=fixtures.ROW_ID, **settings)
+    return _named(marked.select("Case Number", *BATCH_KEYS, "reject_reason"))
+
+
+def dedupe_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every contested key is ranked in several tasks, then between them."""
+    return _reasons(spark, sf_dir, rows_per_task=1)
+
+
+def dedupe_null_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _reasons(spark, sf_dir, rules=incident_rules()[1:])
+
+
+def dedupe_by_time(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _reasons(spark, sf_dir, order=time_order())
+
+
+def dedupe_descending(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _reasons(spark, sf_dir, order=[F.desc("Date"), F.desc("Case Number")])
 
 
 def dq_reason_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -138,7 +173,7 @@ def dq_curated(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def dq_rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, rejected = split(classified(spark, sf_dir))
-    return _named(rejected).drop(*COORDINATES)
+    return _plain(_named(rejected))
 
 
 def dq_month_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -154,7 +189,7 @@ def reconcile_all(spark: SparkSession, sf_dir: str) -> DataFrame:
 def source_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     zones = Zones(new_folder(spark, "source"))
     build_source(fixtures.incidents(spark, sf_dir), zones)
-    return read_source(spark, zones).drop(*COORDINATES)
+    return _plain(read_source(spark, zones))
 
 
 def source_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -170,7 +205,7 @@ def check_source(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def one_month(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read_month(spark, shared_lake(spark, sf_dir).zones, MONTH).drop(*COORDINATES)
+    return _plain(read_month(spark, shared_lake(spark, sf_dir).zones, MONTH))
 
 
 def month_required(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -178,7 +213,7 @@ def month_required(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_month_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return slice_month_raw(fixtures.incidents(spark, sf_dir), MONTH).drop(*COORDINATES)
+    return _plain(slice_month_raw(fixtures.incidents(spark, sf_dir), MONTH))
 
 
 def raw_month_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -192,13 +227,13 @@ def raw_month_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     no_reason = F.lit(None).cast("string").alias("reject_reason")
     curated = read_curated(spark, zones).drop(*MONTH_KEYS).select("*", no_reason)
     rejected = read_rejected(spark, zones).drop("batch_month", "Year")
-    return curated.unionByName(rejected).drop(*COORDINATES)
+    return _plain(curated.unionByName(rejected))
 
 
 def csv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_folder(spark, "csv") + "/records"
     fixtures.incidents(spark, sf_dir).write.option("header", True).csv(path)
-    return read_incidents_csv(spark, path).drop("Latitude")
+    return _plain(read_incidents_csv(spark, path))
 
 
 def batch_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -210,7 +245,7 @@ def curated_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def rejected_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read_rejected(spark, shared_lake(spark, sf_dir).zones).drop(*COORDINATES)
+    return _plain(read_rejected(spark, shared_lake(spark, sf_dir).zones))
 
 
 def rerun_lake(spark: SparkSession, sf_dir: str) -> Lake:
@@ -222,12 +257,12 @@ def rerun_lake(spark: SparkSession, sf_dir: str) -> Lake:
 
 def curated_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
     zones = _kept(rerun_lake, spark, sf_dir).zones
-    return read_curated(spark, zones).select("Case Number", *MONTH_KEYS)
+    return read_curated(spark, zones)
 
 
 def rejected_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
     zones = _kept(rerun_lake, spark, sf_dir).zones
-    return read_rejected(spark, zones).select("Case Number", "reject_reason", "batch_month")
+    return _plain(read_rejected(spark, zones))
 
 
 def emptied_month_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -240,8 +275,19 @@ def emptied_month_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
     build_source(failing.withColumn("Primary Type", no_type), lake.zones, mode="partitions")
     process_months(spark, lake.zones, [MONTH])
     register_curated(spark, lake.zones, lake.table)
-    lines = verify_lake(spark, lake.zones, lake.table).where("batch_month <> '0000-00' AND sound")
-    return lines.drop("visible", "sound")
+    return verify_lake(spark, lake.zones, lake.table)
+
+
+def empty_month(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A month that never had a valid row is sound, and has no partition in the table."""
+    zones = Zones(new_folder(spark, "lake"))
+    in_month = F.date_trunc("month", event_time("Date")) == F.lit(f"{MONTH.label}-01").cast("timestamp")
+    kind = F.when(in_month, F.lit(None)).otherwise(F.col("Primary Type"))
+    build_source(fixtures.incidents(spark, sf_dir).withColumn("Primary Type", kind), zones)
+    process_months(spark, zones, _source_months(spark, zones))
+    table = f"default.curated_{uuid.uuid4().hex}"
+    register_curated(spark, zones, table)
+    return verify_month(spark, zones, MONTH, table)
 
 
 def month_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -278,7 +324,7 @@ def check_lake(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def month_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return explain_month(spark, shared_lake(spark, sf_dir).zones, MONTH)
+    return pruned_partitions(spark, shared_lake(spark, sf_dir).zones, MONTH)
 
 
 def categories(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -324,12 +370,17 @@ def line_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     return word_count(read_lines(spark, path))
 
 
-def word_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+def word_report(spark: SparkSession, sf_dir: str, single_file: bool = True) -> DataFrame:
     path = new_folder(spark, "report") + "/words"
-    write_report_csv(document_words(spark, sf_dir), path)
+    order = [F.desc("count"), "word"]
+    write_report_csv(document_words(spark, sf_dir), path, single_file=single_file, order=order)
     return spark.read.schema("word string, count bigint").option("header", True).csv(path)
 
 
+def word_report_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return word_report(spark, sf_dir, single_file=False)
+
+
 def in_utc(query: Query) -> Query:
     """The records' dates are written and read without a zone."""
 
@@ -351,6 +402,10 @@ _QUERIES: dict[str, Query] = {
     "dq_curated": dq_curated,
     "dq_rejected": dq_rejected,
     "dq_month_counts": dq_month_counts,
+    "dedupe_parts": dedupe_parts,
+    "dedupe_null_keys": dedupe_null_keys,
+    "dedupe_by_time": dedupe_by_time,
+    "dedupe_descending": dedupe_descending,
     "reconcile": reconcile_all,
     "source_quarantine": source_quarantine,
     "source_reconcile": source_reconcile,
@@ -367,6 +422,7 @@ _QUERIES: dict[str, Query] = {
     "curated_rerun": curated_rerun,
     "rejected_rerun": rejected_rerun,
     "emptied_month_rerun": emptied_month_rerun,
+    "verify_empty_month": empty_month,
     "month_slice": month_slice,
     "catalog_total": catalog_total,
     "catalog_month_counts": catalog_month_counts,
@@ -383,4 +439,5 @@ _QUERIES: dict[str, Query] = {
     "word_count": document_words,
     "word_count_lines": line_words,
     "report_csv": word_report,
+    "report_csv_parts": word_report_parts,
 }

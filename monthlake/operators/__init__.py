@@ -4,8 +4,7 @@ from monthlake.operators.dedupe import (
     contested_keys,
     count_hashes,
     dedupe_first,
-    mark_by_window,
-    mark_by_winner,
+    first_rows,
     time_order,
 )
 from monthlake.operators.layout import MonthLayout
@@ -41,8 +40,7 @@ __all__ = [
     "dedupe_first",
     "incident_rules",
     "is_valid",
-    "mark_by_window",
-    "mark_by_winner",
+    "first_rows",
     "month_counts",
     "preview",
     "reject_reason",

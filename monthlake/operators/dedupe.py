@@ -1,49 +1,36 @@
 """Keep the first row of each key; reject the others as duplicates.
 
-A small frame takes one small shuffle. In a larger one, first the keys with more than
-one valid row are found, by counting 64-bit hashes of the keys: the narrowest shuffle that can tell. Then one
-of two ways marks the rows:
-
-* Few such keys: the first row of each is found by an aggregation that combines inside
-  the tasks, and all rows meet the winners in a broadcast join. No row is shuffled, so
-  neither a month nor a key with a third of all rows makes any task larger.
-* Many such keys: one shuffle brings the rows of a key together and a window ranks
-  them. A key with more rows than a task should take is ranked in many tasks first.
+There is one way, at every size. Keys with more than one valid row are found by counting
+64-bit hashes of the keys, the narrowest shuffle that can tell. Only their rows are
+ranked; a key with more rows than a task should take is ranked in many tasks first. All
+rows then meet the firsts of these keys. Adaptive execution chooses that join by the real
+sizes, and splits it where a key is frequent: with few such keys no row is shuffled.
+
+Null keys are one key, as in a window. Any order that a window takes is honoured.
 """
 
 from __future__ import annotations
 
+import functools
+import operator
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from monthlake.functions import event_time
-from monthlake.operators.layout import ROWS_PER_TASK, MonthLayout
+from monthlake.operators.layout import ROWS_PER_TASK
 from monthlake.operators.rules import is_valid
 from monthlake.schema import BATCH_KEYS, REJECT_REASON
-from monthlake.work import estimated_bytes, stored
 
 DUPLICATE_REASON = "DUPLICATE_ID"
 
 # Dates are compared as text, so 01:00 PM comes before 02:00 AM.
 TEXT_ORDER: tuple[str, ...] = ("Date", "Case Number")
 
-# Contested keys are broadcast up to this number, and shuffled beyond it.
-BROADCAST_KEYS = 1_000_000
-
-# Frames estimated at no more than this take the window without a search: all of it
-# would fit one task.
-SMALL_BYTES = 64 * 1024 * 1024
-
-# Groups over which the window spreads rows that are not ranked with their key.
-SPREAD = 65_536
-
 _HASH = "_hash"
 _ROWS = "_rows"
-_HOT = "_hot"
-_PLACE = "_place"
-_KEY = "_key"
+_PART = "_part"
 _RANK = "_rank"
 _WINNER = "_winner"
 
@@ -53,32 +40,6 @@ def time_order() -> list[Column]:
     return [event_time("Date"), F.col("Case Number")]
 
 
-def dedupe_first(
-    df: DataFrame,
-    *,
-    row_id: str,
-    key: str = "ID",
-    order: Sequence[Column | str] = TEXT_ORDER,
-    scope: Sequence[str] = tuple(BATCH_KEYS),
-    broadcast_keys: int = BROADCAST_KEYS,
-    hot_rows: int = ROWS_PER_TASK,
-    small_bytes: int = SMALL_BYTES,
-) -> DataFrame:
-    """Give ``DUPLICATE_ID`` to every valid row that is not the first of its key in its scope.
-
-    Rows that have a ``reject_reason`` keep it and take no part. ``row_id`` names a
-    column that differs in all rows and is the same whenever a row is read; it settles
-    ties after ``order``. Which way to go is decided here, by the size Spark estimates
-    for ``df`` and, if that is more than ``small_bytes``, by a count of the keys.
-    """
-    if estimated_bytes(df) <= small_bytes:
-        return mark_by_window(df, None, row_id, key, order, scope)
-    contested = contested_keys(df, key, scope)
-    if contested.count() <= broadcast_keys:
-        return mark_by_winner(df, contested, row_id, key, order, scope)
-    return mark_by_window(df, contested, row_id, key, order, scope, hot_rows=hot_rows)
-
-
 def _hash_of(key: str, scope: Sequence[str]) -> Column:
     return F.xxhash64(*scope, key)
 
@@ -100,101 +61,59 @@ def contested_keys(
 ) -> DataFrame:
     """Hashes of the keys with more than one valid row, with the number of those rows.
 
-    A stored table. Two keys may share a hash; they then count as contested without
-    being so, which changes no result.
+    Two keys may share a hash; they then count as contested without being so, which
+    changes no result.
     """
-    return stored(count_hashes(df, key, scope), "contested").where(F.col(_HASH).isNotNull())
-
-
-def _first(order: Sequence[Column | str], row_id: str) -> Column:
-    """A value that is smallest for the first row, with the row's identity in ``row``."""
-    columns = [F.col(c) if isinstance(c, str) else c for c in order]
-    return F.struct(*[c.alias(f"by{i}") for i, c in enumerate(columns)], F.col(row_id).alias("row"))
+    return count_hashes(df, key, scope).where(F.col(_HASH).isNotNull())
 
 
-def _with_duplicates(df: DataFrame, duplicate: Column, columns: Sequence[str]) -> DataFrame:
-    reason = F.when(is_valid() & duplicate, F.lit(DUPLICATE_REASON)).otherwise(F.col(REJECT_REASON))
-    return df.withColumn(REJECT_REASON, reason).select(*columns)
-
-
-def mark_by_winner(
+def first_rows(
     df: DataFrame,
-    contested: DataFrame,
     row_id: str,
     key: str = "ID",
     order: Sequence[Column | str] = TEXT_ORDER,
     scope: Sequence[str] = tuple(BATCH_KEYS),
+    rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
-    """Mark duplicates without a shuffle of rows; ``contested`` has to fit a broadcast."""
-    if contested.isEmpty():
-        return df
-    rows = df.withColumn(_HASH, _hash_of(key, scope))
-    winners = stored(
-        rows.join(F.broadcast(contested.select(_HASH)), _HASH, "left_semi")
-        .groupBy(*scope, key)
-        .agg(F.min(F.when(is_valid(), _first(order, row_id))).alias("first"))
-        .select(*scope, key, F.col("first.row").alias(_WINNER)),
-        "winners",
-    )
-    # One row per contested key.
-    joined = df.join(F.broadcast(winners), [*scope, key], "left")
-    beaten = F.col(_WINNER).isNotNull() & (F.col(_WINNER) != F.col(row_id))
-    return _with_duplicates(joined, beaten, df.columns)
+    """The row identity of the first valid row of every contested key, as ``_winner``."""
+    contested = contested_keys(df, key, scope)
+    rows = df.withColumn(_HASH, F.when(is_valid(), _hash_of(key, scope))).join(contested, _HASH)
+    # A key has as many parts as tasks should share its rows.
+    parts = F.ceil(F.col(_ROWS) / rows_per_task)
+    rows = rows.withColumn(_PART, F.pmod(F.xxhash64(row_id), parts))
+    one_key = [_HASH, *scope, key]
+    for keys in ([*one_key, _PART], one_key):
+        contest = Window.partitionBy(*keys).orderBy(*order, row_id)
+        rows = rows.withColumn(_RANK, F.row_number().over(contest)).where(F.col(_RANK) == 1)
+    return rows.select(*one_key, F.col(row_id).alias(_WINNER))
 
 
-def mark_by_window(
+def dedupe_first(
     df: DataFrame,
-    contested: DataFrame | None,
+    *,
     row_id: str,
     key: str = "ID",
     order: Sequence[Column | str] = TEXT_ORDER,
     scope: Sequence[str] = tuple(BATCH_KEYS),
-    layout: MonthLayout | None = None,
-    hot_rows: int = ROWS_PER_TASK,
+    rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
-    """Mark duplicates by one shuffle; with a ``layout``, the one that lays out the months.
+    """Give ``DUPLICATE_ID`` to every valid row that is not the first of its key in its scope.
 
-    Rejected rows, and rows of keys with more than ``hot_rows`` rows, are spread evenly.
-    ``contested`` may be left out when no key can have that many.
+    Rows that have a ``reject_reason`` keep it and take no part. ``row_id`` names a
+    column that differs in all rows and is the same whenever a row is read; it settles
+    ties after ``order``. ``rows_per_task`` only says how the work is dealt.
     """
-    any_hot = False
-    if contested is not None:
-        # At most (all rows / hot_rows) keys.
-        hot = contested.where(F.col(_ROWS) > hot_rows)
-        any_hot = not hot.isEmpty()
-    if any_hot:
-        flags = hot.select(_HASH, F.lit(True).alias(_HOT))
-        hashed = df.withColumn(_HASH, _hash_of(key, scope)).join(F.broadcast(flags), _HASH, "left")
-        df_hot = hashed.drop(_HASH).withColumn(_HOT, is_valid() & F.col(_HOT).isNotNull())
-    else:
-        df_hot = df.withColumn(_HOT, F.lit(False))
-
-    in_one_place = is_valid() & ~F.col(_HOT)
-    spread = F.when(in_one_place, F.xxhash64(key)).otherwise(F.xxhash64(row_id))
-    placed = df_hot.withColumns(
-        {
-            _PLACE: layout.task(spread) if layout else F.pmod(spread, F.lit(SPREAD)).cast("int"),
-            _KEY: F.when(is_valid(), F.col(key)),
-        }
+    winners = first_rows(df, row_id, key, order, scope, rows_per_task)
+    theirs = {c: f"_of_winner_{i}" for i, c in enumerate([_HASH, *scope, key])}
+    winners = winners.withColumnsRenamed(theirs)
+    rows = df.withColumn(_HASH, F.when(is_valid(), _hash_of(key, scope)))
+    # The hash of a valid row is never null; the keys behind it may be.
+    same = functools.reduce(
+        operator.and_,
+        (F.col(own).eqNullSafe(F.col(other)) for own, other in theirs.items() if own != _HASH),
+        F.col(_HASH) == F.col(theirs[_HASH]),
     )
-    if layout:
-        placed = placed.repartitionById(layout.tasks, F.col(_PLACE))
-    # The place is a function of the key (or spreads a hot key), so adding it to the
-    # window's keys changes no group of an ordinary key and lets the exchange above serve.
-    contest = Window.partitionBy(*scope, _PLACE, _KEY).orderBy(*order, row_id)
-    ranked = placed.withColumn(_RANK, F.row_number().over(contest))
-    if not any_hot:
-        return _with_duplicates(ranked, F.col(_RANK) > 1, df.columns)
-
-    # The firsts of the places of a hot key meet: one row per place, not per record.
-    ranked = stored(ranked, "ranked")
-    winners = (
-        ranked.where(F.col(_HOT) & (F.col(_RANK) == 1))
-        .groupBy(*scope, key)
-        .agg(F.min(_first(order, row_id)).alias("first"))
-        .select(*scope, key, F.col("first.row").alias(_WINNER))
-    )
-    # One row per hot key, which are few.
-    joined = ranked.join(F.broadcast(winners), [*scope, key], "left")
-    beaten = F.when(F.col(_HOT), F.col(_WINNER) != F.col(row_id)).otherwise(F.col(_RANK) > 1)
-    return _with_duplicates(joined, beaten, df.columns)
+    joined = rows.join(winners, same, "left")
+    beaten = F.col(_WINNER).isNotNull() & (F.col(_WINNER) != F.col(row_id))
+    reason = F.when(beaten, F.lit(DUPLICATE_REASON)).otherwise(F.col(REJECT_REASON))
+    return joined.withColumn(REJECT_REASON, reason).select(*df.columns)

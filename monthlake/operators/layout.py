@@ -86,6 +86,7 @@ class MonthLayout:
         """
         year, month = BATCH_KEYS
         position = F.col(year) * 12 + F.col(month) - F.lit(self.first_ordinal - 1)
-        start = F.element_at(F.lit(list(self.starts)), position)
-        width = F.element_at(F.lit(list(self.widths)), position)
+        inside = F.when(position >= 1, position).otherwise(F.raise_error(F.lit("a month before the first")))
+        start = F.element_at(F.lit(list(self.starts)), inside)
+        width = F.element_at(F.lit(list(self.widths)), inside)
         return (start + F.pmod(spread, width)).cast("int")

@@ -24,7 +24,10 @@ from monthlake.plans.profile import CsvProfile, profile_csv, schema_rows
 from monthlake.plans.verify import (
     VerificationError,
     explain_month,
+    pruned_partitions,
     require_month,
+    require_months,
+    require_sound,
     verify_lake,
     verify_month,
     verify_raw_month,
@@ -32,6 +35,9 @@ from monthlake.plans.verify import (
 )
 
 __all__ = [
+    "require_sound",
+    "require_months",
+    "pruned_partitions",
     "CURATED_TABLE",
     "CsvProfile",
     "LoadCounts",

@@ -8,13 +8,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from monthlake.months import BatchMonth
-from monthlake.operators.dedupe import (
-    BROADCAST_KEYS,
-    TEXT_ORDER,
-    contested_keys,
-    mark_by_window,
-    mark_by_winner,
-)
+from monthlake.operators.dedupe import TEXT_ORDER, dedupe_first
 from monthlake.operators.layout import ROWS_PER_TASK, MonthLayout
 from monthlake.operators.row_id import ROW_ID, with_row_id
 from monthlake.operators.rules import RuleGroup, classify, is_valid
@@ -34,7 +28,7 @@ from monthlake.sinks.partitions import (
 )
 from monthlake.sources.files import read_incidents_csv
 from monthlake.sources.lake import as_records, count_months, labelled_counts, scan_months
-from monthlake.work import path_exists, stored
+from monthlake.work import borrowed, existing_children
 from monthlake.zones import Zones
 
 RECONCILIATION = "batch_month string, raw bigint, curated bigint, rejected bigint"
@@ -77,11 +71,11 @@ def process_raw_month(
     The text is parsed once; what follows reads columns.
     """
     year, month_number = BATCH_KEYS
-    scan = stored(read_incidents_csv(spark, zones.raw_month(month)), "raw")
-    rows = with_row_id(scan, INCIDENT_COLUMNS).withColumns(
-        {year: F.lit(month.year), month_number: F.lit(month.month)}
-    )
-    return process_batch(rows, zones, {month: scan.count()}, **settings)
+    with borrowed(read_incidents_csv(spark, zones.raw_month(month)), "raw") as scan:
+        rows = with_row_id(scan, INCIDENT_COLUMNS).withColumns(
+            {year: F.lit(month.year), month_number: F.lit(month.month)}
+        )
+        return process_batch(rows, zones, {month: scan.count()}, **settings)
 
 
 def process_batch(
@@ -91,7 +85,6 @@ def process_batch(
     *,
     rules: Sequence[RuleGroup] | None = None,
     order: Sequence[Column | str] = TEXT_ORDER,
-    broadcast_keys: int = BROADCAST_KEYS,
     rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """Check ``rows`` and write the valid and the rejected ones.
@@ -101,35 +94,22 @@ def process_batch(
     rows to read, and rows found in curated and rejected after the writes; raises
     `ReconciliationError` where they do not add up.
 
-    A batch of at most ``rows_per_task`` rows takes one small shuffle. In a larger one
-    with few duplicated keys, valid rows go from the scan to their files without a
-    shuffle; with many, one shuffle serves both the search for duplicates and the files.
+    The marked rows are written once, to a table in the shared folder from which both
+    zones are filled and which goes afterwards. A batch of at most ``rows_per_task`` rows
+    is laid out by month for that; in a larger one the rows keep their source's layout.
     """
-    checked = classify(rows, rules)
-    contested = None
-    if sum(raw.values()) > rows_per_task:
-        contested = contested_keys(checked)
-        if contested.count() <= broadcast_keys:
-            marked = mark_by_winner(checked, contested, ROW_ID, order=order)
-            _write(marked, zones, raw, by_month=False)
-            return check_written(rows.sparkSession, zones, raw)
-
-    cores = rows.sparkSession.sparkContext.defaultParallelism
-    layout = MonthLayout.for_counts(raw, rows_per_task, min_tasks=cores)
-    marked = mark_by_window(
-        checked, contested, ROW_ID, order=order, layout=layout, hot_rows=layout.rows_per_task
-    ).persist()
-    try:
-        _write(marked, zones, raw, by_month=True)
-    finally:
-        marked.unpersist()
+    marked = dedupe_first(classify(rows, rules), row_id=ROW_ID, order=order, rows_per_task=rows_per_task)
+    if sum(raw.values()) <= rows_per_task:
+        cores = rows.sparkSession.sparkContext.defaultParallelism
+        layout = MonthLayout.for_counts(raw, rows_per_task, min_tasks=cores)
+        marked = marked.repartitionById(layout.tasks, layout.task(F.xxhash64(ROW_ID)))
+    with borrowed(marked, "marked") as table:
+        _write(table, zones, raw)
     return check_written(rows.sparkSession, zones, raw)
 
 
-def _write(
-    marked: DataFrame, zones: Zones, months: Iterable[BatchMonth], by_month: bool
-) -> None:
-    """Write both zones; ``by_month`` tells that each task holds few months already."""
+def _write(marked: DataFrame, zones: Zones, months: Iterable[BatchMonth]) -> None:
+    """Write both zones, and empty what is left of earlier runs."""
     # Which months have rows of each kind is noted during the first write.
     seen = Observation("months")
     year, month = BATCH_KEYS
@@ -140,7 +120,7 @@ def _write(
         F.collect_set(F.when(~is_valid(), number)).alias("rejected"),
     )
     write_curated(watched.where(is_valid()), zones)
-    write_rejected(marked.where(~is_valid()), zones, gather=not by_month)
+    write_rejected(marked.where(~is_valid()), zones)
 
     found = seen.get
 
@@ -165,8 +145,8 @@ def written_counts(
         .parquet(*[zones.rejected_month(m) for m in months])
     )
     lines = labelled_counts(rejected, "rejected")
-    leaves = [zones.curated_month(m) for m in months]
-    leaves = [leaf for leaf in leaves if path_exists(spark, leaf)]
+    there = existing_children(spark, zones.curated, 2)
+    leaves = [leaf for m in months if (leaf := zones.curated_month(m)).removeprefix(f"{zones.curated}/") in there]
     if leaves:
         curated = (
             spark.read.schema(CURATED_SCHEMA).option("basePath", zones.curated).parquet(*leaves)

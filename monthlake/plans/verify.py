@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,6 +22,7 @@ from monthlake.sources.lake import (
     read_source,
     scan_months,
 )
+from monthlake.work import existing_children
 from monthlake.zones import Zones
 
 QUARANTINE = "0000-00"
@@ -31,23 +34,31 @@ class VerificationError(Exception):
 
 def require_month(spark: SparkSession, zones: Zones, month: BatchMonth) -> DataFrame:
     """The rows of a source month; an error when it is missing or empty."""
-    try:
-        rows = read_months(spark, zones, [month])
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        raise VerificationError(f"source partition missing: {zones.source_month(month)}") from error
-    if rows.isEmpty():
-        raise VerificationError(f"source partition empty: {zones.source_month(month)}")
-    return rows
+    require_months(spark, zones, [month])
+    return read_months(spark, zones, [month])
+
+
+def require_months(spark: SparkSession, zones: Zones, months: Iterable[BatchMonth]) -> None:
+    """An error that names the months the source does not have, or has without rows."""
+    months = list(months)
+    there = existing_children(spark, zones.source, 2)
+    leaves = {m: zones.source_month(m) for m in months}
+    missing = [leaf for leaf in leaves.values() if leaf.removeprefix(f"{zones.source}/") not in there]
+    if missing:
+        raise VerificationError(f"source partition missing: {', '.join(missing)}")
+    found = count_months(scan_months(spark, zones, months))
+    empty = [leaf for m, leaf in leaves.items() if not found.get(m)]
+    if empty:
+        raise VerificationError(f"source partition empty: {', '.join(empty)}")
 
 
 def verify_source(spark: SparkSession, zones: Zones) -> DataFrame:
     """Rows per month of the source, its quarantine (``0``, ``0``) as a line of its own."""
     found = read_source(spark, zones).groupBy(*MONTH_KEYS).agg(F.count("*").alias("rows"))
-    if found.where(F.col("year") > 0).isEmpty():
+    lines = found.orderBy(*MONTH_KEYS).collect()  # one per month
+    if not any(line["year"] > 0 for line in lines):
         raise VerificationError(f"no month in the source: {zones.source}")
-    return found.orderBy(*MONTH_KEYS)
+    return spark.createDataFrame(lines, found.schema)
 
 
 def verify_month(
@@ -56,15 +67,15 @@ def verify_month(
     """Check one processed month: written, reconciled, and visible in SQL.
 
     The partition has to match exactly (month 1 is not month 10). A month without any
-    rejected row is fine.
+    rejected row is fine; one without any valid row needs no partition.
     """
-    if table_partitions(spark, table).where(month.predicate()).isEmpty():
-        raise VerificationError(f"{table} does not show partition {month.partition}")
     raw = count_months(scan_months(spark, zones, [month])).get(month, 0)
     try:
         curated, rejected = written_counts(spark, zones, [month])[month]
     except AnalysisException as error:
         raise VerificationError(f"results of {month.label} are missing") from error
+    if curated and table_partitions(spark, table).where(month.predicate()).isEmpty():
+        raise VerificationError(f"{table} does not show partition {month.partition}")
     visible = spark.table(table).where(month.predicate()).count()
     if raw != curated + rejected or visible != curated:
         raise VerificationError(
@@ -115,6 +126,25 @@ def verify_lake(spark: SparkSession, zones: Zones, table: str = CURATED_TABLE) -
     return counts.withColumn("sound", sound).orderBy(BATCH_MONTH)
 
 
+def require_sound(lines: DataFrame) -> DataFrame:
+    """The lines of `verify_lake`, one per month; an error that names the unsound ones."""
+    rows = lines.collect()
+    wrong = [row[BATCH_MONTH] for row in rows if not row["sound"]]
+    if wrong:
+        raise VerificationError(f"not sound: {', '.join(wrong)}")
+    return lines.sparkSession.createDataFrame(rows, lines.schema)
+
+
+def pruned_partitions(spark: SparkSession, zones: Zones, month: BatchMonth) -> DataFrame:
+    """The partitions whose files a month filter over the whole source really reads."""
+    pruned = read_source(spark, zones).where(month.predicate())
+    place = F.regexp_extract("_metadata.file_path", r"year=(\d+)/month=(\d+)/", 1), F.regexp_extract(
+        "_metadata.file_path", r"year=(\d+)/month=(\d+)/", 2
+    )
+    files = pruned.select(*(p.cast("int").alias(k) for p, k in zip(place, MONTH_KEYS)))
+    return files.groupBy(*MONTH_KEYS).agg(F.count("*").alias("rows"))
+
+
 def explain_month(spark: SparkSession, zones: Zones, month: BatchMonth) -> DataFrame:
     """The physical plan of a month filter over the whole source, one row per line.
 

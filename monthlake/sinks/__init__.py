@@ -1,18 +1,19 @@
 from monthlake.sinks.partitions import (
     clear_curated,
     clear_rejected,
-    empty_partition,
+    empty_partitions,
     replace_partitions,
     write_curated,
     write_rejected,
 )
 from monthlake.sinks.raw import write_raw_month
-from monthlake.sinks.reports import write_report_csv
+from monthlake.sinks.reports import print_rows, write_report_csv
 
 __all__ = [
+    "print_rows",
     "clear_curated",
     "clear_rejected",
-    "empty_partition",
+    "empty_partitions",
     "replace_partitions",
     "write_curated",
     "write_raw_month",

@@ -15,7 +15,7 @@ from monthlake.schema import (
     MONTH_KEYS,
     REJECTED_COLUMNS,
 )
-from monthlake.work import path_exists
+from monthlake.work import existing_children, new_folder, remove_folder, replace_folder
 from monthlake.zones import Zones
 
 
@@ -32,9 +32,22 @@ def replace_partitions(df: DataFrame, path: str, keys: list[str]) -> None:
     )
 
 
-def empty_partition(columns: DataFrame, leaf: str) -> None:
-    """Leave a partition directory that holds no rows, but the columns of a frame."""
-    columns.limit(0).write.mode("overwrite").parquet(leaf)
+def empty_partitions(columns: DataFrame, leaves: Iterable[str]) -> None:
+    """Leave partition directories that hold no rows, but the columns of a frame.
+
+    One empty file is written and copied, so many partitions cost one job.
+    """
+    leaves = list(leaves)
+    if not leaves:
+        return
+    spark = columns.sparkSession
+    pattern = new_folder(spark, "empty")
+    try:
+        columns.limit(0).write.mode("overwrite").parquet(f"{pattern}/leaf")
+        for leaf in leaves:
+            replace_folder(spark, f"{pattern}/leaf", leaf)
+    finally:
+        remove_folder(spark, pattern)
 
 
 def write_curated(valid: DataFrame, zones: Zones) -> None:
@@ -43,15 +56,15 @@ def write_curated(valid: DataFrame, zones: Zones) -> None:
     replace_partitions(valid.select(*CURATED_COLUMNS, *keys), zones.curated, MONTH_KEYS)
 
 
-def write_rejected(rejected: DataFrame, zones: Zones, gather: bool = True) -> None:
+def write_rejected(rejected: DataFrame, zones: Zones) -> None:
     """Write rejected rows with their reasons to the directory of their batch.
 
-    ``gather`` brings the few rejected rows of each task together, for files of a fair
-    size; large batches are still split over many tasks.
+    The few rejected rows of each task are brought together, for files of a fair size;
+    large batches are still split over many tasks.
     """
     label = month_label(*BATCH_KEYS).alias(BATCH_MONTH)
     rows = rejected.select(*REJECTED_COLUMNS, label)
-    replace_partitions(rows.hint("rebalance", BATCH_MONTH) if gather else rows, zones.rejected, [BATCH_MONTH])
+    replace_partitions(rows.hint("rebalance", BATCH_MONTH), zones.rejected, [BATCH_MONTH])
 
 
 def clear_curated(like: DataFrame, zones: Zones, months: Iterable[BatchMonth]) -> None:
@@ -59,13 +72,12 @@ def clear_curated(like: DataFrame, zones: Zones, months: Iterable[BatchMonth]) -
 
     The overwrite of the partitions that occur leaves the rows of an earlier run there.
     """
-    for month in months:
-        leaf = zones.curated_month(month)
-        if path_exists(like.sparkSession, leaf):
-            empty_partition(like.select(*CURATED_COLUMNS), leaf)
+    there = existing_children(like.sparkSession, zones.curated, 2)
+    leaves = [zones.curated_month(m) for m in months]
+    old = [leaf for leaf in leaves if leaf.removeprefix(f"{zones.curated}/") in there]
+    empty_partitions(like.select(*CURATED_COLUMNS), old)
 
 
 def clear_rejected(like: DataFrame, zones: Zones, months: Iterable[BatchMonth]) -> None:
     """The same for months without a rejected row; their directory is always there."""
-    for month in months:
-        empty_partition(like.select(*REJECTED_COLUMNS), zones.rejected_month(month))
+    empty_partitions(like.select(*REJECTED_COLUMNS), [zones.rejected_month(m) for m in months])

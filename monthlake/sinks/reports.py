@@ -1,24 +1,40 @@
-"""Reports as CSV."""
+"""Reports as CSV, and on the console."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
 
-# A report up to this size goes to one file; that is the most one task has to take.
-SINGLE_FILE_ROWS = 1_000_000
+from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import functions as F
 
 
-def write_report_csv(df: DataFrame, path: str, single_file_rows: int = SINGLE_FILE_ROWS) -> int:
+def write_report_csv(
+    df: DataFrame, path: str, *, single_file: bool = False, order: Sequence[Column | str] = ()
+) -> int:
     """Write a report with a header line, replacing an earlier one; returns its rows.
 
-    A report of at most ``single_file_rows`` rows becomes one file. A larger one keeps
-    its partitions, whose files follow the report's order by name.
+    With ``single_file`` one task writes one file, sorted by ``order``, whatever the size.
+    Otherwise the files follow ``order`` by name, or keep the report's own order.
     """
-    report = df.persist()
-    try:
-        rows = report.count()
-        files = report.coalesce(1) if rows <= single_file_rows else report
-        files.write.mode("overwrite").option("header", True).csv(path)
-    finally:
-        report.unpersist()
-    return rows
+    seen = Observation("report")
+    report = df.observe(seen, F.count("*").alias("rows"))
+    if single_file:
+        report = report.repartition(1)
+        report = report.sortWithinPartitions(*order) if order else report
+    elif order:
+        report = report.orderBy(*order)
+    report.write.mode("overwrite").option("header", True).csv(path)
+    return seen.get["rows"]
+
+
+def print_rows(df: DataFrame, rows: int | None = None) -> int:
+    """Print a header and every row, tab-separated; only the first ``rows`` if asked for.
+
+    Rows come partition by partition, so the driver never holds them all.
+    """
+    print("\t".join(df.columns))
+    printed = 0
+    for row in (df if rows is None else df.limit(rows)).toLocalIterator(prefetchPartitions=True):
+        print("\t".join("null" if value is None else str(value) for value in row))
+        printed += 1
+    return printed

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -37,6 +39,27 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return storage.exists(hadoop_path)
 
 
+def existing_children(spark: SparkSession, path: str, levels: int) -> set[str]:
+    """Folders this many levels below a path, relative to it; none if it is not there."""
+    storage, hadoop_path = _on_storage(spark, path)
+    if not storage.exists(hadoop_path):
+        return set()
+    pattern = spark._jvm.org.apache.hadoop.fs.Path(path + "/*" * levels)
+    found = storage.globStatus(pattern) or []
+    return {"/".join(str(status.getPath()).rsplit("/", levels)[1:]) for status in found}
+
+
+def replace_folder(spark: SparkSession, source: str, target: str) -> None:
+    """The files of one folder as the whole content of another."""
+    storage, source_path = _on_storage(spark, source)
+    target_storage, target_path = _on_storage(spark, target)
+    target_storage.delete(target_path, True)
+    target_storage.mkdirs(target_path.getParent())
+    spark._jvm.org.apache.hadoop.fs.FileUtil.copy(
+        storage, source_path, target_storage, target_path, False, spark._jsc.hadoopConfiguration()
+    )
+
+
 def new_folder(spark: SparkSession, purpose: str) -> str:
     """A fresh path below the shared folder, removed when the session's JVM ends."""
     path = f"{shared_dir(spark)}/{purpose}-{uuid.uuid4().hex}"
@@ -55,13 +78,21 @@ def remove_folder(spark: SparkSession, path: str) -> None:
 def stored(df: DataFrame, purpose: str) -> DataFrame:
     """The rows of a frame as a table in the shared folder.
 
-    Cuts the lineage: readers take what was written, whatever happens to executors.
+    Cuts the lineage: readers take what was written, whatever happens to executors. The
+    table stays until the session's JVM ends; ``borrowed`` gives it up earlier.
     """
     path = f"{new_folder(df.sparkSession, purpose)}/table"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def estimated_bytes(df: DataFrame) -> int:
-    """Spark's own estimate of a frame's size, from the files it reads."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+@contextmanager
+def borrowed(df: DataFrame, purpose: str) -> Iterator[DataFrame]:
+    """Like ``stored``, for the time of a block; the table goes with it, also on errors."""
+    spark = df.sparkSession
+    folder = new_folder(spark, purpose)
+    try:
+        df.write.parquet(f"{folder}/table")
+        yield spark.read.schema(df.schema).parquet(f"{folder}/table")
+    finally:
+        remove_folder(spark, folder)

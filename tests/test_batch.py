@@ -20,6 +20,7 @@ from monthlake.plans import (
 from monthlake.schema import CURATED_SCHEMA, REJECTED_COLUMNS
 from monthlake.sinks import write_raw_month
 from monthlake.sources import count_months, read_curated, read_rejected, read_source
+from monthlake.work import shared_dir
 
 from conftest import SMALL
 
@@ -95,16 +96,11 @@ def test_many_months_at_once_equal_a_plain_window(spark, whole):
     assert rejected(spark, zones) == reasons
 
 
-# One small shuffle; no shuffle; one shuffle laid out by month; the same with hot keys.
-WAYS = {
-    "small": {},
-    "winner": {"rows_per_task": 20},
-    "window": {"rows_per_task": 20, "broadcast_keys": 0},
-    "hot": {"rows_per_task": 1, "broadcast_keys": 0},
-}
+# Laid out by month; as the source is; as the source is, with frequent IDs in parts.
+WAYS = {"small": {}, "large": {"rows_per_task": 20}, "parts": {"rows_per_task": 1}}
 
 
-@pytest.mark.parametrize("way", ["winner", "window"])
+@pytest.mark.parametrize("way", ["large", "parts"])
 def test_large_batches_give_the_same(spark, whole, way):
     zones, months, report = whole
     before = curated(spark, zones), rejected(spark, zones)
@@ -113,15 +109,24 @@ def test_large_batches_give_the_same(spark, whole, way):
     assert (curated(spark, zones), rejected(spark, zones)) == before
 
 
+@pytest.mark.parametrize("way", WAYS)
+def test_no_table_is_left_behind(spark, zones, incidents, way):
+    build_source(incidents({}, {}, {"ID": None}), zones)
+    before = sorted(Path(shared_dir(spark)).iterdir())
+    process_months(spark, zones, [BatchMonth(2001, 5)], **WAYS[way])
+    with pytest.raises(Exception, match="no_such_column"):
+        process_months(spark, zones, [BatchMonth(2001, 5)], order=["no_such_column"], **WAYS[way])
+    assert sorted(Path(shared_dir(spark)).iterdir()) == before
+
+
 @pytest.mark.parametrize("way", WAYS)
 def test_copies_of_one_row_leave_exactly_one(spark, zones, incidents, way):
     build_source(incidents(*[{"Case Number": "same"}] * 100, {"ID": "2"}), zones)
-    settings = WAYS[way] | ({"rows_per_task": 10} if way == "hot" else {})
-    report = process_months(spark, zones, [BatchMonth(2001, 5)], **settings)
+    report = process_months(spark, zones, [BatchMonth(2001, 5)], **WAYS[way])
     assert lines(report) == [("2001-05", 101, 2, 99)]
 
 
-@pytest.mark.parametrize("way", ["winner", "window"])
+@pytest.mark.parametrize("way", ["large", "parts"])
 def test_ties_are_settled_alike_in_every_build_of_the_source(spark, tmp_path, incidents, way):
     changes = [{"ID": str(i % 3), "Case Number": "same", "Block": str(i)} for i in range(12)]
     blocks = set()
@@ -265,7 +270,7 @@ class TestRawRoute:
         got = read_curated(spark, apart)
         assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
 
-    @pytest.mark.parametrize("way", ["winner", "window"])
+    @pytest.mark.parametrize("way", ["large", "parts"])
     def test_copies(self, spark, zones, incidents, way):
         records = incidents(*[{"Date": JAN_DATE, "Case Number": "same"}] * 60)
         write_raw_month(records, zones, JAN)

@@ -6,23 +6,17 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from monthlake import BatchMonth, fixtures
+from monthlake import fixtures
 from monthlake.operators import (
-    MonthLayout,
     classify,
     contested_keys,
     count_hashes,
     dedupe_first,
+    first_rows,
+    incident_rules,
     is_valid,
-    mark_by_window,
-    mark_by_winner,
     time_order,
 )
-from monthlake.sources import count_months
-from monthlake.schema import BATCH_KEYS
-from monthlake.work import estimated_bytes
-
-from conftest import SMALL
 
 
 def kept(df) -> set[str]:
@@ -108,45 +102,63 @@ def crowded(incidents):
     return classify(fixtures.batched(incidents(*changes)))
 
 
-def marked_all_ways(crowded):
-    """The rows as each way marks them, by name."""
-    contested = contested_keys(crowded)
-    layout = MonthLayout.for_counts(count_months(crowded, BATCH_KEYS), rows_per_task=50)
-    assert layout.tasks > 5
-    window = lambda **how: mark_by_window(crowded, contested, "Case Number", **how)
-    return {
-        "winner": mark_by_winner(crowded, contested, "Case Number"),
-        "window": window(),
-        "hot": window(hot_rows=10),
-        "all hot": window(hot_rows=0),
-        "layout": window(layout=layout),
-        "layout, hot": window(layout=layout, hot_rows=10),
-        "layout, no search": mark_by_window(crowded, None, "Case Number", layout=layout),
-        "small": dedupe_first(crowded, row_id="Case Number", small_bytes=2**62),
-        "few keys": dedupe_first(crowded, row_id="Case Number", small_bytes=0),
-        "many keys": dedupe_first(
-            crowded, row_id="Case Number", small_bytes=0, broadcast_keys=3, hot_rows=9
-        ),
-    }
+PARTS = [1, 7, 50, 2_000_000]
 
 
-def test_all_ways_agree_with_a_loop(crowded):
+@pytest.mark.parametrize("rows_per_task", PARTS)
+def test_any_share_of_a_task_agrees_with_a_loop(crowded, rows_per_task):
     want = expected(crowded.collect())
     assert sum(reason == "DUPLICATE_ID" for reason in want.values()) > 100
-    for name, marked in marked_all_ways(crowded).items():
-        assert reasons(marked) == want, name
-        assert marked.columns == crowded.columns, name
+    marked = dedupe_first(crowded, row_id="Case Number", rows_per_task=rows_per_task)
+    assert reasons(marked) == want
+    assert marked.columns == crowded.columns
 
 
-def test_order_by_time_all_ways(incidents):
+@pytest.mark.parametrize("rows_per_task", PARTS)
+def test_null_keys_are_one_key(incidents, rows_per_task):
+    """Rules that let null IDs and undated rows pass: each null group keeps one row."""
+    rng = random.Random(3)
+    records = incidents(
+        *[
+            {
+                "ID": rng.choice([None, None, "1", "2"]),
+                "Date": rng.choice(["bad", None, "01/05/2001 01:00:00 AM", "02/05/2001 01:00:00 AM"]),
+            }
+            for _ in range(60)
+        ]
+    )
+    open_rows = classify(fixtures.batched(records), incident_rules()[3:]).collect()
+    marked = dedupe_first(
+        classify(fixtures.batched(records), incident_rules()[3:]), row_id="Case Number", rows_per_task=rows_per_task
+    )
+    rank = lambda r: (r["Date"] is not None, r["Date"] or "", r["Case Number"])
+    groups: dict[tuple, list] = {}
+    for row in open_rows:
+        groups.setdefault((row["_year"], row["_month"], row["ID"]), []).append(row)
+    assert any(None in key for key in groups)
+    assert kept(marked) == {min(rows, key=rank)["Case Number"] for rows in groups.values()}
+
+
+@pytest.mark.parametrize("rows_per_task", PARTS)
+def test_descending_order(crowded, rows_per_task):
+    order = [F.col("Date").desc(), F.col("Case Number").desc()]
+    marked = dedupe_first(crowded, row_id="Case Number", order=order, rows_per_task=rows_per_task)
+    last: dict[tuple, tuple] = {}
+    for r in crowded.collect():
+        if r["reject_reason"] is None:
+            key = (r["_year"], r["_month"], r["ID"])
+            last[key] = max(last.get(key, ("", "")), (r["Date"], r["Case Number"]))
+    assert kept(marked) == {case for _, case in last.values()}
+
+
+@pytest.mark.parametrize("rows_per_task", PARTS)
+def test_order_by_time(incidents, rows_per_task):
     records = incidents(
         {"Date": "01/05/2001 02:00:00 AM"},
         {"Date": "01/05/2001 01:00:00 PM"},
         {"Date": "01/05/2001 12:30:00 AM"},
     )
-    window = {"small_bytes": 0, "broadcast_keys": 0}
-    for how in ({}, {"small_bytes": 0}, window, window | {"hot_rows": 1}):
-        assert kept(dedupe(records, order=time_order(), **how)) == {"A2"}, how
+    assert kept(dedupe(records, order=time_order(), rows_per_task=rows_per_task)) == {"A2"}
 
 
 def test_contested_keys(crowded):
@@ -156,61 +168,28 @@ def test_contested_keys(crowded):
     assert sorted(r["_rows"] for r in found) == sorted(n for n in groups.values() if n > 1)
 
 
-def test_shared_hashes_change_nothing(spark, crowded):
-    # All keys are called contested, as if each shared its hash with another one.
-    every = crowded.select(F.xxhash64(*BATCH_KEYS, "ID").alias("_hash")).distinct()
-    marked = mark_by_winner(crowded, every.withColumn("_rows", F.lit(2)), "Case Number")
-    assert reasons(marked) == expected(crowded.collect())
-
+def test_keys_that_share_a_hash_are_told_apart(incidents, monkeypatch):
+    monkeypatch.setattr("monthlake.operators.dedupe._hash_of", lambda key, scope: F.lit(1).cast("long"))
+    records = incidents({"ID": "1"}, {"ID": "1"}, {"ID": "2"}, {"ID": None}, {"ID": "3"})
+    assert kept(dedupe(records)) == {"A0", "A2", "A4"}
 
-def test_hot_key_is_spread_over_the_tasks_of_its_month(spark, crowded):
-    layout = MonthLayout.for_counts({BatchMonth(2001, m): 200 for m in (1, 2, 3)}, rows_per_task=20)
-    contested = contested_keys(crowded)
-    placed = mark_by_window(crowded, contested, "Case Number", layout=layout, hot_rows=20)
-    hot = placed.where("ID = '77' AND _month = 1 AND reject_reason = 'DUPLICATE_ID'")
-    plan = placed._jdf.queryExecution().executedPlan().toString()
-    assert hot.count() > 20 and "ranked" in plan
 
-
-def test_rejected_rows_are_spread(spark, incidents):
-    records = classify(fixtures.batched(incidents(*[{"ID": None} for _ in range(100)])))
-    layout = MonthLayout.for_counts({BatchMonth(2001, 5): 100}, rows_per_task=10)
-    placed = mark_by_window(records, None, "Case Number", layout=layout)
-    per_task = placed.groupBy(F.spark_partition_id()).count().collect()
-    assert len(per_task) >= 8 and max(r["count"] for r in per_task) < 30
+def test_one_first_per_contested_key(crowded):
+    rows = first_rows(crowded, "Case Number", rows_per_task=5)
+    assert rows.count() == contested_keys(crowded).count()
 
 
 def plan_of(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-def test_few_contested_keys_take_no_shuffle(crowded):
-    plan = plan_of(mark_by_winner(crowded, contested_keys(crowded), "Case Number"))
-    assert "BroadcastHashJoin" in plan
-    assert plan.count("Exchange") == plan.count("BroadcastExchange") == 1
-    assert "Window" not in plan and "Python" not in plan
-
-
-def test_no_contested_key_leaves_the_plan_alone(incidents):
-    records = classify(fixtures.batched(incidents({"ID": "1"}, {"ID": "2"})))
-    assert mark_by_winner(records, contested_keys(records), "Case Number") is records
-
-
-def test_size_estimate_follows_the_files(spark):
-    small, large = (
-        estimated_bytes(fixtures.incidents(spark, f"/root/testdata/sf{sf}")) for sf in (0.001, 0.1)
-    )
-    assert 0 < small < large < 2**30
+def test_no_python_and_no_forced_broadcast(crowded):
+    marked = dedupe_first(crowded, row_id="Case Number")
+    marked.collect()
+    plan = plan_of(marked)
+    assert "Python" not in plan and "hint" not in plan.lower()
 
 
 def test_counting_hashes_combines_before_the_shuffle(crowded):
     plan = plan_of(count_hashes(crowded))
     assert "partial_count" in plan and "HashAggregate" in plan and "SortAggregate" not in plan
-
-
-def test_layout_and_window_share_one_exchange(spark):
-    records = classify(fixtures.batched(fixtures.incidents(spark, SMALL)).where("_year > 0"))
-    layout = MonthLayout.for_counts(count_months(records, BATCH_KEYS), rows_per_task=100)
-    plan = plan_of(mark_by_window(records, None, "Case Number", layout=layout))
-    assert plan.count("Exchange") == 1
-    assert "Python" not in plan

@@ -87,18 +87,18 @@ class TestReport:
     def test_one_file_with_header(self, spark, tmp_path):
         report = spark.range(1000).repartition(8).selectExpr("id", "id % 3 AS rest").orderBy("id")
         path = tmp_path / "report"
-        assert write_report_csv(report, str(path)) == 1000
+        assert write_report_csv(report, str(path), single_file=True, order=["id"]) == 1000
         parts = list(path.glob("part-*"))
         assert len(parts) == 1
         lines = parts[0].read_text().splitlines()
         assert lines[:3] == ["id,rest", "0,0", "1,1"] and len(lines) == 1001
 
-    def test_report_over_the_limit_keeps_order_in_several_files(self, spark, tmp_path):
+    def test_report_keeps_order_in_several_files(self, spark, tmp_path):
         report = spark.range(1000).repartition(8).orderBy("id")
         path = tmp_path / "report"
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
         try:
-            assert write_report_csv(report, str(path), single_file_rows=100) == 1000
+            assert write_report_csv(report, str(path), order=["id"]) == 1000
         finally:
             spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
         parts = sorted(path.glob("part-*"))
