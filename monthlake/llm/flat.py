@@ -62,7 +62,7 @@ def texts(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, np.uint8)[at[0] : at[-1]], at - at[0]
 
 
-def slices(batch: pa.RecordBatch, column: str, limit: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+def slices(batch: pa.RecordBatch, column: str, limit: int = 2 << 20) -> Iterator[pa.RecordBatch]:
     """The rows of a batch in runs of about ``limit`` bytes of text; a longer text is a run."""
     data, at = texts(batch.column(column))
     start = 0

@@ -13,10 +13,12 @@ Steps, all in Spark:
    sorts about ``SHINGLES_PER_FRAGMENT`` and keeps those of at least two classes. Shingles
    that a hundredth of all documents share are known from step 1 and are dealt by
    document instead, and copies of frequent texts are left out before the shuffle.
-3. A class can only link if it shares four fifths of its set; the others are done.
-4. Leaders: classes with an equal minimum are paired with the smallest of them, the
-   overlaps are summed, and the links give first components. A group of any size costs
-   a few pairs per class.
+3. What a class shares is put together again; a class can only link if that is four fifths
+   of its set, and the others are done.
+4. Leaders: classes with an equal minimum are paired with the one of them whose shingles
+   are shared most (in a group of edited copies, the least edited), the overlaps are
+   summed, and the links give first components. A group of any size costs a few pairs
+   per class.
 5. Prefixes in the order (how many share it, hash): classes of different components
    that share a shingle of their prefixes are paired, if length and position allow.
    Overlaps are summed again, and all links give the components.
@@ -40,17 +42,19 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from monthlake.llm.components import components
+from monthlake.llm.components import across, components
 from monthlake.llm.flat import Words, byte_table, mix, seed, shingles, slices, texts
 from monthlake.llm.scratch import Scratch
 
 WORDS = 5
 PERCENT = 80
-SHINGLES_PER_FRAGMENT = 6_000_000
+SHINGLES_PER_FRAGMENT = 2_500_000
 #: Words are runs of bytes other than blanks.
 WORD_BYTES = ~byte_table((0x20, 0x20), (0x09, 0x0D))
 #: Minima of hashes by which leaders are found.
-MINIMA = 4
+MINIMA = 3
+#: Fragments of the order in which overlaps are counted.
+FRAGMENTS = 3
 #: Of a slice's classes, those that share a shingle before it is told of; and of all rows.
 _SLICE_SHARE, _TOTAL_SHARE, _LEAST_HEAVY = 64, 128, 1000
 
@@ -60,8 +64,9 @@ _SETS = (
     + ", ".join(f"{m} long" for m in _MINIMA)
     + ", heavy array<long>, heavy_n array<int>"
 )
-_BLOCKS = "fragment int, keys binary, lengths binary, shingles binary"
-_SEGMENTS = "key long, fragment int, shingles array<long>, shared_by array<int>"
+_BLOCKS = "fragment int, keys binary, totals binary, lengths binary, shingles binary"
+_SHARED = "bucket int, keys binary, totals binary, lengths binary, shingles binary, shared_by binary"
+_SEGMENTS = "key long, n long, shared long, weight long, fragment int, shingles array<long>, shared_by array<int>"
 
 
 class _Sets:
@@ -146,7 +151,7 @@ def _blocks_task(shared, fragments: int, size: int):
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         copied, firsts, heavy, _ = shared.value
         for batch in batches:
-            for part in slices(batch, "text", 8 << 20):
+            for part in slices(batch, "text", 4 << 20):
                 yield _pack(part, fragments, size, copied, firsts, heavy)
 
     return task
@@ -181,61 +186,111 @@ def _pack(part: pa.RecordBatch, fragments: int, size: int, copied: np.ndarray, f
     lengths = np.diff(np.append(runs, len(values))).astype(np.int32)
     keys = sets.keys[owner[runs]]
     block_runs = np.flatnonzero(np.diff(fragment[runs], prepend=-1))
-    out: dict[str, list] = {"fragment": [], "keys": [], "lengths": [], "shingles": []}
+    totals = sets.sizes[owner[runs]].astype(np.int32)
+    out: dict[str, list] = {"fragment": [], "keys": [], "totals": [], "lengths": [], "shingles": []}
     for start, end in zip(block_runs, np.append(block_runs[1:], len(runs)), strict=True):
         out["fragment"].append(int(fragment[runs[start]]))
         out["keys"].append(keys[start:end].tobytes())
+        out["totals"].append(totals[start:end].tobytes())
         out["lengths"].append(lengths[start:end].tobytes())
         last = runs[end] if end < len(runs) else len(values)
         out["shingles"].append(values[runs[start] : last].tobytes())
-    schema = pa.schema([("fragment", pa.int32()), ("keys", pa.binary()), ("lengths", pa.binary()), ("shingles", pa.binary())])
+    schema = pa.schema([("fragment", pa.int32()), *((name, pa.binary()) for name in ("keys", "totals", "lengths", "shingles"))])
     return pa.RecordBatch.from_pydict(out, schema=schema)
 
 
+_KINDS = {"keys": np.uint64, "totals": np.int32, "lengths": np.int32, "shingles": np.uint64, "shared_by": np.int32}
+
+
+def _joined(batches: Iterator[pa.RecordBatch], *names: str) -> list[np.ndarray]:
+    """The packed columns of a group, each as one array."""
+    parts: dict[str, list] = {name: [] for name in names}
+    for batch in batches:
+        for name, into in parts.items():
+            into.extend(np.frombuffer(x.as_buffer(), _KINDS[name]) for x in batch.column(name))
+    return [np.concatenate(parts.pop(name)) for name in names]
+
+
 def _fragment_task(shared, fragments: int):
-    """Of a fragment, the shingles that several classes have, by class."""
+    """Of a fragment, the shingles that several classes have, packed by bucket of class."""
 
     def task(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = key[0].as_py()
         _, _, heavy, heavy_n = shared.value
-        keys, lengths, values = [], [], []
-        for batch in batches:
-            for name, into, kind in (("keys", keys, np.uint64), ("lengths", lengths, np.int32), ("shingles", values, np.uint64)):
-                into.extend(np.frombuffer(x.as_buffer(), kind) for x in batch.column(name))
-        owners, sizes, flat = np.concatenate(keys), np.concatenate(lengths), np.concatenate(values)
-        del keys, lengths, values
-        classes, first, = np.unique(owners, return_index=True)
+        owners, totals, sizes, flat = _joined(batches, "keys", "totals", "lengths", "shingles")
+        classes, first = np.unique(owners, return_index=True)
         once = np.zeros(len(owners), bool)
         once[first] = True
         flat = flat[np.repeat(once, sizes)]
         owner = np.repeat(np.searchsorted(classes, owners[once]).astype(np.int32), sizes[once])
+        totals = totals[first]
         if number >= fragments:
             counts = heavy_n[np.searchsorted(heavy, flat)]
-            number = -1
         else:
             order = np.argsort(flat)
             ordered = flat[order]
             starts = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
+            lengths = np.diff(np.append(starts, len(flat)))
             counts = np.empty(len(flat), np.int32)
-            counts[order] = np.repeat(np.diff(np.append(starts, len(flat))), np.diff(np.append(starts, len(flat))))
+            counts[order] = np.repeat(lengths, lengths)
             del order, ordered
             several = counts >= 2
-            flat, owner, counts = flat[several], owner[several], counts[several].astype(np.int32)
-        order = np.argsort(owner, kind="stable")
-        flat, owner, counts = flat[order], owner[order], counts[order]
-        starts = np.flatnonzero(np.diff(owner, prepend=-1))
-        for low in range(0, len(starts), 20_000):
-            part = starts[low : low + 20_000]
-            end = starts[low + 20_000] if low + 20_000 < len(starts) else len(flat)
+            flat, owner, counts = flat[several], owner[several], counts[several]
+        bucket = (classes % np.uint64(fragments)).astype(np.int32)[owner]
+        order = np.lexsort((owner, bucket))
+        flat, owner, counts, bucket = flat[order], owner[order], counts[order], bucket[order]
+        runs = np.flatnonzero(np.diff(owner, prepend=-1) != 0)
+        lengths = np.diff(np.append(runs, len(flat))).astype(np.int32)
+        blocks = np.flatnonzero(np.diff(bucket[runs], prepend=-1))
+        out: dict[str, list] = {name: [] for name in ("bucket", *_KINDS)}
+        for start, end in zip(blocks, np.append(blocks[1:], len(runs)), strict=True):
+            low, high = runs[start], runs[end] if end < len(runs) else len(flat)
+            own = owner[runs[start:end]]
+            out["bucket"].append(int(bucket[low]))
+            for name, values in (
+                ("keys", classes[own]), ("totals", totals[own]), ("lengths", lengths[start:end]),
+                ("shingles", flat[low:high]), ("shared_by", counts[low:high]),
+            ):
+                out[name].append(values.tobytes())
+        schema = pa.schema([("bucket", pa.int32()), *((name, pa.binary()) for name in _KINDS)])
+        yield pa.RecordBatch.from_pydict(out, schema=schema)
+
+    return task
+
+
+def _assemble_task(percent: int):
+    """Of a bucket, the classes that share enough, with what they share by fragment."""
+
+    def task(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        owners, totals, sizes, flat, counts = _joined(batches, *_KINDS)
+        classes, first, number = np.unique(owners, return_index=True, return_inverse=True)
+        totals = totals[first].astype(np.int64)
+        shared = np.bincount(number, sizes, minlength=len(classes)).astype(np.int64)
+        alive = 100 * shared >= percent * totals
+        owner = np.repeat(number, sizes)
+        weight = np.bincount(owner, counts, minlength=len(classes)).astype(np.int64)
+        kept = alive[owner]
+        flat, counts, owner = flat[kept], counts[kept], owner[kept]
+        fragment = ((flat >> np.uint64(32)) * np.uint64(FRAGMENTS) >> np.uint64(32)).astype(np.int32)
+        order = np.lexsort((flat, owner))
+        flat, counts, owner, fragment = flat[order], counts[order], owner[order], fragment[order]
+        starts = np.flatnonzero(np.diff(owner.astype(np.int64) * FRAGMENTS + fragment, prepend=-1))
+        for low in range(0, len(starts), 10_000):
+            part = starts[low : low + 10_000]
+            end = starts[low + 10_000] if low + 10_000 < len(starts) else len(flat)
             at = pa.array(np.append(part, end) - part[0], pa.int32())
+            own = owner[part]
             yield pa.RecordBatch.from_arrays(
                 [
-                    _signed(classes[owner[part]]),
-                    pa.array(np.full(len(part), number, np.int32)),
+                    _signed(classes[own]),
+                    pa.array(totals[own]),
+                    pa.array(shared[own]),
+                    pa.array(weight[own]),
+                    pa.array(fragment[part]),
                     pa.ListArray.from_arrays(at, _signed(flat[part[0] : end])),
-                    pa.ListArray.from_arrays(at, pa.array(counts[part[0] : end].astype(np.int32))),
+                    pa.ListArray.from_arrays(at, pa.array(counts[part[0] : end])),
                 ],
-                names=["key", "fragment", "shingles", "shared_by"],
+                names=["key", "n", "shared", "weight", "fragment", "shingles", "shared_by"],
             )
 
     return task
@@ -324,26 +379,19 @@ def similar_documents(
     segments = scratch.put(
         source.mapInArrow(_blocks_task(shared, fragments, words), _BLOCKS)
         .groupBy("fragment")
-        .applyInArrow(_fragment_task(shared, fragments), _SEGMENTS),
+        .applyInArrow(_fragment_task(shared, fragments), _SHARED)
+        .groupBy("bucket")
+        .applyInArrow(_assemble_task(percent), _SEGMENTS),
         "segments",
     )
 
-    alive = (
-        segments.groupBy("key")
-        .agg(F.sum(F.size("shingles")).alias("shared"))
-        .join(classes, "key")
-        .where(f"100 * shared >= {percent} * n")
-        .select("key", "n", "shared", *_MINIMA)
-    )
+    alive = segments.select("key", "n", "shared", "weight").distinct().join(classes.select("key", *_MINIMA), "key")
     alive = scratch.put(alive, "alive")
-    narrowed = scratch.put(segments.join(alive.select("key"), "key", "left_semi"), "narrowed")
-    scratch.drop(segments)
-    segments = narrowed
 
-    minima = alive.select("key", "n", F.posexplode(F.array(*_MINIMA)).alias("number", "minimum"))
+    minima = alive.select("key", "n", "weight", F.posexplode(F.array(*_MINIMA)).alias("number", "minimum"))
     leaders = (
         minima.groupBy("number", "minimum")
-        .agg(F.min(F.struct("key", "n")).alias("leader"), F.count("*").alias("members"))
+        .agg(F.max(F.struct("weight", "key", "n")).alias("leader"), F.count("*").alias("members"))
         .where("members > 1")
     )
     close = f"100 * n_a >= {percent} * n_b AND 100 * n_b >= {percent} * n_a"
@@ -370,27 +418,13 @@ def similar_documents(
     ).select("key", "n", (F.col("alone") + F.col("place")).alias("place"), F.col("entry.shingles").alias("shingle"))
     postings = (
         prefixes.join(roots.withColumnRenamed("node", "key"), "key", "left")
-        .select("shingle", "key", "n", "place", F.coalesce("root", "key").alias("root"))
+        .select("shingle", F.col("key").alias("node"), "n", "place", F.coalesce("root", "key").alias("root"))
     )
     postings = scratch.put(postings, "postings")
-    mixed = (
-        postings.groupBy("shingle", "root")
-        .count()
-        .groupBy("shingle")
-        .agg(F.max_by("root", "count").alias("most"), F.count("*").alias("roots"))
-        .where("roots > 1")
-        .select("shingle", "most")
-    )
-    contested = scratch.put(postings.join(mixed, "shingle"), "contested")
-    scratch.drop(postings)
-    # Rows outside the component that most of a shingle's rows belong to meet all others.
-    x = contested.where("root <> most").select("shingle", *(F.col(c).alias(f"{c}_a") for c in ("key", "n", "place", "root")))
-    y = contested.select("shingle", "most", *(F.col(c).alias(f"{c}_b") for c in ("key", "n", "place", "root")))
-    met = x.join(y, "shingle").where(
-        f"root_a <> root_b AND (root_b = most OR key_a < key_b) AND {close} AND "
-        f"1 + least(n_a - place_a - 1, n_b - place_b - 1) >= {_need(percent, 'n_a', 'n_b')}"
+    met = across(postings, "shingle", scratch, ("n", "place")).where(
+        f"{close} AND 1 + least(n_a - place_a - 1, n_b - place_b - 1) >= {_need(percent, 'n_a', 'n_b')}"
     )
-    pairs = met.select(F.col("key_a").alias("a"), F.col("key_b").alias("b"), "n_a", "n_b").distinct()
+    pairs = met.select(F.col("node_a").alias("a"), F.col("node_b").alias("b"), "n_a", "n_b").distinct()
     second_links = scratch.put(_links(pairs, segments, percent), "links")
     roots_of_all = components(first_links.unionByName(second_links), scratch)
 
@@ -402,7 +436,7 @@ def similar_documents(
         .select("key", "class_id", F.coalesce("component_id", "class_id").alias("component_id")),
         "labels",
     )
-    scratch.drop(segments, contested, alive, classes, first_links, second_links, roots)
+    scratch.drop(segments, postings, alive, classes, first_links, second_links, roots)
     return sets.join(labels, "key", "left").select(
         "doc_id",
         "n_shingles",
