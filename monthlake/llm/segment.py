@@ -27,6 +27,7 @@ like those that are added are replaced.
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 from pathlib import Path
 
@@ -93,6 +94,9 @@ class Pieces:
             self.tables.append(table)
             out = table[slot] != left_ids
             left, left_ids = left[out], left_ids[out]
+        #: Characters that end with each id: of a byte, only the first of its character counts.
+        self.characters = np.array([len(x) for x in names])
+        self.characters[byte_ids] = [not 0x80 <= b < 0xC0 for b in range(256)]
         # What each id is in a text: its bytes, with blanks for marks.
         outs = [b"" if special[i] else names[i].replace(MARK, " ").encode() for i in range(n)]
         for b, i in enumerate(byte_ids):
@@ -116,11 +120,23 @@ class Pieces:
             out[hit] = found[hit]
         return out
 
-    def encode_units(self, units: list[str]) -> list[list[int]]:
-        """The library's ids of units, each of which begins with a mark."""
-        ids = self.library.encode([u[1:].replace(MARK, " ") for u in units], num_threads=1)
-        lone = self.library.piece_to_id(MARK)
-        return [x if u != MARK else [lone] for x, u in zip(ids, units, strict=True)]
+    def encode_units(self, points: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The library's ids of units that end at ``ends``, and how many each unit has.
+
+        Each unit begins with a mark, and those of nothing but marks come last. No piece
+        lies in two units, so the library takes several at once.
+        """
+        bare = int((points[ends - 1] == _MARK).sum())
+        cuts = np.append(np.arange(0, len(ends) - bare, _TOGETHER), np.arange(len(ends) - bare, len(ends) + 1))
+        cuts = np.unique(cuts)
+        text = points.tobytes().decode("utf-32-le", "replace").replace(MARK, " ")
+        places = np.concatenate([[0], ends])[cuts].tolist()
+        lists = self.library.encode([text[a + 1 : b] for a, b in zip(places[:-1], places[1:], strict=True)], num_threads=1)
+        if bare:  # a lone mark is what the library makes of no text at all
+            lists = [x or [self.library.piece_to_id(MARK)] for x in lists]
+        ids = np.fromiter(itertools.chain.from_iterable(lists), np.int64, sum(map(len, lists)))
+        reached = np.cumsum(self.characters[ids])
+        return ids, np.diff(np.searchsorted(reached, ends, side="right"), prepend=0)
 
     def decode_flat(self, ids: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Bytes of the texts whose ids are ids[at[i]:at[i + 1]], and where each begins."""
@@ -135,10 +151,14 @@ class Pieces:
         return data[kept], places - np.concatenate([[0], np.cumsum(filled)])
 
 
-def _uniform(key: np.ndarray, place: np.ndarray, name: str) -> np.ndarray:
-    """Numbers between 0 and 1, both not included, from a key and a place."""
+def _named(keys: np.ndarray, name: str) -> np.ndarray:
+    return mix(keys ^ seed(name))
+
+
+def _uniform(key: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """Numbers between 0 and 1, both not included, from a named key and a place."""
     with np.errstate(over="ignore"):
-        bits = mix(mix(key ^ seed(name)) + place.astype(np.uint64))
+        bits = mix(key + place.astype(np.uint64))
     return ((bits >> np.uint64(11)).astype(np.float64) + 0.5) * 2.0**-53
 
 
@@ -150,6 +170,9 @@ def _cut_gumbel(location: np.ndarray, most: np.ndarray, u: np.ndarray) -> np.nda
 
 
 _MOST_EDGES = 4_000_000
+_NONE = np.iinfo(np.int32).min
+#: Units that the library gets in one text.
+_TOGETHER = 16
 
 
 class Lexicon:
@@ -159,7 +182,7 @@ class Lexicon:
     there are more than ``_MOST_EDGES``, all are forgotten; they are built again if needed.
     """
 
-    _EDGES = ("length", "id", "log_p", "p", "up_to")
+    _EDGES = ("length", "id", "log_p", "p", "up_to", "alone")
 
     def __init__(self, pieces: Pieces):
         self.pieces = pieces
@@ -173,6 +196,7 @@ class Lexicon:
         self.degree = np.zeros(0, np.int32)
         self.length, self.id = np.zeros(0, np.int32), np.zeros(0, np.int32)
         self.log_p, self.p, self.up_to = np.zeros(0), np.zeros(0), np.zeros(0)
+        self.alone = np.zeros(0, bool)  # whether its node has no other edge
         self.ids = np.zeros(0, np.int32)
         self.ids_at = np.zeros(1, np.int64)
 
@@ -189,6 +213,7 @@ class Lexicon:
         number[known] = self.units[place[known]]
         new = np.flatnonzero(~known)
         if len(new):
+            new = new[np.argsort(points[end[first[new]] - 1] == _MARK, kind="stable")]
             number[new] = len(self.unit_node) + np.arange(len(new))
             self._add(points, start[first[new]], end[first[new]])
             merged = np.concatenate([self.hashes, hashes[new]])
@@ -200,10 +225,8 @@ class Lexicon:
         sizes = end - start
         ends = np.cumsum(sizes)
         own = points[np.arange(ends[-1]) - np.repeat(ends - sizes - start, sizes)]
-        texts = own.tobytes().decode("utf-32-le", "replace")
-        lists = self.pieces.encode_units([texts[a:b] for a, b in zip((ends - sizes).tolist(), ends.tolist(), strict=True)])
-        counts = np.fromiter(map(len, lists), np.int64, len(lists))
-        self.ids = np.concatenate([self.ids, np.fromiter((i for x in lists for i in x), np.int32, int(counts.sum()))])
+        ids, counts = self.pieces.encode_units(own, ends)
+        self.ids = np.concatenate([self.ids, ids.astype(np.int32)])
         self.ids_at = np.concatenate([self.ids_at, self.ids_at[-1] + np.cumsum(counts)])
         built = self._build(own, sizes)
         nodes, edges = len(self.first_edge), len(self.id)
@@ -217,57 +240,57 @@ class Lexicon:
     def _build(self, points: np.ndarray, sizes: np.ndarray) -> dict[str, np.ndarray]:
         """Edges by node of units that stand one after the other in ``points``."""
         p, n = self.pieces, len(points)
-        left = np.repeat(np.cumsum(sizes), sizes) - np.arange(n)  # characters to the unit's end
+        left = (np.repeat(np.cumsum(sizes), sizes) - np.arange(n)).astype(np.int32)  # to the unit's end
         node_of = np.arange(n) + np.repeat(np.arange(len(sizes)), sizes)
         hashes = SpanHashes(points)
-        starts, lengths, ids = [], [], []
-        single = np.full(n, -1, np.int64)
+        # A row for each character, a column for each length, the longest first.
+        most = min(p.longest, int(left.max()))
+        piece = np.full((n, most), _NONE, np.int32)
         fits = np.arange(n)
-        for length in range(1, p.longest + 1):
+        for length in range(1, most + 1):
             fits = fits[left[fits] >= length]
             found = p.find(hashes(fits, fits + length))
-            if length == 1:
-                single[fits] = found
             hit = found >= 0
-            starts.append(fits[hit])
-            lengths.append(np.full(int(hit.sum()), length))
-            ids.append(found[hit])
-        bare = np.flatnonzero(single < 0)  # characters that are spelt in bytes
+            piece[fits[hit], most - length] = found[hit]
+        bare = np.flatnonzero(piece[:, -1] == _NONE)  # characters that are spelt in bytes
         plain = points[bare] < 128
-        starts.append(bare)
-        lengths.append(np.ones(len(bare), int))
-        ids.append(np.where(plain, p.of_byte[np.where(plain, points[bare], 0)], -1 - points[bare].astype(np.int64)))
-        starts, lengths, ids = starts[::-1], lengths[::-1], ids[::-1]  # the longest first, but for bytes
-        start, length, id_ = (np.concatenate(x) for x in (starts, lengths, ids))
-        order = np.argsort(start, kind="stable")
-        start, length, id_ = start[order], length[order], id_[order]
-        wide = id_ < 0
-        weight = p.weights[np.where(wide, 0, id_)]
-        if wide.any():
-            far = -1 - id_[wide]
-            weight[wide] = p.byte_log * (2 + (far >= 0x800) + (far >= 0x10000))
+        piece[bare, -1] = np.where(plain, p.of_byte[np.where(plain, points[bare], 0)], -1 - points[bare].astype(np.int64))
+        start, column = np.nonzero(piece != _NONE)
+        id_ = piece[start, column]
+        length = (most - column).astype(np.int32)
+        plain_id = id_ >= 0
+        weight = p.weights[np.where(plain_id, id_, 0)]
+        if not plain_id.all():
+            far = -1 - id_[~plain_id]
+            weight[~plain_id] = p.byte_log * (2 + (far >= 0x800) + (far >= 0x10000))
         node = node_of[start]
-        n_nodes = n + len(sizes)
-        first = np.searchsorted(node, np.arange(n_nodes + 1))
+        target = node + length
+        degree = np.bincount(node, minlength=n + len(sizes)).astype(np.int32)
+        first = np.cumsum(degree, dtype=np.int64) - degree
         # Backward: all nodes that are equally far from their unit's end at once.
-        back = np.zeros(n_nodes)
+        back = np.zeros(n + len(sizes))
         to_go = left[start]
+        to_go = to_go.astype(np.int16) if most < 2**15 and int(left.max()) < 2**15 else to_go  # sorts faster
         by_distance = np.argsort(to_go, kind="stable")
-        cuts = np.searchsorted(to_go[by_distance], np.arange(1, (int(left.max()) if n else 0) + 2))
-        for low, high in zip(cuts[:-1], cuts[1:], strict=True):
-            edges = by_distance[low:high]
-            if len(edges):
-                values = weight[edges] + back[node[edges] + length[edges]]
-                heads = np.flatnonzero(np.diff(node[edges], prepend=-1))
-                back[node[edges[heads]]] = np.logaddexp.reduceat(values, heads)
-        log_p = np.minimum(weight + back[node + length] - back[node], 0.0)
-        up_to = np.exp(log_p)
-        probability = up_to.copy()
-        degree = np.diff(first)
+        cuts = np.searchsorted(to_go[by_distance], np.arange(1, int(left.max()) + 2))
+        by_weight, by_target, by_node = weight[by_distance], target[by_distance], node[by_distance]
+        head = np.ones(len(by_node), bool)
+        head[1:] = by_node[1:] != by_node[:-1]
+        for low, high in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+            if low < high:
+                values = by_weight[low:high] + back[by_target[low:high]]
+                heads = np.flatnonzero(head[low:high])
+                top = np.maximum.reduceat(values, heads)
+                counts = np.diff(np.append(heads, high - low))
+                total = np.add.reduceat(np.exp(values - np.repeat(top, counts)), heads)
+                back[by_node[low:high][heads]] = top + np.log(total)
+        log_p = np.minimum(weight + back[target] - back[node], 0.0)
+        probability = np.exp(log_p)
+        up_to = probability.copy()
         for step in range(1, int(degree.max())):  # sums along a node's edges, the same in any slice
-            more = first[:-1][degree > step] + step
+            more = first[degree > step] + step
             up_to[more] += up_to[more - 1]
-        return {"first_edge": first[:-1], "degree": degree, "length": length, "id": id_, "log_p": log_p, "p": probability, "up_to": up_to}
+        return {"first_edge": first, "degree": degree, "length": length, "id": id_, "log_p": log_p, "p": probability, "up_to": up_to, "alone": degree[node] == 1}
 
 
 class Lattices:
@@ -286,7 +309,7 @@ class Lattices:
         begins[firsts[firsts < n]] = True
         self.unit_start = np.flatnonzero(begins)
         self.unit_end = np.append(self.unit_start[1:], n) if n else self.unit_start
-        self.text_of_unit = np.searchsorted(self.at, self.unit_start, side="right") - 1
+        self.text_of_unit = np.repeat(np.arange(len(texts)), np.diff(np.searchsorted(self.unit_start, self.at)))
         self.kind = lexicon.numbers(self.points, self.unit_start, self.unit_end)
         for name in ("first_edge", "degree", *Lexicon._EDGES):
             setattr(self, name, getattr(lexicon, name))
@@ -299,22 +322,24 @@ class Lattices:
         """From a place in each unit, draws edges to the unit's end; ``path`` gets them."""
         place, text = place.copy(), self.text_of_unit[unit]
         base, end = self.kind_node[self.kind[unit]] - self.unit_start[unit], self.unit_end[unit]
-        key, origin = keys[text], self.at[text]
+        # The key and the place in the text come as one number.
+        with np.errstate(over="ignore"):
+            key = _named(keys, name)[text] - self.at[text].astype(np.uint64)
         while len(place):
             node = base + place
-            edge, last = self.first_edge[node], self.degree[node] - 1
-            u = _uniform(key, place - origin, name)
-            moved = np.zeros(len(edge), np.int64)
-            while True:
-                on = (u > self.up_to[edge]) & (moved < last)
-                if not on.any():
-                    break
-                edge, moved = edge + on, moved + on
+            edge = self.first_edge[node]
+            u = _uniform(key, place)
+            on = np.flatnonzero((u > self.up_to[edge]) & ~self.alone[edge])
+            last = edge[on] + self.degree[node[on]] - 1
+            while len(on):
+                edge[on] += 1
+                further = (u[on] > self.up_to[edge[on]]) & (edge[on] < last)
+                on, last = on[further], last[further]
             path[place] = edge
             place = place + self.length[edge]
             go = place < end
             if not go.all():
-                place, base, end, key, origin = place[go], base[go], end[go], key[go], origin[go]
+                place, base, end, key = place[go], base[go], end[go], key[go]
 
     def ids_of(self, path: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The ids along a path, text after text, and the places before each text."""
@@ -344,7 +369,7 @@ class Lattices:
         text_of = np.repeat(np.arange(n_texts), np.diff(self.at)).astype(np.int32)
         filled = np.diff(self.at) > 0
         with np.errstate(divide="ignore"):
-            top = -np.log(-np.log(_uniform(keys, np.zeros(n_texts), "top")))
+            top = -np.log(-np.log(_uniform(_named(keys, "top"), np.zeros(n_texts))))
         drawn: list[dict] = []
         path = np.full(n, -1, np.int32)
         self.walk(path, np.arange(len(self.unit_start)), self.unit_start, keys, "walk 0")
@@ -362,19 +387,18 @@ class Lattices:
                 log_prob[has] = np.add.reduceat(self.log_p[edges], cuts[:-1][has])
             # Regions: the path up to a place, then another edge.
             free = 1.0 - self.p[edges]
-            node_degree = self.degree[self._node_of(places)]
-            free[node_degree == 1] = 0.0
-            at_turn = places == turn[text]
+            free[self.alone[edges]] = 0.0
             if barred.shape[1]:
-                spots = np.flatnonzero(at_turn)
+                spots = np.flatnonzero(places == turn[text])
                 taken = barred[text[spots]]
                 real = taken >= 0
                 free[spots] -= np.where(real, self.p[taken], 0.0).sum(axis=1)
-                free[spots[real.sum(axis=1) + 1 >= node_degree[spots]]] = 0.0
+                free[spots[real.sum(axis=1) + 1 >= self.degree[self._node_of(places[spots])]]] = 0.0
             with np.errstate(divide="ignore"):
                 mass = sums[:-1] - np.repeat(sums[cuts[:-1]], np.diff(cuts)) + np.log(np.where(free > 0, np.maximum(free, 1e-300), 0.0))
-            mass[(places < turn[text]) | ~there[text]] = -np.inf
-            values = _cut_gumbel(mass, top[text], _uniform(keys[text], places - self.at[text], f"region {number}"))
+            if number:
+                mass[(places < turn[text]) | ~there[text]] = -np.inf
+            values = _cut_gumbel(mass, top[text], _uniform((_named(keys, f"region {number}") - self.at[:-1].astype(np.uint64))[text], places))
             drawn.append(
                 {"path": path, "there": there, "log_prob": log_prob, "perturbed": top, "places": places, "values": values, "cuts": cuts, "turn": turn, "barred": barred}
             )
@@ -403,7 +427,7 @@ class Lattices:
                 d["values"][spot] = -np.inf
             texts = np.flatnonzero(there)
             if len(texts):
-                edge = self._other_edge(turn[texts], barred[texts], _uniform(keys[texts], turn[texts] - self.at[texts], f"turn {number + 1}"))
+                edge = self._other_edge(turn[texts], barred[texts], _uniform(_named(keys, f"turn {number + 1}")[texts], turn[texts] - self.at[texts]))
                 path[turn[texts]] = edge
                 unit = np.searchsorted(self.unit_start, turn[texts], side="right") - 1
                 place = turn[texts] + self.length[edge]
