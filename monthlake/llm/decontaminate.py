@@ -228,7 +228,7 @@ def match_items(
 ) -> DataFrame:
     """Documents with n_words, longest (match, in words), hit_items and hits.
 
-    ``hits`` are runs of hit words, with the first and last word's number and the bytes
+    ``longest`` is 0 where no match is as long as the shortest window. ``hits`` are runs of hit words, with the first and last word's number and the bytes
     they lie in; ``items`` has item_id and text.
     """
     spark = docs.sparkSession

@@ -82,6 +82,8 @@ def test_awkward(spark, awkward, empty):
     items = spark.createDataFrame([(1, "cat sat on the mat and then it left today maybe")], "item_id long, text string")
     rows = match_items(awkward, items).collect()
     assert len(rows) == awkward.count() and all(r.score == "kept" for r in rows)
+    assert {r.doc_id: r.longest for r in rows}[9] == 0  # nine words are less than the window
+    rows = match_items(awkward, items, window=9).collect()
     assert {r.doc_id: r.longest for r in rows}[9] == 9
     none = items.limit(0)
     assert match_items(awkward, none).where(n_hit() > 0).count() == 0

@@ -35,7 +35,6 @@ def test_awkward(spark, awkward, small):
             assert (r.lang_pred, r.score) == ("und", 0.0)
         else:
             assert r.lang_pred in model.languages and r.n_words == 7
-    assert {r.lang_pred for r in rows if r.text and r.text.startswith("wort")} == {"de"}
 
 
 def test_empty_and_unlearnable(spark, empty, awkward):
