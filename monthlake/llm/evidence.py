@@ -76,7 +76,7 @@ def gather(
                 code, n = np.unique(bucket << 2 | kind, return_counts=True)
                 block = code >> 18
                 starts = np.flatnonzero(np.diff(block, prepend=-1))
-                ends = np.append(starts[1:], len(code))
+                ends = np.append(starts, len(code))[1:]
                 yield pa.RecordBatch.from_pydict(
                     {
                         "block": pa.array(np.append(block[starts], -1), pa.int32()),

@@ -188,7 +188,7 @@ def _pack(part: pa.RecordBatch, fragments: int, size: int, copied: np.ndarray, f
     block_runs = np.flatnonzero(np.diff(fragment[runs], prepend=-1))
     totals = sets.sizes[owner[runs]].astype(np.int32)
     out: dict[str, list] = {"fragment": [], "keys": [], "totals": [], "lengths": [], "shingles": []}
-    for start, end in zip(block_runs, np.append(block_runs[1:], len(runs)), strict=True):
+    for start, end in zip(block_runs, np.append(block_runs, len(runs))[1:], strict=True):
         out["fragment"].append(int(fragment[runs[start]]))
         out["keys"].append(keys[start:end].tobytes())
         out["totals"].append(totals[start:end].tobytes())
@@ -243,7 +243,7 @@ def _fragment_task(shared, fragments: int):
         lengths = np.diff(np.append(runs, len(flat))).astype(np.int32)
         blocks = np.flatnonzero(np.diff(bucket[runs], prepend=-1))
         out: dict[str, list] = {name: [] for name in ("bucket", *_KINDS)}
-        for start, end in zip(blocks, np.append(blocks[1:], len(runs)), strict=True):
+        for start, end in zip(blocks, np.append(blocks, len(runs))[1:], strict=True):
             low, high = runs[start], runs[end] if end < len(runs) else len(flat)
             own = owner[runs[start:end]]
             out["bucket"].append(int(bucket[low]))

@@ -192,7 +192,7 @@ def materialise(
             first = np.flatnonzero(np.diff(shards, prepend=-1))
             tokens, docs_of = batch.column("tokens"), batch.column("doc_ids")
             out: dict[str, list] = {c: [] for c in ("shard", "slots", "n_tokens", "n_docs", "doc_ids", "packed")}
-            for a, b in zip(first, np.append(first[1:], len(order)), strict=True):
+            for a, b in zip(first, np.append(first, len(order))[1:], strict=True):
                 rows = pa.array(order[a:b])
                 lists = docs_of.take(rows)
                 out["shard"].append(int(shards[a]))
