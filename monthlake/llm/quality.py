@@ -201,7 +201,8 @@ def train_quality(
         told = [(row_ids[i], int(of_text[i])) for i in np.flatnonzero(of_text >= 0)]
         told_rows = sample.drop("label").join(F.broadcast(spark.createDataFrame(told, "row long, label int")), "row")
         evidence: Evidence = gather(told_rows.select("text", "label", "half"), lambda part: _tokens(part)[:2], _PRIOR_ROWS)
-        tables = spark.sparkContext.broadcast([evidence.shares((1,)), evidence.shares((0,)), evidence.shares((0, 1))])
+        shares = [evidence.shares(h).astype(np.float16) for h in ((1,), (0,), (0, 1))]
+        tables = spark.sparkContext.broadcast(shares)
 
         def dense(batches: Iterator[pa.RecordBatch], tables=tables) -> Iterator[pa.RecordBatch]:
             for batch in batches:
@@ -213,6 +214,7 @@ def train_quality(
         x = np.zeros((len(facts), 3 * _TEXT_FEATURES))
         for r in sample.select("row", "text").mapInArrow(dense, "row long, x array<double>").toLocalIterator():
             x[place[r["row"]]] = r["x"]
+        tables.destroy()  # of each round, on all disks
         other, own, both = np.split(x, 3, axis=1)
         apart = np.where((halves == 0)[:, None], other, own)
         use = of_text >= 0
@@ -236,7 +238,7 @@ def train_quality(
 
     both_views = np.column_stack([logit(np.clip(p, 1e-6, 1 - 1e-6)) for p in (p_text, p_page)])
     joint = fit_logistic(both_views[labelled], truth[labelled].astype(float))
-    model = QualityModel(tables.value[2], text_weights, view, page_weights, joint)
+    model = QualityModel(shares[2], text_weights, view, page_weights, joint)
     scratch.drop(chosen, sample)
     return model
 
