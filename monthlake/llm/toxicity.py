@@ -1,8 +1,8 @@
 """Toxicity of texts after noisy-channel deobfuscation (operator 10).
 
 A character trigram model is counted over the words of all documents. Words that look
-disguised (letters with digits or signs among them, characters three times in a row,
-single letters with blanks or signs between them) become lattices: each sign may stand
+disguised (letters with digits, signs or separators among them, equal letters in a row,
+letters of any script or short fragments with blanks between them) become lattices: each sign may stand
 for a letter, be dropped or be itself; a run may be one or two characters; a separator
 may be nothing or the end of a word. Viterbi finds the likeliest letters under the
 channel's and the model's costs. Words and restored words are then scored: the weights
@@ -54,6 +54,9 @@ _TWICE, _ONCE, _LONG_TWICE, _LONG_ONCE = (math.log(p) for p in (0.95, 0.05, 0.4,
 _CLASSES = 64
 _LETTER_BYTES = byte_table((0x61, 0x7A), (0x80, 0xFF))
 _SIGN_BYTES = np.isin(np.arange(256), [ord(c) for c in _LEET if ord(c) < 128])
+_FAR_SIGNS = tuple(c.encode() for c in _LEET if ord(c) >= 128)
+#: Characters of a fragment of a word that blanks divide. Longer ones would make most short words of a text suspects.
+_FRAGMENT = 2
 _TOKEN_BYTES = ~byte_table((0x20, 0x20), (0x09, 0x0D))
 _WORD_BYTES = byte_table((0x30, 0x39), (0x61, 0x7A), (0x41, 0x5A), (0x80, 0xFF))
 _EDGE = " .,;:?\"'()[]{}*#%&-_=~`/\\<>^"
@@ -179,26 +182,61 @@ def _suspects(lowered: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarr
     within = lambda s: s[tokens.end] - s[tokens.start]
     letter = _LETTER_BYTES[lowered]
     letters, signs = within(sums(letter)), within(sums(_SIGN_BYTES[lowered]))
-    other = (tokens.end - tokens.start) - letters - signs
-    inner = np.zeros(len(lowered), bool)  # three equal letters, by their last
-    inner[2:] = (lowered[2:] == lowered[1:-1]) & (lowered[1:-1] == lowered[:-2]) & letter[2:]
-    tripled = sums(inner)
-    tripled = tripled[tokens.end] - tripled[np.minimum(tokens.start + 2, tokens.end)] > 0
-    alone = (tokens.end - tokens.start == 1) & (letters + signs == 1)
-    broken = (letters >= 3) & (other >= 2) & (other >= letters - 2)
-    marked = ((letters >= 1) & (signs >= 1)) | tripled | broken
+    # Characters, as the bytes that do not continue one.
+    chars = within(sums((lowered & 0xC0) != 0x80))
+    twice = np.zeros(len(tokens), bool)  # two equal letters in a row
+    for width in (1, 2, 3):  # bytes of a letter
+        if len(lowered) >= 2 * width:
+            same = lowered[width:] == lowered[:-width]
+            n = len(same) - width + 1
+            starts = lowered[width : width + n] >= 0xC0 if width > 1 else letter[1:] & (lowered[1:] < 0x80)
+            doubled = np.zeros(len(lowered), bool)  # by their last byte
+            doubled[2 * width - 1 :] = np.all([same[k : k + n] for k in range(width)], axis=0) & starts
+            seen = sums(doubled)
+            twice |= seen[tokens.end] - seen[np.minimum(tokens.start + 2 * width - 1, tokens.end)] > 0
+    # What stands between letters or signs, other than at the token's ends.
+    inside = letter | _SIGN_BYTES[lowered]
+    here = np.flatnonzero(inside)
+    gaps = np.zeros(len(lowered), bool)
+    if len(here) > 1:
+        gaps[here[1:]] = np.diff(here) > 1  # the gap before a letter or sign
+    broken = np.zeros(len(tokens), bool)
+    gap = sums(gaps)
+    first = np.searchsorted(here, tokens.start)  # the token's first letter or sign
+    after = np.append(here, len(lowered))[first] + 1
+    some = after <= tokens.end
+    broken[some] = gap[tokens.end[some]] - gap[after[some]] > 0
+    marked = (letters >= 1) & ((signs >= 1) | twice | broken)
+    whole = lowered.tobytes()
+    far = np.zeros(len(lowered), bool)
+    for sign in _FAR_SIGNS:
+        place = whole.find(sign)
+        while place >= 0:
+            far[place] = True
+            place = whole.find(sign, place + 1)
+    marked |= within(sums(far)) > 0
     owner = tokens.text_index()
-    # Three or more single characters one after the other are one suspect.
-    joined = np.zeros(len(tokens), bool)
-    joined[1:] = alone[1:] & alone[:-1] & (owner[1:] == owner[:-1]) & (tokens.start[1:] - tokens.end[:-1] <= 2)
-    firsts = np.flatnonzero(~joined)
-    lasts = np.append(firsts[1:], len(tokens)) - 1
-    spaced = lasts - firsts >= 2
+    plain = letters + signs == tokens.end - tokens.start
+
+    def runs(short: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """First and last token of three or more short ones in a row, however far apart."""
+        joined = np.zeros(len(tokens), bool)
+        joined[1:] = short[1:] & short[:-1] & (owner[1:] == owner[:-1])
+        firsts = np.flatnonzero(~joined)
+        lasts = np.append(firsts[1:], len(tokens)) - 1
+        long = lasts - firsts >= 2
+        return firsts[long], lasts[long]
+
+    alone = plain & (chars == 1)
+    singles = runs(alone)
+    firsts, lasts = runs(plain & (chars <= _FRAGMENT))
+    mixed = ~(np.isin(firsts, singles[0]) & np.isin(lasts, singles[1]))
+    firsts, lasts = np.append(singles[0], firsts[mixed]), np.append(singles[1], lasts[mixed])
     keep = np.flatnonzero(marked & ~alone)
     return (
-        np.concatenate([owner[keep], owner[firsts[spaced]]]),
-        np.concatenate([tokens.start[keep], tokens.start[firsts[spaced]]]),
-        np.concatenate([tokens.end[keep], tokens.end[lasts[spaced]]]),
+        np.concatenate([owner[keep], owner[firsts]]),
+        np.concatenate([tokens.start[keep], tokens.start[firsts]]),
+        np.concatenate([tokens.end[keep], tokens.end[lasts]]),
     )
 
 
@@ -221,7 +259,7 @@ class Restorer:
             raw = whole[start:end]
             word = self.known.get(raw)
             if word is None:
-                token = raw.decode("utf-8", "replace").lower().strip(_EDGE).rstrip("!")
+                token = " ".join(raw.decode("utf-8", "replace").lower().split()).strip(_EDGE).rstrip("!")
                 word = restore(token, self.model) if token else ""
                 if len(self.known) >= _MOST_REMEMBERED:
                     self.known.clear()

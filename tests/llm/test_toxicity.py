@@ -39,6 +39,32 @@ def test_scores(spark, trained):
     assert all(scores[i] >= THRESHOLD for i in (0, 1, 2)) and all(0 <= scores[i] < THRESHOLD for i in range(3, 8))
 
 
+@pytest.mark.parametrize(
+    "token",
+    ["st*upid", "stu.pid", "idi-ot", "i-d-iot", "s-t-upid", "idiiot", "idioot", "st up id", "s   t   u   p   i   d", "s\tt\tu\tp\ti\td", "¡diot", "id¡ot", "¡ d ¡ o t", "tra\u0073\u0073h"],
+)
+def test_each_disguise_alone(trained, token):
+    """Each reaches the lattice within a text without any other, and is restored."""
+    import numpy as np
+
+    from monthlake.llm.toxicity import Restorer
+
+    data = np.frombuffer((CLEAN + token).encode(), np.uint8)
+    (restored,) = Restorer(trained[0].chars).texts(data, np.array([0, len(data)]))
+    assert {"stupid", "idiot", "trash"} & set(restored.split())
+
+
+def test_spaced_letters_beyond_ascii(trained):
+    import numpy as np
+
+    from monthlake.llm.flat import LOWER
+    from monthlake.llm.toxicity import _suspects
+
+    for text in ("и д и о т", "blöödes"):
+        data = LOWER[np.frombuffer(text.encode(), np.uint8)]
+        assert [x.tolist() for x in _suspects(data, np.array([0, len(data)]))] == [[0], [0], [len(data)]]
+
+
 def test_held_out(spark, trained):
     model, docs, labels = trained
     joined = score_toxicity(docs, model).join(labels.where("toxic IN (0, 1)"), "doc_id").collect()
