@@ -34,10 +34,10 @@ BYTES_PER_AUTOMATON = 8 << 20
 #: Words are runs of other bytes than 00-2F, 3A-60 and 7B-7F, after A-Z became a-z.
 WORD_BYTES = ~byte_table((0x00, 0x2F), (0x3A, 0x40), (0x5B, 0x60), (0x7B, 0x7F))
 
-_HITS = "hits array<struct<first: int, last: int, from_byte: int, to_byte: int>>"
+_HITS = "hits array<struct<first: int, last: int, from_byte: int, to_byte: int, short: boolean>>"
 _ADDED = f"n_words long, longest int, hit_items array<string>, {_HITS}"
 _HIT_TYPE = pa.list_(
-    pa.struct([(name, pa.int32()) for name in ("first", "last", "from_byte", "to_byte")])
+    pa.struct([*((name, pa.int32()) for name in ("first", "last", "from_byte", "to_byte")), ("short", pa.bool_())])
 )
 _TYPES = {
     "n_words": pa.int64(),
@@ -112,8 +112,8 @@ class SuffixAutomaton:
             self.link[new] = self._split(state, word)
         return new
 
-    def stream(self, words: list[int]) -> Iterator[tuple[int, int, int, tuple[str, ...] | list[str]]]:
-        """For each place: matched length, length of the hit that ends here, and its items."""
+    def stream(self, words: list[int]) -> Iterator[tuple[int, int, int, tuple[str, ...] | list[str], bool]]:
+        """For each place: matched length, length of the hit that ends here, its items, whether one is short."""
         arrows, link, length, window = self.next, self.link, self.length, self.window
         state = matched = 0
         for place, word in enumerate(words):
@@ -124,7 +124,7 @@ class SuffixAutomaton:
             if target is None:
                 continue
             state, matched = target, matched + 1
-            hit, names = 0, ()
+            hit, names, short = 0, (), False
             if matched >= window:
                 at = state
                 while length[link[at]] >= window:
@@ -135,9 +135,9 @@ class SuffixAutomaton:
             while at > 0:
                 for size, name in self.short.get(at, ()):
                     if size <= matched:
-                        hit, names = max(hit, size), [*names, name]
+                        hit, names, short = max(hit, size), [*names, name], True
                 at = self.short_at[link[at]]
-            yield place, matched, hit, names
+            yield place, matched, hit, names, short
 
 
 class Matcher:
@@ -166,7 +166,7 @@ class Matcher:
         place = np.minimum(np.searchsorted(sorted_values, values), len(sorted_values) - 1)
         return np.where(sorted_values[place] == values, place, -1)
 
-    def matches(self, words: Words) -> list[tuple[int, set[str], list[tuple[int, int]]]]:
+    def matches(self, words: Words) -> list[tuple[int, set[str], list[tuple[int, int, bool]]]]:
         """For each text: the longest match, the items hit, and runs of hit words."""
         numbers = self._find(self.vocabulary, words.hashes())
         joined = np.zeros(len(numbers), bool)  # to the word before
@@ -184,26 +184,27 @@ class Matcher:
         owners = np.searchsorted(words.of_text, starts, side="right") - 1 if len(starts) else ()
         for start, end, owner in zip(starts, ends, owners, strict=True):
             longest, names, spans = found[owner]
-            for place, matched, hit, items in self.automaton.stream(numbers[start:end].tolist()):
+            for place, matched, hit, items, short in self.automaton.stream(numbers[start:end].tolist()):
                 longest = max(longest, matched)
                 if hit:
                     names.update(items)
                     last = int(start) + place
                     first = last - hit + 1
                     while spans and first <= spans[-1][1] + 1:
-                        first = min(first, spans.pop()[0])
-                    spans.append((first, last))
+                        before = spans.pop()
+                        first, short = min(first, before[0]), short or before[2]
+                    spans.append((first, last, short))
             found[owner] = (longest, names, spans)
         return found
 
 
-def _merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
-    out: list[tuple[int, int]] = []
-    for first, last in sorted(spans):
+def _merged(spans: list[tuple[int, int, bool]]) -> list[tuple[int, int, bool]]:
+    out: list[tuple[int, int, bool]] = []
+    for first, last, short in sorted(spans):
         if out and first <= out[-1][1] + 1:
-            out[-1] = (out[-1][0], max(last, out[-1][1]))
+            out[-1] = (out[-1][0], max(last, out[-1][1]), short or out[-1][2])
         else:
-            out.append((first, last))
+            out.append((first, last, short))
     return out
 
 
@@ -229,7 +230,8 @@ def match_items(
     """Documents with n_words, longest (match, in words), hit_items and hits.
 
     ``longest`` is 0 where no match is as long as the shortest window. ``hits`` are runs of hit words, with the first and last word's number and the bytes
-    they lie in; ``items`` has item_id and text.
+    they lie in; ``short`` says that an item of fewer words than the window is among them;
+    ``items`` has item_id and text.
     """
     spark = docs.sparkSession
     kept = docs.drop(*_TYPES)
@@ -264,7 +266,7 @@ def _answer(part: pa.RecordBatch, matcher: Matcher) -> pa.RecordBatch:
     longests, names, hits = [], [], []
     for i, (longest, items, spans) in enumerate(matcher.matches(words)):
         base, byte = int(words.of_text[i]), int(words.at[i])
-        before = [(base + h["first"], base + h["last"]) for h in old[2][i] or ()]
+        before = [(base + h["first"], base + h["last"], h["short"]) for h in old[2][i] or ()]
         longests.append(max(longest, old[0][i] or 0))
         names.append(sorted(items.union(old[1][i] or ())))
         hits.append(
@@ -274,8 +276,9 @@ def _answer(part: pa.RecordBatch, matcher: Matcher) -> pa.RecordBatch:
                     "last": b - base,
                     "from_byte": int(words.start[a]) - byte,
                     "to_byte": int(words.end[b]) - byte,
+                    "short": short,
                 }
-                for a, b in _merged(spans + before)
+                for a, b, short in _merged(spans + before)
             ]
         )
     new = {
@@ -305,7 +308,8 @@ def decontaminate(
 ) -> DataFrame:
     """Documents without the passages of items; the same columns.
 
-    Hit runs of ``least_span`` words or more are cut out of the text. A document of
+    Hit runs of ``least_span`` words or more, and those with a whole item of fewer words
+    than the window, are cut out of the text. A document of
     whose words more than ``most_coverage`` are hit goes as a whole. Documents without
     hits stay as they are. ``n_chars``, if there is one, follows the text.
     """
@@ -313,7 +317,7 @@ def decontaminate(
     matched = match_items(docs, items, window, bytes_per_automaton).where(
         n_hit() <= F.col("n_words") * most_coverage
     )
-    long_hits = F.filter("hits", lambda h: h["last"] - h["first"] + 1 >= least_span)
+    long_hits = F.filter("hits", lambda h: (h["last"] - h["first"] + 1 >= least_span) | h["short"])
     raw = F.col("text").cast("binary")
     # What stands between the hits: from the end of one to the start of the next.
     starts = F.concat(F.array(F.lit(0)), F.transform(long_hits, lambda h: h["to_byte"]))

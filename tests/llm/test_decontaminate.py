@@ -78,6 +78,16 @@ def test_passages_are_cut_out(spark):
     assert (rows[3].text, rows[3].n_chars, rows[4].text, rows[4].n_chars) == ("clean", 5, None, None)
 
 
+def test_short_items_are_cut_out(spark):
+    """An item of fewer words than the window goes from a long document too."""
+    rest = "other words follow here " * 10
+    docs = spark.createDataFrame([(1, f"before. What is the capital of France? {rest}"), (2, f"what is the capital {rest}")], "doc_id long, text string")
+    items = spark.createDataFrame([(1, "What is the capital of France?"), (2, " ".join(f"w{i}" for i in range(12)))], "item_id long, text string")
+    for size in (8 << 20, 20):
+        rows = {r.doc_id: r.text for r in decontaminate(docs, items, bytes_per_automaton=size).collect()}
+        assert rows == {1: f"before. ? {rest}", 2: f"what is the capital {rest}"}
+
+
 def test_awkward(spark, awkward, empty):
     items = spark.createDataFrame([(1, "cat sat on the mat and then it left today maybe")], "item_id long, text string")
     rows = match_items(awkward, items).collect()
