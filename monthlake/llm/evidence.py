@@ -62,8 +62,8 @@ def gather(
 ) -> Evidence:
     """Counts over ``rows`` (label, half and what ``features`` reads, with a column text).
 
-    ``features`` gives buckets below 2^22 and the row of each. The rows are a bounded
-    sample, and so are the counts that reach the driver.
+    ``features`` gives buckets below 2^22 and the row of each. The rows may be
+    any number; the counts that reach the driver are at most four a bucket.
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

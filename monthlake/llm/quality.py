@@ -4,14 +4,15 @@ One view is the text: the mean weight of its tokens (runs of non-blanks, as they
 and as shapes), the share of tokens that speak against it, and how often tokens repeat.
 The other is what describes the page: source, language, length, lines and the make-up of
 its characters, each as a category. Both are trained on a bounded sample of labelled rows.
-For ``rounds`` rounds, each view then labels the rows of a bounded pool of which it is
-surest (at least ``confident``, as many of both kinds as the labels have), and the other
-view learns from those too. Each view's probability is a logistic regression on rows that
-did not give its weights; a last regression on the labelled rows joins the two. Every
-document is scored by both views.
+For ``rounds`` rounds, each view then labels all usable documents without a label of which
+it is sure (at least ``confident``), and the other view learns from those too: their tokens
+and categories are counted in Spark, beside those of the labelled rows. Each view's
+probability is a logistic regression on labelled rows, by weights that their half did not
+give; a last regression joins the two. Every document is scored by both views.
 
-Bounds: ``max_labelled`` labelled rows and ``max_pool`` rows of the pool, those with the
-smallest hash of their id. Everything else covers all rows.
+Bounds: ``max_labelled`` labelled rows, those with the smallest hash of their id; the
+regressions are fitted on these. Everything else covers all rows. To the driver come the
+facts of the labelled rows, tables of a fixed size, and a count for each category.
 
 Defined results: null and empty texts have a length of 0 and no tokens, and are scored by
 what is left. Null sources and languages are categories of their own. Without labels, or
@@ -35,7 +36,6 @@ from monthlake.llm.flat import Words, byte_table, mix, seed, slices, span_hashes
 from monthlake.llm.scratch import Scratch
 
 MAX_LABELLED = 20_000
-MAX_POOL = 20_000
 ROUNDS = 3
 CONFIDENT = 0.95
 _PRIOR_ROWS = 5.0
@@ -115,20 +115,19 @@ def _text_dense(tokens: tuple[np.ndarray, np.ndarray, Words], shares: np.ndarray
 class PageView:
     """Weights of the categories, by feature."""
 
-    def __init__(self, rows: list[tuple], labels: np.ndarray, halves: np.ndarray):
+    def __init__(self, counted: list[tuple[int, int, str, int, int]], totals: dict[int, tuple[int, int]]):
+        """``counted`` has half, feature, value, rows and good ones; ``totals`` those of a half."""
         self.tables = {}
-        good = labels == 1
         for used in ((0,), (1,), (0, 1)):
-            chosen = np.isin(halves, used)
-            base = (good[chosen].sum() + 1) / (chosen.sum() + 2)
-            table: list[dict[str, float]] = []
-            for i in range(len(_PAGE)):
-                n: dict[str, list[float]] = {}
-                for row, y in zip(np.flatnonzero(chosen).tolist(), good[chosen].tolist(), strict=True):
-                    entry = n.setdefault(rows[row][i], [0.0, 0.0])
-                    entry[0] += y
-                    entry[1] += 1
-                table.append({k: float(logit(np.float64((g + 5 * base) / (t + 5)))) for k, (g, t) in n.items()})
+            n_all, n_good = (sum(totals.get(h, (0, 0))[i] for h in used) for i in (0, 1))
+            base = (n_good + 1) / (n_all + 2)
+            sums: list[dict[str, list[int]]] = [{} for _ in _PAGE]
+            for half, feature, value, rows, good in counted:
+                if half in used:
+                    entry = sums[feature].setdefault(value, [0, 0])
+                    entry[0] += rows
+                    entry[1] += good
+            table = [{k: float(logit(np.float64((g + 5 * base) / (t + 5)))) for k, (t, g) in n.items()} for n in sums]
             self.tables[used] = (table, float(logit(np.float64(base))))
 
     def dense(self, rows: list[tuple], used: tuple[int, ...] = (0, 1)) -> np.ndarray:
@@ -146,14 +145,53 @@ def _apply(x: np.ndarray, w: np.ndarray) -> np.ndarray:
     return sigmoid(x @ w[:-1] + w[-1])
 
 
-def _surest(p: np.ndarray, free: np.ndarray, confident: float, share: float, most: int) -> dict[int, int]:
-    """Rows of the pool and the labels a view is sure of, in the proportion of the labels."""
-    out: dict[int, int] = {}
-    for label, sure, part in ((1, p, share), (0, 1 - p, 1 - share)):
-        order = np.flatnonzero(free & (sure >= confident))
-        order = order[np.argsort(-sure[order], kind="stable")]
-        out.update(dict.fromkeys(order[: max(1, int(most * part))].tolist(), label))
-    return out
+def _sure(p: np.ndarray, confident: float) -> np.ndarray:
+    """The label that a view is sure of, or -1."""
+    return np.where(p >= confident, 1, np.where(1 - p >= confident, 0, -1)).astype(np.int32)
+
+
+def _page_view(rows: DataFrame) -> PageView:
+    """Counts by category over rows (label, half, page)."""
+    counted = (
+        rows.select("label", "half", F.posexplode("page").alias("feature", "value"))
+        .groupBy("half", "feature", "value")
+        .agg(F.count("*").alias("n"), F.sum("label").alias("good"))
+        .toLocalIterator()
+    )
+    counts = [tuple(r) for r in counted]
+    totals: dict[int, tuple[int, int]] = {}
+    for half, feature, _, n, good in counts:
+        if feature == 0:
+            before = totals.get(half, (0, 0))
+            totals[half] = (before[0] + n, before[1] + good)
+    return PageView(counts, totals)
+
+
+def _told_by_text(rows: DataFrame, shared, weights: np.ndarray, confident: float) -> DataFrame:
+    """(label, half, page) of the rows of which the text view is sure; ``shared`` has its shares last."""
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, "text"):
+                label = _sure(_apply(_text_dense(_tokens(part), shared.value[-1]), weights), confident)
+                out = pa.RecordBatch.from_arrays([pa.array(label), part.column("half"), part.column("page")], names=["label", "half", "page"])
+                yield out.filter(pa.array(label >= 0))
+
+    return rows.select("text", "half", "page").mapInArrow(task, "label int, half int, page array<string>")
+
+
+def _told_by_page(rows: DataFrame, shared, confident: float) -> DataFrame:
+    """(label, half, text) of the rows of which the page view is sure; ``shared`` has it and its weights."""
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        view, weights = shared.value
+        for batch in batches:
+            for part in slices(batch, "text"):
+                label = _sure(_apply(view.dense(part.column("page").to_pylist()), weights), confident)
+                out = pa.RecordBatch.from_arrays([part.column("text"), pa.array(label), part.column("half")], names=["text", "label", "half"])
+                yield out.filter(pa.array(label >= 0))
+
+    return rows.select("text", "half", "page").mapInArrow(task, "text string, label int, half int")
 
 
 def train_quality(
@@ -163,7 +201,6 @@ def train_quality(
     rounds: int = ROUNDS,
     confident: float = CONFIDENT,
     max_labelled: int = MAX_LABELLED,
-    max_pool: int = MAX_POOL,
 ) -> QualityModel:
     """``docs`` has doc_id, text, lang, source; ``labels`` doc_id and quality.
 
@@ -171,36 +208,26 @@ def train_quality(
     """
     spark = docs.sparkSession
     scratch = Scratch(spark)
-    known = labelled_sample(labels, "quality", usable & F.col("doc_id").isNotNull(), max_labelled)
-    pool = (
-        docs.where(usable & F.col("doc_id").isNotNull())
-        .select("doc_id")
-        .orderBy(F.xxhash64("doc_id", F.lit("pool")), "doc_id")
-        .limit(max_pool)
-        .distinct()
-        .join(F.broadcast(known), "doc_id", "left_anti")
-        .select("doc_id", F.lit(None).cast("int").alias("label"), F.pmod(F.xxhash64("doc_id", F.lit("half")), F.lit(2)).cast("int").alias("half"))
-    )
-    chosen = scratch.put(known.unionByName(pool), "chosen")
+    known = scratch.put(labelled_sample(labels, "quality", usable & F.col("doc_id").isNotNull(), max_labelled), "known")
     page = page_features()
-    sample = docs.join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "label", "half", F.array(*(page[k] for k in _PAGE)).alias("page"))
+    paged = docs.where(usable & F.col("doc_id").isNotNull()).select("doc_id", "text", F.array(*(page[k] for k in _PAGE)).alias("page"))
+    half = F.pmod(F.xxhash64("doc_id", F.lit("half")), F.lit(2)).cast("int")
+    others = scratch.put(paged.join(F.broadcast(known), "doc_id", "left_anti").select("text", "page", half.alias("half")), "others")
+    sample = paged.join(F.broadcast(known), "doc_id").select("text", "page", "label", "half")
     sample = scratch.put(sample.withColumn("row", F.monotonically_increasing_id()), "sample")
 
     facts = sample.select("row", "label", "half", "page").orderBy("row").collect()
-    row_ids = [r["row"] for r in facts]
-    place = {row: i for i, row in enumerate(row_ids)}
+    place = {r["row"]: i for i, r in enumerate(facts)}
     halves = np.array([r["half"] for r in facts], int)
-    truth = np.array([-1 if r["label"] is None else r["label"] for r in facts], int)
+    truth = np.array([r["label"] for r in facts], int)
     pages = [tuple(r["page"]) for r in facts]
-    labelled = truth >= 0
-    share = float((truth == 1).sum() + 1) / (labelled.sum() + 2)
-    of_text, of_page = truth.copy(), truth.copy()
+    for_text, for_page = sample.select("text", "label", "half"), sample.select("label", "half", "page")
+    told_text, told_page = for_text, for_page
+    kept: list = []
 
     for number in range(rounds + 1):
         # The text view.
-        told = [(row_ids[i], int(of_text[i])) for i in np.flatnonzero(of_text >= 0)]
-        told_rows = sample.drop("label").join(F.broadcast(spark.createDataFrame(told, "row long, label int")), "row")
-        evidence: Evidence = gather(told_rows.select("text", "label", "half"), lambda part: _tokens(part)[:2], _PRIOR_ROWS)
+        evidence: Evidence = gather(told_text, lambda part: _tokens(part)[:2], _PRIOR_ROWS)
         shares = [evidence.shares(h).astype(np.float16) for h in ((1,), (0,), (0, 1))]
         tables = spark.sparkContext.broadcast(shares)
 
@@ -208,38 +235,34 @@ def train_quality(
             for batch in batches:
                 for part in slices(batch, "text"):
                     tokens = _tokens(part)
-                    x = np.concatenate([_text_dense(tokens, s) for s in tables.value], axis=1)
+                    x = np.concatenate([_text_dense(tokens, s) for s in tables.value[:2]], axis=1)
                     yield pa.RecordBatch.from_arrays([part.column("row"), pa.array(list(x), pa.list_(pa.float64()))], names=["row", "x"])
 
-        x = np.zeros((len(facts), 3 * _TEXT_FEATURES))
+        x = np.zeros((len(facts), 2 * _TEXT_FEATURES))
         for r in sample.select("row", "text").mapInArrow(dense, "row long, x array<double>").toLocalIterator():
             x[place[r["row"]]] = r["x"]
-        tables.destroy()  # of each round, on all disks
-        other, own, both = np.split(x, 3, axis=1)
-        apart = np.where((halves == 0)[:, None], other, own)
-        use = of_text >= 0
-        text_weights = fit_logistic(apart[use], of_text[use].astype(float))
-        p_text = np.where(use, _apply(apart, text_weights), _apply(both, text_weights))
+        apart = np.where((halves == 0)[:, None], *np.split(x, 2, axis=1))
+        text_weights = fit_logistic(apart, truth.astype(float))
+        p_text = _apply(apart, text_weights)
         # The page view.
-        use = of_page >= 0
-        view = PageView([pages[i] for i in np.flatnonzero(use)], of_page[use], halves[use])
+        view = _page_view(told_page)
+        for old in kept:  # of each round, on all disks
+            old.destroy()
         apart = np.where((halves == 0)[:, None], view.dense(pages, (1,)), view.dense(pages, (0,)))
-        page_weights = fit_logistic(apart[use], of_page[use].astype(float))
-        p_page = np.where(use, _apply(apart, page_weights), _apply(view.dense(pages), page_weights))
-        if number == rounds:
+        page_weights = fit_logistic(apart, truth.astype(float))
+        p_page = _apply(apart, page_weights)
+        if number == rounds or len(np.unique(truth)) < 2:
+            tables.destroy()
             break
-        most = max(2, int(labelled.sum()) // 4)
-        to_page = _surest(p_text, of_page < 0, confident, share, most)
-        to_text = _surest(p_page, of_text < 0, confident, share, most)
-        for i, label in to_page.items():
-            of_page[i] = label
-        for i, label in to_text.items():
-            of_text[i] = label
+        views = spark.sparkContext.broadcast((view, page_weights))
+        kept = [tables, views]
+        told_text = for_text.unionByName(_told_by_page(others, views, confident))
+        told_page = for_page.unionByName(_told_by_text(others, tables, text_weights, confident))
 
     both_views = np.column_stack([logit(np.clip(p, 1e-6, 1 - 1e-6)) for p in (p_text, p_page)])
-    joint = fit_logistic(both_views[labelled], truth[labelled].astype(float))
+    joint = fit_logistic(both_views, truth.astype(float))
     model = QualityModel(shares[2], text_weights, view, page_weights, joint)
-    scratch.drop(chosen, sample)
+    scratch.drop(known, others, sample)
     return model
 
 

@@ -35,6 +35,15 @@ def test_views_teach_each_other(spark):
     assert all((r.score_page > 0.5) == (r.doc_id % 3 > 0) for r in scored)
 
 
+def test_every_document_is_seen(spark):
+    """Categories beyond a pool of 20,000 rows get evidence: each occurs in few of 30,000 rows."""
+    rows = [(i, "alpha beta gamma delta " * 5 if i % 3 else "zz## yy## xx## vv## " * 5, "en", f"site{i % 3}-{i % 9999 // 3}") for i in range(30_000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").repartition(4)
+    labels = spark.createDataFrame([(i, int(i % 3 > 0)) for i in range(60)], "doc_id long, quality int")
+    table, _ = train_quality(docs, labels, F.lit(True), rounds=1).page.tables[(0, 1)]
+    assert table[0].keys() == {r[3] for r in rows}
+
+
 def test_awkward(spark, awkward, empty):
     none = spark.createDataFrame([], "doc_id long, quality int")
     some = spark.createDataFrame([(1, 1), (5, 0), (None, 1), (2, None), (3, 9)], "doc_id long, quality int")
