@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import re
+import textwrap
 
 from monthlake.llm.licenses import LEAST_DICE, TEMPLATES, scan_licenses
 
@@ -45,6 +46,17 @@ def test_against_every_pair(spark, small):
     assert sum(map(bool, got)) > 2 * len(TEMPLATES)
 
 
+def test_bodies_and_headers(spark):
+    """Whole licence files with title, owner and wrapped lines."""
+    by_name = {name: text for name, text in TEMPLATES}  # the last of each is its longest
+    for name, first in {"MIT": "Permission is hereby", "BSD-2-Clause": "Redistribution and", "BSD-3-Clause": "Redistribution and", "ISC": "Permission to use", "GPL-3.0": "This program is free", "AGPL-3.0": "This program is free"}.items():
+        body = by_name[name]
+        assert body.startswith(first)
+        file = f"{name} License\n\nCopyright (c) 2020 Jane Doe\n\n" + "\n".join(textwrap.wrap(body, 72)) + "\n"
+        ((found,),) = ours(spark, [file])
+        assert found[0] == name
+
+
 def test_units_are_named(spark):
     text = "first\n\nReleased under\nthe MIT License.\n\nlast"
     (row,) = scan_licenses(spark.createDataFrame([(text,)], "text string")).collect()
