@@ -242,12 +242,15 @@ def match_items(
         F.lit(None).cast("array<string>").alias("hit_items"),
         F.lit(None).cast(_HITS.removeprefix("hits ")).alias("hits"),
     )
-    lists = list(_automata(items, window, bytes_per_automaton)) if bytes_per_automaton else []
-    for number, rows in enumerate(lists or [[]]):
-        if number:
+    matcher = None
+    for rows in _automata(items, window, bytes_per_automaton) if bytes_per_automaton else ():
+        if matcher:
             frame = stored(frame, "decontaminate")
+            matcher.destroy()
         matcher = spark.sparkContext.broadcast(Matcher(rows, window))
         frame = frame.mapInArrow(_task(matcher), frame.schema)
+    if matcher is None:
+        frame = frame.mapInArrow(_task(spark.sparkContext.broadcast(Matcher([], window))), frame.schema)
     return frame
 
 

@@ -88,6 +88,24 @@ def test_short_items_are_cut_out(spark):
         assert rows == {1: f"before. ? {rest}", 2: f"what is the capital {rest}"}
 
 
+def test_one_part_of_items_at_a_time(spark, monkeypatch):
+    """A part is made into its automaton before the next one is fetched."""
+    from monthlake.llm import decontaminate as module
+
+    events = []
+
+    def parts(*_):
+        for name in "ab":
+            events.append("fetched")
+            yield [(name, f"some words of {name}")]
+
+    made = module.Matcher.__init__
+    monkeypatch.setattr(module, "_automata", parts)
+    monkeypatch.setattr(module.Matcher, "__init__", lambda self, *a: (events.append("made"), made(self, *a))[1])
+    rows = ours(spark, [(1, "here are some words of a and some words of b")], [(1, "x")])
+    assert events == ["fetched", "made"] * 2 and rows[0][2:4] == (8, 2)
+
+
 def test_awkward(spark, awkward, empty):
     items = spark.createDataFrame([(1, "cat sat on the mat and then it left today maybe")], "item_id long, text string")
     rows = match_items(awkward, items).collect()
