@@ -6,12 +6,11 @@ from pathlib import Path
 import pytest
 from pyspark.sql import DataFrame, SparkSession
 
-sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
+sys.path[:0] = [str(Path(__file__).resolve().parents[1]), str(Path(__file__).resolve().parent)]
 
+from core_records import GOOD  # noqa: E402
 from monthlake.schema import INCIDENT_COLUMNS, INCIDENT_SCHEMA  # noqa: E402
 
-SMALL = "/root/testdata/sf0.001"
-
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory) -> SparkSession:
@@ -32,18 +31,6 @@ def spark(tmp_path_factory) -> SparkSession:
     session.stop()
 
 
-# A record that passes all rules.
-GOOD = {
-    "ID": "1",
-    "Case Number": "A1",
-    "Date": "05/03/2001 10:20:30 AM",
-    "Primary Type": "THEFT",
-    "Year": 2001,
-    "Latitude": 41.5,
-    "Longitude": -87.5,
-}
-
-
 @pytest.fixture
 def incidents(spark):
     """Builds incident records from the columns that differ from `GOOD`."""

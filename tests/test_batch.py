@@ -22,7 +22,7 @@ from monthlake.sinks import write_raw_month
 from monthlake.sources import count_months, read_curated, read_rejected, read_source
 from monthlake.work import shared_dir
 
-from conftest import SMALL
+from core_records import SMALL
 
 JAN, FEB = BatchMonth(2001, 1), BatchMonth(2001, 2)
 JAN_DATE, FEB_DATE = "01/05/2001 01:00:00 AM", "02/05/2001 01:00:00 AM"

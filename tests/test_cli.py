@@ -11,7 +11,7 @@ from monthlake.schema import INCIDENT_COLUMNS
 from monthlake.sinks import empty_partitions
 from monthlake.sources import count_months, read_curated, read_source
 
-from conftest import GOOD, SMALL
+from core_records import GOOD, SMALL
 
 
 @pytest.fixture

@@ -8,7 +8,7 @@ import __spark_entry__ as contract
 from checks import oracle, queries
 from checks.compare import compare
 
-from conftest import SMALL
+from core_records import SMALL
 
 
 @pytest.mark.parametrize("name", sorted(queries.queries()))

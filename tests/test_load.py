@@ -15,7 +15,7 @@ from monthlake.plans import (
 from monthlake.schema import INCIDENT_COLUMNS, INCIDENT_SCHEMA, SOURCE_SCHEMA
 from monthlake.sources import count_months, read_incidents_csv, read_month, read_months, read_source
 
-from conftest import SMALL
+from core_records import SMALL
 
 JAN, FEB = BatchMonth(2001, 1), BatchMonth(2001, 2)
 JAN_DATE, FEB_DATE = "01/05/2001 01:00:00 AM", "02/05/2001 01:00:00 AM"
