@@ -153,6 +153,31 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The proof of every document, and whether what is claimed of it agrees with the root."""
+    from monthlake.llm.merkle import folded, manifest, siblings_digest, without_breaks
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "n_chars", "text")
+    proved = manifest(docs, docs.columns, "source", "doc_id", claimed=without_breaks(), claims="text")
+    folding = proved.withColumn("folded_root", folded(F.col("claimed_leaf"), F.col("path")))
+    return folding.select(
+        "doc_id",
+        "leaf",
+        "subroot",
+        "root",
+        siblings_digest(F.col("path")).alias("proof_sha256"),
+        "folded_root",
+        (F.col("folded_root") == F.col("root")).alias("verified"),
+    )
+
+
+def op13_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector with its links, its component and whether it is the one that stays."""
+    from monthlake.llm.lattice import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the stages of the corpus pipeline leave of the documents, in pieces."""
     import corpus_pipeline
@@ -171,6 +196,8 @@ _QUERIES = (
     op8_benchmark_decontamination,
     op9_sentencepiece,
     op10_toxicity,
+    op12_merkle_manifest,
+    op13_embedding_near_dedup,
     pipeline,
 )
 
@@ -180,6 +207,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    from monthlake.llm import licenses
+    from monthlake.llm import licenses, merkle
 
-    return {"op2_license_scans": licenses.oracle()}
+    return {"op2_license_scans": licenses.oracle(), "op12_merkle_manifest": merkle.oracle()}
