@@ -153,6 +153,14 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens, groups and links of every document under two tokenizers."""
+    from monthlake.llm.alignment import align
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return align(docs, f"{TOKENIZERS}/byte_bpe_50k.json", f"{TOKENIZERS}/piece_bpe_32k.model").documents
+
+
 def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The proof of every document, and whether what is claimed of it agrees with the root."""
     from monthlake.llm.merkle import folded, manifest, siblings_digest, without_breaks
@@ -196,6 +204,7 @@ _QUERIES = (
     op8_benchmark_decontamination,
     op9_sentencepiece,
     op10_toxicity,
+    op11_tokenizer_alignment,
     op12_merkle_manifest,
     op13_embedding_near_dedup,
     pipeline,
