@@ -52,7 +52,9 @@ from monthlake.llm.segment import MARK, read_model
 #: The frequent pairs are those with at least one of so many irregular links.
 FREQUENT = 1 << 16
 #: Distinct words that a task remembers, and characters in them; distinct pairs that it holds.
-_WORDS, _CHARACTERS, HELD = 1 << 19, 32 << 20, 1 << 18
+_WORDS, _CHARACTERS, HELD = 1 << 17, 4 << 20, 1 << 17
+#: Bytes of text that a task works on at once.
+_SLICE = 512 << 10
 
 # How GPT-2's tokenizer cuts texts into words, for texts of the characters in _PLAIN.
 _LETTERS = "A-Za-zÀ-ÖØ-öø-ɏ"
@@ -271,7 +273,7 @@ def _cut_task(sources, schema: pa.Schema, held: int):
             return row(1, **{name: pa.array([values], schema.field(name).type) for name, values in many.items()})
 
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", _SLICE):
                 cut = cutter(part.column("text").to_pylist())
                 n = part.num_rows
                 regular = cut.single & (same[cut.last_a] == cut.last_b)

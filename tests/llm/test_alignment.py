@@ -50,12 +50,17 @@ def brute(libraries, rows):
     linked, lines = [], []
     for _, text in rows:
         left, right = map(ends, tokens(libraries, text))
-        linked.append([(i, j) for n, i in left for j in [dict(right).get(n)] if j is not None])
+        by_end = dict(right)
+        linked.append([(i, by_end[n]) for n, i in left if n in by_end])
         cuts = sorted({n for n, _ in left} & {n for n, _ in right})
-        groups, start = [], 0
-        for cut in cuts:
-            groups.append("|".join(",".join(str(i) for n, i in side if start < n <= cut) for side in (left, right)))
-            start = cut
+        group_of = {n: k for k, n in enumerate(cuts)}
+        inside = [([], []) for _ in cuts]
+        for number, side in enumerate((left, right)):
+            k = 0
+            for n, i in side:
+                inside[k][number].append(str(i))
+                k = group_of.get(n, k - 1) + 1
+        groups = ["|".join(map(",".join, group)) for group in inside]
         lines.append((len(left), len(right), len(cuts), hashlib.sha256(";".join(groups).encode()).hexdigest() if groups else ""))
     counts = Counter(pair for links in linked for pair in links)
     best = {}
