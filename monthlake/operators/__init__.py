@@ -5,6 +5,8 @@ from monthlake.operators.dedupe import (
     count_hashes,
     dedupe_first,
     first_rows,
+    mark_duplicates,
+    settle_ties,
     time_order,
 )
 from monthlake.operators.layout import MonthLayout
@@ -41,9 +43,11 @@ __all__ = [
     "incident_rules",
     "is_valid",
     "first_rows",
+    "mark_duplicates",
     "month_counts",
     "preview",
     "reject_reason",
+    "settle_ties",
     "split",
     "time_order",
     "top_categories",

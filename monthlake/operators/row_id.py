@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 ROW_ID = "_row_id"
+CONTENT = "content"
 
 
 def with_row_id(scan: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -20,7 +21,7 @@ def with_row_id(scan: DataFrame, columns: Sequence[str]) -> DataFrame:
     return scan.withColumn(
         ROW_ID,
         F.struct(
-            F.xxhash64(*columns).alias("content"),
+            F.xxhash64(*columns).alias(CONTENT),
             F.xxhash64("_metadata.file_path").alias("file"),
             F.col("_metadata.row_index").alias("row"),
         ),

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from monthlake.months import BatchMonth
-from monthlake.operators.dedupe import TEXT_ORDER, dedupe_first
+from monthlake.operators.dedupe import TEXT_ORDER, first_rows, mark_duplicates, settle_ties
 from monthlake.operators.layout import ROWS_PER_TASK, MonthLayout
 from monthlake.operators.row_id import ROW_ID, with_row_id
 from monthlake.operators.rules import RuleGroup, classify, is_valid
@@ -98,13 +98,17 @@ def process_batch(
     zones are filled and which goes afterwards. A batch of at most ``rows_per_task`` rows
     is laid out by month for that; in a larger one the rows keep their source's layout.
     """
-    marked = dedupe_first(classify(rows, rules), row_id=ROW_ID, order=order, rows_per_task=rows_per_task)
-    if sum(raw.values()) <= rows_per_task:
-        cores = rows.sparkSession.sparkContext.defaultParallelism
-        layout = MonthLayout.for_counts(raw, rows_per_task, min_tasks=cores)
-        marked = marked.repartitionById(layout.tasks, layout.task(F.xxhash64(ROW_ID)))
-    with borrowed(marked, "marked") as table:
-        _write(table, zones, raw)
+    checked = classify(rows, rules)
+    with borrowed(first_rows(checked, ROW_ID, order=order), "contest") as contest:
+        winners = settle_ties(checked, contest, ROW_ID, order=order)
+        marked = mark_duplicates(checked, winners, ROW_ID)
+        if sum(raw.values()) <= rows_per_task:
+            cores = rows.sparkSession.sparkContext.defaultParallelism
+            layout = MonthLayout.for_counts(raw, rows_per_task, min_tasks=cores)
+            spread = F.xxhash64(f"{ROW_ID}.file", f"{ROW_ID}.row")
+            marked = marked.repartitionById(layout.tasks, layout.task(spread))
+        with borrowed(marked.drop(ROW_ID), "marked") as table:
+            _write(table, zones, raw)
     return check_written(rows.sparkSession, zones, raw)
 
 
