@@ -173,6 +173,19 @@ slice AS (
 SELECT {_NO_YEAR}{_COORDINATES}, reject_reason FROM classified"""
 
 
+# Every month's slice of the CSV: its own rows, and all undated rows once more.
+_RAW_MONTHS = f"""
+WITH {_INCIDENTS}, {_PARSED},
+slice AS (
+  SELECT * FROM parsed WHERE event_time IS NOT NULL
+  UNION ALL
+  SELECT p.* REPLACE (m.batch_year AS batch_year, m.batch_month AS batch_month)
+  FROM parsed p, (SELECT DISTINCT batch_year, batch_month FROM parsed WHERE event_time IS NOT NULL) m
+  WHERE p.event_time IS NULL
+), {_classified("slice")}
+SELECT {_NO_YEAR}{_COORDINATES}, {_LABEL} AS batch_month, reject_reason FROM classified"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "dq_classified": _on_classified(
@@ -232,6 +245,7 @@ def oracle_sql() -> dict[str, str]:
             f"SELECT {_ALL_COLUMNS} FROM parsed WHERE event_time IS NULL OR ({_MONTH})"
         ),
         "raw_month_batch": _RAW_BATCH,
+        "raw_months": _RAW_MONTHS,
         "csv_scan": _on_incidents(f"SELECT {_ALL_COLUMNS} FROM incidents"),
         "batch_counts": _on_classified(_MONTHLY),
         "curated_rows": _on_classified(f"SELECT {_CURATED_COLUMNS}, {_AS_KEYS} {_CURATED}"),
@@ -264,6 +278,7 @@ def oracle_sql() -> dict[str, str]:
             f"SELECT {_AS_KEYS}, count(*) AS rows FROM parsed WHERE {_MONTH} GROUP BY ALL"
         ),
         "verify_lake": _on_classified(_LAKE),
+        "verify_content": _on_classified(f"SELECT batch_month, raw, sound FROM ({_LAKE})"),
         "top_categories": """
             SELECT o_orderpriority AS category, count(*) AS cnt FROM orders
             GROUP BY o_orderpriority ORDER BY 2 DESC""",
@@ -276,6 +291,13 @@ def oracle_sql() -> dict[str, str]:
                          (3, 'o_orderstatus', 'string'), (4, 'o_totalprice', 'double'),
                          (5, 'o_orderdate', 'timestamp'), (6, 'o_orderpriority', 'string'))
                  AS fields(position, "column", type)""",
+        "preview_all": """
+            SELECT * REPLACE (strftime(o_orderdate, '%Y-%m-%d') AS o_orderdate)
+            FROM orders ORDER BY o_orderkey LIMIT 10""",
+        "csv_nulls": """
+            SELECT "column", CAST(0 AS BIGINT) AS nulls
+            FROM (VALUES ('o_orderkey'), ('o_custkey'), ('o_orderstatus'), ('o_totalprice'),
+                         ('o_orderdate'), ('o_orderpriority')) AS fields("column")""",
         "csv_total": "SELECT count(*) AS total_rows FROM orders",
         "csv_sql": """
             SELECT o_orderstatus, count(*) AS cnt, CAST(sum(o_custkey) AS BIGINT) AS custkeys

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from monthlake import BatchMonth, Zones, fixtures
+from monthlake.months import month_label
 from monthlake.functions import event_time
 from monthlake.operators import (
     classify,
@@ -38,20 +39,23 @@ from monthlake.plans import (
     list_partitions,
     process_months,
     process_raw_month,
+    process_raw_months,
     profile_csv,
     reconcile,
     reconcile_source,
     register_curated,
     require_month,
     slice_month_raw,
+    slice_months_raw,
     table_partitions,
+    verify_content,
     verify_lake,
     verify_month,
     verify_raw_month,
     verify_source,
 )
 from monthlake.schema import BATCH_KEYS, INCIDENT_COLUMNS, MONTH_KEYS
-from monthlake.sinks import write_raw_month, write_report_csv
+from monthlake.sinks import write_raw_month, write_raw_months, write_report_csv
 from monthlake.sources import (
     count_months,
     read_curated,
@@ -230,6 +234,18 @@ def raw_month_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _plain(curated.unionByName(rejected))
 
 
+def raw_months(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The route over CSV for all months: one pass over the landing file, one batch."""
+    zones, months = Zones(new_folder(spark, "raw")), shared_lake(spark, sf_dir).months
+    fixtures.incidents(spark, sf_dir).write.option("header", True).csv(zones.landing)
+    write_raw_months(slice_months_raw(read_incidents_csv(spark, zones.landing), months), zones, months)
+    process_raw_months(spark, zones, months)
+    curated = read_curated(spark, zones)
+    curated = curated.withColumns({"batch_month": month_label(*MONTH_KEYS), "reject_reason": F.lit(None).cast("string")})
+    rejected = read_rejected(spark, zones).drop("Year")
+    return _plain(curated.drop(*MONTH_KEYS).unionByName(rejected))
+
+
 def csv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_folder(spark, "csv") + "/records"
     fixtures.incidents(spark, sf_dir).write.option("header", True).csv(path)
@@ -323,6 +339,11 @@ def check_lake(spark: SparkSession, sf_dir: str) -> DataFrame:
     return verify_lake(spark, lake.zones, lake.table)
 
 
+def check_content(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lake = shared_lake(spark, sf_dir)
+    return verify_content(spark, lake.zones, lake.table)
+
+
 def month_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pruned_partitions(spark, shared_lake(spark, sf_dir).zones, MONTH)
 
@@ -337,6 +358,11 @@ def first_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return preview(columns, "o_orderkey")
 
 
+def first_whole_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first rows with every column; what engines do not write alike goes as text."""
+    return preview(_table(spark, "orders", sf_dir), "o_orderkey").withColumn("o_orderdate", F.date_format("o_orderdate", "yyyy-MM-dd"))
+
+
 def _profiled_orders(spark: SparkSession, sf_dir: str, view: str) -> CsvProfile:
     folder = new_folder(spark, "profile")
     _table(spark, "orders", sf_dir).write.option("header", True).csv(f"{folder}/orders")
@@ -351,6 +377,10 @@ def csv_total(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _profiled_orders(spark, sf_dir, f"data_{uuid.uuid4().hex}").total
 
 
+def csv_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _profiled_orders(spark, sf_dir, f"data_{uuid.uuid4().hex}").nulls
+
+
 def csv_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     view = f"data_{uuid.uuid4().hex}"
     _profiled_orders(spark, sf_dir, view)
@@ -415,6 +445,7 @@ _QUERIES: dict[str, Query] = {
     "require_month": month_required,
     "raw_month_slice": raw_month_slice,
     "raw_month_batch": raw_month_batch,
+    "raw_months": raw_months,
     "csv_scan": csv_scan,
     "batch_counts": batch_counts,
     "curated_rows": curated_rows,
@@ -430,11 +461,14 @@ _QUERIES: dict[str, Query] = {
     "cumulative_months": running_total,
     "verify_month": check_month,
     "verify_lake": check_lake,
+    "verify_content": check_content,
     "explain_month": month_plan,
     "top_categories": categories,
     "preview": first_orders,
+    "preview_all": first_whole_orders,
     "csv_schema": csv_schema,
     "csv_total": csv_total,
+    "csv_nulls": csv_nulls,
     "csv_sql": csv_sql,
     "word_count": document_words,
     "word_count_lines": line_words,

@@ -20,18 +20,19 @@ from monthlake.plans import (
     explain_month,
     list_partitions,
     process_months,
-    process_raw_month,
+    process_raw_months,
     profile_csv,
     register_curated,
     require_months,
     require_sound,
-    slice_month_raw,
+    slice_months_raw,
+    verify_content,
     verify_lake,
     verify_month,
     verify_raw_month,
     verify_source,
 )
-from monthlake.sinks import print_rows, write_raw_month, write_report_csv
+from monthlake.sinks import print_rows, write_raw_months, write_report_csv
 from monthlake.sources import read_incidents_csv, read_lines, read_source
 from monthlake.zones import Zones
 
@@ -50,9 +51,9 @@ def parser() -> argparse.ArgumentParser:
     month.add_argument("months", nargs="+", type=BatchMonth.parse)
     month.add_argument("--explain", action="store_true", help="show the pruned scan")
 
-    raw = jobs.add_parser("raw-month", help="process a month straight from the CSV")
+    raw = jobs.add_parser("raw-month", help="process months straight from the CSV")
     raw.add_argument("csv")
-    raw.add_argument("months", nargs=1, type=BatchMonth.parse)
+    raw.add_argument("months", nargs="+", type=BatchMonth.parse)
     raw.add_argument("--multi-line", action="store_true", help="fields may hold line breaks")
     for job in (month, raw):
         job.add_argument("--order", choices=["text", "time"], default="text", help="which row of an ID is first")
@@ -68,6 +69,7 @@ def parser() -> argparse.ArgumentParser:
             job.add_argument("--table", default=CURATED_TABLE)
         if name == "verify":
             job.add_argument("months", nargs="*", type=BatchMonth.parse)
+            job.add_argument("--content", action="store_true", help="compare the rows themselves, not only their counts")
 
     sql = jobs.add_parser("sql", help="run a query on the registered table")
     sql.add_argument("query")
@@ -116,11 +118,10 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
         order = time_order() if args.order == "time" else TEXT_ORDER
         print_rows(process_months(spark, zones, args.months, order=order))
     elif args.job == "raw-month":
-        (month,) = args.months
-        rows = slice_month_raw(read_incidents_csv(spark, args.csv, multiLine=args.multi_line), month)
-        write_raw_month(rows, zones, month)
+        rows = slice_months_raw(read_incidents_csv(spark, args.csv, multiLine=args.multi_line), args.months)
+        write_raw_months(rows, zones, args.months)
         order = time_order() if args.order == "time" else TEXT_ORDER
-        print_rows(process_raw_month(spark, zones, month, order=order))
+        print_rows(process_raw_months(spark, zones, args.months, order=order))
     elif args.job == "verify-raw":
         for month in args.months:
             print_rows(verify_raw_month(spark, zones, month))
@@ -136,6 +137,8 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
             found = spark.createDataFrame(lines, schema)
             print_rows(found)
             require_sound(found)
+        if args.content:
+            print_rows(require_sound(verify_content(spark, zones, args.table)))
     elif args.job == "verify-source":
         print_rows(verify_source(spark, zones))
     elif args.job == "sql":

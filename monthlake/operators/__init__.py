@@ -19,7 +19,7 @@ from monthlake.operators.reports import (
     word_count,
     words,
 )
-from monthlake.operators.row_id import ROW_ID, with_row_id
+from monthlake.operators.row_id import ROW_ID, place_only, with_row_id
 from monthlake.operators.rules import (
     Rule,
     classify,
@@ -45,6 +45,7 @@ __all__ = [
     "first_rows",
     "mark_duplicates",
     "month_counts",
+    "place_only",
     "preview",
     "reject_reason",
     "settle_ties",

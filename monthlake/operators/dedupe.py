@@ -103,10 +103,12 @@ def first_rows(
     """
     place, _ = _place(df, row_id)
     one_key = [_HASH, *scope, key]
-    rows = _valid_rows(df, key, scope).where(F.col(_HASH).isNotNull()).withColumn(_WINNER, place)
+    # No filter on the hash, which would be pushed into the rules and parse dates once per
+    # use: rows that take no part have no hash, and their groups are left out at the end.
+    rows = _valid_rows(df, key, scope).withColumn(_WINNER, place)
     contest, tie = (Window.partitionBy(*one_key).orderBy(*order, *last) for last in ([_WINNER], []))
     two = rows.withColumn(_RANK, F.row_number().over(contest)).where(F.col(_RANK) <= 2)
-    seconds = F.max(_RANK) == 2
+    seconds = (F.max(_RANK) == 2) & F.max(_HASH).isNotNull()
     return (
         two.withColumn(_TIED, F.rank().over(tie))
         .groupBy(*one_key)
@@ -132,19 +134,19 @@ def settle_ties(
     df: DataFrame,
     contest: DataFrame,
     row_id: str,
+    content: Sequence[str],
     key: str = "ID",
     order: Sequence[Column | str] = TEXT_ORDER,
     scope: Sequence[str] = tuple(BATCH_KEYS),
 ) -> DataFrame:
-    """The contest of `first_rows`, with its tied keys settled by content and then place.
+    """The contest of `first_rows`, with its tied keys settled by these columns and then place.
 
     Looks at ``contest`` at once, so it should be a table. Without a tie nothing else is read.
     """
-    place, by_content = _place(df, row_id)
+    place, _ = _place(df, row_id)
     tied = contest.where(_TIED)
-    if not by_content or tied.isEmpty():
+    if tied.isEmpty():
         return contest.drop(_TIED)
-    content = [c for c in df.columns if c not in (row_id, REJECT_REASON)]
     one_key = [_HASH, *scope, key]
     rows = _meet(_valid_rows(df, key, scope), tied.drop(_WINNER, _TIED), key, scope, "left_semi")
     rows = rows.withColumn(_WINNER, place).withColumn(_CONTENT_HASH, F.xxhash64(*content))
@@ -186,5 +188,6 @@ def dedupe_first(
     """
     winners = first_rows(df, row_id, key, order, scope, rows_per_task)
     if _place(df, row_id)[1]:
-        winners = settle_ties(df, stored(winners, "contest"), row_id, key, order, scope)
+        content = [c for c in df.columns if c not in (row_id, REJECT_REASON)]
+        winners = settle_ties(df, stored(winners, "contest"), row_id, content, key, order, scope)
     return mark_duplicates(df, winners.drop(_TIED), row_id, key, scope)

@@ -11,6 +11,11 @@ ROW_ID = "_row_id"
 CONTENT = "content"
 
 
+def place_only(rows: DataFrame) -> DataFrame:
+    """Rows whose identity is the place alone, so that content is not hashed."""
+    return rows.withColumn(ROW_ID, F.struct(f"{ROW_ID}.file", f"{ROW_ID}.row"))
+
+
 def with_row_id(scan: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Identity of rows read straight from Parquet: content, file, and row in the file.
 

@@ -3,6 +3,7 @@ from monthlake.plans.batch import (
     process_batch,
     process_months,
     process_raw_month,
+    process_raw_months,
     reconcile,
     written_counts,
 )
@@ -18,9 +19,10 @@ from monthlake.plans.load import (
     build_source,
     reconcile_source,
     slice_month_raw,
+    slice_months_raw,
     to_source,
 )
-from monthlake.plans.profile import CsvProfile, profile_csv, schema_rows
+from monthlake.plans.profile import CsvProfile, infer_types, profile_csv, schema_rows
 from monthlake.plans.verify import (
     VerificationError,
     explain_month,
@@ -28,6 +30,7 @@ from monthlake.plans.verify import (
     require_month,
     require_months,
     require_sound,
+    verify_content,
     verify_lake,
     verify_month,
     verify_raw_month,
@@ -35,6 +38,10 @@ from monthlake.plans.verify import (
 )
 
 __all__ = [
+    "infer_types",
+    "process_raw_months",
+    "slice_months_raw",
+    "verify_content",
     "require_sound",
     "require_months",
     "pruned_partitions",

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from monthlake.months import BatchMonth
 from monthlake.operators.dedupe import TEXT_ORDER, first_rows, mark_duplicates, settle_ties
 from monthlake.operators.layout import ROWS_PER_TASK, MonthLayout
-from monthlake.operators.row_id import ROW_ID, with_row_id
+from monthlake.operators.row_id import ROW_ID, place_only, with_row_id
 from monthlake.operators.rules import RuleGroup, classify, is_valid
 from monthlake.plans.load import ReconciliationError
 from monthlake.schema import (
@@ -78,6 +78,23 @@ def process_raw_month(
         return process_batch(rows, zones, {month: scan.count()}, **settings)
 
 
+def process_raw_months(
+    spark: SparkSession, zones: Zones, months: Iterable[BatchMonth], **settings
+) -> DataFrame:
+    """Process any number of months from their CSV slices, in one job.
+
+    A slice is one batch, so an undated row is rejected once in each slice that holds it.
+    """
+    batch = sorted(set(months))
+    keys = [F.regexp_extract("_metadata.file_path", r"/(\d{4})-(\d{2})/[^/]*$", i).cast("int") for i in (1, 2)]
+    slices = read_incidents_csv(spark, [zones.raw_month(m) for m in batch])
+    slices = slices.withColumns(dict(zip(BATCH_KEYS, keys)))
+    with borrowed(slices, "raw") as scan:
+        found = count_months(scan, BATCH_KEYS)
+        raw = {month: found.get(month, 0) for month in batch}
+        return process_batch(with_row_id(scan, INCIDENT_COLUMNS), zones, raw, **settings)
+
+
 def process_batch(
     rows: DataFrame,
     zones: Zones,
@@ -98,9 +115,10 @@ def process_batch(
     zones are filled and which goes afterwards. A batch of at most ``rows_per_task`` rows
     is laid out by month for that; in a larger one the rows keep their source's layout.
     """
-    checked = classify(rows, rules)
+    # Content is hashed for rows that tie, not for all.
+    checked = classify(place_only(rows), rules)
     with borrowed(first_rows(checked, ROW_ID, order=order), "contest") as contest:
-        winners = settle_ties(checked, contest, ROW_ID, order=order)
+        winners = settle_ties(checked, contest, ROW_ID, INCIDENT_COLUMNS, order=order)
         marked = mark_duplicates(checked, winners, ROW_ID)
         if sum(raw.values()) <= rows_per_task:
             cores = rows.sparkSession.sparkContext.defaultParallelism

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 
 from monthlake.functions import event_time, falls_in
 from monthlake.months import BatchMonth
-from monthlake.schema import INCIDENT_COLUMNS, MONTH_KEYS, REPORTED_YEAR, SOURCE_ERROR, SOURCE_SCHEMA
+from monthlake.schema import BATCH_MONTH, INCIDENT_COLUMNS, MONTH_KEYS, REPORTED_YEAR, SOURCE_ERROR, SOURCE_SCHEMA
 from monthlake.sinks.partitions import replace_partitions
 from monthlake.zones import Zones
 
@@ -102,6 +103,21 @@ def reconcile_source(source: DataFrame) -> DataFrame:
     )
 
 
+def slice_months_raw(
+    records: DataFrame, months: Iterable[BatchMonth], include_unparseable: bool = True
+) -> DataFrame:
+    """Records of any number of months in one pass, each with the ``batch_month`` it goes to.
+
+    By default a record whose date does not parse goes to every one of these months.
+    """
+    labels = sorted({m.label for m in months})
+    time = F.col(_TIME)
+    everywhere = F.lit(labels) if include_unparseable else F.array().cast("array<string>")
+    goes_to = F.when(time.isNull(), everywhere).otherwise(F.array(F.date_format(time, "yyyy-MM")))
+    dated = records.select(*INCIDENT_COLUMNS).withColumn(_TIME, event_time("Date"))
+    return dated.withColumn(BATCH_MONTH, F.explode(goes_to)).where(F.col(BATCH_MONTH).isin(labels)).drop(_TIME)
+
+
 def slice_month_raw(
     records: DataFrame, month: BatchMonth, include_unparseable: bool = True
 ) -> DataFrame:

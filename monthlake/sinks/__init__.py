@@ -6,7 +6,7 @@ from monthlake.sinks.partitions import (
     write_curated,
     write_rejected,
 )
-from monthlake.sinks.raw import write_raw_month
+from monthlake.sinks.raw import write_raw_month, write_raw_months
 from monthlake.sinks.reports import print_rows, write_report_csv
 
 __all__ = [
@@ -17,6 +17,7 @@ __all__ = [
     "replace_partitions",
     "write_curated",
     "write_raw_month",
+    "write_raw_months",
     "write_rejected",
     "write_report_csv",
 ]

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from monthlake.schema import INCIDENT_SCHEMA
 
 
-def read_incidents_csv(spark: SparkSession, path: str, **options) -> DataFrame:
+def read_incidents_csv(spark: SparkSession, path: str | list[str], **options) -> DataFrame:
     """Incident records from CSV with a header line, typed by position.
 
     Values that do not fit their type become null, short lines end in nulls and long

@@ -82,6 +82,19 @@ def count_months(df: DataFrame, keys: Sequence[str] = MONTH_KEYS) -> dict[BatchM
     return {BatchMonth(*(row[k] for k in keys)): row["rows"] for row in rows}
 
 
+def content_sums(df: DataFrame, zone: str) -> DataFrame:
+    """Like `labelled_counts`, with the sum of the rows' hashes as ``content``.
+
+    The sum does not depend on order or layout and adds up over zones. It covers the
+    columns that all zones have (all but the reported year).
+    """
+    keys = [BATCH_MONTH] if BATCH_MONTH in df.columns else MONTH_KEYS
+    label = F.col(BATCH_MONTH) if BATCH_MONTH in df.columns else month_label(*MONTH_KEYS)
+    row = F.xxhash64(*(F.col(c) for c in INCIDENT_COLUMNS if c != "Year"))
+    sums = df.groupBy(*keys).agg(F.count("*").alias("rows"), F.sum(row.cast("decimal(20,0)")).alias("content"))
+    return sums.select(label.alias(BATCH_MONTH), F.lit(zone).alias("zone"), "rows", "content")
+
+
 def labelled_counts(df: DataFrame, zone: str) -> DataFrame:
     """Rows per ``batch_month`` of one zone, whose name stands in ``zone``.
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
@@ -60,6 +60,44 @@ def replace_folder(spark: SparkSession, source: str, target: str) -> None:
     )
 
 
+def move_folder(spark: SparkSession, source: str, target: str) -> None:
+    """Puts a folder in the place of another of the same storage; an empty one if it is not there."""
+    storage, source_path = _on_storage(spark, source)
+    target_path = spark._jvm.org.apache.hadoop.fs.Path(target)
+    storage.delete(target_path, True)
+    if not storage.exists(source_path):
+        storage.mkdirs(target_path)
+        return
+    storage.mkdirs(target_path.getParent())
+    if not storage.rename(source_path, target_path):
+        raise OSError(f"{source} could not be moved to {target}")
+
+
+def join_files(spark: SparkSession, folders: Sequence[str], target: str) -> None:
+    """The files of folders, by folder and name, as one file.
+
+    Bytes go from one stream to the other; nothing is held but a small buffer.
+    """
+    storage, target_path = _on_storage(spark, target)
+    hadoop = spark._jvm.org.apache.hadoop
+    unfinished = hadoop.fs.Path(target_path.getParent(), f"_{target_path.getName()}")
+    out = storage.create(unfinished, True)
+    try:
+        for folder in folders:
+            source, path = _on_storage(spark, folder)
+            parts = [s.getPath() for s in source.listStatus(path) if s.isFile() and s.getPath().getName().startswith("part-")]
+            for part in sorted(parts, key=lambda p: p.getName()):
+                piece = source.open(part)
+                try:
+                    hadoop.io.IOUtils.copyBytes(piece, out, 1 << 16, False)
+                finally:
+                    piece.close()
+    finally:
+        out.close()
+    if not storage.rename(unfinished, target_path):
+        raise OSError(f"{target} could not be written")
+
+
 def new_folder(spark: SparkSession, purpose: str) -> str:
     """A fresh path below the shared folder, removed when the session's JVM ends."""
     path = f"{shared_dir(spark)}/{purpose}-{uuid.uuid4().hex}"

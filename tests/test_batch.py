@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import os
 from pathlib import Path
 
 import pytest
@@ -14,12 +15,14 @@ from monthlake.plans import (
     build_source,
     process_months,
     process_raw_month,
+    process_raw_months,
     reconcile,
     slice_month_raw,
+    slice_months_raw,
 )
 from monthlake.schema import CURATED_SCHEMA, REJECTED_COLUMNS
-from monthlake.sinks import write_raw_month
-from monthlake.sources import count_months, read_curated, read_rejected, read_source
+from monthlake.sinks import write_raw_month, write_raw_months
+from monthlake.sources import count_months, read_curated, read_incidents_csv, read_rejected, read_source
 from monthlake.work import shared_dir
 
 from core_records import SMALL
@@ -276,3 +279,34 @@ class TestRawRoute:
         write_raw_month(records, zones, JAN)
         report = process_raw_month(spark, zones, JAN, **WAYS[way])
         assert lines(report) == [("2001-01", 60, 1, 59)]
+
+
+def test_many_raw_months_as_one_by_one(spark, zones, incidents, tmp_path):
+    """One pass over the CSV and one batch give what the months give one after the other."""
+    months = [BatchMonth(2001, 1), BatchMonth(2001, 2), BatchMonth(2001, 3)]
+    records = incidents(
+        {"Date": "01/05/2001 01:00:00 AM"}, {"Date": "01/06/2001 01:00:00 AM"}, {"Date": "02/05/2001 01:00:00 AM", "ID": "2"},
+        {"Date": "never"}, {"Date": None}, {"Date": "04/05/2001 01:00:00 AM"},
+    )
+    write_raw_months(slice_months_raw(records, months), zones, months)
+    assert lines(process_raw_months(spark, zones, months)) == [("2001-01", 4, 1, 3), ("2001-02", 3, 1, 2), ("2001-03", 2, 0, 2)]
+    apart = Zones(str(tmp_path / "apart"))
+    for month in months:
+        write_raw_month(slice_month_raw(records, month), apart, month)
+        process_raw_month(spark, apart, month)
+    for read in (read_curated, read_rejected):
+        assert sorted(map(str, read(spark, zones).collect())) == sorted(map(str, read(spark, apart).collect()))
+
+
+def test_a_raw_month_without_rows(spark, zones, incidents):
+    months = [BatchMonth(2001, 1), BatchMonth(2001, 7)]
+    records = incidents({"Date": "01/05/2001 01:00:00 AM"}, {"Date": "never"})
+    write_raw_months(slice_months_raw(records, months, include_unparseable=False), zones, months)
+    assert lines(process_raw_months(spark, zones, months)) == [("2001-01", 1, 1, 0), ("2001-07", 0, 0, 0)]
+    assert "_" not in {child[0] for child in os.listdir(zones.raw)}
+
+
+def test_many_raw_months_scan_the_csv_once(spark, tmp_path, incidents):
+    incidents({}).write.option("header", True).csv(str(tmp_path / "landing"))
+    sliced = slice_months_raw(read_incidents_csv(spark, str(tmp_path / "landing")), [BatchMonth(2001, m) for m in range(1, 13)])
+    assert sliced._jdf.queryExecution().executedPlan().toString().count("FileScan csv") == 1

@@ -13,7 +13,9 @@ from monthlake.plans import (
     process_months,
     register_curated,
     require_month,
+    require_sound,
     table_partitions,
+    verify_content,
     verify_lake,
     verify_month,
     verify_source,
@@ -163,3 +165,26 @@ class TestChecks:
         filters = plan.split("PartitionFilters: [")[1].split("]")[0]
         assert "= 2001)" in filters and "= 1)" in filters
         assert "DataFilters: []" in plan
+
+
+class TestContent:
+    def test_as_written(self, spark, loaded, table):
+        process_months(spark, loaded, [JAN, FEB, OCT])
+        register_curated(spark, loaded, table)
+        found = rows(require_sound(verify_content(spark, loaded, table)))
+        assert found == [("0000-00", 1, True), ("2001-01", 2, True), ("2001-02", 1, True), ("2001-10", 1, True)]
+
+    def test_swapped_rows_are_found(self, spark, loaded, table):
+        """Two months that exchange a row have the counts they should have, and other rows."""
+        process_months(spark, loaded, [JAN, FEB, OCT])
+        register_curated(spark, loaded, table)
+        feb, octo = loaded.curated_month(FEB), loaded.curated_month(OCT)
+        contents = {leaf: spark.read.parquet(leaf).collect() for leaf in (feb, octo)}
+        schema = spark.read.parquet(feb).schema
+        for leaf, other in ((feb, octo), (octo, feb)):
+            spark.createDataFrame(contents[other], schema).write.mode("overwrite").parquet(leaf)
+        assert all(row["sound"] for row in verify_lake(spark, loaded, table).collect())
+        found = {row["batch_month"]: row["sound"] for row in verify_content(spark, loaded, table).collect()}
+        assert found == {"0000-00": True, "2001-01": True, "2001-02": False, "2001-10": False}
+        with pytest.raises(VerificationError, match="2001-02, 2001-10"):
+            require_sound(verify_content(spark, loaded, table))

@@ -1,13 +1,15 @@
 from __future__ import annotations
 
 import random
+import re
 from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
 
-from monthlake import fixtures
+from monthlake import BatchMonth, Zones, fixtures
 from monthlake.operators import (
+    ROW_ID,
     classify,
     contested_keys,
     count_hashes,
@@ -15,8 +17,11 @@ from monthlake.operators import (
     first_rows,
     incident_rules,
     is_valid,
+    place_only,
     time_order,
 )
+from monthlake.plans import build_source
+from monthlake.sources import read_months
 
 
 def kept(df) -> set[str]:
@@ -193,3 +198,48 @@ def test_no_python_and_no_forced_broadcast(crowded):
 def test_counting_hashes_combines_before_the_shuffle(crowded):
     plan = plan_of(count_hashes(crowded))
     assert "partial_count" in plan and "HashAggregate" in plan and "SortAggregate" not in plan
+
+
+def test_contest_reads_few_columns_once(spark, zones_with_source):
+    """The contest: one scan of rule, key and order columns, two rows a key and task to shuffle."""
+    checked = classify(place_only(read_months(spark, zones_with_source, [BatchMonth.parse("2001-05")])))
+    plan = plan_of(first_rows(checked, ROW_ID))
+    (read,) = re.findall(r"FileScan parquet \[([^\]]*)\]", plan)
+    columns = {field.split("#")[0] for field in read.split(",")} - {"year", "month", "_metadata"}
+    columns = {c for c in columns if not c.startswith(("file_", "_tmp_metadata", "row_index"))}
+    assert columns == {"ID", "Case Number", "Date", "Primary Type", "YearReported", "Latitude", "Longitude"}
+    assert plan.count("Exchange hashpartitioning") == 1 and "WindowGroupLimit" in plan and "Join" not in plan
+
+
+def test_two_scans_in_all(crowded, spark, tmp_path):
+    crowded.drop("reject_reason").write.parquet(str(tmp_path / "rows"))
+    rows = classify(spark.read.parquet(str(tmp_path / "rows")))
+    assert plan_of(dedupe_first(rows, row_id="Case Number")).count("FileScan parquet") == 2
+
+
+@pytest.fixture
+def zones_with_source(incidents, tmp_path):
+    zones = Zones(str(tmp_path / "lake"))
+    build_source(incidents({}, {"ID": "2"}), zones)
+    return zones
+
+
+def tied(incidents, tmp_path, name, changes):
+    """Rows of one ID, date and case number as a source of its own, and the description that stays."""
+    zones = Zones(str(tmp_path / name))
+    records = incidents(*({"Case Number": "A"} | c for c in changes))
+    build_source(records.coalesce(1), zones)
+    marked = dedupe_first(classify(read_months(records.sparkSession, zones, [BatchMonth.parse("2001-05")])), row_id=ROW_ID)
+    return [r["Description"] for r in marked.where(is_valid()).collect()], marked.count()
+
+
+def test_ties_are_settled_by_content_before_place(incidents, tmp_path):
+    changes = [{"Description": f"d{i}"} for i in range(5)]
+    first, n = tied(incidents, tmp_path, "one", changes)
+    again, m = tied(incidents, tmp_path, "other", changes[::-1])
+    assert first == again and len(first) == 1 and n == m == 5
+
+
+def test_equal_rows_leave_one(incidents, tmp_path):
+    kept_rows, n = tied(incidents, tmp_path, "equal", [{}] * 7)
+    assert len(kept_rows) == 1 and n == 7

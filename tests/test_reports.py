@@ -1,8 +1,10 @@
 from __future__ import annotations
 
+import os
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
 from monthlake.operators import (
     cumulative_months,
@@ -12,7 +14,7 @@ from monthlake.operators import (
     total_count,
     word_count,
 )
-from monthlake.plans import profile_csv, schema_rows
+from monthlake.plans import infer_types, profile_csv, schema_rows
 from monthlake.sinks import write_report_csv
 from monthlake.sources import read_lines
 from monthlake.work import new_folder, shared_dir
@@ -141,3 +143,42 @@ class TestFolders:
         one, two = new_folder(spark, "x"), new_folder(spark, "x")
         assert one != two and Path(one).is_dir()
         assert one.startswith(shared_dir(spark))
+
+
+@pytest.mark.parametrize("ordered", [True, False])
+def test_one_file_of_many_tasks(spark, tmp_path, ordered):
+    """Sorted by ranges in many tasks, then one file with one header, quoted as Spark quotes."""
+    rows = [(f'w"{i % 97}, x' if i % 5 else f"line{i}", i % 13) for i in range(500)]
+    report = spark.createDataFrame(rows, 'word string, n int').repartition(8)
+    path, order = str(tmp_path / "report"), [F.desc("n"), "word"] if ordered else []
+    spark.range(3).write.csv(path)  # an earlier report
+    assert write_report_csv(report, path, single_file=True, order=order) == 500
+    (file,) = [f for f in os.listdir(path) if f.endswith(".csv")]
+    with open(f"{path}/{file}", newline="") as content:
+        assert content.readline() == "word,n\n"
+    found = [tuple(r) for r in spark.read.option("header", True).schema(report.schema).option("escape", "\\").csv(path).coalesce(1).collect()]
+    wanted = [(w, n) for w, n in rows]
+    assert found == sorted(wanted, key=lambda r: (-r[1], r[0])) if order else sorted(found) == sorted(wanted)
+
+
+def test_one_file_without_rows(spark, tmp_path):
+    assert write_report_csv(spark.range(5).where("id > 9").selectExpr("int(id) AS a", "'x' AS b"), str(tmp_path / "r"), single_file=True, order=["a"]) == 0
+    assert (tmp_path / "r" / "part-00000.csv").read_text() == "a,b\n"
+
+
+def test_types_of_columns(spark):
+    columns = {
+        "i": ["1", "-2", None, " 3"], "l": ["1", "3000000000", "2", None], "d": ["1", "2.5", "1e3", "NaN"], "date": ["2020-01-05", "2021-12-31", None, None],
+        "t": ["2020-01-05", "2020-01-05 10:11:12", None, None], "b": ["true", "FALSE", None, None], "s": ["1", "x", None, None], "n": [None] * 4,
+    }
+    df = spark.createDataFrame(list(zip(*columns.values())), ", ".join(f"{c} string" for c in columns))
+    schema, nulls, rows = infer_types(df)
+    assert [f.dataType.simpleString() for f in schema] == ["int", "bigint", "double", "date", "timestamp", "boolean", "string", "string"]
+    assert rows == 4 and nulls == {c: v.count(None) for c, v in columns.items()}
+    assert infer_types(df.limit(0))[2] == 0
+
+
+def test_odd_column_names_and_sampling(spark):
+    df = spark.createDataFrame([(str(i), "x") for i in range(1000)], "`a b.c` string, `A B.C2` string")
+    schema, _, rows = infer_types(df, sampling_ratio=0.1)
+    assert [f.name for f in schema] == df.columns and rows == 1000 and schema[0].dataType.simpleString() == "int"
