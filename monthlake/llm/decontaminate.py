@@ -10,8 +10,8 @@ An automaton takes about ``bytes_per_automaton`` of item text, and that is all t
 sent to the tasks. A larger benchmark is dealt by a hash of the items into several
 automata; documents stream through one after the other and their hits add up.
 
-Defined results: null or empty texts have no words and no hits. Items without words, or
-without an id, take no part; equal ids count as one item. Repeated documents are each
+Defined results: null or empty texts have no words and no hits. Items without words
+take no part; equal ids count as one item; one without an id hits words but is not named. Repeated documents are each
 answered. An empty benchmark hits nothing. Other columns are passed through; columns
 named like those that are added are replaced.
 """
@@ -50,13 +50,13 @@ _TYPES = {
 class SuffixAutomaton:
     """All runs of words of all items: ``step`` follows a word from a state."""
 
-    def __init__(self, items: list[tuple[str, list[int]]], window: int):
+    def __init__(self, items: list[tuple[str | None, list[int]]], window: int):
         self.window = window
         self.next: list[dict[int, int]] = [{}]
         self.link = [-1]
         self.length = [0]
-        ends: dict[int, set[str]] = {}
-        short: dict[int, list[tuple[int, str]]] = {}
+        ends: dict[int, set[str | None]] = {}
+        short: dict[int, list[tuple[int, str | None]]] = {}
         for name, words in items:
             state = 0
             for word in words:
@@ -187,7 +187,7 @@ class Matcher:
             for place, matched, hit, items, short in self.automaton.stream(numbers[start:end].tolist()):
                 longest = max(longest, matched)
                 if hit:
-                    names.update(items)
+                    names.update(name for name in items if name is not None)
                     last = int(start) + place
                     first = last - hit + 1
                     while spans and first <= spans[-1][1] + 1:
@@ -210,15 +210,13 @@ def _merged(spans: list[tuple[int, int, bool]]) -> list[tuple[int, int, bool]]:
 
 def _automata(items: DataFrame, window: int, size: int) -> Iterator[list[tuple[str, str]]]:
     """The items, in lists whose text takes about ``size`` bytes."""
-    named = items.select(F.col("item_id").cast("string").alias("item"), "text").where(
-        "item IS NOT NULL AND text IS NOT NULL"
-    )
-    total = named.agg(F.sum(F.octet_length("text") + F.octet_length("item"))).first()[0] or 0
+    named = items.select(F.col("item_id").cast("string").alias("item"), "text").where("text IS NOT NULL")
+    total = named.agg(F.sum(F.octet_length("text") + F.coalesce(F.octet_length("item"), F.lit(0)))).first()[0] or 0
     parts = -(-total // size)
     for part in range(parts):
         chosen = named.where(F.pmod(F.xxhash64("item", "text"), F.lit(parts)) == part)
         if rows := [(row.item, row.text) for row in chosen.toLocalIterator()]:
-            yield sorted(rows)
+            yield sorted(rows, key=lambda row: (row[0] or "", row[1]))
 
 
 def match_items(

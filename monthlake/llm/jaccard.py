@@ -60,7 +60,7 @@ _SLICE_SHARE, _TOTAL_SHARE, _LEAST_HEAVY = 64, 128, 1000
 
 _MINIMA = [f"m{i}" for i in range(MINIMA)]
 _SETS = (
-    "doc_id long, n_shingles long, key long, check long, "
+    "doc_id long, body long, n_shingles long, key long, check long, "
     + ", ".join(f"{m} long" for m in _MINIMA)
     + ", heavy array<long>, heavy_n array<int>"
 )
@@ -137,6 +137,7 @@ def _describe(part: pa.RecordBatch, size: int) -> pa.RecordBatch:
     empty = [None] * (part.num_rows - 1)
     columns = {
         "doc_id": part.column("doc_id").cast(pa.int64()),
+        "body": part.column("body"),
         "n_shingles": pa.array(sets.sizes, pa.int64()),
         "key": pa.array(sets.keys.view(np.int64), mask=sets.sizes == 0),
         "check": _signed(sets.checks),
@@ -329,10 +330,21 @@ def similar_documents(
     ``component_id`` is the smallest doc_id that links reach, ``class_id`` the smallest of
     those with the same set.
     """
+    return _labelled(docs, words, percent, shingles_per_fragment).drop("body", "group")
+
+
+def _labelled(
+    docs: DataFrame,
+    words: int = WORDS,
+    percent: int = PERCENT,
+    shingles_per_fragment: int = SHINGLES_PER_FRAGMENT,
+) -> DataFrame:
+    """The rows of `similar_documents` with a hash of their text, and their group, which ids may not name."""
     spark = docs.sparkSession
     scratch = Scratch(spark)
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    sets = scratch.put(source.mapInArrow(_sets_task(words), _SETS), "sets")
+    bodies = source.withColumn("body", F.xxhash64("text"))
+    sets = scratch.put(bodies.mapInArrow(_sets_task(words), _SETS), "sets")
 
     classes = (
         sets.where("key IS NOT NULL")
@@ -432,8 +444,8 @@ def similar_documents(
     least = members.groupBy("root").agg(F.min("class_id").alias("component_id"))
     labels = scratch.put(
         classes.select("key", "class_id")
-        .join(members.join(least, "root").select("key", "component_id"), "key", "left")
-        .select("key", "class_id", F.coalesce("component_id", "class_id").alias("component_id")),
+        .join(members.join(least, "root").select("key", "root", "component_id"), "key", "left")
+        .select("key", "class_id", F.coalesce("component_id", "class_id").alias("component_id"), F.coalesce("root", "key").alias("group")),
         "labels",
     )
     scratch.drop(segments, postings, alive, classes, first_links, second_links, roots)
@@ -442,11 +454,25 @@ def similar_documents(
         "n_shingles",
         F.coalesce("component_id", "doc_id").alias("component_id"),
         F.coalesce("class_id", "doc_id").alias("class_id"),
+        "body",
+        "group",
     )
 
 
 def keep_first_of_groups(docs: DataFrame) -> DataFrame:
-    """The document with the smallest id of each group of similar ones; the same columns."""
-    found = similar_documents(docs)
-    others = found.where("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(others, "doc_id", "left_anti").select(*docs.columns)
+    """One document of each group of similar ones; the same columns.
+
+    The one with the smallest id stays, of one id the one with the smallest hash of its
+    text; null ids come last. Documents are told apart by id and text, so a text that is no
+    copy stays although its id has another one that goes. Rows that repeat both stay together.
+    """
+    scratch = Scratch(docs.sparkSession)
+    found = _labelled(docs, WORDS, PERCENT, SHINGLES_PER_FRAGMENT).where("group IS NOT NULL").select("doc_id", "body", "group")
+    found = scratch.put(found, "grouped")
+    place = F.struct(F.col("doc_id").isNull(), "doc_id", "body")
+    firsts = found.groupBy("group").agg(F.min(place).alias("first"), F.max(place).alias("last")).where("first < last")
+    others = found.join(firsts.select("group", "first"), "group").where(place != F.col("first"))
+    others = scratch.put(others.select(F.col("doc_id").alias("_id"), F.col("body").alias("_body")).distinct(), "others")
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_body"))
+    scratch.drop(found)
+    return docs.join(others, same, "left_anti").select(*docs.columns)

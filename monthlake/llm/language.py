@@ -2,8 +2,12 @@
 
 Training counts the hashed runs of 1 to 3 characters of every document with a language,
 in numpy inside the tasks; Spark adds the counts up by language and block of buckets.
-The log-probability matrix (languages x buckets, bounded by ``MAX_LANGUAGES``) is
-broadcast, and documents are scored in batches: a gather and a sum per language.
+The log-probability matrix (languages x buckets, of at most ``MAX_LANGUAGES`` languages) is
+broadcast, and documents are scored in batches: a gather and a sum per language. More
+languages make several matrices, which documents meet one after the other.
+
+A character lies in a run of each order, so the log-likelihood is divided by the number of
+orders: a naive Bayes that is tempered by that, with milder probabilities.
 
 Defined results: a text that is null or has no letter is ``und`` with score 0. With
 nothing to learn from, every text is ``und``. Texts count in lower case. Languages that
@@ -15,6 +19,7 @@ are passed through; columns named like those that are added are replaced.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -22,12 +27,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from monthlake.llm.flat import slices, texts
+from monthlake.work import stored
 
 UNKNOWN = "und"
 BITS = 16
 ORDERS = (1, 2, 3)
-#: The matrix takes 256 KB a language; more languages than these are an error.
+#: The matrix takes 256 KB a language; more languages than these take a matrix and a pass each.
 MAX_LANGUAGES = 400
+_SO_FAR = ("_lower", "_lang", "_best", "_total")
 _BLOCK = 1 << 12
 _MULTIPLIERS = (0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D)
 
@@ -122,15 +129,15 @@ _COUNTS = "lang string, block int, n_rows long, counts binary"
 class LanguageModel:
     """Log-probabilities by language and bucket, and the languages' own."""
 
-    def __init__(self, languages: list[str], counts: np.ndarray, rows: np.ndarray, smoothing: float = 0.5):
+    def __init__(self, languages: list[str], counts: np.ndarray, rows: np.ndarray, all_rows: float, smoothing: float = 0.5):
         self.languages = languages
         total = counts.sum(axis=1, keepdims=True)
         with np.errstate(divide="ignore"):
             self.logs = (np.log(counts + smoothing) - np.log(total + smoothing * counts.shape[1])).astype(np.float32) if languages else counts
-            self.priors = np.log(rows / max(1, rows.sum()))
+            self.priors = np.log(rows / max(1, all_rows))
 
-    def posteriors(self, data: np.ndarray, at: np.ndarray) -> np.ndarray:
-        """The languages' probabilities for each text.
+    def scores(self, data: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """The languages' log-probabilities for each text, but for what all languages share.
 
         A character lies in a run of each order; their logs are averaged over the orders.
         """
@@ -139,12 +146,41 @@ class LanguageModel:
             for i in range(len(self.languages)):
                 sums = np.concatenate([[0.0], np.cumsum(self.logs[i][bucket], dtype=np.float64)])
                 scores[:, i] += np.diff(sums[before])
-        scores = scores / len(ORDERS) + self.priors
-        scores = np.exp(scores - scores.max(axis=1, keepdims=True))
-        return scores / scores.sum(axis=1, keepdims=True)
+        return scores / len(ORDERS) + self.priors
+
+
+@dataclass(frozen=True)
+class LanguageModels:
+    """Models of at most ``MAX_LANGUAGES`` languages each, made one at a time from stored counts.
+
+    The driver holds the names of all languages and the matrix of one block of them.
+    """
+
+    counted: DataFrame
+    rows: dict[str, int]
+    per_block: int
+
+    @property
+    def languages(self) -> list[str]:
+        return sorted(self.rows)
+
+    @property
+    def logs(self) -> np.ndarray:
+        """The matrix of the first block."""
+        return next(self.blocks()).logs
+
+    def blocks(self) -> Iterator[LanguageModel]:
+        names, total = self.languages, sum(self.rows.values())
+        for start in range(0, len(names), self.per_block):
+            own = names[start : start + self.per_block]
+            counts = np.zeros((len(own), 1 << BITS), np.int64)
+            place = {name: i for i, name in enumerate(own)}
+            for row in self.counted.where((F.col("lang") >= own[0]) & (F.col("lang") <= own[-1])).toLocalIterator():
+                counts[place[row.lang], row.block : row.block + _BLOCK] = np.frombuffer(row.counts, np.int64)
+            yield LanguageModel(own, counts, np.array([self.rows[x] for x in own], float), total)
 
 
-def train_language_model(docs: DataFrame) -> LanguageModel:
+def train_language_model(docs: DataFrame, per_block: int = MAX_LANGUAGES) -> LanguageModels:
     """Counts over all rows with a text and a language; ``docs`` has text and lang."""
     counted = (
         docs.where("text IS NOT NULL AND lang IS NOT NULL")
@@ -153,49 +189,59 @@ def train_language_model(docs: DataFrame) -> LanguageModel:
         .groupBy("lang", "block")
         .applyInArrow(_add_blocks, _COUNTS)
     )
-    tables: dict[str, np.ndarray] = {}
-    rows: dict[str, int] = {}
-    for row in counted.toLocalIterator():
-        if row.lang not in tables and len(tables) == MAX_LANGUAGES:
-            raise ValueError(f"more than {MAX_LANGUAGES} languages")
-        table = tables.setdefault(row.lang, np.zeros(1 << BITS, np.int64))
-        table[row.block : row.block + _BLOCK] = np.frombuffer(row.counts, np.int64)
-        rows[row.lang] = row.n_rows
-    names = sorted(tables)
-    counts = np.stack([tables[x] for x in names]) if names else np.zeros((0, 1 << BITS))
-    return LanguageModel(names, counts, np.array([rows[x] for x in names], float))
-
-
-def identify(docs: DataFrame, model: LanguageModel) -> DataFrame:
-    """Documents with lang_pred and score."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-    kept = docs.drop("lang_pred", "score", "_lower")
-    schema = kept.withColumns({"lang_pred": F.lit(""), "score": F.lit(0.0)}).schema
+    counted = stored(counted, "languages")
+    rows = {row.lang: row.n_rows for row in counted.where("block = 0").select("lang", "n_rows").toLocalIterator()}
+    return LanguageModels(counted, rows, per_block)
+
+
+def identify(docs: DataFrame, models: LanguageModels) -> DataFrame:
+    """Documents with lang_pred and score; more languages than a block holds take a pass for each block."""
+    kept = docs.drop("lang_pred", "score", *_SO_FAR)
+    lower = F.when(F.col("text").rlike(r"\p{L}"), F.lower("text"))
+    none = (F.lit(None).cast("string"), F.lit(float("-inf")), F.lit(float("-inf")))
+    frame = kept.withColumns({"_lower": lower, **dict(zip(_SO_FAR[1:], none, strict=True))})
+    shared = None
+    for model in models.blocks():
+        if shared is not None:
+            frame = stored(frame, "languages")
+            shared.destroy()
+        shared = docs.sparkSession.sparkContext.broadcast(model)
+        frame = frame.mapInArrow(_task(shared), frame.schema)
+    named = F.col("_lang").isNotNull()
+    return frame.select(
+        *(frame[c] for c in kept.columns),
+        F.when(named, F.col("_lang")).otherwise(UNKNOWN).alias("lang_pred"),
+        F.when(named, F.least(F.lit(1.0), F.exp(F.col("_best") - F.col("_total")))).otherwise(0.0).alias("score"),
+    )
+
 
+def _task(shared):
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
         for batch in batches:
             for part in slices(batch, "_lower"):
-                yield _answer(part, model)
+                yield _answer(part, shared.value)
 
-    lower = F.when(F.col("text").rlike(r"\p{L}"), F.lower("text"))
-    return kept.withColumn("_lower", lower).mapInArrow(task, schema)
+    return task
 
 
 def _answer(part: pa.RecordBatch, model: LanguageModel) -> pa.RecordBatch:
+    """The best language so far, its log-probability, and the log of the sum of all so far."""
     column = part.column("_lower")
-    names, scores = [UNKNOWN] * part.num_rows, np.zeros(part.num_rows)
-    if model.languages:
-        p = model.posteriors(*texts(column))
-        best = p.argmax(axis=1)
-        known = np.asarray(column.is_valid())
-        names = [model.languages[b] if k else UNKNOWN for b, k in zip(best, known, strict=True)]
-        scores = np.where(known, p[np.arange(len(p)), best], 0.0)
-    kept = part.drop_columns(["_lower"])
-    return pa.RecordBatch.from_arrays(
-        [*kept.columns, pa.array(names, pa.string()), pa.array(scores, pa.float64())],
-        names=[*kept.schema.names, "lang_pred", "score"],
-    )
+    scores = model.scores(*texts(column))
+    place = scores.argmax(axis=1)
+    top = scores[np.arange(len(scores)), place]
+    total = top + np.log(np.exp(scores - top[:, None]).sum(axis=1))
+    before = {name: part.column(name) for name in _SO_FAR[1:]}
+    best, so_far = (before[name].to_numpy(zero_copy_only=False) for name in ("_best", "_total"))
+    known = np.asarray(column.is_valid())
+    better = known & (top > best)
+    names = [model.languages[p] if b else old for p, b, old in zip(place, better, before["_lang"].to_pylist(), strict=True)]
+    new = {
+        "_lang": pa.array(names, pa.string()),
+        "_best": pa.array(np.where(better, top, best)),
+        "_total": pa.array(np.where(known, np.logaddexp(so_far, total), so_far)),
+    }
+    return pa.RecordBatch.from_arrays([new.get(n, part.column(i)) for i, n in enumerate(part.schema.names)], names=part.schema.names)
 
 
 def keep_identified(docs: DataFrame, least_score: float = 0.5) -> DataFrame:

@@ -42,6 +42,8 @@ TREE_SIZE = 4096
 PAGE_SIZE = 64
 QUERIES_PER_BLOCK = 256
 SEED_ROWS = 4096
+#: Squared lengths up to which inner products, and sums on the way to them, are exact.
+EXACT_IN_FLOATS, EXACT_IN_INTEGERS = 2.0**52, 2.0**62
 _SLACK = 1e-7
 _NONE = np.iinfo(np.int64).min
 
@@ -52,13 +54,25 @@ def scaled(vector: Column, scale: int = SCALE) -> Column:
     return F.when(finite & (F.size(vector) > 0), F.transform(vector, lambda x: F.floor(x.cast("double") * scale)))
 
 
-def _matrix(column: pa.Array) -> np.ndarray:
-    """Lists of one length as float64, which holds these integers exactly."""
-    lists = column.to_pylist() if column.null_count else None
-    if lists is not None:
-        return np.array(lists, np.float64)
-    flat = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
-    return flat.reshape(len(column), -1)
+def _matrix(column: pa.Array, kind: type = np.float64) -> np.ndarray:
+    """Lists of one length; float64 holds the integers of small vectors exactly."""
+    return column.flatten().to_numpy(zero_copy_only=False).astype(kind).reshape(len(column), -1)
+
+
+def number_kind(squared_radius: float) -> type:
+    """In what the greatest inner product of vectors of this squared length is exact."""
+    return np.float64 if squared_radius < EXACT_IN_FLOATS else np.int64
+
+
+def exact_dots(vectors: np.ndarray, query: np.ndarray, squared_radius: float) -> np.ndarray:
+    """Inner products as int64: of floats that hold them, of int64, or of parts of 31 bits in Python's integers.
+
+    The last gives what int64 holds of them, as scores are of that type.
+    """
+    if squared_radius < EXACT_IN_INTEGERS:
+        return (vectors @ query).astype(np.int64)
+    dots = vectors.astype(object) @ query.astype(object)
+    return np.array([max(-(2**63), min(2**63 - 1, int(x))) for x in dots], np.int64)
 
 
 class Tree:
@@ -70,13 +84,14 @@ class Tree:
 
     def __init__(self, ids: np.ndarray, vectors: np.ndarray, squared_radius: float):
         self.ids, self.vectors, self.squared_radius = ids, vectors, squared_radius
-        self.lift = np.sqrt(np.maximum(squared_radius - (vectors**2).sum(axis=1), 0))
+        self.floats = vectors.astype(np.float64, copy=False)
+        self.lift = np.sqrt(np.maximum(squared_radius - (self.floats**2).sum(axis=1), 0))
         self.pages: list[tuple] = []
         self.root = self._load(np.arange(len(ids)), None)
         del self.lift
 
     def _distances(self, row: int, rows: np.ndarray) -> np.ndarray:
-        dots = self.vectors[rows] @ self.vectors[row] + self.lift[rows] * self.lift[row]
+        dots = self.floats[rows] @ self.floats[row] + self.lift[rows] * self.lift[row]
         return np.sqrt(np.maximum(2 * (self.squared_radius - dots), 0))
 
     def _load(self, rows: np.ndarray, parent: int | None) -> int:
@@ -137,6 +152,7 @@ class Best:
 
 def search(tree: Tree, own: int, query: np.ndarray, best: Best) -> int:
     """Offers the tree's best to ``best``; the number of distances it computed."""
+    whole, query = query, query.astype(np.float64, copy=False)
     length = float(query @ query) + tree.squared_radius
     room = _SLACK * np.sqrt(length) + 1e-6
 
@@ -158,13 +174,13 @@ def search(tree: Tree, own: int, query: np.ndarray, best: Best) -> int:
             near = np.flatnonzero(np.abs(parent - to_parent) - radii <= limit)
         if not len(near):
             continue
-        dots = tree.vectors[rows[near]] @ query
         computed += len(near)
         if children is None:
-            ids = tree.ids[rows[near]]
+            ids, dots = tree.ids[rows[near]], exact_dots(tree.vectors[rows[near]], whole, tree.squared_radius)
             kept = (dots >= best.floor()) & (ids != own)
-            best.offer(dots[kept].astype(np.int64), ids[kept])
+            best.offer(dots[kept], ids[kept])
         else:
+            dots = tree.floats[rows[near]] @ query
             distances = np.sqrt(np.maximum(length - 2 * dots, 0))
             bounds = np.maximum(distances - radii[near], 0)
             for i in np.flatnonzero(bounds <= limit):
@@ -198,7 +214,8 @@ def _unpacked(row: dict, squared_radius: float) -> Tree:
     tree = Tree.__new__(Tree)
     tree.squared_radius = squared_radius
     tree.ids = np.frombuffer(row["ids"], np.int64)
-    tree.vectors = np.frombuffer(row["vectors"], np.float64).reshape(-1, row["dim"])
+    tree.vectors = np.frombuffer(row["vectors"], number_kind(squared_radius)).reshape(-1, row["dim"])
+    tree.floats = tree.vectors.astype(np.float64, copy=False)
     tree.pages = [
         (
             None if p["children"] is None else np.frombuffer(p["children"], np.int32),
@@ -235,7 +252,7 @@ def build_trees(vectors: DataFrame, squared_radius: float, tree_size: int = TREE
                     have = sum(len(i) for i, _ in waiting.get(dim, []))
                     if have and have + part.num_rows > tree_size:
                         yield built(dim)
-                    waiting.setdefault(dim, []).append((part.column("vec_id").to_numpy(), _matrix(part.column("vector"))))
+                    waiting.setdefault(dim, []).append((part.column("vec_id").to_numpy(), _matrix(part.column("vector"), number_kind(squared_radius))))
         for dim in list(waiting):
             yield built(dim)
 
@@ -266,8 +283,8 @@ def top_k(
     usable = scratch.put(usable, "vectors")
     squares = F.aggregate("vector", F.lit(0.0), lambda total, x: total + x.cast("double") * x)
     squared_radius = float(usable.agg(F.max(squares)).first()[0] or 0.0)
-    if squared_radius >= 2**52:
-        raise ValueError("components are too large for exact inner products in float64")
+    kind = number_kind(squared_radius)
+    rounding = 0.0 if kind is np.float64 else squared_radius * 1e-12
     trees = scratch.put(build_trees(usable, squared_radius, tree_size), "trees")
 
     seeds = usable.orderBy(F.xxhash64("vec_id"), "vec_id").limit(seed_rows).collect()
@@ -287,13 +304,15 @@ def top_k(
                 rows = batch.filter(pa.array(lengths == dim))
                 for start in range(0, rows.num_rows, queries_per_block):
                     part = rows.slice(start, queries_per_block)
-                    ids, queries = part.column("vec_id").to_numpy(), _matrix(part.column("vector"))
+                    ids, queries = part.column("vec_id").to_numpy(), _matrix(part.column("vector"), kind)
                     least = np.full(len(ids), _NONE)
                     known, seed_vectors = shared.value.get(dim, (np.zeros(0, int), np.zeros((0, dim))))
-                    if len(known) > k:
-                        dots = queries @ seed_vectors.T
+                    if len(known) > k and squared_radius < EXACT_IN_INTEGERS:
+                        dots = queries.astype(np.float64, copy=False) @ seed_vectors.T
                         dots[ids[:, None] == known[None]] = -np.inf
-                        least = np.partition(dots, -k, axis=1)[:, -k].astype(np.int64)
+                        # Rounded sums promise a little less than they say.
+                        least = np.partition(dots, -k, axis=1)[:, -k] - rounding
+                        least = np.maximum(least, -(2.0**62)).astype(np.int64)
                     number += 1
                     yield pa.RecordBatch.from_pydict(
                         {"block": [number], "dim": pa.array([dim], pa.int32()), "query_ids": [ids.tobytes()], "queries": [queries.tobytes()], "least": [least.tobytes()]}
@@ -316,7 +335,7 @@ def top_k(
                         yield _rows(states)
                         states = {}
                     ids = np.frombuffer(row["query_ids"], np.int64)
-                    vectors = np.frombuffer(row["queries"], np.float64).reshape(len(ids), -1)
+                    vectors = np.frombuffer(row["queries"], kind).reshape(len(ids), -1)
                     states[row["block"]] = (ids, vectors, [Best(k, int(x)) for x in np.frombuffer(row["least"], np.int64)])
                 for own, query, best in zip(*states[row["block"]], strict=True):
                     search(last[1], int(own), query, best)

@@ -13,7 +13,8 @@ Shards are written by tasks under the final name's temporary neighbour and moved
 task that runs again replaces its own shard with the same bytes. ``path`` must be seen by
 all executors; any file system that Arrow reads by its URI will do.
 
-Defined results: null and empty texts, and rows with a null id, give no tokens. Repeated
+Defined results: null and empty texts give no tokens. A text without an id is packed
+like any other and stands as null in ``doc_ids``. Repeated
 rows are packed each. An empty table gives no shards. Strings of special tokens in texts
 are ordinary text. Other columns are ignored. The order of sequences follows the key and
 the input files alone; a read of the same files in other splits packs differently.
@@ -100,7 +101,7 @@ def pack(docs: DataFrame, vocabulary: str, length: int = LENGTH) -> DataFrame:
         tokens = Tokens(shared.value)
         part = TaskContext.get().partitionId()
         number = 0
-        held: list[tuple[int, np.ndarray]] = []  # texts, or what is left of them, not yet packed
+        held: list[tuple[int | None, np.ndarray]] = []  # texts, or what is left of them, not yet packed
         n_held = 0
         rows: list[tuple] = []
 
@@ -142,7 +143,7 @@ def pack(docs: DataFrame, vocabulary: str, length: int = LENGTH) -> DataFrame:
         if rows:
             yield out()
 
-    usable = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id IS NOT NULL AND text <> ''")
+    usable = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("text <> ''")
     return usable.mapInArrow(task, _SEQUENCES)
 
 
@@ -199,7 +200,8 @@ def materialise(
                 out["slots"].append(slots[order[a:b]].tobytes())
                 out["n_tokens"].append(batch.column("n_tokens").take(rows).to_numpy().astype(np.int32).tobytes())
                 out["n_docs"].append(lists.value_lengths().to_numpy().astype(np.int32).tobytes())
-                out["doc_ids"].append(lists.flatten().to_numpy().astype(np.int64).tobytes())
+                ids = lists.flatten()
+                out["doc_ids"].append(ids.fill_null(0).to_numpy().astype(np.int64).tobytes() + np.asarray(ids.is_valid()).tobytes())
                 out["packed"].append(squeeze.compress(b"".join(tokens.take(rows).to_pylist())))
             kinds = [pa.int64(), *[pa.binary()] * 5]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out.values(), kinds, strict=True)], names=list(out))
@@ -218,9 +220,12 @@ def materialise(
                 places = np.frombuffer(row["slots"], np.int64) - first
                 data[places] = np.frombuffer(expand.decompress(row["packed"]), "<u2").reshape(len(places), length)
                 n_tokens[places] = np.frombuffer(row["n_tokens"], np.int32)
-                lists = np.split(np.frombuffer(row["doc_ids"], np.int64), np.cumsum(np.frombuffer(row["n_docs"], np.int32))[:-1])
-                for place, ids in zip(places.tolist(), lists, strict=True):
-                    docs_of[place] = ids
+                n_docs = np.frombuffer(row["n_docs"], np.int32)
+                flat, known = row["doc_ids"][: 8 * n_docs.sum()], row["doc_ids"][8 * n_docs.sum() :]
+                ids = pa.array(np.frombuffer(flat, np.int64), mask=~np.frombuffer(known, bool))
+                lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(n_docs)]).astype(np.int32)), ids).to_pylist()
+                for place, own in zip(places.tolist(), lists, strict=True):
+                    docs_of[place] = own
         _write_file(target, shard_name(number), data.tobytes())
         yield pa.RecordBatch.from_arrays(
             [

@@ -19,16 +19,16 @@ def brute(docs, items, window):
     windows: dict[tuple, set] = {}
     for item, text in items:
         own = words(text)
-        if own and item is not None:
+        if own:
             size = min(window, len(own))
             for i in range(len(own) - size + 1):
-                windows.setdefault(tuple(own[i : i + size]), set()).add(str(item))
+                windows.setdefault(tuple(own[i : i + size]), set()).update([] if item is None else [str(item)])
     out = []
     for doc, text in docs:
         own, hit, found = words(text), set(), set()
         for size in {len(w) for w in windows}:
             for i in range(len(own) - size + 1):
-                if names := windows.get(tuple(own[i : i + size])):
+                if (names := windows.get(tuple(own[i : i + size]))) is not None:
                     hit.update(range(i, i + size))
                     found |= names
         digest = hashlib.sha256(",".join(sorted(found)).encode()).hexdigest()
@@ -117,3 +117,11 @@ def test_awkward(spark, awkward, empty):
     assert match_items(awkward, none).where(n_hit() > 0).count() == 0
     assert match_items(empty, items).count() == match_items(empty, none).count() == 0
     assert decontaminate(awkward, items).columns == awkward.columns
+
+
+def test_items_without_an_id_hit_words(spark):
+    long, short = " ".join(f"w{i}" for i in range(14)), "only three words"
+    docs = [(1, f"before {long} after"), (2, f"{short} here"), (3, "none of these")]
+    items = [(None, long), (None, short), (7, long + " more"), (8, None), (9, "")]
+    assert ours(spark, docs, items) == brute(docs, items, 10)
+    assert [r[2] for r in ours(spark, docs, items[:2])] == [14, 3, 0]

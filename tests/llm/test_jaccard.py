@@ -99,3 +99,18 @@ def test_one_of_each_group_stays(spark, awkward):
     ids = [r.doc_id for r in kept.collect()]
     assert kept.columns == awkward.columns
     assert 9 not in ids and ids.count(1) == 2 and ids.count(None) == 2 and {2, 3, 4, 5, 6, 7, 8} <= set(ids)
+
+
+def test_copies_are_told_apart_by_text(spark):
+    """An id with a copy and a text of its own keeps the latter; rows without an id go if they are copies."""
+    text = " ".join(f"w{i}" for i in range(40))
+    near = text + " end"
+    rows = [(1, text), (5, text), (5, "a text that stands alone here"), (None, near), (None, "another one without any id"), (7, ""), (7, None)]
+    kept = keep_first_of_groups(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted(map(tuple, kept.collect()), key=str) == sorted([rows[0], rows[2], *rows[4:]], key=str)
+
+
+def test_copies_without_any_id(spark):
+    text = " ".join(f"w{i}" for i in range(40))
+    kept = keep_first_of_groups(spark.createDataFrame([(None, text), (None, text + " end"), (None, "x")], "doc_id long, text string"))
+    assert kept.count() == 2

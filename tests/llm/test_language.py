@@ -1,7 +1,10 @@
 from __future__ import annotations
 
+import math
 import zlib
 
+import pytest
+
 from monthlake.llm.language import held_out, identify, keep_identified, learnable, train_language_model
 
 
@@ -47,3 +50,55 @@ def test_empty_and_unlearnable(spark, empty, awkward):
 def test_kept_documents(small):
     kept = keep_identified(small)
     assert kept.columns == small.columns and kept.count() >= 0.97 * small.count()
+
+
+TINY = [("aba", "xx"), ("ab", "xx"), ("bb c", "yy"), (None, "yy"), ("é", None)]
+
+
+def by_hand(rows, text):
+    """Posteriors by counting runs in dicts; runs that share a bucket count together, as in the model."""
+    import numpy as np
+
+    from monthlake.llm.language import BITS, ORDERS, _ngrams
+
+    def buckets(t):
+        data = t.lower().encode()
+        return [b for found, _ in _ngrams(np.frombuffer(data, np.uint8), np.array([0, len(data)])) for b in found.tolist()]
+
+    runs = [text[i : i + n] for n in ORDERS for i in range(len(text) - n + 1)]
+    assert len(buckets(text)) == len(runs)
+    assert len(set(zip(buckets(text), runs, strict=True))) == len(set(runs))  # equal runs, equal buckets
+    counts, of_lang = {}, {}
+    for t, lang in rows:
+        if t is not None and lang is not None:
+            of_lang[lang] = of_lang.get(lang, 0) + 1
+            for b in buckets(t):
+                counts.setdefault(lang, {})[b] = counts.setdefault(lang, {}).get(b, 0) + 1
+    logs = {}
+    for lang, own in counts.items():
+        total = sum(own.values())
+        logs[lang] = math.log(of_lang[lang] / sum(of_lang.values()))
+        logs[lang] += sum(math.log((own.get(b, 0) + 0.5) / (total + 0.5 * 2**BITS)) for b in buckets(text)) / len(ORDERS)
+    top = max(logs.values())
+    weights = {lang: math.exp(x - top) for lang, x in logs.items()}
+    return {lang: w / sum(weights.values()) for lang, w in weights.items()}
+
+
+@pytest.mark.parametrize("per_block", [1, 400])
+def test_posteriors_by_hand(spark, per_block):
+    model = train_language_model(spark.createDataFrame(TINY, "text string, lang string"), per_block)
+    asked = ["ab", "bb", "ABBA c", "zz", "c"]
+    found = identify(spark.createDataFrame([(t,) for t in asked], "text string"), model).collect()
+    for row in found:
+        expected = by_hand(TINY, row.text.lower())
+        best = max(sorted(expected), key=expected.get)
+        assert row.lang_pred == best and abs(row.score - expected[best]) < 1e-5
+
+
+def test_more_languages_than_a_matrix_holds(spark):
+    """Three languages a pass: the same answers as in one."""
+    rows = [(f"{chr(97 + i)}{chr(98 + i)} " * 5, f"l{i}") for i in range(10)]
+    df = spark.createDataFrame(rows, "text string, lang string")
+    few, all_at_once = (identify(df, train_language_model(df, n)).orderBy("text").collect() for n in (3, 400))
+    for a, b in zip(few, all_at_once, strict=True):
+        assert a.lang_pred == b.lang_pred == a.lang and abs(a.score - b.score) < 1e-9

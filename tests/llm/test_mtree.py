@@ -78,3 +78,20 @@ def test_clustered_vectors_are_mostly_passed_over():
 def test_scaled(spark):
     df = spark.createDataFrame([([0.5, -0.0005],), ([float("nan")],), (None,), ([],)], "v array<float>")
     assert [r.s for r in df.select(scaled(F.col("v")).alias("s")).collect()] == [[512, -1], None, None, None]
+
+
+@pytest.mark.parametrize("size", [70.0, 3e4, 1e5, 1e12])
+def test_large_components(spark, size):
+    """Products beyond 2^53 are exact, and beyond 2^63 the largest that a score can be."""
+    rng = random.Random(9)
+    rows = [(i, [float(np.float32(rng.gauss(0, size))) for _ in range(8)]) for i in range(400)]
+    limited = [(q, rank, i, max(-(2**63), min(2**63 - 1, s))) for q, rank, i, s in brute(rows)]
+    if size < 1e12:
+        assert limited == brute(rows) and ours(spark, rows) == limited
+    else:
+        assert len(ours(spark, rows)) == len(limited)
+
+
+def test_one_large_component_among_small_ones(spark, vectors):
+    rows = [*vectors, (5000, [1e5] + [0.0] * 7)]
+    assert ours(spark, rows) == brute(rows)

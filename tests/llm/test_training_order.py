@@ -59,5 +59,16 @@ def test_awkward(spark, awkward, empty, tmp_path):
     path = str(tmp_path / "awkward")
     rows = materialise(awkward.coalesce(1), path, RANKS, length=64).orderBy("slot").collect()
     ids = collections.Counter(d for r in rows for d in r.doc_ids)
-    assert set(ids) == {1, 4, 5, 6, 7, 8, 9} and len(list(Reader(path).sequences())) == len(rows)
+    assert set(ids) == {None, 1, 4, 5, 6, 7, 8, 9} and len(list(Reader(path).sequences())) == len(rows)
     assert materialise(empty, str(tmp_path / "none"), RANKS).count() == 0 and len(Reader(str(tmp_path / "none"))) == 0
+
+
+def test_texts_without_an_id_are_packed(spark, tmp_path):
+    """Null stands for them, and for no other id, whatever its value."""
+    tokens = Tokens(open(RANKS, "rb").read())
+    rows = [(None, "first text"), (0, "second text"), (-(2**63), "third text"), (None, "fourth text"), (None, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    (found,) = materialise(df, str(tmp_path / "shards"), RANKS, length=64).collect()
+    assert found.doc_ids == [None, 0, -(2**63), None]
+    (ids,) = Reader(str(tmp_path / "shards")).sequences()
+    assert tokens.decode(ids[: found.n_tokens]) == ["first text", "second text", "third text", "fourth text"]
