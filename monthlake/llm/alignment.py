@@ -35,6 +35,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import os
 import re
 from array import array
 from collections.abc import Callable, Iterator
@@ -46,13 +47,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from monthlake.llm.flat import slices
-from monthlake.llm.scratch import Scratch
+from monthlake.llm.scratch import Scratch, small_batches
 from monthlake.llm.segment import MARK, read_model
 
 #: The frequent pairs are those with at least one of so many irregular links.
 FREQUENT = 1 << 16
 #: Distinct words that a task remembers, and characters in them; distinct pairs that it holds.
-_WORDS, _CHARACTERS, HELD = 1 << 17, 4 << 20, 1 << 17
+_WORDS, _CHARACTERS, HELD = 1 << 18, 8 << 20, 1 << 17
 #: Bytes of text that a task works on at once.
 _SLICE = 512 << 10
 
@@ -73,60 +74,68 @@ def byte_level_bytes() -> dict[str, int]:
     return {chr(b): b for b in own} | {chr(256 + k): b for k, b in enumerate(others)}
 
 
-class _Remembered:
-    """Ids of distinct words, encoded once; flat, so that numpy can take them in any order."""
+class _Numbers(dict):
+    """A number for each word, in order of first use; new words are listed."""
 
-    def __init__(self, encode: Callable[[list[str]], list[list[int]]]):
-        self.encode = encode
-        self.forget()
+    def __init__(self):
+        super().__init__()
+        self.new: list[str] = []
 
-    def forget(self) -> None:
-        self.number: dict[str, int] = {}
-        self.ids, self.at, self.characters = array("i"), array("q", [0]), 0
-
-    def __call__(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of the words one after the other, and how many each has."""
-        if len(self.number) > _WORDS or self.characters > _CHARACTERS:
-            self.forget()
-        new = [w for w in dict.fromkeys(words) if w not in self.number]
-        for word, ids in zip(new, self.encode(new) if new else [], strict=True):
-            self.number[word] = len(self.number)
-            self.ids.extend(ids)
-            self.at.append(len(self.ids))
-            self.characters += len(word)
-        numbers = np.fromiter(map(self.number.__getitem__, words), np.int64, len(words))
-        at = np.array(self.at, np.int64)
-        sizes = np.diff(at)[numbers]
-        place = np.arange(int(sizes.sum())) - np.repeat(np.cumsum(sizes) - sizes, sizes) + np.repeat(at[numbers], sizes)
-        return np.array(self.ids, np.int32)[place], sizes
+    def __missing__(self, word: str) -> int:
+        number = self[word] = len(self)
+        self.new.append(word)
+        return number
 
 
 class _Side:
-    """One tokenizer: ids of many texts, and the bytes of each id."""
+    """One tokenizer: ids of many texts, and the bytes of each id.
+
+    Distinct words are encoded once while they are remembered, and kept flat, so that
+    numpy can take their ids in any order; so is whether an encoding keeps the word's bytes.
+    """
 
     def __init__(self, bytes_of: list[bytes], encode: Callable[[list[str]], list[list[int]]], words_of: Callable[[str], list[str]]):
-        self.bytes_of, self.words_of = bytes_of, words_of
+        self.bytes_of, self.encode, self.words_of = bytes_of, encode, words_of
         self.lengths = np.array([len(b) for b in bytes_of], np.int64)
-        self.remembered = _Remembered(encode)
+        self._forget()
 
-    def __call__(self, spaced: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of the texts one after the other, and the places before each text."""
+    def _forget(self) -> None:
+        self.number, self.characters = _Numbers(), 0
+        self.ids, self.at, self.kept = array("i"), array("q", [0]), array("b")
+
+    def _learn(self) -> None:
+        new, self.number.new = self.number.new, []
+        for word, ids in zip(new, self.encode(new) if new else [], strict=True):
+            self.ids.extend(ids)
+            self.at.append(len(self.ids))
+            self.kept.append(b"".join(map(self.bytes_of.__getitem__, ids)) == word.encode())
+            self.characters += len(word)
+
+    def __call__(self, spaced: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of the texts one after the other, the places before each text, and whether it keeps its bytes."""
+        if len(self.number) > _WORDS or self.characters > _CHARACTERS:
+            self._forget()
         words: list[str] = []
         counts = []
         for text in spaced:
             own = self.words_of(text)
             counts.append(len(own))
             words += own
-        ids, sizes = self.remembered(words)
+        numbers = np.fromiter(map(self.number.__getitem__, words), np.int64, len(words))
+        self._learn()
+        at, kept = np.array(self.at, np.int64), np.array(self.kept, bool)
+        sizes = np.diff(at)[numbers]
         before = np.concatenate([[0], np.cumsum(sizes)])
-        return ids, before[np.concatenate([[0], np.cumsum(counts)]).astype(np.int64)]
-
-    def joined(self, ids: np.ndarray) -> bytes:
-        return b"".join(map(self.bytes_of.__getitem__, ids.tolist()))
+        place = np.arange(before[-1]) + np.repeat(at[numbers] - before[:-1], sizes)
+        of_text = np.repeat(np.arange(len(spaced)), counts)
+        lost = np.bincount(of_text[~kept[numbers]], minlength=len(spaced))
+        return np.array(self.ids, np.int32)[place], before[np.concatenate([[0], np.cumsum(counts)]).astype(np.int64)], lost == 0
 
 
 def byte_bpe(source: str) -> _Side:
     """Tokenizer A from the content of its JSON file."""
+    # One thread: others would take memory and CPUs that belong to other tasks.
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_str(source)
@@ -203,14 +212,8 @@ class Cutter:
 
     def __call__(self, texts: list[str | None]) -> Cut:
         spaced = [" " + t if t else "" for t in texts]
-        (ids_a, at_a), (ids_b, at_b) = self.a(spaced), self.b(spaced)
-        wanted = [t.encode() for t in spaced]
-        valid = np.array([len(w) > 0 for w in wanted], bool)
-        for side, ids, at in ((self.a, ids_a, at_a), (self.b, ids_b, at_b)):
-            ends = np.concatenate([[0], np.cumsum(side.lengths[ids])])[at]
-            data = side.joined(ids)
-            for i, want in enumerate(wanted):
-                valid[i] &= data[ends[i] : ends[i + 1]] == want
+        (ids_a, at_a, kept_a), (ids_b, at_b, kept_b) = self.a(spaced), self.b(spaced)
+        valid = np.array([len(t) > 0 for t in spaced], bool) & kept_a & kept_b
         counts_a, counts_b = np.where(valid, np.diff(at_a), 0), np.where(valid, np.diff(at_b), 0)
         ids_a, ids_b = ids_a[np.repeat(valid, np.diff(at_a))], ids_b[np.repeat(valid, np.diff(at_b))]
         ends_a, ends_b = np.cumsum(self.a.lengths[ids_a]), np.cumsum(self.b.lengths[ids_b])
@@ -368,7 +371,9 @@ def align(docs: DataFrame, tokenizer_a: str, model_b: str, frequent: int = FREQU
     rows = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text")
     kind = f"{_TEXTS}, doc_id {dict(docs.dtypes)['doc_id']}, {_COUNTS}"
     schema = to_arrow_schema(spark.createDataFrame([], kind).schema)
-    cut = scratch.put(rows.mapInArrow(_cut_task(spark.sparkContext.broadcast(sources), schema, held), kind), "cut")
+    task = _cut_task(spark.sparkContext.broadcast(sources), schema, held)
+    with small_batches(spark):
+        cut = scratch.put(rows.mapInArrow(task, kind), "cut")
 
     told = cut.where("row IS NULL")
     by_id = told.select(F.explode(F.arrays_zip("ids", "ids_n")).alias("x")).groupBy("x.ids").agg(F.sum("x.ids_n").alias("n"))

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from monthlake.work import new_folder, remove_folder
 
 
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
@@ -27,6 +28,20 @@ def _shuffles_cleaned(spark: SparkSession) -> Iterator[None]:
             spark.conf.set(_CLEANUP, before)
 
 
+@contextmanager
+def small_batches(spark: SparkSession, rows: int = 1000) -> Iterator[None]:
+    """Tasks get this many rows at once from jobs that run in here; for long texts and large models."""
+    before = spark.conf.get(_BATCH, None)
+    spark.conf.set(_BATCH, str(rows))
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(_BATCH)
+        else:
+            spark.conf.set(_BATCH, before)
+
+
 class Scratch:
     """Writes frames as tables; ``drop`` takes what ``put`` gave.
 
