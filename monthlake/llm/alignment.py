@@ -400,7 +400,10 @@ def align(docs: DataFrame, tokenizer_a: str, model_b: str, frequent: int = FREQU
     )
     looked_kind = f"row long, doc_id {dict(docs.dtypes)['doc_id']}, n_a long, n_b long, n_groups long, groups_sha256 string, known_sum long, known_best long, rest array<long>, times array<long>"
     looked_schema = to_arrow_schema(spark.createDataFrame([], looked_kind).schema)
+    # Written, as both the joined rest and the result read it.
     looked = cut.where("row IS NOT NULL").mapInArrow(_look_up_task(spark.sparkContext.broadcast(tables), looked_schema), looked_kind)
+    looked = scratch.put(looked, "looked")
+    scratch.drop(cut)
 
     best_of_b = spark.createDataFrame([(i, n) for i, n in enumerate(highest.tolist()) if n], "b long, most long")
     rare = by_pair.where(~often).withColumn("b", F.expr(f"pair % {width}")).join(best_of_b, "b")

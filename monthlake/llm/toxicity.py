@@ -57,6 +57,8 @@ _SIGN_BYTES = np.isin(np.arange(256), [ord(c) for c in _LEET if ord(c) < 128])
 _FAR_SIGNS = tuple(c.encode() for c in _LEET if ord(c) >= 128)
 #: Characters of a fragment of a word that blanks divide. Longer ones would make most short words of a text suspects.
 _FRAGMENT = 2
+#: Runs of short tokens longer than this are cut where no letter is within so many tokens.
+_LONG_RUN, _NEAR_LETTER = 24, 8
 _TOKEN_BYTES = ~byte_table((0x20, 0x20), (0x09, 0x0D))
 _WORD_BYTES = byte_table((0x30, 0x39), (0x61, 0x7A), (0x41, 0x5A), (0x80, 0xFF))
 _EDGE = " .,;:?\"'()[]{}*#%&-_=~`/\\<>^"
@@ -218,8 +220,24 @@ def _suspects(lowered: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarr
     owner = tokens.text_index()
     plain = letters + signs == tokens.end - tokens.start
 
+    # Tokens with a letter at most so many tokens away.
+    lettered = np.concatenate([[0], np.cumsum(letters > 0)])
+    number = np.arange(len(tokens))
+    near = lettered[np.minimum(number + _NEAR_LETTER + 1, len(tokens))] > lettered[np.maximum(number - _NEAR_LETTER, 0)]
+
     def runs(short: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """First and last token of three or more short ones in a row, however far apart."""
+        """First and last token of three or more short ones in a row, however far apart.
+
+        Of longer runs than a word has, what is far from any letter is no word: such as rows of numbers.
+        """
+        firsts, lasts = in_a_row(short)
+        long = lasts - firsts >= _LONG_RUN
+        edges = np.zeros(len(tokens) + 1, np.int64)
+        edges[firsts[long]] += 1
+        edges[lasts[long] + 1] -= 1
+        return in_a_row(short & (near | (np.cumsum(edges[:-1]) == 0)))
+
+    def in_a_row(short: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         joined = np.zeros(len(tokens), bool)
         joined[1:] = short[1:] & short[:-1] & (owner[1:] == owner[:-1])
         firsts = np.flatnonzero(~joined)

@@ -31,7 +31,7 @@ def test_run_is_the_stages(spark):
 
 def test_one_query_per_operator():
     names = list(registry.queries())
-    assert [n.split("_")[0] for n in names] == [*(f"op{i}" for i in range(1, 11)), "pipeline"]
+    assert [n.split("_")[0] for n in names] == [*(f"op{i}" for i in range(1, 14)), "pipeline"]
     assert registry.oracle_sql().keys() <= set(names)
 
 

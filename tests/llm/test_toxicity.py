@@ -89,3 +89,34 @@ def test_logistic():
     x = np.linspace(-3, 3, 200)[:, None]
     w = fit_logistic(x, (x[:, 0] > 0.5).astype(float), ridge=1e-3)
     assert sigmoid(np.array([3.0]) @ w[:-1] + w[-1]) > 0.9 > 0.1 > sigmoid(np.array([-3.0]) @ w[:-1] + w[-1])
+
+
+def test_rows_of_numbers_do_not_crawl():
+    """1 MB of short numbers has nothing to decode, but for the words among them."""
+    import random
+    import time
+
+    import numpy as np
+
+    from monthlake.llm.toxicity import _suspects
+
+    rng = random.Random(1)
+    numbers = " ".join(str(rng.randrange(100)) for _ in range(350_000))
+    text = (numbers + " s t u p i d " + numbers + " 1 d 1 0 t").encode()
+    began = time.process_time()
+    owner, start, end = _suspects(np.frombuffer(text, np.uint8), np.array([0, len(text)]))
+    assert time.process_time() - began < 10
+    found = [text[a:b].decode() for a, b in zip(start, end, strict=True)]
+    # Single digits in a row stay, as long as a word may be; a hundredth of all this text.
+    assert max(map(len, found)) < 120 and sum(map(len, found)) < len(text) / 100
+    assert any("s t u p i d" in f for f in found) and any("1 d 1 0 t" in f for f in found)
+
+
+def test_short_runs_of_digits_stay_suspects():
+    import numpy as np
+
+    from monthlake.llm.toxicity import _suspects
+
+    text = b"so 5 7 0 9 1 0 they said"
+    _, start, end = _suspects(np.frombuffer(text, np.uint8), np.array([0, len(text)]))
+    assert any(b"5 7 0 9 1 0" in text[a:b] for a, b in zip(start, end, strict=True))
