@@ -40,6 +40,7 @@ import re
 from array import array
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -74,17 +75,10 @@ def byte_level_bytes() -> dict[str, int]:
     return {chr(b): b for b in own} | {chr(256 + k): b for k, b in enumerate(others)}
 
 
-class _Numbers(dict):
-    """A number for each word, in order of first use; new words are listed."""
-
-    def __init__(self):
-        super().__init__()
-        self.new: list[str] = []
-
-    def __missing__(self, word: str) -> int:
-        number = self[word] = len(self)
-        self.new.append(word)
-        return number
+def _places(words: list[str], data: bytes) -> np.ndarray:
+    """Where each word ends in the bytes of all."""
+    first = np.flatnonzero((np.frombuffer(data, np.uint8) & 0xC0) != 0x80)  # of each character
+    return np.append(first, len(data))[np.cumsum(np.fromiter(map(len, words), np.int64, len(words)))]
 
 
 class _Side:
@@ -92,24 +86,50 @@ class _Side:
 
     Distinct words are encoded once while they are remembered, and kept flat, so that
     numpy can take their ids in any order; so is whether an encoding keeps the word's bytes.
+    ``encode`` takes groups of words and gives the ids of each group, in which no token
+    lies in two words.
     """
 
-    def __init__(self, bytes_of: list[bytes], encode: Callable[[list[str]], list[list[int]]], words_of: Callable[[str], list[str]]):
-        self.bytes_of, self.encode, self.words_of = bytes_of, encode, words_of
+    def __init__(self, bytes_of: list[bytes], encode: Callable[[list[list[str]]], list[list[int]]], words_of: Callable[[str], list[str]], together: int):
+        self.bytes_of, self.encode, self.words_of, self.together = bytes_of, encode, words_of, together
         self.lengths = np.array([len(b) for b in bytes_of], np.int64)
         self._forget()
 
     def _forget(self) -> None:
-        self.number, self.characters = _Numbers(), 0
+        self.number: dict[str, int] = {}
+        self.characters = 0
         self.ids, self.at, self.kept = array("i"), array("q", [0]), array("b")
 
-    def _learn(self) -> None:
-        new, self.number.new = self.number.new, []
-        for word, ids in zip(new, self.encode(new) if new else [], strict=True):
-            self.ids.extend(ids)
-            self.at.append(len(self.ids))
-            self.kept.append(b"".join(map(self.bytes_of.__getitem__, ids)) == word.encode())
-            self.characters += len(word)
+    def _spelt(self, ids: np.ndarray) -> bytes:
+        return b"".join(map(self.bytes_of.__getitem__, ids.tolist()))
+
+    def _encoded(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of the words one after the other, how many each has, and whether it keeps its bytes."""
+        lists = self.encode([words[i : i + self.together] for i in range(0, len(words), self.together)])
+        ids = np.fromiter(chain.from_iterable(lists), np.int32, sum(map(len, lists)))
+        data = "".join(words).encode()
+        if self._spelt(ids) == data and self.lengths[ids].all():
+            # The same bytes: tokens that end where a word ends say how many ids it has.
+            reached, ends = np.cumsum(self.lengths[ids]), _places(words, data)
+            last = np.searchsorted(reached, ends)
+            if (reached[last] == ends).all():
+                return ids, np.diff(last, prepend=-1), np.ones(len(words), bool)
+        # Some word's bytes are lost: each by itself.
+        lists = self.encode([[word] for word in words])
+        kept = [b"".join(map(self.bytes_of.__getitem__, own)) == word.encode() for own, word in zip(lists, words, strict=True)]
+        counts = np.fromiter(map(len, lists), np.int64, len(lists))
+        return np.fromiter(chain.from_iterable(lists), np.int32, counts.sum()), counts, np.array(kept, bool)
+
+    def _learn(self, words: list[str]) -> None:
+        new = [word for word in dict.fromkeys(words) if word not in self.number]
+        if not new:
+            return
+        ids, counts, kept = self._encoded(new)
+        self.at.frombytes((len(self.ids) + np.cumsum(counts)).astype(np.int64).tobytes())
+        self.ids.frombytes(ids.tobytes())
+        self.kept.frombytes(kept.astype(np.int8).tobytes())
+        self.number.update(zip(new, range(len(self.number), len(self.number) + len(new)), strict=True))
+        self.characters += sum(map(len, new))
 
     def __call__(self, spaced: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Ids of the texts one after the other, the places before each text, and whether it keeps its bytes."""
@@ -121,15 +141,16 @@ class _Side:
             own = self.words_of(text)
             counts.append(len(own))
             words += own
+        self._learn(words)
         numbers = np.fromiter(map(self.number.__getitem__, words), np.int64, len(words))
-        self._learn()
-        at, kept = np.array(self.at, np.int64), np.array(self.kept, bool)
+        # Views: they are gone before more is learned.
+        all_ids, at, kept = np.frombuffer(self.ids, np.int32), np.frombuffer(self.at, np.int64), np.frombuffer(self.kept, np.bool_)
         sizes = np.diff(at)[numbers]
         before = np.concatenate([[0], np.cumsum(sizes)])
         place = np.arange(before[-1]) + np.repeat(at[numbers] - before[:-1], sizes)
         of_text = np.repeat(np.arange(len(spaced)), counts)
         lost = np.bincount(of_text[~kept[numbers]], minlength=len(spaced))
-        return np.array(self.ids, np.int32)[place], before[np.concatenate([[0], np.cumsum(counts)]).astype(np.int64)], lost == 0
+        return all_ids[place], before[np.concatenate([[0], np.cumsum(counts)]).astype(np.int64)], lost == 0
 
 
 def byte_bpe(source: str) -> _Side:
@@ -146,10 +167,10 @@ def byte_bpe(source: str) -> _Side:
     for token, number in vocabulary.items():
         bytes_of[number] = bytes(values[c] for c in token)
 
-    def encode(words: list[str]) -> list[list[int]]:
-        return [e.ids for e in tokenizer.encode_batch(words, add_special_tokens=False)]
+    def encode(groups: list[list[str]]) -> list[list[int]]:
+        return [e.ids for e in tokenizer.encode_batch_fast(groups, is_pretokenized=True, add_special_tokens=False)]
 
-    return _Side(bytes_of, encode, lambda text: _WORD.findall(text) if _PLAIN.fullmatch(text) else [text])
+    return _Side(bytes_of, encode, lambda text: _WORD.findall(text) if _PLAIN.fullmatch(text) else [text], 64)
 
 
 def pieces(proto: bytes) -> _Side:
@@ -168,11 +189,11 @@ def pieces(proto: bytes) -> _Side:
     alone = [library.piece_to_id(MARK)]
     crossing = any(MARK in name.lstrip(MARK) for i, name in enumerate(names) if bytes_of[i] and not library.is_byte(i))
 
-    def encode(units: list[str]) -> list[list[int]]:
+    def encode(groups: list[list[str]]) -> list[list[int]]:
         # The library puts a blank before all but the empty text.
-        return [ids or alone for ids in library.encode([unit[1:] for unit in units], num_threads=1)]
+        return [ids or alone for ids in library.encode([unit[1:] for [unit] in groups], num_threads=1)]
 
-    return _Side(bytes_of, encode, lambda text: [text] if crossing or MARK in text else _UNIT.findall(text))
+    return _Side(bytes_of, encode, lambda text: [text] if crossing or MARK in text else _UNIT.findall(text), 1)
 
 
 def identity(a: _Side, b: _Side) -> np.ndarray:
