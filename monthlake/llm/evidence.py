@@ -59,8 +59,10 @@ def gather(
     rows: DataFrame,
     features: Callable[[pa.RecordBatch], tuple[np.ndarray, np.ndarray]],
     prior_rows: float,
+    column: str = "text",
+    limit: int = 2 << 20,
 ) -> Evidence:
-    """Counts over ``rows`` (label, half and what ``features`` reads, with a column text).
+    """Counts over ``rows`` (label, half and what ``features`` reads), by slices of ``column``.
 
     ``features`` gives buckets below 2^22 and the row of each. The rows may be
     any number; the counts that reach the driver are at most four a bucket.
@@ -68,7 +70,7 @@ def gather(
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, column, limit):
                 bucket, owner = _distinct(*features(part))
                 label = part.column("label").to_numpy().astype(np.int64)
                 half = part.column("half").to_numpy().astype(np.int64)

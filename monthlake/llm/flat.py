@@ -48,11 +48,13 @@ def _powers_of(base: int, n: int) -> np.ndarray:
 
 
 def texts(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Bytes of all texts one after the other, and where each begins; null is empty."""
+    """Bytes of all texts (or binary values) one after the other, and where each begins; null is empty."""
     if column.null_count:
-        column = column.fill_null("")
+        column = column.fill_null(b"" if pa.types.is_binary(column.type) else "")
     if pa.types.is_large_string(column.type):
         width = np.int64
+    elif pa.types.is_binary(column.type):
+        width = np.int32
     else:
         column, width = column.cast(pa.string()), np.int32
     _, places, data = column.buffers()

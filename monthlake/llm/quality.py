@@ -3,7 +3,8 @@
 One view is the text: the mean weight of its tokens (runs of non-blanks, as they stand
 and as shapes), the share of tokens that speak against it, and how often tokens repeat.
 The other is what describes the page: source, language, length, lines and the make-up of
-its characters, each as a category. Both are trained on a bounded sample of labelled rows.
+its characters, each as a category that is hashed to one of ``2^PAGE_BITS`` buckets a
+feature. Both are trained on a bounded sample of labelled rows.
 For ``rounds`` rounds, each view then labels all usable documents without a label of which
 it is sure (at least ``confident``), and the other view learns from those too: their tokens
 and categories are counted in Spark, beside those of the labelled rows. Each view's
@@ -12,7 +13,9 @@ give; a last regression joins the two. Every document is scored by both views.
 
 Bounds: ``max_labelled`` labelled rows, those with the smallest hash of their id; the
 regressions are fitted on these. Everything else covers all rows. To the driver come the
-facts of the labelled rows, tables of a fixed size, and a count for each category.
+facts of the labelled rows and tables of a fixed size, however many sources there are:
+those that share a bucket share a weight. The buckets of a text's tokens are written once
+and read by every round.
 
 Defined results: null and empty texts have a length of 0 and no tokens, and are scored by
 what is left. Null sources and languages are categories of their own. Without labels, or
@@ -33,12 +36,16 @@ from pyspark.sql import functions as F
 
 from monthlake.llm.evidence import BITS, Evidence, fit_logistic, gather, labelled_sample, logit, sigmoid
 from monthlake.llm.flat import Words, byte_table, mix, seed, slices, span_hashes, texts
-from monthlake.llm.scratch import Scratch
+from monthlake.llm.scratch import Scratch, small_batches
 
 MAX_LABELLED = 20_000
 ROUNDS = 3
 CONFIDENT = 0.95
+#: Buckets of the categories of each feature, as bits.
+PAGE_BITS = 17
 _PRIOR_ROWS = 5.0
+#: Bytes of token buckets that a task works on at once.
+_SLICE = 1 << 20
 _TEXT_FEATURES = 5
 _TOKEN_BYTES = ~byte_table((0x20, 0x20), (0x09, 0x0D))
 # What a byte looks like: 0 other sign, 1 digit, 2 lower, 3 upper, 4 stop or comma, 5 beyond ASCII.
@@ -76,25 +83,68 @@ def page_features(text: str = "text") -> dict[str, F.Column]:
 _PAGE = ("source", "lang", "length", "lines", "line_length", "signs", "capitals", "digits")
 
 
-def _tokens(part: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, Words]:
-    """Buckets of the tokens, then of their shapes; the text of each; the tokens."""
+def _page() -> F.Column:
+    """The bucket of each feature of a page; features have buckets of their own."""
+    values = page_features()
+    return F.array(*(F.shiftrightunsigned(F.xxhash64(values[k]), 64 - PAGE_BITS).cast("int") + F.lit(i << PAGE_BITS) for i, k in enumerate(_PAGE)))
+
+
+def _pages(column: pa.Array) -> np.ndarray:
+    """A row for each page, a column for each feature."""
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, len(_PAGE))
+
+
+Tokens = tuple[np.ndarray, np.ndarray, np.ndarray]
+
+
+def _tokens(part: pa.RecordBatch) -> Tokens:
+    """Buckets of the tokens and of their shapes, and how many each text has."""
     data, at = texts(part.column("text"))
     words = Words(data, at, _TOKEN_BYTES)
     if not len(words):
-        return np.zeros(0, np.int64), np.zeros(0, np.int64), words
+        return np.zeros(0, np.int32), np.zeros(0, np.int32), words.counts()
     shape = _SHAPE[data]
     same = np.zeros(len(shape), bool)  # a run of one kind counts once
     same[1:] = shape[1:] == shape[:-1]
     same[words.start] = False
     order = np.concatenate([[0], np.cumsum(~same)])
     shapes = span_hashes(shape[~same], order[words.start], order[words.end])
-    hashes = np.concatenate([mix(words.hashes() ^ seed("token")), mix(shapes ^ seed("shape"))])
-    return (hashes >> np.uint64(64 - BITS)).astype(np.int64), np.tile(words.text_index(), 2), words
+    token, kind = ((mix(h ^ seed(name)) >> np.uint64(64 - BITS)).astype(np.int32) for h, name in ((words.hashes(), "token"), (shapes, "shape")))
+    return token, kind, words.counts()
+
+
+def _stored_tokens(part: pa.RecordBatch) -> Tokens:
+    """The same from the columns that ``_with_tokens`` made."""
+    token, at = texts(part.column("tokens"))
+    return token.view(np.int32), texts(part.column("shapes"))[0].view(np.int32), np.diff(at) // 4
+
+
+def _with_tokens(rows: DataFrame) -> DataFrame:
+    """Rows with the buckets of their text's tokens and shapes, as bytes, in place of ``text``."""
+    schema = rows.drop("text").withColumns({"tokens": F.lit(b""), "shapes": F.lit(b"")}).schema
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, "text"):
+                *kinds, counts = _tokens(part)
+                ends = pa.py_buffer(np.concatenate([[0], 4 * np.cumsum(counts)]).astype(np.int32))
+                out = part.drop_columns(["text"])
+                for name, buckets in zip(("tokens", "shapes"), kinds, strict=True):
+                    out = out.append_column(name, pa.Array.from_buffers(pa.binary(), len(counts), [None, ends, pa.py_buffer(buckets.tobytes())]))
+                yield out
+
+    return rows.mapInArrow(task, schema)
+
 
+def _both(tokens: Tokens) -> tuple[np.ndarray, np.ndarray]:
+    """Buckets of tokens, then of shapes, and the text of each."""
+    token, kind, counts = tokens
+    return np.concatenate([token, kind]).astype(np.int64), np.tile(np.repeat(np.arange(len(counts)), counts), 2)
 
-def _text_dense(tokens: tuple[np.ndarray, np.ndarray, Words], shares: np.ndarray) -> np.ndarray:
-    bucket, owner, words = tokens
-    n = words.counts().astype(float)
+
+def _text_dense(tokens: Tokens, shares: np.ndarray) -> np.ndarray:
+    bucket, owner = _both(tokens)
+    n = tokens[2].astype(float)
     weight = logit(np.clip(shares[bucket].astype(np.float64), 1e-3, 1 - 1e-3))
     half = len(bucket) // 2
     count = np.maximum(n, 1)
@@ -112,31 +162,31 @@ def _text_dense(tokens: tuple[np.ndarray, np.ndarray, Words], shares: np.ndarray
     )
 
 
-class PageView:
-    """Weights of the categories, by feature."""
+def _page_counts(rows: DataFrame) -> np.ndarray:
+    """Rows and good ones of each half and bucket, over rows (label, half, page)."""
+    counts = np.zeros((2, len(_PAGE) << PAGE_BITS, 2), np.int64)
+    counted = (
+        rows.select("label", "half", F.explode("page").alias("bucket"))
+        .groupBy("half", "bucket")
+        .agg(F.count("*").alias("n"), F.sum("label").alias("good"))
+        .toLocalIterator()
+    )
+    for half, bucket, n, good in counted:  # at most two for each bucket
+        counts[half, bucket] = n, good
+    return counts
 
-    def __init__(self, counted: list[tuple[int, int, str, int, int]], totals: dict[int, tuple[int, int]]):
-        """``counted`` has half, feature, value, rows and good ones; ``totals`` those of a half."""
-        self.tables = {}
-        for used in ((0,), (1,), (0, 1)):
-            n_all, n_good = (sum(totals.get(h, (0, 0))[i] for h in used) for i in (0, 1))
-            base = (n_good + 1) / (n_all + 2)
-            sums: list[dict[str, list[int]]] = [{} for _ in _PAGE]
-            for half, feature, value, rows, good in counted:
-                if half in used:
-                    entry = sums[feature].setdefault(value, [0, 0])
-                    entry[0] += rows
-                    entry[1] += good
-            table = [{k: float(logit(np.float64((g + 5 * base) / (t + 5)))) for k, (t, g) in n.items()} for n in sums]
-            self.tables[used] = (table, float(logit(np.float64(base))))
 
-    def dense(self, rows: list[tuple], used: tuple[int, ...] = (0, 1)) -> np.ndarray:
-        table, base = self.tables[used]
-        return np.array([[t.get(v, base) for t, v in zip(table, row, strict=True)] for row in rows], float).reshape(-1, len(_PAGE))
+def _page_table(counts: np.ndarray, used: tuple[int, ...] = (0, 1)) -> np.ndarray:
+    """The weight of each bucket by the rows of these halves; one without rows weighs what all do."""
+    n, good = counts[list(used)].sum(axis=0).T
+    # Each row has one bucket of the first feature.
+    n_all, n_good = (x[: 1 << PAGE_BITS].sum() for x in (n, good))
+    base = (n_good + 1) / (n_all + 2)
+    return logit((good + _PRIOR_ROWS * base) / (n + _PRIOR_ROWS)).astype(np.float32)
 
 
 class QualityModel:
-    def __init__(self, shares: np.ndarray, text_weights: np.ndarray, page: PageView, page_weights: np.ndarray, joint: np.ndarray):
+    def __init__(self, shares: np.ndarray, text_weights: np.ndarray, page: np.ndarray, page_weights: np.ndarray, joint: np.ndarray):
         self.shares, self.text_weights = shares, text_weights
         self.page, self.page_weights, self.joint = page, page_weights, joint
 
@@ -150,48 +200,30 @@ def _sure(p: np.ndarray, confident: float) -> np.ndarray:
     return np.where(p >= confident, 1, np.where(1 - p >= confident, 0, -1)).astype(np.int32)
 
 
-def _page_view(rows: DataFrame) -> PageView:
-    """Counts by category over rows (label, half, page)."""
-    counted = (
-        rows.select("label", "half", F.posexplode("page").alias("feature", "value"))
-        .groupBy("half", "feature", "value")
-        .agg(F.count("*").alias("n"), F.sum("label").alias("good"))
-        .toLocalIterator()
-    )
-    counts = [tuple(r) for r in counted]
-    totals: dict[int, tuple[int, int]] = {}
-    for half, feature, _, n, good in counts:
-        if feature == 0:
-            before = totals.get(half, (0, 0))
-            totals[half] = (before[0] + n, before[1] + good)
-    return PageView(counts, totals)
-
-
 def _told_by_text(rows: DataFrame, shared, weights: np.ndarray, confident: float) -> DataFrame:
     """(label, half, page) of the rows of which the text view is sure; ``shared`` has its shares last."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "text"):
-                label = _sure(_apply(_text_dense(_tokens(part), shared.value[-1]), weights), confident)
+            for part in slices(batch, "tokens", _SLICE):
+                label = _sure(_apply(_text_dense(_stored_tokens(part), shared.value[-1]), weights), confident)
                 out = pa.RecordBatch.from_arrays([pa.array(label), part.column("half"), part.column("page")], names=["label", "half", "page"])
                 yield out.filter(pa.array(label >= 0))
 
-    return rows.select("text", "half", "page").mapInArrow(task, "label int, half int, page array<string>")
+    return rows.select("tokens", "shapes", "half", "page").mapInArrow(task, "label int, half int, page array<int>")
 
 
 def _told_by_page(rows: DataFrame, shared, confident: float) -> DataFrame:
-    """(label, half, text) of the rows of which the page view is sure; ``shared`` has it and its weights."""
+    """(tokens, shapes, label, half) of the rows of which the page view is sure; ``shared`` has its table and weights."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        view, weights = shared.value
+        table, weights = shared.value
         for batch in batches:
-            for part in slices(batch, "text"):
-                label = _sure(_apply(view.dense(part.column("page").to_pylist()), weights), confident)
-                out = pa.RecordBatch.from_arrays([part.column("text"), pa.array(label), part.column("half")], names=["text", "label", "half"])
-                yield out.filter(pa.array(label >= 0))
+            label = _sure(_apply(table[_pages(batch.column("page"))], weights), confident)
+            out = pa.RecordBatch.from_arrays([batch.column("tokens"), batch.column("shapes"), pa.array(label), batch.column("half")], names=["tokens", "shapes", "label", "half"])
+            yield out.filter(pa.array(label >= 0))
 
-    return rows.select("text", "half", "page").mapInArrow(task, "text string, label int, half int")
+    return rows.select("tokens", "shapes", "half", "page").mapInArrow(task, "tokens binary, shapes binary, label int, half int")
 
 
 def train_quality(
@@ -206,62 +238,67 @@ def train_quality(
 
     ``usable`` says, of doc_id, which rows may be learned from.
     """
+    with small_batches(docs.sparkSession):
+        return _train(docs, labels, usable, rounds, confident, max_labelled)
+
+
+def _train(docs: DataFrame, labels: DataFrame, usable: F.Column, rounds: int, confident: float, max_labelled: int) -> QualityModel:
     spark = docs.sparkSession
     scratch = Scratch(spark)
     known = scratch.put(labelled_sample(labels, "quality", usable & F.col("doc_id").isNotNull(), max_labelled), "known")
-    page = page_features()
-    paged = docs.where(usable & F.col("doc_id").isNotNull()).select("doc_id", "text", F.array(*(page[k] for k in _PAGE)).alias("page"))
+    paged = docs.where(usable & F.col("doc_id").isNotNull()).select("doc_id", "text", _page().alias("page"))
     half = F.pmod(F.xxhash64("doc_id", F.lit("half")), F.lit(2)).cast("int")
-    others = scratch.put(paged.join(F.broadcast(known), "doc_id", "left_anti").select("text", "page", half.alias("half")), "others")
+    others = paged.join(F.broadcast(known), "doc_id", "left_anti").select("text", "page", half.alias("half"))
+    others = scratch.put(_with_tokens(others), "others")
     sample = paged.join(F.broadcast(known), "doc_id").select("text", "page", "label", "half")
-    sample = scratch.put(sample.withColumn("row", F.monotonically_increasing_id()), "sample")
+    sample = scratch.put(_with_tokens(sample.withColumn("row", F.monotonically_increasing_id())), "sample")
 
     facts = sample.select("row", "label", "half", "page").orderBy("row").collect()
     place = {r["row"]: i for i, r in enumerate(facts)}
     halves = np.array([r["half"] for r in facts], int)
     truth = np.array([r["label"] for r in facts], int)
-    pages = [tuple(r["page"]) for r in facts]
-    for_text, for_page = sample.select("text", "label", "half"), sample.select("label", "half", "page")
+    pages = np.array([r["page"] for r in facts], int).reshape(-1, len(_PAGE))
+    for_text, for_page = sample.select("tokens", "shapes", "label", "half"), sample.select("label", "half", "page")
     told_text, told_page = for_text, for_page
     kept: list = []
 
     for number in range(rounds + 1):
         # The text view.
-        evidence: Evidence = gather(told_text, lambda part: _tokens(part)[:2], _PRIOR_ROWS)
+        evidence: Evidence = gather(told_text, lambda part: _both(_stored_tokens(part)), _PRIOR_ROWS, "tokens", _SLICE)
         shares = [evidence.shares(h).astype(np.float16) for h in ((1,), (0,), (0, 1))]
         tables = spark.sparkContext.broadcast(shares)
 
         def dense(batches: Iterator[pa.RecordBatch], tables=tables) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                for part in slices(batch, "text"):
-                    tokens = _tokens(part)
+                for part in slices(batch, "tokens", _SLICE):
+                    tokens = _stored_tokens(part)
                     x = np.concatenate([_text_dense(tokens, s) for s in tables.value[:2]], axis=1)
                     yield pa.RecordBatch.from_arrays([part.column("row"), pa.array(list(x), pa.list_(pa.float64()))], names=["row", "x"])
 
         x = np.zeros((len(facts), 2 * _TEXT_FEATURES))
-        for r in sample.select("row", "text").mapInArrow(dense, "row long, x array<double>").toLocalIterator():
+        for r in sample.select("row", "tokens", "shapes").mapInArrow(dense, "row long, x array<double>").toLocalIterator():
             x[place[r["row"]]] = r["x"]
         apart = np.where((halves == 0)[:, None], *np.split(x, 2, axis=1))
         text_weights = fit_logistic(apart, truth.astype(float))
         p_text = _apply(apart, text_weights)
         # The page view.
-        view = _page_view(told_page)
+        page_counts = _page_counts(told_page)
         for old in kept:  # of each round, on all disks
             old.destroy()
-        apart = np.where((halves == 0)[:, None], view.dense(pages, (1,)), view.dense(pages, (0,)))
+        apart = np.where((halves == 0)[:, None], _page_table(page_counts, (1,))[pages], _page_table(page_counts, (0,))[pages])
         page_weights = fit_logistic(apart, truth.astype(float))
         p_page = _apply(apart, page_weights)
         if number == rounds or len(np.unique(truth)) < 2:
             tables.destroy()
             break
-        views = spark.sparkContext.broadcast((view, page_weights))
+        views = spark.sparkContext.broadcast((_page_table(page_counts), page_weights))
         kept = [tables, views]
         told_text = for_text.unionByName(_told_by_page(others, views, confident))
         told_page = for_page.unionByName(_told_by_text(others, tables, text_weights, confident))
 
     both_views = np.column_stack([logit(np.clip(p, 1e-6, 1 - 1e-6)) for p in (p_text, p_page)])
     joint = fit_logistic(both_views, truth.astype(float))
-    model = QualityModel(shares[2], text_weights, view, page_weights, joint)
+    model = QualityModel(shares[2], text_weights, _page_table(page_counts), page_weights, joint)
     scratch.drop(known, others, sample)
     return model
 
@@ -277,12 +314,11 @@ def score_quality(docs: DataFrame, model: QualityModel) -> DataFrame:
         for batch in batches:
             for part in slices(batch, "text"):
                 p_text = _apply(_text_dense(_tokens(part), model.shares), model.text_weights)
-                p_page = _apply(model.page.dense(part.column("_page").to_pylist()), model.page_weights)
+                p_page = _apply(model.page[_pages(part.column("_page"))], model.page_weights)
                 views = np.column_stack([logit(np.clip(p, 1e-6, 1 - 1e-6)) for p in (p_text, p_page)])
                 out = part.drop_columns(["_page"])
                 for name, p in (("score_text", p_text), ("score_page", p_page), ("score", _apply(views, model.joint))):
                     out = out.append_column(name, pa.array(p, pa.float64()))
                 yield out
 
-    page = page_features()
-    return kept.withColumn("_page", F.array(*(page[k] for k in _PAGE))).mapInArrow(task, schema)
+    return kept.withColumn("_page", _page()).mapInArrow(task, schema)
