@@ -11,6 +11,7 @@ from monthlake.work import new_folder, remove_folder
 
 
 _BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+_TWO_MAPS = "spark.sql.codegen.aggregate.map.twolevel.enabled"
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
@@ -42,6 +43,20 @@ def small_batches(spark: SparkSession, rows: int = 1000) -> Iterator[None]:
             spark.conf.set(_BATCH, before)
 
 
+@contextmanager
+def one_map(spark: SparkSession) -> Iterator[None]:
+    """Aggregations of jobs that run in here keep one hash map; with dozens of columns the second costs more than it saves."""
+    before = spark.conf.get(_TWO_MAPS, None)
+    spark.conf.set(_TWO_MAPS, "false")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(_TWO_MAPS)
+        else:
+            spark.conf.set(_TWO_MAPS, before)
+
+
 class Scratch:
     """Writes frames as tables; ``drop`` takes what ``put`` gave.
 
