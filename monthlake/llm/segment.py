@@ -169,7 +169,9 @@ def _cut_gumbel(location: np.ndarray, most: np.ndarray, u: np.ndarray) -> np.nda
     return np.where(np.isneginf(location), -np.inf, np.minimum(out, most))
 
 
-_MOST_EDGES = 4_000_000
+_MOST_EDGES = 2_000_000
+#: Bytes of text whose lattices and samples are held at once; half as much as elsewhere, since both are many times the text.
+_SLICE = 1 << 20
 _NONE = np.iinfo(np.int32).min
 #: Units that the library gets in one text.
 _TOGETHER = 16
@@ -560,7 +562,7 @@ def segment(docs: DataFrame, model: str, key: str = "doc_id", samples: int = SAM
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lexicon = Lexicon(Pieces(shared.value, alpha))
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", _SLICE):
                 yield _answer(part, lexicon, samples)
 
     seeded = kept.withColumn("_key", F.coalesce(F.xxhash64(F.col(key)), F.lit(0)))
