@@ -17,8 +17,9 @@ are the runs of ``SHINGLE`` characters (UTF-16 units). Steps:
 4. Components of the links. Buckets that still hold several components are paired within
    if they are small (``FEW``); larger ones are first cut into smaller ones by some bits of
    the sketch, ``CUTS`` times by other bits, and one that stays large pairs its lines
-   with its ends. So a line costs a bounded number of pairs, however large a bucket is.
-   These pairs are verified too, and the components are joined.
+   with its ends. These pairs are verified too, and the components are joined.
+   Buckets that then still hold several components are compared pair by pair, every pair once,
+   a pair of blocks of ``BLOCK`` lines to a task, and these pairs are verified and joined too.
 5. Of each component the first line stays, by doc_id, a hash of the text and place; the others go.
 
 Pairs of Jaccard 0.8 are found with a probability of about 0.9 for sets of 20 runs and 0.96
@@ -56,6 +57,8 @@ LEAST_JACCARD = 0.8
 MOST_APART = 0.36
 #: Lines of a bucket that are paired with each other; times that a larger bucket is cut.
 FEW, CUTS = 24, 4
+#: Lines of a block: what stays of a bucket of several components is compared pair by pair, a pair of blocks at a time.
+BLOCK = 256
 #: Runs that one row holds while minima are taken.
 _RUNS_PER_ROW = 16
 _MINIMA_PER_WORD = 31
@@ -207,6 +210,28 @@ def across(members: DataFrame, near: Column, words: int, scratch: Scratch, few:
     return found
 
 
+def _blocked(members: DataFrame, block: int) -> DataFrame:
+    """Members (bucket, node, sketch, root, size) under keys (bucket, lo, hi): a bucket's nodes are
+    dealt to blocks of about ``block``, and each pair of blocks is one key that holds both, so that
+    every pair of a bucket meets under exactly one key and no task holds a whole large bucket."""
+    blocks = F.greatest(F.lit(1), F.ceil(F.col("size") / block)).cast("long")
+    dealt = members.withColumn("own", F.pmod(F.xxhash64("node"), blocks))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
+    return dealt.select("bucket", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "node", "sketch", "root")
+
+
+def rest(members: DataFrame, near: Column, scratch: Scratch, block: int = BLOCK) -> DataFrame:
+    """Pairs (a, b) of all members (bucket, node, sketch, root) of a bucket that still holds several
+    components, that may be alike: the exact way for what ``across`` leaves, however large the bucket."""
+    mixed = scratch.put(_blocked(_sized(members), block), "mixed")
+    x = mixed.select("bucket", "lo", "hi", F.col("node").alias("x"), F.col("sketch").alias("sketch_x"), F.col("root").alias("root_x"))
+    y = mixed.select("bucket", "lo", "hi", F.col("node").alias("y"), F.col("sketch").alias("sketch_y"), F.col("root").alias("root_y"))
+    pairs = x.join(y, ["bucket", "lo", "hi"]).where((F.col("x") < F.col("y")) & (F.col("root_x") != F.col("root_y")) & near)
+    found = scratch.put(_ordered(pairs.select("x", "y")), "pairs")
+    scratch.drop(mixed)
+    return found
+
+
 def _ordered(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
@@ -253,11 +278,19 @@ def line_components(
     more = across(rooted, near, words, scratch)
     sets = scratch.put(_sets(occurrences, nodes, nodes_of(more), shingle), "runs")
     second_links = scratch.put(_verified(more, sets, least_jaccard), "links")
-    scratch.drop(more, sets, roots, members)
-    roots = components(first_links.unionByName(second_links), scratch)
+    scratch.drop(more, sets, roots)
+    links = first_links.unionByName(second_links)
+    roots = scratch.put(components(links, scratch), "roots")
+    # Buckets that still hold several components: every pair of them, so that no candidate is left out.
+    rooted = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    last = rest(rooted, near, scratch)
+    sets = scratch.put(_sets(occurrences, nodes, nodes_of(last), shingle), "runs")
+    third_links = scratch.put(_verified(last, sets, least_jaccard), "links")
+    scratch.drop(last, sets, roots, members)
+    roots = components(links.unionByName(third_links), scratch)
     found = nodes.select("node", "h", "g").join(roots, "node").select("h", "g", F.col("root").alias("component"))
     found = scratch.put(found, "components")
-    scratch.drop(nodes, first_links, second_links)
+    scratch.drop(nodes, first_links, second_links, third_links)
     return found
 
 

@@ -138,3 +138,24 @@ def test_text_of_many_lines(spark):
     text = "\n".join(line for own in once for line in (own, f"  {own.upper()}"))
     (row,) = dedup_lines(spark.createDataFrame([(1, text)], "doc_id long, text string")).collect()
     assert (row.n_lines, row.n_kept, row.text) == (80_000, 40_000, "\n".join(once))
+
+
+def test_large_bucket_of_alike_sketches_gives_every_pair(spark):
+    """60 lines of 60 components, alike in every sketch bit, in one bucket: the cuts cannot part
+    them, so pairing with the ends alone leaves most pairs out; the exact pass gives all 1,770."""
+    from pyspark.sql import functions as F
+
+    from monthlake.llm.lines import across, rest
+    from monthlake.llm.scratch import Scratch
+
+    members = spark.range(60).select(
+        F.lit(7).cast("long").alias("bucket"), F.col("id").alias("node"), F.array(F.lit(5).cast("long"), F.lit(9).cast("long")).alias("sketch"), F.col("id").alias("root")
+    )
+    every = {(a, b) for a in range(60) for b in range(a + 1, 60)}
+    assert {(r.a, r.b) for r in across(members, F.lit(True), 2, Scratch(spark)).collect()} < every
+    found = [(r.a, r.b) for r in rest(members, F.lit(True), Scratch(spark), block=7).collect()]
+    assert len(found) == len(every) and set(found) == every
+    # Members of one component are joined already.
+    joined = members.withColumn("root", F.when(F.col("node") < 30, F.lit(0)).otherwise(F.col("node")))
+    found = {(r.a, r.b) for r in rest(joined, F.lit(True), Scratch(spark), block=7).collect()}
+    assert found == {(a, b) for a, b in every if b >= 30}
