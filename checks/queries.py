@@ -237,7 +237,7 @@ def raw_month_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
 def raw_months(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The route over CSV for all months: one pass over the landing file, one batch."""
     zones, months = Zones(new_folder(spark, "raw")), shared_lake(spark, sf_dir).months
-    fixtures.incidents(spark, sf_dir).write.option("header", True).csv(zones.landing)
+    fixtures.incidents(spark, sf_dir).write.options(header=True, compression="gzip").csv(zones.landing)
     write_raw_months(slice_months_raw(read_incidents_csv(spark, zones.landing), months), zones, months)
     process_raw_months(spark, zones, months)
     curated = read_curated(spark, zones)

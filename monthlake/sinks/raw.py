@@ -12,11 +12,14 @@ from monthlake.schema import BATCH_MONTH, INCIDENT_COLUMNS
 from monthlake.work import move_folder, remove_folder
 from monthlake.zones import Zones
 
+# Slices hold every undated record once per month, so they are written compressed.
+COMPRESSION = "gzip"
+
 
 def write_raw_month(rows: DataFrame, zones: Zones, month: BatchMonth) -> None:
-    rows.select(*INCIDENT_COLUMNS).write.mode("overwrite").option("header", True).csv(
-        zones.raw_month(month)
-    )
+    rows.select(*INCIDENT_COLUMNS).write.mode("overwrite").option("header", True).option(
+        "compression", COMPRESSION
+    ).csv(zones.raw_month(month))
 
 
 def write_raw_months(rows: DataFrame, zones: Zones, months: Iterable[BatchMonth]) -> None:
@@ -34,6 +37,7 @@ def write_raw_months(rows: DataFrame, zones: Zones, months: Iterable[BatchMonth]
             .hint("rebalance", BATCH_MONTH)
             .write.partitionBy(BATCH_MONTH)
             .option("header", True)
+            .option("compression", COMPRESSION)
             .csv(beside)
         )
         for month in sorted(set(months)):

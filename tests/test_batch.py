@@ -310,3 +310,15 @@ def test_many_raw_months_scan_the_csv_once(spark, tmp_path, incidents):
     incidents({}).write.option("header", True).csv(str(tmp_path / "landing"))
     sliced = slice_months_raw(read_incidents_csv(spark, str(tmp_path / "landing")), [BatchMonth(2001, m) for m in range(1, 13)])
     assert sliced._jdf.queryExecution().executedPlan().toString().count("FileScan csv") == 1
+
+
+def test_raw_slices_are_written_compressed(spark, zones, incidents):
+    """Undated records lie in every slice, so the slices are gzip files; they read back whole."""
+    months = [BatchMonth(2001, 1), BatchMonth(2001, 2)]
+    records = incidents({"Date": "01/05/2001 01:00:00 AM"}, {"Date": "never"})
+    write_raw_months(slice_months_raw(records, months), zones, months)
+    write_raw_month(slice_month_raw(records, BatchMonth(2001, 3)), zones, BatchMonth(2001, 3))
+    for month, rows in ((months[0], 2), (months[1], 1), (BatchMonth(2001, 3), 1)):
+        files = [p.name for p in Path(zones.raw_month(month)).glob("part-*")]
+        assert files and all(name.endswith(".csv.gz") for name in files)
+        assert read_incidents_csv(spark, zones.raw_month(month)).count() == rows
