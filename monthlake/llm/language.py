@@ -169,6 +169,10 @@ class LanguageModels:
         """The matrix of the first block."""
         return next(self.blocks()).logs
 
+    def blocks_starts(self) -> range:
+        """Where each block begins among the languages."""
+        return range(0, len(self.languages), self.per_block)
+
     def blocks(self) -> Iterator[LanguageModel]:
         names, total = self.languages, sum(self.rows.values())
         for start in range(0, len(names), self.per_block):
@@ -200,13 +204,13 @@ def identify(docs: DataFrame, models: LanguageModels) -> DataFrame:
     lower = F.when(F.col("text").rlike(r"\p{L}"), F.lower("text"))
     none = (F.lit(None).cast("string"), F.lit(float("-inf")), F.lit(float("-inf")))
     frame = kept.withColumns({"_lower": lower, **dict(zip(_SO_FAR[1:], none, strict=True))})
-    shared = None
-    for model in models.blocks():
+    shared, blocks = None, list(models.blocks_starts())
+    for i, model in enumerate(models.blocks()):
         if shared is not None:
             frame = stored(frame, "languages")
             shared.destroy()
         shared = docs.sparkSession.sparkContext.broadcast(model)
-        frame = frame.mapInArrow(_task(shared), frame.schema)
+        frame = frame.mapInArrow(_task(shared, last=i == len(blocks) - 1), frame.schema)
     named = F.col("_lang").isNotNull()
     return frame.select(
         *(frame[c] for c in kept.columns),
@@ -215,16 +219,18 @@ def identify(docs: DataFrame, models: LanguageModels) -> DataFrame:
     )
 
 
-def _task(shared):
+def _task(shared, last: bool = False):
+    """The last pass gives back ``_lower`` as null: no one reads it after, and the rows are half as large."""
+
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "_lower"):
-                yield _answer(part, shared.value)
+                yield _answer(part, shared.value, last)
 
     return task
 
 
-def _answer(part: pa.RecordBatch, model: LanguageModel) -> pa.RecordBatch:
+def _answer(part: pa.RecordBatch, model: LanguageModel, last: bool = False) -> pa.RecordBatch:
     """The best language so far, its log-probability, and the log of the sum of all so far."""
     column = part.column("_lower")
     scores = model.scores(*texts(column))
@@ -241,6 +247,8 @@ def _answer(part: pa.RecordBatch, model: LanguageModel) -> pa.RecordBatch:
         "_best": pa.array(np.where(better, top, best)),
         "_total": pa.array(np.where(known, np.logaddexp(so_far, total), so_far)),
     }
+    if last:
+        new["_lower"] = pa.nulls(len(column), pa.string())
     return pa.RecordBatch.from_arrays([new.get(n, part.column(i)) for i, n in enumerate(part.schema.names)], names=part.schema.names)
 
 

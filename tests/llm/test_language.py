@@ -102,3 +102,21 @@ def test_more_languages_than_a_matrix_holds(spark):
     few, all_at_once = (identify(df, train_language_model(df, n)).orderBy("text").collect() for n in (3, 400))
     for a, b in zip(few, all_at_once, strict=True):
         assert a.lang_pred == b.lang_pred == a.lang and abs(a.score - b.score) < 1e-9
+
+
+def test_last_pass_gives_back_no_lowered_copy(spark):
+    """Only the last pass drops the lowered texts; earlier ones still need them."""
+    import pyarrow as pa
+
+    from monthlake.llm.language import _answer
+
+    model = train_language_model(spark.createDataFrame([("abc", "xx"), ("def", "yy")], "text string, lang string"))
+    block = next(model.blocks())
+    part = pa.RecordBatch.from_pydict(
+        {"text": ["ABC", None], "_lower": ["abc", None], "_lang": [None, None], "_best": [float("-inf")] * 2, "_total": [float("-inf")] * 2},
+        schema=pa.schema([("text", pa.string()), ("_lower", pa.string()), ("_lang", pa.string()), ("_best", pa.float64()), ("_total", pa.float64())]),
+    )
+    middle, last = _answer(part, block), _answer(part, block, last=True)
+    assert middle.column("_lower").to_pylist() == ["abc", None]
+    assert last.column("_lower").null_count == 2 and last.column("text").to_pylist() == ["ABC", None]
+    assert last.column("_lang").to_pylist() == middle.column("_lang").to_pylist() == ["xx", None]
