@@ -58,7 +58,7 @@ MOST_APART = 0.36
 #: Lines of a bucket that are paired with each other; times that a larger bucket is cut.
 FEW, CUTS = 24, 4
 #: Lines of a block: what stays of a bucket of several components is compared pair by pair, a pair of blocks at a time.
-BLOCK = 256
+BLOCK = 2048
 #: Runs that one row holds while minima are taken.
 _RUNS_PER_ROW = 16
 _MINIMA_PER_WORD = 31
@@ -223,12 +223,14 @@ def _blocked(members: DataFrame, block: int) -> DataFrame:
 def rest(members: DataFrame, near: Column, scratch: Scratch, block: int = BLOCK) -> DataFrame:
     """Pairs (a, b) of all members (bucket, node, sketch, root) of a bucket that still holds several
     components, that may be alike: the exact way for what ``across`` leaves, however large the bucket."""
-    mixed = scratch.put(_blocked(_sized(members), block), "mixed")
+    # Only the members are stored; their copies, one for each block of the bucket, go straight to the join.
+    sized = scratch.put(_sized(members), "mixed")
+    mixed = _blocked(sized, block)
     x = mixed.select("bucket", "lo", "hi", F.col("node").alias("x"), F.col("sketch").alias("sketch_x"), F.col("root").alias("root_x"))
     y = mixed.select("bucket", "lo", "hi", F.col("node").alias("y"), F.col("sketch").alias("sketch_y"), F.col("root").alias("root_y"))
     pairs = x.join(y, ["bucket", "lo", "hi"]).where((F.col("x") < F.col("y")) & (F.col("root_x") != F.col("root_y")) & near)
     found = scratch.put(_ordered(pairs.select("x", "y")), "pairs")
-    scratch.drop(mixed)
+    scratch.drop(sized)
     return found
 
 

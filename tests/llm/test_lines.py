@@ -159,3 +159,15 @@ def test_large_bucket_of_alike_sketches_gives_every_pair(spark):
     joined = members.withColumn("root", F.when(F.col("node") < 30, F.lit(0)).otherwise(F.col("node")))
     found = {(r.a, r.b) for r in rest(joined, F.lit(True), Scratch(spark), block=7).collect()}
     assert found == {(a, b) for a, b in every if b >= 30}
+
+
+def test_exact_pass_copies_a_bucket_of_two_thousand_once(spark):
+    """With the default blocks, a bucket of 2,000 lines is one block: each line stands once, not
+    once for every block of the bucket, so what the exact pass moves grows far slower than its square."""
+    from pyspark.sql import functions as F
+
+    from monthlake.llm.lines import BLOCK, _blocked
+
+    members = spark.range(2000).select(F.lit(7).cast("long").alias("bucket"), F.col("id").alias("node"), F.array(F.lit(5).cast("long")).alias("sketch"), F.col("id").alias("root"))
+    dealt = _blocked(members.withColumn("size", F.lit(2000).cast("long")), BLOCK)
+    assert dealt.count() == 2000
