@@ -171,3 +171,66 @@ def test_exact_pass_copies_a_bucket_of_two_thousand_once(spark):
     members = spark.range(2000).select(F.lit(7).cast("long").alias("bucket"), F.col("id").alias("node"), F.array(F.lit(5).cast("long")).alias("sketch"), F.col("id").alias("root"))
     dealt = _blocked(members.withColumn("size", F.lit(2000).cast("long")), BLOCK)
     assert dealt.count() == 2000
+
+
+def test_buckets_store_only_what_later_steps_read(spark):
+    """A small bucket leaves its candidates, each once; a large one its lines, paired with its ends."""
+    from pyspark.sql import functions as F
+
+    from monthlake.llm.lines import AT_ONCE, _shared
+    from monthlake.llm.scratch import Scratch
+
+    none, all_bits = [0, 0], [0x5555555555555555] * 2
+    unlike = [(n, none if n % 2 else all_bits, [1]) for n in (0, 1)]
+    alike = [(n, none, [2, 100 + n]) for n in (10, 11, 12)]
+    many = [(n, none, [3]) for n in range(20, 20 + AT_ONCE + 1)]
+    alone = [(40, none, [4]), (41, none, [])]
+    nodes = spark.createDataFrame(unlike + alike + many + alone, "node long, sketch array<long>, bands array<long>")
+    rows = _shared(nodes, 2, 18, Scratch(spark)).collect()
+    small = [r for r in rows if r.bucket is None]
+    assert sorted((r.node, sorted(r.near)) for r in small) == [(11, [10]), (12, [10, 11])]
+    large = {r.node: r for r in rows if r.bucket is not None}
+    assert set(large) == {n for n, *_ in many} and {r.size for r in large.values()} == {AT_ONCE + 1}
+    assert set(large[24].near) == {20, 20 + AT_ONCE} and large[24].sketch == none
+
+
+def test_filter_comes_before_the_shuffle(spark):
+    """Rows whose key is surely not wanted are left out before the join, not after it."""
+    from pyspark.sql import functions as F
+
+    from monthlake.llm.lines import _maybe
+
+    rows = spark.range(100_000).select(F.xxhash64("id").alias("key"), "id")
+    wanted = rows.where("id < 50").select("key")
+    assert {r.id for r in _maybe(rows, wanted, "key").join(wanted, "key").collect()} == set(range(50))
+    assert _maybe(rows, wanted, "key").count() < 200
+
+
+def test_documents_that_lose_no_line_are_not_shuffled(spark):
+    """They stand in a branch of their own, without a join with the lines that go; extra columns and null ids stay."""
+    rng = random.Random(9)
+    docs = [(i, f"{rng.getrandbits(160):040x}", i) for i in range(300)] + [(400, "twice", 1), (401, "twice\nonce", 2), (None, "twice", 3), (402, None, 4)]
+    df = dedup_lines(spark.createDataFrame(docs, "doc_id long, text string, extra int"))
+    union = df._jdf.queryExecution().optimizedPlan().toString().split("Union", 1)
+    assert len(union) == 2
+    rows = df.collect()
+    assert df.columns == ["doc_id", "text", "extra", "n_lines", "n_kept"] and len(rows) == len(docs)
+    by_id = {r.doc_id: (r.text, r.n_lines, r.n_kept) for r in rows}
+    assert by_id[400] == ("twice", 1, 1) and by_id[401] == ("once", 2, 1) and by_id[None] == ("", 1, 0) and by_id[402] == (None, 0, 0)
+    assert all(by_id[i] == (text, 1, 1) for i, text, _ in docs[:300])
+
+
+def test_runs_are_those_of_the_line(spark):
+    """Distinct runs of UTF-16 units, with surrogates and lines shorter than a run."""
+    from pyspark.sql import functions as F
+
+    from monthlake.llm.lines import _runs
+
+    lines = ["ab", "abcd", "aaaaaaaa", "日本語 é😀 ok 日本語 é😀", "x" * 3000 + "yz"]
+    got = spark.createDataFrame([(x,) for x in lines], "line string").select("line", F.size(_runs("line", SHINGLE)).alias("n")).collect()
+
+    def units(x):
+        own = x.encode("utf-16-be")
+        return len({own[i : i + 2 * SHINGLE] for i in range(0, max(1, len(own) - 2 * SHINGLE + 1), 2)})
+
+    assert {r.line: r.n for r in got} == {x: units(x) for x in lines}
