@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from monthlake.months import BatchMonth
-from monthlake.operators.dedupe import TEXT_ORDER, first_rows, mark_duplicates, settle_ties
+from monthlake.operators.dedupe import DUPLICATE_REASON, TEXT_ORDER, first_rows, mark_duplicates, settle_ties
 from monthlake.operators.layout import ROWS_PER_TASK, MonthLayout
 from monthlake.operators.row_id import ROW_ID, place_only, with_row_id
 from monthlake.operators.rules import RuleGroup, classify, is_valid
@@ -19,6 +19,7 @@ from monthlake.schema import (
     CURATED_SCHEMA,
     INCIDENT_COLUMNS,
     REJECTED_SCHEMA,
+    REJECT_REASON,
 )
 from monthlake.sinks.partitions import (
     clear_curated,
@@ -83,7 +84,8 @@ def process_raw_months(
 ) -> DataFrame:
     """Process any number of months from their CSV slices, in one job.
 
-    A slice is one batch, so an undated row is rejected once in each slice that holds it.
+    A slice is one batch, so an undated row is rejected once in each slice that holds it. These
+    are most rows of many slices; they are neither joined nor shuffled, as slices lie by month.
     """
     batch = sorted(set(months))
     keys = [F.regexp_extract("_metadata.file_path", r"/(\d{4})-(\d{2})/[^/]*$", i).cast("int") for i in (1, 2)]
@@ -92,7 +94,7 @@ def process_raw_months(
     with borrowed(slices, "raw") as scan:
         found = count_months(scan, BATCH_KEYS)
         raw = {month: found.get(month, 0) for month in batch}
-        return process_batch(with_row_id(scan, INCIDENT_COLUMNS), zones, raw, **settings)
+        return process_batch(with_row_id(scan, INCIDENT_COLUMNS), zones, raw, by_month=True, **settings)
 
 
 def process_batch(
@@ -103,6 +105,7 @@ def process_batch(
     rules: Sequence[RuleGroup] | None = None,
     order: Sequence[Column | str] = TEXT_ORDER,
     rows_per_task: int = ROWS_PER_TASK,
+    by_month: bool = False,
 ) -> DataFrame:
     """Check ``rows`` and write the valid and the rejected ones.
 
@@ -113,25 +116,34 @@ def process_batch(
 
     The marked rows are written once, to a table in the shared folder from which both
     zones are filled and which goes afterwards. A batch of at most ``rows_per_task`` rows
-    is laid out by month for that; in a larger one the rows keep their source's layout.
+    is laid out by month for that; in a larger one the rows keep their source's layout. If
+    that is ``by_month`` and most rows may be rejected, those that fail the rules keep their
+    place throughout: only valid rows go to the contest, and only duplicates are gathered.
     """
     # Content is hashed for rows that tie, not for all.
     checked = classify(place_only(rows), rules)
+    aside = None
+    if by_month:
+        # Exploded from an array of one, so that the filters are not pushed into the rules.
+        ruled = checked.withColumn(REJECT_REASON, F.explode(F.array(REJECT_REASON)))
+        checked, aside = ruled.where(is_valid()), ruled.where(~is_valid())
     with borrowed(first_rows(checked, ROW_ID, order=order), "contest") as contest:
         winners = settle_ties(checked, contest, ROW_ID, INCIDENT_COLUMNS, order=order)
         marked = mark_duplicates(checked, winners, ROW_ID)
+        if aside is not None:
+            marked = marked.unionByName(aside)
         if sum(raw.values()) <= rows_per_task:
             cores = rows.sparkSession.sparkContext.defaultParallelism
             layout = MonthLayout.for_counts(raw, rows_per_task, min_tasks=cores)
             spread = F.xxhash64(f"{ROW_ID}.file", f"{ROW_ID}.row")
             marked = marked.repartitionById(layout.tasks, layout.task(spread))
         with borrowed(marked.drop(ROW_ID), "marked") as table:
-            _write(table, zones, raw)
+            _write(table, zones, raw, F.col(REJECT_REASON) != DUPLICATE_REASON if by_month else None)
     return check_written(rows.sparkSession, zones, raw)
 
 
-def _write(marked: DataFrame, zones: Zones, months: Iterable[BatchMonth]) -> None:
-    """Write both zones, and empty what is left of earlier runs."""
+def _write(marked: DataFrame, zones: Zones, months: Iterable[BatchMonth], in_place: Column | None = None) -> None:
+    """Write both zones, and empty what is left of earlier runs. Rejected rows ``in_place`` lie by month."""
     # Which months have rows of each kind is noted during the first write.
     seen = Observation("months")
     year, month = BATCH_KEYS
@@ -142,7 +154,7 @@ def _write(marked: DataFrame, zones: Zones, months: Iterable[BatchMonth]) -> Non
         F.collect_set(F.when(~is_valid(), number)).alias("rejected"),
     )
     write_curated(watched.where(is_valid()), zones)
-    write_rejected(marked.where(~is_valid()), zones)
+    write_rejected(marked.where(~is_valid()), zones, in_place=in_place)
 
     found = seen.get
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from monthlake.months import BatchMonth, month_label
@@ -56,15 +56,20 @@ def write_curated(valid: DataFrame, zones: Zones) -> None:
     replace_partitions(valid.select(*CURATED_COLUMNS, *keys), zones.curated, MONTH_KEYS)
 
 
-def write_rejected(rejected: DataFrame, zones: Zones) -> None:
+def write_rejected(rejected: DataFrame, zones: Zones, in_place: Column | None = None) -> None:
     """Write rejected rows with their reasons to the directory of their batch.
 
     The few rejected rows of each task are brought together, for files of a fair size;
-    large batches are still split over many tasks.
+    large batches are still split over many tasks. Rows that are ``in_place`` already lie
+    together by month and are written by the tasks that read them.
     """
     label = month_label(*BATCH_KEYS).alias(BATCH_MONTH)
     rows = rejected.select(*REJECTED_COLUMNS, label)
-    replace_partitions(rows.hint("rebalance", BATCH_MONTH), zones.rejected, [BATCH_MONTH])
+    if in_place is None:
+        rows = rows.hint("rebalance", BATCH_MONTH)
+    else:
+        rows = rows.where(in_place).unionByName(rows.where(~in_place).hint("rebalance", BATCH_MONTH))
+    replace_partitions(rows, zones.rejected, [BATCH_MONTH])
 
 
 def clear_curated(like: DataFrame, zones: Zones, months: Iterable[BatchMonth]) -> None:

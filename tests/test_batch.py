@@ -21,7 +21,7 @@ from monthlake.plans import (
     slice_months_raw,
 )
 from monthlake.schema import CURATED_SCHEMA, REJECTED_COLUMNS
-from monthlake.sinks import write_raw_month, write_raw_months
+from monthlake.sinks import write_raw_month, write_raw_months, write_rejected
 from monthlake.sources import count_months, read_curated, read_incidents_csv, read_rejected, read_source
 from monthlake.work import shared_dir
 
@@ -322,3 +322,32 @@ def test_raw_slices_are_written_compressed(spark, zones, incidents):
         files = [p.name for p in Path(zones.raw_month(month)).glob("part-*")]
         assert files and all(name.endswith(".csv.gz") for name in files)
         assert read_incidents_csv(spark, zones.raw_month(month)).count() == rows
+
+
+def test_rows_in_place_are_not_gathered(spark, zones, incidents):
+    """Rejected rows that lie by month are written by the tasks that read them; duplicates are brought together."""
+    rows = incidents(*({"ID": str(i)} for i in range(36))).withColumn("reject_reason", F.when(F.col("ID") < "2", "DUPLICATE_ID").otherwise("INVALID_DATE"))
+    rows = rows.withColumns({"_year": F.lit(2001), "_month": F.lit(1)}).repartition(3)
+    write_rejected(rows, zones, in_place=F.col("reject_reason") != "DUPLICATE_ID")
+    files = list(Path(zones.rejected_month(BatchMonth(2001, 1))).glob("part-*"))
+    assert len(files) == 4
+    assert sorted(r.ID for r in read_rejected(spark, zones).collect()) == sorted(map(str, range(36)))
+
+
+def test_raw_months_with_ties_and_undated_duplicates(spark, zones, incidents, tmp_path):
+    """Only valid rows go to the contest of raw months: the same rows as month by month, with ties and rows rejected twice over."""
+    months = [BatchMonth(2001, 1), BatchMonth(2001, 2)]
+    january, february = {"Date": "01/05/2001 01:00:00 AM"}, {"Date": "02/05/2001 01:00:00 AM"}
+    same = {"ID": "7", "Case Number": "S"}
+    records = incidents(
+        january | same | {"Block": "a"}, january | same | {"Block": "b"}, january | same | {"Block": "a"}, january | {"ID": "8"}, january | {"ID": "8", "Primary Type": None},
+        february | same, {"Date": "never"} | same, {"Date": None} | same, {"Date": "never", "ID": None}, february | {"ID": None},
+    )
+    write_raw_months(slice_months_raw(records, months), zones, months)
+    assert lines(process_raw_months(spark, zones, months)) == [("2001-01", 8, 2, 6), ("2001-02", 5, 1, 4)]
+    apart = Zones(str(tmp_path / "apart"))
+    for month in months:
+        write_raw_month(slice_month_raw(records, month), apart, month)
+        process_raw_month(spark, apart, month)
+    for read in (read_curated, read_rejected):
+        assert sorted(map(str, read(spark, zones).collect())) == sorted(map(str, read(spark, apart).collect()))
